@@ -1,0 +1,10 @@
+"""The query catalogue: name -> query, name -> equivalent SQL for DuckDB."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
