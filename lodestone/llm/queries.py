@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestone.llm import substring_dedup
+from lodestone.llm import mixing, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -17,7 +17,7 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_dedup.substring_dedup(_documents(spark, sf_dir)).drop("spans")
+    return substring_dedup.substring_dedup(_documents(spark, sf_dir)).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
 QUERIES["op2_substring_dedup"] = op2_substring_dedup
@@ -44,3 +44,10 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(n AS BIGINT) AS n_removed
        sha256(coalesce(array_to_string(list_transform(keep, lambda k: w[k]), ' '), '')) AS kept_sha256
 FROM parsed
 """
+
+
+def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_documents(spark, sf_dir))
+
+
+QUERIES["op10_source_mixing"] = op10_source_mixing
