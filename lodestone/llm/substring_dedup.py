@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.llm import wordhash as wh
-from lodestone.llm.scratch import materialise
+from lodestone.llm.scratch import discard, materialise
 
 WINDOW = 35
 GRAM = 8
@@ -239,6 +239,7 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, kee
 
     repeated = cut.groupBy("fp").agg(F.count("*").alias("c"), F.max("own").alias("o")).where("c > 1 OR o").select("fp")
     kept = materialise(cut.join(repeated, "fp"), "repeated")
+    discard(cut)
     # the index: each different phrase once, with its first occurrence
     index = kept.groupBy("fp", "phrase").agg(
         F.count("*").alias("copies"),
@@ -256,14 +257,14 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, kee
     )
     same = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & (a["tkey"] == b["tkey"])
     opened = base.join(asked, same(base, asked)).select(base["doc_id"], base["text"], "wanted").mapInPandas(_open(window), OPENED)
-    # a repeated row would ask twice for the same phrase: count its windows once
-    opened = opened.dropDuplicates(["h1", "h2", "fp", "phrase", "off"])
     seen = materialise(opened, "windows")
-    source = seen.groupBy("h1", "h2").agg(F.count("*").alias("c"), F.min(F.struct("doc_id", "pos")).alias("src")).where("c > 1")
+    # a repeated row asks twice for the same phrase, so count places, not rows
+    place = F.struct("fp", "phrase", "off")
+    source = seen.groupBy("h1", "h2").agg(F.min(place).alias("a"), F.max(place).alias("b"), F.min(F.struct("doc_id", "pos")).alias("src")).where("a <> b")
     sources = (
         seen.join(source, ["h1", "h2"])
         .groupBy("fp", "phrase")
-        .agg(F.array_sort(F.collect_list(F.struct("off", F.col("src.doc_id").alias("doc_id"), F.col("src.pos").alias("pos")))).alias("sources"))
+        .agg(F.array_sort(F.collect_set(F.struct("off", F.col("src.doc_id").alias("doc_id"), F.col("src.pos").alias("pos")))).alias("sources"))
     )
     verdict = index.join(sources, ["fp", "phrase"], "left").where("copies > 1 OR sources IS NOT NULL")
     verdict = verdict.select(
