@@ -39,7 +39,7 @@ WEIGHTS = (1, 2, 3)
 MAX_EPOCHS = 3
 SEED = 17
 #: words in a shard, about: bounds what one window partition holds
-SHARD_WORDS = 1 << 22
+SHARD_WORDS = 1 << 20
 #: a block has the corpus size divided by this, at most BLOCK_WORDS words
 BLOCKS = 1 << 16
 BLOCK_WORDS = 256
