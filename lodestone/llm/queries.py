@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestone.llm import mixing, substring_dedup
+from lodestone.llm import mixing, substring_dedup, token_store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -51,3 +51,17 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op10_source_mixing"] = op10_source_mixing
+
+
+def tokenizer_path() -> str:
+    """The vocabulary file of the op4 query; operators take it as a parameter."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_store.token_store(_documents(spark, sf_dir), tokenizer_path())
+
+
+QUERIES["op4_token_store"] = op4_token_store
