@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestone.llm import mixing, substring_dedup, token_store
+from lodestone.llm import mixing, simhash_dedup, substring_dedup, token_store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -65,3 +65,10 @@ def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op4_token_store"] = op4_token_store
+
+
+def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup.simhash_components(_documents(spark, sf_dir))
+
+
+QUERIES["op5_simhash_dedup"] = op5_simhash_dedup
