@@ -22,10 +22,12 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -38,8 +40,8 @@ from lodestone.llm.scratch import new_path, parallelism
 FRAME_BYTES = 1 << 16
 LEVEL = 3
 END_ID = 1
-#: words that a worker remembers; then it starts afresh
-CACHE_WORDS = 400_000
+#: words that a worker remembers; beyond, it forgets all but the first quarter
+CACHE_WORDS = 1_000_000
 SEEK_MAGIC = 0x8F92EAB1
 SKIP_SEEK = 0x184D2A5E
 SKIP_INDEX = 0x184D2A50
@@ -48,71 +50,86 @@ SKIP_INDEX = 0x184D2A50
 class Encoder:
     """Ids of whole texts, remembering the ids of words.
 
-    The tokenizer normalises and splits before byte-pair merging and never
-    merges over a split, so a text's ids are its words' ids in turn.  Texts of
-    plain Latin letters are split here by the tokenizer's own pattern and only
-    words not met before reach it; any other text goes to it whole.
+    The tokenizer lower-cases and splits before byte-pair merging and never
+    merges over white space, so a text's ids are its words' ids in turn.
+    Texts of plain Latin letters are split here by the tokenizer's own pattern
+    and only pieces not met before reach it; any other text goes to it whole.
     """
 
+    #: the file's pattern, and what it means for the characters let through below
+    PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+    PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]+|_+)+")
+    ODD = re.compile("[^\t-\r\x20-\x7e\xa0-\xb1\xb4-\xb8\xba\xbb\xbf-\u024f\u2010-\u2027\u2030-\u205e\u20ac]")
+
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        import regex
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        self.size = self.whole.get_vocab_size()
-        self.kind = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
-        self.pattern = None
+        self.kind = np.dtype("<u2" if self.whole.get_vocab_size() <= 1 << 16 else "<u4")
+        self.fast = self._plain(spec)
         self.known: dict[str, bytes] = {}
-        if self._plain(spec):
-            split, level = spec["pre_tokenizer"]["pretokenizers"]
-            self.pattern = regex.compile(split["pattern"]["Regex"])
-            self.odd = regex.compile("[^\t-\r\x20-\x7e\xa0-\u024f\u2010-\u2027\u2030-\u205e\u20ac]")
+        if self.fast:
             self.special = [t["content"] for t in spec["added_tokens"]]
+            level = spec["pre_tokenizer"]["pretokenizers"][1]
             spec |= {"normalizer": None, "pre_tokenizer": {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, level]}, "added_tokens": []}
-            self.words = Tokenizer.from_str(json.dumps(spec))
-
-    @staticmethod
-    def _plain(spec: dict) -> bool:
-        """Whether the split below means what the file says."""
+            self.pieces = Tokenizer.from_str(json.dumps(spec))
+            # every piece ends in a token that carries the end-of-word suffix
+            suffix = spec["model"]["end_of_word_suffix"]
+            self.last = np.zeros(self.whole.get_vocab_size(), bool)
+            self.last[[i for w, i in spec["model"]["vocab"].items() if w.endswith(suffix)]] = True
+
+    @classmethod
+    def _plain(cls, spec: dict) -> bool:
+        """Whether the split here means what the file says."""
         norm = [x["type"] for x in (spec.get("normalizer") or {}).get("normalizers", [])]
         pre = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
         if norm != ["NFC", "Replace", "Lowercase"] or [x["type"] for x in pre] != ["Split", "ByteLevel"]:
             return False
-        return pre[0]["behavior"] == "Removed" and pre[0]["invert"] and not pre[1]["add_prefix_space"] and not pre[1]["use_regex"]
-
-    def _learn(self, new: list[str]) -> None:
-        if len(self.known) + len(new) > CACHE_WORDS:
-            self.known.clear()
-        for lo in range(0, len(new), 20_000):
-            part = new[lo : lo + 20_000]
-            e = self.words.encode(" ".join(part), add_special_tokens=False)
-            ids, owner = np.array(e.ids, dtype=self.kind), np.array(e.word_ids, dtype=np.int64)
-            edge = np.searchsorted(owner, np.arange(len(part) + 1)).tolist()
-            width = self.kind.itemsize
+        if spec["model"]["type"] != "BPE" or not spec["model"].get("end_of_word_suffix"):
+            return False
+        return pre[0]["pattern"] == {"Regex": cls.PATTERN} and pre[0]["behavior"] == "Removed" and pre[0]["invert"] and not pre[1]["add_prefix_space"] and not pre[1]["use_regex"]
+
+    def _learn(self, words: list[str]) -> None:
+        """Remember the ids of white-space separated, lower-cased words."""
+        find, known = self.PIECE.findall, self.known
+        split = [find(w) for w in words]
+        new = list(set().union(*split).difference(known))
+        for lo in range(0, len(new), 2_000):
+            part = new[lo : lo + 2_000]
+            e = self.pieces.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0]
+            ids = np.array(e.ids, dtype=self.kind)
+            edge = np.concatenate(([0], np.flatnonzero(self.last[ids]) + 1))
+            if len(edge) != len(part) + 1:
+                raise ValueError("a piece without an end-of-word token")
+            edge = (edge * self.kind.itemsize).tolist()
             raw = ids.tobytes()
-            for word, a, b in zip(part, edge[:-1], edge[1:], strict=True):
-                self.known[word] = raw[a * width : b * width]
+            known.update(zip(part, [raw[a:b] for a, b in zip(edge[:-1], edge[1:], strict=True)], strict=True))
+        known.update((w, b"".join(map(known.__getitem__, p))) for w, p in zip(words, split, strict=True) if len(p) != 1)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as bytes, without the end id."""
         out: list = [None] * len(texts)
         split: dict[int, list[str]] = {}
         for i, t in enumerate(texts):
-            if self.pattern is None or self.odd.search(t) or any(s in t for s in self.special):
+            if not self.fast or self.ODD.search(t) or any(s in t for s in self.special):
                 ids = self.whole.encode(t, add_special_tokens=False).ids
                 out[i] = np.array(ids, dtype=self.kind).tobytes()
             else:
-                split[i] = self.pattern.findall(t.lower())
-        new = list(set().union(*split.values()).difference(self.known)) if split else []
+                split[i] = t.lower().split()
+        words = set().union(*split.values()) if split else set()
+        new = words.difference(self.known)
+        if len(self.known) + len(new) > CACHE_WORDS:
+            # the words learned first are the frequent ones
+            self.known = dict(islice(self.known.items(), CACHE_WORDS // 4))
+            new = words.difference(self.known)
         if new:
-            if len(self.known) + len(new) > CACHE_WORDS:
-                new = list(set().union(*split.values()))
-            self._learn(new)
-        for i, words in split.items():
-            out[i] = b"".join(map(self.known.__getitem__, words))
+            self._learn(sorted(new))
+        get = self.known.__getitem__
+        for i, w in split.items():
+            out[i] = b"".join(map(get, w))
         return out
 
 
