@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestone.llm import mixing, simhash_dedup, substring_dedup, token_store
+from lodestone.llm import language_id, mixing, simhash_dedup, substring_dedup, token_store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -72,3 +72,11 @@ def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op5_simhash_dedup"] = op5_simhash_dedup
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    return language_id.identify(docs, language_id.fit(docs))
+
+
+QUERIES["op8_language_id"] = op8_language_id
