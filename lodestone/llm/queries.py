@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestone.llm import language_id, mixing, simhash_dedup, substring_dedup, token_store
+from lodestone.llm import benchmark_decontamination, language_id, mixing, simhash_dedup, substring_dedup, token_store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -80,3 +80,10 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op8_language_id"] = op8_language_id
+
+
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return benchmark_decontamination.report(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+QUERIES["op6_benchmark_decontamination"] = op6_benchmark_decontamination
