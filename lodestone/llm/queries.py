@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lodestone.llm import benchmark_decontamination, language_id, mixing, simhash_dedup, substring_dedup, token_store
+from lodestone.llm import benchmark_decontamination, hnsw, language_id, mixing, simhash_dedup, substring_dedup, token_store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -87,3 +88,11 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 QUERIES["op6_benchmark_decontamination"] = op6_benchmark_decontamination
+
+
+def op1_hnsw_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return hnsw.neighbours(vectors, F.col("vec_id") % 20 == 0)
+
+
+QUERIES["op1_hnsw_search"] = op1_hnsw_search
