@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm import benchmark_decontamination, hnsw, language_id, mixing, simhash_dedup, substring_dedup, token_store
+from lodestone.llm import benchmark_decontamination, hnsw, html_extraction, language_id, mixing, simhash_dedup, substring_dedup, token_store, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -96,3 +96,21 @@ def op1_hnsw_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op1_hnsw_search"] = op1_hnsw_search
+
+
+def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/pages.parquet")
+
+
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extract_main_text(_pages(spark, sf_dir))
+
+
+QUERIES["op7_html_extraction"] = op7_html_extraction
+
+
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(_pages(spark, sf_dir))
+
+
+QUERIES["op9_url_filter"] = op9_url_filter
