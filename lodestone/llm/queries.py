@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm import benchmark_decontamination, hnsw, html_extraction, language_id, mixing, simhash_dedup, substring_dedup, token_store, url_filter
+from lodestone.llm import benchmark_decontamination, hnsw, html_extraction, language_id, mixing, pii, simhash_dedup, substring_dedup, token_store, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -114,3 +114,10 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op9_url_filter"] = op9_url_filter
+
+
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(_documents(spark, sf_dir))
+
+
+QUERIES["op3_pii"] = op3_pii
