@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from lodestone.plans.schema import texts
 
@@ -82,7 +83,7 @@ def greedy_cluster(rows: DataFrame, block: str, order: str, threshold: float = T
 
     One task holds one block, so blocks must be bounded; kmeans_cluster() is the way without that bound.
     """
-    schema = rows.schema.add("label", "string")
+    schema = StructType([*rows.schema.fields, StructField("label", StringType())])
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(order, kind="stable")

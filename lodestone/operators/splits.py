@@ -70,11 +70,13 @@ def near_duplicates(df: DataFrame, key: str, text: str, threshold: float = 0.85,
     Equal shingle sets are collapsed first, so copies meet once.  Prefix
     filtering: with shingles in one global order (rarest first), two sets that
     similar share a shingle among their first n - ceil(t n) + 1; only those are
-    joined.  Length filter, then verification on the full sets.  With `groups`
-    only pairs of different groups count (a < b by group), else a < b by key.
+    joined.  Of a pair's common shingles the first bounds the overlap by what
+    follows it (positional filter).  What is left is counted on hashes, and
+    what passes is verified on the shingles.  With `groups` only pairs of
+    different groups count (a < b by group), else a < b by key.
     """
     sets = df.select(F.col(key).alias("key"), *([F.col(groups).alias("grp")] if groups else []), shingles(F.col(text), k).alias("set")).where(F.size("set") > 0)
-    sets = sets.withColumn("sid", F.sha2(F.array_join(F.array_sort("set"), "\u0001"), 256))
+    sets = sets.withColumn("sid", F.xxhash64(F.array_sort("set")))
     distinct = sets.groupBy("sid").agg(F.first("set").alias("set"))
     tokens = distinct.select("sid", F.explode("set").alias("s")).withColumn("h", F.xxhash64("s"))
     freq = tokens.groupBy("h").agg(F.count("*").alias("df"))
@@ -85,12 +87,16 @@ def near_duplicates(df: DataFrame, key: str, text: str, threshold: float = 0.85,
         .withColumn("n", F.size("hs"))
     )
     take = F.col("n") - F.ceil(F.lit(threshold) * F.col("n")).cast("int") + 1
-    prefix = ordered.select("sid", "n", F.explode(F.slice("hs", F.lit(1), take)).alias("h"))
-    left, right = prefix.withColumnsRenamed({"sid": "sa", "n": "na"}), prefix.withColumnsRenamed({"sid": "sb", "n": "nb"})
+    prefix = ordered.select("sid", "n", F.posexplode(F.slice("hs", F.lit(1), take)).alias("i", "h"))
+    left, right = prefix.withColumnsRenamed({"sid": "sa", "n": "na", "i": "ia"}), prefix.withColumnsRenamed({"sid": "sb", "n": "nb", "i": "ib"})
     cand = left.join(right, "h").where((F.col("sa") < F.col("sb")) & (F.col("na") >= threshold * F.col("nb")) & (F.col("nb") >= threshold * F.col("na")))
-    cand = cand.select("sa", "sb").distinct()
+    cand = cand.groupBy("sa", "sb", "na", "nb").agg(F.min("ia").alias("ia"), F.min("ib").alias("ib"))
+    need = F.lit(threshold / (1 + threshold)) * (F.col("na") + F.col("nb")) - 1e-9
+    cand = cand.where(F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib")) >= need)
+    one, two = ordered.select(F.col("sid").alias("sa"), F.col("hs").alias("x")), ordered.select(F.col("sid").alias("sb"), F.col("hs").alias("y"))
+    near = cand.join(one, "sa").join(two, "sb").where(F.size(F.array_intersect("x", "y")) >= need - 1).select("sa", "sb")
     one, two = distinct.withColumnsRenamed({"sid": "sa", "set": "x"}), distinct.withColumnsRenamed({"sid": "sb", "set": "y"})
-    sure = cand.join(one, "sa").join(two, "sb").withColumn("jaccard", jaccard(F.col("x"), F.col("y"))).where(F.col("jaccard") >= threshold)
+    sure = near.join(one, "sa").join(two, "sb").withColumn("jaccard", jaccard(F.col("x"), F.col("y"))).where(F.col("jaccard") >= threshold)
     links = sure.select("sa", "sb", "jaccard").unionByName(sure.select(F.col("sb").alias("sa"), F.col("sa").alias("sb"), "jaccard"))
     links = links.unionByName(distinct.select(F.col("sid").alias("sa"), F.col("sid").alias("sb"), F.lit(1.0).alias("jaccard")))
     cols = ["key", "sid"] + (["grp"] if groups else [])

@@ -102,7 +102,7 @@ def repair_depth(events: Column | str = "events") -> Column:
         return F.struct(F.lit(None).cast("string").alias("pending"), F.when(retry, c["name"]).alias("tool"), run.alias("run"), F.greatest(acc["best"], run).alias("best"))
 
     def step(acc: Column, e: Column) -> Column:
-        tool = F.coalesce(F.element_at(F.transform(F.filter(names, lambda n: n["id"] == e["tool_call_id"]), lambda n: n["name"]), -1), e["name"])
+        tool = F.coalesce(F.try_element_at(F.transform(F.filter(names, lambda n: n["id"] == e["tool_call_id"]), lambda n: n["name"]), F.lit(-1)), e["name"])
         seen = F.struct(F.when(F.coalesce(e["is_error"], F.lit(False)), tool).alias("pending"), acc["tool"].alias("tool"), acc["run"].alias("run"), acc["best"].alias("best"))
         return F.when(e["kind"] == "tool_call", F.aggregate(e["tool_calls"], acc, call)).when(e["kind"] == "tool_result", seen).otherwise(acc)
 

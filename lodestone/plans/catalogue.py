@@ -1,10 +1,599 @@
-"""The query catalogue: name -> query, name -> equivalent SQL for DuckDB."""
+"""The query catalogue: name -> query, name -> equivalent SQL for DuckDB.
+
+Every query reads its whole tables.  An oracle is left out where DuckDB cannot
+express the query or would compare all pairs of long documents; those are
+tested against brute force on fixtures.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lodestone.functions import checks
+from lodestone.functions.pii_rules import BUILTIN, FIELDS
+from lodestone.operators import evaluate, generate, pairs, persona, redact, seeds, sft, splits, tagging, validate
+from lodestone.plans import trajectories
+from lodestone.plans.schema import calls, exploded
+from lodestone.session import table
+from lodestone.sources import adapters, records
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    """Register a query under its function's name, with its oracle."""
+
+    def add(fn: Query) -> Query:
+        QUERIES[fn.__name__] = fn
+        if sql:
+            ORACLES[fn.__name__] = sql
+        return fn
+
+    return add
+
+
+t1, t2 = trajectories.from_conversations, trajectories.from_events
+
+# ---- the same trajectories in SQL -------------------------------------------------
+T1 = """
+t1 AS (SELECT CAST(conv_id AS VARCHAR) AS sid, turn AS pos, role, coalesce(text, '') AS text FROM conversations WHERE role IN ('user', 'assistant')),
+s1 AS (SELECT sid, coalesce(string_agg(text, ' ' ORDER BY pos) FILTER (role = 'user'), '') AS utext, coalesce(string_agg(text, ' ' ORDER BY pos) FILTER (role = 'assistant'), '') AS atext,
+       count(*) FILTER (role = 'user') AS users, count(*) FILTER (role = 'assistant') AS says FROM t1 GROUP BY sid)
+"""
+HINTS_SQL = " + ".join(f"((length(l) - length(replace(l, '{h.replace(chr(39), chr(39) * 2)}', ''))) // {len(h)})" for h in tagging.AMBIGUITY_HINTS)
+AMB1 = f"a1 AS (SELECT *, least(1.0, ln(1 + ({HINTS_SQL})) / ln(6.0)) AS amb FROM (SELECT *, lower(utext) AS l FROM s1))"
+SCORE1 = "0.6 * greatest(users - 1, 0) + 1.5 * amb"
+BAND = "CASE WHEN score < 1.0 THEN 'trivial' WHEN score < 2.5 THEN 'easy' WHEN score < 4.5 THEN 'medium' WHEN score < 7.0 THEN 'hard' ELSE 'extreme' END"
+T2 = """
+e2 AS (SELECT user_id, event_id, event_type, props, row_number() OVER w - 1 AS pos,
+         last_value(CASE WHEN event_type IN ('view', 'click') THEN event_id END IGNORE NULLS) OVER p AS call_ev,
+         last_value(CASE WHEN event_type IN ('view', 'click') THEN event_type END IGNORE NULLS) OVER p AS call_nm
+       FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id), p AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+t2 AS (SELECT CAST(user_id AS VARCHAR) AS sid, user_id, pos, event_id, props, event_type,
+         CASE WHEN event_type IN ('view', 'click') THEN 'call' WHEN event_type = 'purchase' THEN 'ok' WHEN event_type = 'error' THEN 'err' ELSE 'say' END AS k,
+         CASE WHEN event_type IN ('view', 'click') THEN event_type ELSE coalesce(call_nm, 'unknown') END AS tool, call_ev,
+         CASE event_id % 3 WHEN 0 THEN 'I found the page' WHEN 1 THEN 'It failed' ELSE 'Noted' END AS said FROM e2),
+i2 AS (SELECT sid, pos, k, tool, lag(k) OVER (PARTITION BY sid ORDER BY pos) AS pk, lag(tool) OVER (PARTITION BY sid ORDER BY pos) AS pt FROM t2 WHERE k <> 'say'),
+c2 AS (SELECT sid, pos, tool, coalesce(pk = 'err' AND pt = tool, false) AS retry FROM i2 WHERE k = 'call'),
+g2 AS (SELECT *, row_number() OVER (PARTITION BY sid ORDER BY pos) - row_number() OVER (PARTITION BY sid, tool, retry ORDER BY pos) AS g FROM c2),
+d2 AS (SELECT sid, max(n) AS depth FROM (SELECT sid, count(*) AS n FROM g2 WHERE retry GROUP BY sid, tool, g) GROUP BY sid),
+s2 AS (SELECT t.sid, any_value(t.user_id) AS user_id, count(*) FILTER (k = 'call') AS calls, count(DISTINCT tool) FILTER (k = 'call') AS tools, count(*) FILTER (k = 'err') AS errs,
+         coalesce(min(pos) FILTER (k = 'err') < max(pos) FILTER (k = 'call'), false) AS rec,
+         CASE WHEN count(*) FILTER (k IN ('ok', 'err') AND call_ev IS NULL) > 0 THEN 1 ELSE 0 END AS dang, count(*) FILTER (k IN ('call', 'say')) AS steps
+       FROM t2 t GROUP BY t.sid),
+a2 AS (SELECT s2.*, coalesce(depth, 0) AS depth,
+         calls * 0.5 + tools * 0.7 + CAST(rec AS INT) * 2.0 + errs * 0.4 + dang * 1.0 + coalesce(depth, 0) * 0.8 + CASE WHEN coalesce(depth, 0) >= 2 THEN 1.5 ELSE 0 END AS score
+       FROM s2 LEFT JOIN d2 USING (sid)),
+f2 AS (SELECT *, CASE WHEN errs >= 2 OR (rec AND calls >= 3) OR tools >= 3 OR score >= 6.5 THEN 'hard' WHEN calls >= 2 OR rec OR score >= 3.0 OR tools >= 2 THEN 'medium' ELSE 'easy' END AS tier,
+         array_to_string(list_sort(list_filter([CASE WHEN calls = 0 THEN 'pure_qa' END, CASE WHEN calls > 0 AND tools <= 1 THEN 'single_tool' END, CASE WHEN tools >= 2 THEN 'multi_tool' END,
+           CASE WHEN rec OR errs >= 1 THEN 'tool_failure_recovery' END], lambda x: x IS NOT NULL)), ',') AS edges FROM a2)
+"""
+
+
+def long(c: str):
+    return F.col(c).cast("long").alias(c)
+
+
+# ---- tagging ----------------------------------------------------------------------
+@query(f"WITH {T1}, {AMB1} SELECT {BAND} AS complexity_band, count(*) AS n FROM (SELECT {SCORE1} AS score FROM a1) GROUP BY 1")
+def band_counts(spark, d):
+    return tagging.band_counts(t1(spark, d))
+
+
+@query(f"WITH {T1}, {AMB1} SELECT sid AS session_id, users AS num_user_turns, says AS num_assistant_turns, round(amb, 6) AS ambiguity, round(score, 6) AS score, {BAND} AS complexity_band FROM (SELECT *, {SCORE1} AS score FROM a1)")
+def complexity_tags(spark, d):
+    c = tagging.complexity(t1(spark, d))
+    return c.select("session_id", long("num_user_turns"), long("num_assistant_turns"), F.round("ambiguity_score", 6).alias("ambiguity"), F.round("complexity_score", 6).alias("score"), "complexity_band")
+
+
+@query(f"WITH {T2} SELECT sid AS session_id, calls AS num_tool_calls, tools AS distinct_tools, errs AS num_tool_errors, rec AS has_recovery, CAST(dang AS BIGINT) AS num_dangling, depth AS repair_depth, steps AS num_assistant_turns, round(CAST(score AS DOUBLE), 6) AS score, {BAND} AS complexity_band FROM a2")
+def agent_complexity(spark, d):
+    c = tagging.complexity(t2(spark, d))
+    return c.select("session_id", *[long(x) for x in ("num_tool_calls", "distinct_tools", "num_tool_errors")], "has_recovery", long("num_dangling"), long("repair_depth"), long("num_assistant_turns"), F.round("complexity_score", 6).alias("score"), "complexity_band")
+
+
+@query(f"WITH {T2} SELECT sid AS session_id, string_agg(tool, ',' ORDER BY p) AS tools FROM (SELECT sid, tool, min(pos) AS p FROM t2 WHERE k = 'call' GROUP BY sid, tool) GROUP BY sid")
+def tool_sets(spark, d):
+    return t2(spark, d).select("session_id", F.array_join(tagging.tool_set(), ",").alias("tools")).where("tools <> ''")
+
+
+@query(f"WITH {T2} SELECT sid AS session_id, rec AS has_recovery FROM s2")
+def recovery_flags(spark, d):
+    return t2(spark, d).select("session_id", tagging.has_recovery().alias("has_recovery"))
+
+
+@query(f"WITH {T2} SELECT s2.sid AS session_id, coalesce(depth, 0) AS depth FROM s2 LEFT JOIN d2 USING (sid)")
+def repair_depth(spark, d):
+    return t2(spark, d).select("session_id", tagging.repair_depth().cast("long").alias("depth"))
+
+
+@query(f"WITH {T2} SELECT tier, count(*) AS n FROM f2 GROUP BY tier")
+def difficulty_tiers(spark, d):
+    return tagging.difficulty(t2(spark, d)).groupBy("tier").agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {T2} SELECT sid AS session_id, tier, edges AS edge_cases FROM f2")
+def edge_cases(spark, d):
+    return tagging.difficulty(t2(spark, d)).select("session_id", "tier", F.array_join("edge_cases", ",").alias("edge_cases"))
+
+
+@query(f"WITH {T1}, {AMB1} SELECT sid AS session_id, array_to_string(list_sort(list_filter(['pure_qa', CASE WHEN utext <> '' AND amb >= 0.4 THEN 'ambiguous_query' END], lambda x: x IS NOT NULL)), ',') AS edge_cases FROM a1")
+def chat_edge_cases(spark, d):
+    return tagging.difficulty(t1(spark, d)).select("session_id", F.array_join("edge_cases", ",").alias("edge_cases"))
+
+
+@query(f"WITH {T2} SELECT sid AS session_id, tier, edges AS edge_cases FROM (SELECT *, row_number() OVER (PARTITION BY tier, edges ORDER BY user_id) AS r FROM f2) WHERE r <= 5")
+def cap_per_bucket(spark, d):
+    rows = tagging.difficulty(t2(spark, d)).withColumn("uid", F.col("session_id").cast("long"))
+    return tagging.cap_per_bucket(rows, 5, ["uid"]).select("session_id", "tier", F.array_join("edge_cases", ",").alias("edge_cases"))
+
+
+STRATA2 = f"{T2}, st AS (SELECT sid, CASE sid::BIGINT % 3 WHEN 0 THEN 'app' WHEN 1 THEN 'shop' ELSE 'web' END || '::' || {BAND} || '::' || CASE WHEN tools = 0 THEN '0' WHEN tools = 1 THEN '1' ELSE '2+' END AS stratum FROM a2)"
+
+
+def _strata(spark, d):
+    rows = tagging.complexity(t2(spark, d))
+    return rows, splits.stratum_key(F.col("domain"), F.col("complexity_band"), splits.tool_arity(F.col("distinct_tools")))
+
+
+@query(f"WITH {STRATA2} SELECT stratum, count(*) AS n FROM st GROUP BY stratum")
+def stratum_counts(spark, d):
+    rows, key = _strata(spark, d)
+    return rows.groupBy(key.alias("stratum")).agg(F.count("*").alias("n"))
+
+
+@query(f"""WITH {STRATA2}, r AS (SELECT *, row_number() OVER (PARTITION BY stratum ORDER BY sha256('7:' || stratum || ':' || sid), sid) AS r, count(*) OVER (PARTITION BY stratum) AS n FROM st)
+SELECT sid AS session_id, stratum, CASE WHEN r <= round_even(n * 0.8, 0) THEN 'train' WHEN r <= round_even(n * 0.8, 0) + least(round_even(n * 0.1, 0), n - round_even(n * 0.8, 0)) THEN 'val' ELSE 'test' END AS split FROM r""")
+def stratified_split(spark, d):
+    rows, key = _strata(spark, d)
+    return splits.stratified_split(rows, key, F.col("session_id"), (0.8, 0.1, 0.1), 7).select("session_id", "stratum", "split")
+
+
+# ---- PII --------------------------------------------------------------------------
+def _rule(name: str):
+    return tuple(r for r in (*BUILTIN, *FIELDS) if r.name == name)
+
+
+def _found(spark, d, name):
+    spans = redact.detect_all(F.col("text"), _rule(name))
+    rows = table(spark, d, "documents").select("doc_id", F.explode(spans).alias("s"))
+    return rows.groupBy("doc_id").agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_list("s.text")), "|").alias("found"))
+
+
+def _re2(pattern: str, ok: str = "true") -> str:
+    return f"""WITH m AS (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '{pattern}')) AS s FROM documents)
+SELECT doc_id, count(*) AS n, string_agg(s, '|' ORDER BY s) AS found FROM m WHERE {ok} GROUP BY doc_id"""
+
+
+@query(_re2(r"(?i)\b[A-Z0-9._%+\-]+@[A-Z0-9.\-]+\.[A-Z]{2,}\b"))
+def pii_email(spark, d):
+    return _found(spark, d, "email")
+
+
+# the octets of the tables stand between blanks, so the guards need no lookaround
+@query(_re2(r"(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})"))
+def pii_ipv4(spark, d):
+    return _found(spark, d, "ipv4")
+
+
+LUHN_SQL = """list_sum(list_transform(range(1, len(g) + 1), lambda i: CASE WHEN (len(g) - i) % 2 = 0 THEN CAST(g[i] AS INT)
+  WHEN CAST(g[i] AS INT) > 4 THEN 2 * CAST(g[i] AS INT) - 9 ELSE 2 * CAST(g[i] AS INT) END)) % 10 = 0"""
+
+
+@query()
+def pii_card_luhn(spark, d):
+    return _found(spark, d, "credit_card")
+
+
+@query()
+def pii_phone(spark, d):
+    return _found(spark, d, "phone_e164")
+
+
+@query()
+def pii_category_counts(spark, d):
+    out = redact.redact_text(F.col("text"))["counts"]
+    rows = table(spark, d, "documents").select(F.explode(out).alias("category", "n"))
+    return rows.groupBy("category").agg(F.sum("n").cast("long").alias("n"))
+
+
+@query("""SELECT doc_id, regexp_replace(coalesce(text, ''), '(?i)\\b[A-Z0-9._%+\\-]+@[A-Z0-9.\\-]+\\.[A-Z]{2,}\\b', '[EMAIL_1]', 'g') AS redacted FROM documents
+WHERE len(list_distinct(regexp_extract_all(coalesce(text, ''), '(?i)\\b[A-Z0-9._%+\\-]+@[A-Z0-9.\\-]+\\.[A-Z]{2,}\\b'))) = 1""")
+def redact_docs(spark, d):
+    out = redact.redact_text(F.col("text"), _rule("email"))
+    return table(spark, d, "documents").select("doc_id", out.alias("r")).where("element_at(r.counts, 'EMAIL') = 1").select("doc_id", F.col("r.text").alias("redacted"))
+
+
+@query()
+def leak_gate(spark, d):
+    narrow = redact.redact_text(F.col("text"), _rule("email"))["text"]
+    rows = table(spark, d, "documents").select("doc_id", redact.leaks(narrow).alias("l")).where(F.size("l") > 0)
+    return rows.select("doc_id", F.size("l").cast("long").alias("n_leaks"), F.array_join(F.array_sort(F.array_distinct(F.transform("l", lambda s: s["category"]))), ",").alias("categories"))
+
+
+@query("SELECT doc_id, substr(sha256('3:' || CAST(doc_id AS VARCHAR)), 1, 16) AS audit_hash FROM documents WHERE substr(sha256('3:' || CAST(doc_id AS VARCHAR)), 1, 16) < '4000000000000000'")
+def audit_sample(spark, d):
+    return redact.audit_sample(table(spark, d, "documents"), "doc_id", 0.25, 3).select("doc_id", "audit_hash")
+
+
+VERHOEFF_ORACLE = f"""
+WITH RECURSIVE k AS (SELECT c_custkey, CAST(200000000000 + c_custkey * 7919 AS VARCHAR) AS s FROM customer),
+tabs AS (SELECT {[list(r) for r in checks.VERHOEFF_D]} AS d, {[list(r) for r in checks.VERHOEFF_P]} AS p),
+w AS (SELECT c_custkey, s, 0 AS i, 0 AS c FROM k UNION ALL
+      SELECT c_custkey, s, i + 1, d[c + 1][p[i % 8 + 1][CAST(substr(s, 12 - i, 1) AS INT) + 1] + 1] FROM w, tabs WHERE i < 12)
+SELECT c_custkey, c = 0 AS valid FROM w WHERE i = 12"""
+
+
+@query(VERHOEFF_ORACLE)
+def aadhaar_valid(spark, d):
+    number = (F.lit(200000000000) + F.col("c_custkey") * 7919).cast("string")
+    return table(spark, d, "customer").select("c_custkey", checks.aadhaar_valid(number).alias("valid"))
+
+
+PAN_TEXT = "concat('ABC', chr(65 + CAST(c_custkey % 26 AS INT)), 'E', lpad(CAST(c_custkey % 10000 AS VARCHAR), 4, '0'), 'F')"
+
+
+@query(f"SELECT c_custkey, regexp_full_match({PAN_TEXT}, '[A-Z]{{3}}[PFCATBLJGH][A-Z][0-9]{{4}}[A-Z]') AS valid FROM customer")
+def pan_valid(spark, d):
+    text = F.concat(F.lit("ABC"), F.char(F.lit(65) + F.col("c_custkey") % 26), F.lit("E"), F.lpad((F.col("c_custkey") % 10000).cast("string"), 4, "0"), F.lit("F"))
+    return table(spark, d, "customer").select("c_custkey", checks.pan_valid(text).alias("valid"))
+
+
+@query("SELECT c_custkey, 'PERSON:' || c_name || '|' || 'PHONE:98' || lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS found FROM customer")
+def field_rules(spark, d):
+    text = F.concat(F.lit("Name: "), F.col("c_name"), F.lit(", Mobile = 98"), F.lpad(F.col("c_custkey").cast("string"), 8, "0"), F.lit("; end"))
+    spans = redact.resolve(redact.detect_all(text, FIELDS))
+    return table(spark, d, "customer").select("c_custkey", F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["category"], s["text"])), "|").alias("found"))
+
+
+@query("SELECT lang, language, count(*) AS n FROM (SELECT lang, 'en' AS language FROM documents) GROUP BY ALL")
+def language_script(spark, d):
+    return table(spark, d, "documents").select("lang", redact.detect_language(F.col("text")).alias("language")).groupBy("lang", "language").agg(F.count("*").alias("n"))
+
+
+# ---- validation -------------------------------------------------------------------
+REGISTRY = {"view": {"required": ["k", "page"], "properties": {"k": "string", "page": "string"}}, "buy": {"required": [], "properties": {}}}
+
+
+def _flat(spark, d):
+    return validate.calls_and_results(t2(spark, d))
+
+
+@query(f"WITH {T2} SELECT sid AS session_id, pos AS event_pos, tool AS detail FROM t2 WHERE k = 'call' AND tool = 'click'")
+def unknown_tool(spark, d):
+    return validate.unknown_tools(_flat(spark, d)[0], validate.registry_frame(spark, REGISTRY)).select("session_id", "event_pos", "detail")
+
+
+@query(f"WITH {T2}, v AS (SELECT sid, pos FROM t2 WHERE k = 'call' AND tool = 'view') SELECT sid AS session_id, pos AS event_pos, 'missing page' AS detail FROM v UNION ALL SELECT sid, pos, 'k: expected string, got integer' FROM v")
+def arg_schema(spark, d):
+    return validate.arg_schema(_flat(spark, d)[0], validate.registry_frame(spark, REGISTRY)).select("session_id", "event_pos", "detail")
+
+
+@query(f"WITH {T2} SELECT sid AS session_id, pos AS event_pos, 'cnone' AS detail FROM t2 WHERE k IN ('ok', 'err') AND call_ev IS NULL")
+def dangling_results(spark, d):
+    return validate.dangling_results(*_flat(spark, d)).select("session_id", "event_pos", "detail")
+
+
+@query(f"WITH {T2} SELECT sid AS session_id, pos AS event_pos, tool || '/other' AS detail FROM t2 WHERE k = 'ok' AND call_ev IS NOT NULL")
+def name_mismatch(spark, d):
+    made, results = _flat(spark, d)
+    results = results.withColumn("name", F.when(~F.col("is_error"), "other").otherwise(F.col("name")))
+    return validate.name_mismatches(made, results).select("session_id", "event_pos", "detail")
+
+
+@query(f"WITH {T2} SELECT sid AS session_id, 'c' || event_id AS detail FROM t2 a WHERE k = 'call' AND NOT EXISTS (SELECT 1 FROM t2 b WHERE b.sid = a.sid AND b.k IN ('ok', 'err') AND b.call_ev = a.event_id)")
+def unresolved_calls(spark, d):
+    return validate.unresolved_calls(*_flat(spark, d)).select("session_id", "detail")
+
+
+CONTRA = f"""WITH {T2}, x AS (SELECT sid, pos, k, said, max(pos) FILTER (k IN ('ok', 'err')) OVER w AS rp, max(pos) FILTER (k = 'say') OVER w AS sp,
+  last_value(CASE WHEN k IN ('ok', 'err') THEN k END IGNORE NULLS) OVER w AS r FROM t2 WINDOW w AS (PARTITION BY sid ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+SELECT sid AS session_id, pos AS event_pos, CASE WHEN r = 'err' THEN 'claims success' ELSE 'claims failure' END AS detail FROM x
+WHERE k = 'say' AND rp > coalesce(sp, -1) AND ((r = 'err' AND said = 'I found the page') OR (r = 'ok' AND said = 'It failed'))"""
+
+
+@query(CONTRA)
+def contradictions(spark, d):
+    return validate.contradictions(t2(spark, d)).select("session_id", "event_pos", "detail")
+
+
+@query(f"""WITH {T2}, con AS ({CONTRA}), v AS (SELECT count(*) FILTER (tool = 'view' AND k = 'call') AS views, count(*) FILTER (tool = 'click' AND k = 'call') AS clicks, count(*) FILTER (k IN ('ok', 'err') AND call_ev IS NULL) AS dang FROM t2),
+u AS (SELECT count(*) AS n FROM t2 a WHERE k = 'call' AND NOT EXISTS (SELECT 1 FROM t2 b WHERE b.sid = a.sid AND b.k IN ('ok', 'err') AND b.call_ev = a.event_id))
+SELECT * FROM (SELECT 'error' AS severity, 'UNKNOWN_TOOL' AS code, clicks AS n FROM v UNION ALL SELECT 'error', 'ARG_SCHEMA', 2 * views FROM v UNION ALL SELECT 'error', 'DANGLING_RESULT', dang FROM v
+UNION ALL SELECT 'warning', 'UNRESOLVED_CALL', n FROM u UNION ALL SELECT 'warning', 'OBSERVATION_CONTRADICTION', (SELECT count(*) FROM con)) WHERE n > 0""")
+def issue_histogram(spark, d):
+    return validate.histogram(validate.validate(t2(spark, d), validate.registry_frame(spark, REGISTRY)))
+
+
+@query(f"WITH {T2} SELECT sid AS session_id FROM s2 WHERE dang = 0")
+def valid_sessions(spark, d):
+    t = t2(spark, d)
+    return validate.without_errors(t, validate.dangling_results(*validate.calls_and_results(t))).select("session_id")
+
+
+# ---- duplicates and leakage ---------------------------------------------------------
+@query("SELECT h AS fingerprint, count(*) AS n FROM (SELECT sha256(string_agg(lower(regexp_replace(coalesce(text, ''), '^\\s+|\\s+$', '', 'g')) || chr(0), '' ORDER BY turn)) AS h FROM conversations WHERE role = 'user' GROUP BY conv_id) GROUP BY h HAVING count(*) > 1")
+def fingerprint_dups(spark, d):
+    rows = t1(spark, d).where(F.exists("events", lambda e: e["kind"] == "user")).groupBy(tagging.fingerprint().alias("fingerprint")).agg(F.count("*").alias("n"))
+    return rows.where("n > 1")
+
+
+QUESTIONS = f"WITH {T1}, q AS (SELECT sid, lower(utext) AS t FROM s1 WHERE utext <> ''), g AS (SELECT DISTINCT sid, CASE WHEN length(t) <= 5 THEN t ELSE substr(t, i, 5) END AS s FROM (SELECT sid, t, unnest(range(1, greatest(length(t) - 4, 1) + 1)) AS i FROM q)), n AS (SELECT sid, count(*) AS n FROM g GROUP BY sid), b AS (SELECT x.sid AS ka, y.sid AS kb, count(*) AS c FROM g x JOIN g y ON x.s = y.s AND x.sid < y.sid GROUP BY ALL), p AS (SELECT ka, kb, c / (m.n + o.n - c) AS j FROM b JOIN n m ON m.sid = ka JOIN n o ON o.sid = kb)"
+
+
+def _questions(spark, d):
+    from lodestone.plans.schema import texts
+
+    return t1(spark, d).select("session_id", F.array_join(texts("user"), " ").alias("utext")).where("utext <> ''")
+
+
+@query(f"{QUESTIONS} SELECT ka AS key_a, kb AS key_b, round(j, 6) AS jaccard FROM p WHERE j >= 0.6")
+def near_dup_questions(spark, d):
+    return splits.near_duplicates(_questions(spark, d), "session_id", "utext", 0.6).select("key_a", "key_b", F.round("jaccard", 6).alias("jaccard"))
+
+
+@query()
+def near_dup_docs(spark, d):
+    return splits.near_duplicates(table(spark, d, "documents"), "doc_id", "text", 0.85)
+
+
+@query(f"{QUESTIONS}, sp AS (SELECT sid, CASE CAST(sid AS BIGINT) % 3 WHEN 0 THEN 'train' WHEN 1 THEN 'val' ELSE 'test' END AS s FROM q), w AS (SELECT least(a.s, b.s) AS split_a, greatest(a.s, b.s) AS split_b FROM p JOIN sp a ON a.sid = ka JOIN sp b ON b.sid = kb WHERE j >= 0.6 AND a.s <> b.s) SELECT split_a, split_b, count(*) AS n_pairs FROM w GROUP BY ALL")
+def split_leaks(spark, d):
+    q = _questions(spark, d)
+    n = F.col("session_id").cast("long") % 3
+    q = q.withColumn("split", F.when(n == 0, "train").when(n == 1, "val").otherwise("test"))
+    return splits.split_summary(splits.split_integrity(q, "session_id", "utext", threshold=0.6))
+
+
+@query("""WITH d AS (SELECT doc_id, ' ' || array_to_string(list_filter(regexp_split_to_array(lower(coalesce(text, '')), '\\s+'), lambda x: x <> ''), ' ') || ' ' AS t FROM documents),
+b AS (SELECT item_id, ' ' || array_to_string(list_filter(regexp_split_to_array(lower(coalesce(text, '')), '\\s+'), lambda x: x <> ''), ' ') || ' ' AS t FROM benchmark)
+SELECT d.doc_id AS doc, b.item_id AS item FROM d JOIN b ON contains(d.t, b.t)""")
+def benchmark_leaks(spark, d):
+    return splits.contained(table(spark, d, "benchmark"), table(spark, d, "documents"), "item_id", "text", "doc_id", "text")
+
+
+# ---- export -----------------------------------------------------------------------
+FOLD1 = f"{T1}, m1 AS (SELECT sid, pos, role, text FROM (SELECT *, lead(role) OVER (PARTITION BY sid ORDER BY pos) AS nxt FROM t1) WHERE role = 'user' OR (text <> '' AND coalesce(nxt, '') <> 'assistant'))"
+FOLD2 = f"""{T2}, m2 AS (SELECT sid, pos, k, tool, event_id, call_ev, props, CASE WHEN k = 'call' AND pk = 'say' THEN psaid WHEN k = 'say' THEN said WHEN k IN ('ok', 'err') THEN props END AS content
+FROM (SELECT *, lag(k) OVER w AS pk, lag(said) OVER w AS psaid, lead(k) OVER w AS nk FROM t2 WINDOW w AS (PARTITION BY sid ORDER BY pos)) WHERE k <> 'say' OR coalesce(nk, '') NOT IN ('say', 'call'))"""
+
+
+@query(f"WITH {FOLD2} SELECT sid AS session_id, count(*) AS n_messages, sha256(string_agg(CASE WHEN k IN ('ok', 'err') THEN 'tool' ELSE 'assistant' END || ':' || coalesce(content, '') || ':' || CASE WHEN k = 'call' THEN tool ELSE '' END, '|' ORDER BY pos)) AS digest FROM m2 GROUP BY sid")
+def sft_messages(spark, d):
+    m = sft.to_messages()
+    one = F.transform("m", lambda x: F.concat_ws(":", x["role"], F.coalesce(x["content"], F.lit("")), F.coalesce(F.get(x["tool_calls"], F.lit(0))["name"], F.lit(""))))
+    return t2(spark, d).select("session_id", m.alias("m")).select("session_id", F.size("m").cast("long").alias("n_messages"), F.sha2(F.array_join(one, "|"), 256).alias("digest"))
+
+
+@query(f"WITH {FOLD2}, w AS (SELECT sid, count(*) FILTER (k IN ('call', 'say')) AS a, count(*) FILTER (k = 'say') AS t, count(*) AS n FROM m2 GROUP BY sid) SELECT sid AS session_id, CAST(a AS DOUBLE) AS all_assistant, CAST(t AS DOUBLE) AS text_only FROM w WHERE n >= 2")
+def loss_weights(spark, d):
+    total = lambda p: F.aggregate(sft.loss_weights(F.col("m"), p), F.lit(0.0), lambda a, x: a + x)
+    rows = t2(spark, d).select("session_id", sft.to_messages().alias("m")).where(sft.valid_messages(F.col("m")))
+    return rows.select("session_id", total("assistant_only").alias("all_assistant"), total("assistant_text_only").alias("text_only"))
+
+
+def _template(name: str, call: str, tool: str, say: str) -> None:
+    """A render query over T2 (hash of the rendered text) and its oracle."""
+
+    def run(spark, d):
+        return t2(spark, d).select("session_id", F.sha2(sft.render(sft.to_messages(), name), 256).alias("digest"))
+
+    QUERIES[f"render_{name}"] = run
+    ORACLES[f"render_{name}"] = f"WITH {FOLD2} SELECT sid AS session_id, sha256(string_agg(CASE WHEN k = 'call' THEN {call} WHEN k = 'say' THEN {say} ELSE {tool} END, '' ORDER BY pos)) AS digest FROM m2 GROUP BY sid"
+
+
+_NL = "chr(10)"
+_SAID = f"coalesce({_NL} || content, '')"
+_JSON = "'{{\"name\": \"' || tool || '\", \"{0}\": ' || props || '}}'"
+_template("chatml", f"'<|im_start|>assistant' || {_SAID} || {_NL} || '<tool_call>' || {_JSON.format('arguments')} || '</tool_call><|im_end|>' || {_NL}", f"'<|im_start|>tool' || {_NL} || content || '<|im_end|>' || {_NL}", f"'<|im_start|>assistant' || {_NL} || content || '<|im_end|>' || {_NL}")
+_H = "'<|start_header_id|>' || '{}' || '<|end_header_id|>'"
+_template("llama3", f"{_H.format('assistant')} || {_SAID} || {_NL} || '<|python_tag|>' || {_JSON.format('parameters')} || '<|eom_id|><|eot_id|>' || {_NL}", f"{_H.format('tool')} || {_NL} || content || '<|eot_id|>' || {_NL}", f"{_H.format('assistant')} || {_NL} || content || '<|eot_id|>' || {_NL}")
+_template("plain", f"'ASSISTANT:' || coalesce(' ' || content, '') || {_NL} || 'TOOL_CALL(' || tool || ', ' || props || ')' || {_NL}", f"'TOOL: TOOL_RESULT(' || content || ')' || {_NL}", f"'ASSISTANT: ' || content || {_NL}")
+_template("qwen", f"'<|im_start|>assistant' || {_SAID} || {_NL} || '<tool_call>' || {_NL} || {_JSON.format('arguments')} || {_NL} || '</tool_call><|im_end|>' || {_NL}", f"'<|im_start|>tool' || {_NL} || '<tool_response>' || {_NL} || content || {_NL} || '</tool_response><|im_end|>' || {_NL}", f"'<|im_start|>assistant' || {_NL} || content || '<|im_end|>' || {_NL}")
+_template("gemma", f"'<start_of_turn>model' || {_SAID} || {_NL} || '```tool_code' || {_NL} || {_JSON.format('args')} || {_NL} || '```<end_of_turn>' || {_NL}", f"'<start_of_turn>tool' || {_NL} || '```tool_result' || {_NL} || content || {_NL} || '```<end_of_turn>' || {_NL}", f"'<start_of_turn>model' || {_NL} || content || '<end_of_turn>' || {_NL}")
+_template("mistral", f"coalesce(' ' || content, '') || {_NL} || '[TOOL_CALLS] [' || {_JSON.format('arguments')} || ']</s>' || {_NL}", f"'[TOOL_RESULTS] {{\"content\": \"' || replace(content, '\"', '\\\"') || '\", \"call_id\": \"c' || coalesce(CAST(call_ev AS VARCHAR), 'none') || '\"}} [/TOOL_RESULTS]' || {_NL}", f"content || '</s>' || {_NL}")
+
+
+@query(f"WITH {FOLD1}, r AS (SELECT sid, string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), '' ORDER BY pos) AS t, count(*) AS n FROM m1 GROUP BY sid), k AS (SELECT CAST(trunc(len(regexp_extract_all(t, '\\S+')) * CAST(1.3 AS DOUBLE)) AS BIGINT) AS tok FROM r) SELECT count(*) AS n_records, count(*) FILTER (tok > 120) AS n_failed, count(*) FILTER (tok > 120) AS n_overflow, max(tok) AS max_tokens FROM k")
+def dryrun_report(spark, d):
+    rows = t1(spark, d).select("session_id", sft.to_messages().alias("messages"))
+    return sft.dry_run_report(sft.dry_run(rows, "chatml", 120))
+
+
+@query(f"WITH {FOLD1}, u AS (SELECT sid, min(pos) FILTER (role = 'user') AS p FROM t1 GROUP BY sid) SELECT u.sid AS session_id, (SELECT count(*) FROM m1 WHERE m1.sid = u.sid AND m1.pos <= u.p) AS n_prompt FROM u WHERE p IS NOT NULL")
+def dpo_feedback(spark, d):
+    first = F.filter("events", lambda e: e["kind"] == "user")[0]["event_id"]
+    tags = F.to_json(F.struct(F.array(F.struct(first.alias("prompt_event_id"), F.lit("yes").alias("chosen"), F.lit("no").alias("rejected"))).alias("feedback_pairs")))
+    rows = t1(spark, d).where(F.exists("events", lambda e: e["kind"] == "user")).withColumn("tags", tags)
+    return pairs.from_feedback(rows).select("session_id", F.size("prompt").cast("long").alias("n_prompt"))
+
+
+@query(f"""WITH {FOLD2}, f AS (SELECT sid, pos AS i, event_id AS fe, (SELECT min(c.pos) FROM t2 c WHERE c.sid = t.sid AND c.pos > t.pos AND c.k = 'call') AS c FROM t2 t WHERE k = 'err'),
+h AS (SELECT f.*, (SELECT min(a.pos) FROM t2 a WHERE a.sid = f.sid AND a.k = 'say' AND a.pos > f.c AND
+   (SELECT arg_max(r.k, r.pos) FROM t2 r WHERE r.sid = f.sid AND r.k IN ('ok', 'err') AND r.pos > f.c AND r.pos < a.pos) = 'ok') AS p FROM f)
+SELECT h.sid AS session_id, h.fe || '|' || a.event_id AS detail, (SELECT count(*) FROM m2 WHERE m2.sid = h.sid AND m2.pos <= h.i) AS n_prompt FROM h JOIN t2 a ON a.sid = h.sid AND a.pos = h.p""")
+def dpo_failure_recovery(spark, d):
+    return pairs.from_recovery(t2(spark, d)).select("session_id", "detail", F.size("prompt").cast("long").alias("n_prompt"))
+
+
+@query(f"""WITH {T2}, o AS (SELECT sid, user_id, user_id % 10 AS cl, errs % 2 = 0 AS win FROM a2), w AS (SELECT cl, arg_min(sid, user_id) FILTER (win) AS w, arg_min(sid, user_id) FILTER (NOT win) AS l FROM o GROUP BY cl)
+SELECT w AS session_id, 'lineage:' || cl || '|' || l AS detail FROM w WHERE w IS NOT NULL AND l IS NOT NULL AND EXISTS (SELECT 1 FROM t2 WHERE t2.sid = w.w)""")
+def dpo_real_pairs(spark, d):
+    uid = F.col("session_id").cast("long")
+    rows = t2(spark, d).withColumns({"lineage_id": (uid % 10).cast("string"), "uid": uid, "persona_score": F.when(F.size(tagging.errors()) % 2 == 0, 1.0).otherwise(0.0)})
+    return pairs.real_pairs(rows, "uid").select("session_id", "detail")
+
+
+PERSONA = persona.parse_persona(
+    """# Desk
+## Tone
+- Be short. [hard] [forbid: (?i)casino] [id: no-casino]
+- Name the page. [contains: page] [id: page]
+- Start with a capital. [regex: ^\\p{Lu}] [id: capital]
+"""
+)
+SAY_SQL = f"WITH {T2}, x AS (SELECT sid, string_agg(said, chr(10) ORDER BY pos) AS t FROM t2 WHERE k = 'say' GROUP BY sid)"
+
+
+@query(f"{SAY_SQL} SELECT s2.sid AS session_id, round((CAST(contains(lower(coalesce(t, '')), 'page') AS INT) + CAST(regexp_matches(coalesce(t, ''), '^\\p{{Lu}}') AS INT)) / 2.0, 6) AS score FROM s2 LEFT JOIN x USING (sid)")
+def persona_scores(spark, d):
+    return persona.score(t2(spark, d), PERSONA).select("session_id", F.round("persona_score", 6).alias("score"))
+
+
+@query(f"{SAY_SQL}, r AS (SELECT unnest(['no-casino|hard', 'page|soft', 'capital|soft']) AS detail) SELECT x.sid AS session_id, detail FROM x, r")
+def dpo_persona_violation(spark, d):
+    return pairs.persona_violation(persona.score(t2(spark, d), PERSONA), PERSONA).select("session_id", "detail")
+
+
+@query(f"WITH {T2} SELECT sid AS session_id, CASE WHEN tools >= 2 THEN 'wrong_tool_first' WHEN calls <= 2 THEN 'extra_tool_calls' ELSE 'redundant_call' END || '|' || calls || '|' || (calls + 2) AS detail FROM a2 WHERE calls >= 1 AND EXISTS (SELECT 1 FROM t2 WHERE t2.sid = a2.sid AND k = 'say')")
+def dpo_inefficiency(spark, d):
+    return pairs.tool_inefficiency(t2(spark, d)).select("session_id", "detail")
+
+
+@query(f"{SAY_SQL}, z AS (SELECT (CAST(contains(lower(coalesce(t, '')), 'page') AS INT) + CAST(regexp_matches(coalesce(t, ''), '^\\p{{Lu}}') AS INT)) / 2.0 AS s FROM s2 LEFT JOIN x USING (sid)) SELECT count(*) FILTER (s >= 0.6) AS n_pass, count(*) FILTER (s < 0.6) AS n_fail FROM z")
+def persona_pass_counts(spark, d):
+    return persona.pass_counts(persona.score(t2(spark, d), PERSONA))
+
+
+# ---- evaluation -------------------------------------------------------------------
+# an evaluation suite from events: gold call = the event; the student errs on some ids
+def _suite(spark, d):
+    e = table(spark, d, "events")
+    one = lambda name, args: F.array(F.struct(name.alias("name"), args.alias("arguments")))
+    pid = F.col("event_id").cast("string").alias("prompt_id")
+    words = lambda n: F.concat_ws(" ", F.lit("the"), F.col("event_type"), F.lit("was"), F.when(F.col("event_id") % n == 0, "lost").otherwise("seen"))
+    suite = e.select(pid, F.col("event_type").alias("edge_case_category"), one(F.col("event_type"), F.col("props")).alias("gold_tool_calls"), F.concat_ws(" ", F.lit("the"), F.col("event_type"), F.lit("was"), F.lit("seen")).alias("gold_text"), F.lit(1.0).alias("gold_success"))
+
+    def outputs(n: int, m: int, slow: float):
+        name = F.when(F.col("event_id") % n == 0, "none").otherwise(F.col("event_type"))
+        args = F.when(F.col("event_id") % m == 0, '{"x": 1}').otherwise(F.col("props"))
+        return e.where(F.col("event_id") % 11 != 0).select(pid, one(name, args).alias("tool_calls"), words(n).alias("text"), F.lit(1.0).alias("persona_score"), (F.abs("value") * slow).alias("latency_ms"), F.when(F.col("event_id") % m == 0, 0.0).otherwise(1.0).alias("success"))
+
+    return suite, outputs(7, 5, 1.0), outputs(13, 17, 2.0)
+
+
+def _side(n, m):
+    return f"(SELECT avg(CASE WHEN event_id % {n} = 0 THEN 0.0 ELSE 1.0 END) AS nm, avg(CASE WHEN event_id % {n} = 0 OR event_id % {m} = 0 THEN 0.0 ELSE 1.0 END) AS ar, avg(CASE WHEN event_id % {m} = 0 THEN 0.0 ELSE 1.0 END) AS fr, avg(CASE WHEN event_id % {n} = 0 THEN 0.75 ELSE 1.0 END) AS tx FROM events WHERE event_id % 11 <> 0)"
+
+
+@query(f"""SELECT metric, round(t, 6) AS teacher, round(s, 6) AS student, round(s - t, 6) AS delta, s - t < -0.05 AS regressed FROM (
+SELECT 'tool_name_accuracy' AS metric, t.nm AS t, s.nm AS s FROM {_side(13, 17)} t, {_side(7, 5)} s UNION ALL SELECT 'arg_exact_match', t.ar, s.ar FROM {_side(13, 17)} t, {_side(7, 5)} s
+UNION ALL SELECT 'arg_field_recall', t.fr, s.fr FROM {_side(13, 17)} t, {_side(7, 5)} s UNION ALL SELECT 'schema_validity', 1.0, 1.0 UNION ALL SELECT 'text_f1', t.tx, s.tx FROM {_side(13, 17)} t, {_side(7, 5)} s)""")
+def compare_outputs(spark, d):
+    suite, student, teacher = _suite(spark, d)
+    out = evaluate.compare_outputs(suite, student, teacher)
+    return out.select("metric", *[F.round(c, 6).alias(c) for c in ("teacher", "student", "delta")], "regressed")
+
+
+@query(f"SELECT round(nm, 6) AS tool_name_accuracy, round(ar, 6) AS arg_exact_match, round(fr, 6) AS arg_field_recall FROM {_side(7, 5)}")
+def tool_use_metrics(spark, d):
+    suite, student, _ = _suite(spark, d)
+    return evaluate.tool_use(evaluate.scored(suite, student)).select(*[F.round(c, 6).alias(c) for c in ("tool_name_accuracy", "arg_exact_match", "arg_field_recall")])
+
+
+@query("SELECT CAST(event_id AS VARCHAR) AS prompt_id, CAST(CASE WHEN event_id % 7 = 0 THEN 0.75 ELSE 1.0 END AS DOUBLE) AS f1 FROM events WHERE event_id % 11 <> 0")
+def text_f1(spark, d):
+    suite, student, _ = _suite(spark, d)
+    return evaluate.scored(suite, student).select("prompt_id", F.round("m_text", 6).alias("f1"))
+
+
+def _cat(m, slow):
+    return f"SELECT event_type, avg(CASE WHEN event_id % {m} = 0 THEN 0.0 ELSE 1.0 END) AS su, quantile_cont(abs(value) * {slow}, 0.95) AS p FROM events WHERE event_id % 11 <> 0 GROUP BY 1"
+
+
+CATS = f"c AS (SELECT event_type, count(*) AS n FROM events GROUP BY 1), t AS ({_cat(17, '2.0::DOUBLE')}), s AS ({_cat(5, '1.0::DOUBLE')})"
+
+
+@query(f"WITH {CATS} SELECT c.event_type AS category, n AS n_prompts, round(t.su, 6) AS teacher_success, round(s.su, 6) AS student_success, round(t.p, 6) AS teacher_p95, round(s.p, 6) AS student_p95 FROM c JOIN t USING (event_type) JOIN s USING (event_type)")
+def replacement_by_category(spark, d):
+    out = evaluate.by_category(*_suite(spark, d))
+    names = {"teacher_trajectory_success_rate": "teacher_success", "student_trajectory_success_rate": "student_success", "teacher_latency_p95_ms": "teacher_p95", "student_latency_p95_ms": "student_p95"}
+    return out.select("category", "n_prompts", *[F.round(k, 6).alias(v) for k, v in names.items()])
+
+
+@query(f"WITH {CATS}, r AS (SELECT event_type || '/trajectory_success_rate' AS x FROM t JOIN s USING (event_type) WHERE s.su / t.su < 0.95 UNION ALL SELECT event_type || '/latency_not_below_teacher' FROM t JOIN s USING (event_type) WHERE s.p > 0 AND s.p >= t.p UNION ALL SELECT event_type || '/latency_over_budget' FROM s WHERE p > 4000) SELECT count(*) = 0 AS accepted, coalesce(string_agg(x, chr(10) ORDER BY x), '') AS reasons FROM r")
+def replacement_verdict(spark, d):
+    return evaluate.verdict(evaluate.by_category(*_suite(spark, d)))
+
+
+@query("SELECT event_type, round(quantile_cont(CAST(value AS DOUBLE), 0.95), 6) AS p95 FROM events GROUP BY event_type")
+def latency_p95(spark, d):
+    return table(spark, d, "events").groupBy("event_type").agg(F.round(evaluate.percentile(F.col("value"), 0.95), 6).alias("p95"))
+
+
+# ---- seeds and generation -----------------------------------------------------------
+@query("""WITH u AS (SELECT label, unnest(range(1, 65)) AS d, unnest(embedding) AS x FROM embeddings), m AS (SELECT label, d, avg(CAST(x AS DOUBLE)) AS x FROM u GROUP BY ALL), n AS (SELECT label, sqrt(sum(x * x)) AS n FROM m GROUP BY label),
+e AS (SELECT vec_id, label, unnest(range(1, 65)) AS d, unnest(embedding) AS x FROM embeddings), s AS (SELECT e.vec_id, e.label, round(sum(CAST(e.x AS DOUBLE) * m.x / n.n), 9) AS c FROM e JOIN m USING (label, d) JOIN n USING (label) GROUP BY ALL)
+SELECT CAST(label AS VARCHAR) AS label, arg_min(vec_id, (-c, vec_id)) AS vec_id, count(*) AS cluster_size FROM s GROUP BY label""")
+def seed_representatives(spark, d):
+    rows = table(spark, d, "embeddings").select("vec_id", F.col("label").cast("string").alias("label"), F.col("embedding").cast("array<double>").alias("vector"), F.lpad(F.col("vec_id").cast("string"), 20, "0").alias("query"))
+    return seeds.representatives(rows).select("label", F.col("rep.vec_id").alias("vec_id"), "cluster_size")
+
+
+@query()
+def kmeans_seeds(spark, d):
+    rows = seeds.collect_questions(t1(spark, d)).withColumn("vector", seeds.hash_embed(F.col("query")))
+    return seeds.build_seeds(seeds.kmeans_cluster(rows, 8, 1)).select("seed_id", "query", long("cluster_id"), long("cluster_size"))
+
+
+@query()
+def greedy_seeds(spark, d):
+    rows = t1(spark, d).withColumn("domain", (F.xxhash64("session_id") % 64).cast("string"))
+    return seeds.extract(rows).select("seed_id", "query", long("cluster_id"), long("cluster_size"))
+
+
+@query(f"WITH {T1}, q AS (SELECT sid, text FROM (SELECT sid, text, row_number() OVER (PARTITION BY sid ORDER BY pos) AS r FROM t1 WHERE role = 'user' AND regexp_matches(text, '\\S')) WHERE r = 1) SELECT sid AS session_id, regexp_replace(text, '^\\s+|\\s+$', '', 'g') AS query FROM q WHERE length(regexp_replace(text, '^\\s+|\\s+$', '', 'g')) >= 3")
+def first_questions(spark, d):
+    return seeds.collect_questions(t1(spark, d)).select("session_id", "query")
+
+
+TOOLS = {"mandi_price": {"required": ["commodity"], "properties": {"commodity": "string", "market": "string"}}, "pest_reports": {"required": ["district"], "properties": {"district": "string", "days": "integer"}}, "weather_forecast": {"required": ["lat"], "properties": {"lat": "number", "days": "integer"}}}
+WORDS = ("price", "pest", "rain", "soil", "tea")
+
+
+@query("""SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN 'mandi_price' WHEN 1 THEN 'pest_reports' WHEN 2 THEN 'weather_forecast' ELSE 'mandi_price' END AS tool, 4 AS n_events FROM part""")
+def stub_generate(spark, d):
+    word = F.element_at(F.array(*[F.lit(w) for w in WORDS]), (F.col("p_partkey") % 5 + 1).cast("int"))
+    rows = table(spark, d, "part").select(F.col("p_partkey").cast("string").alias("seed_id"), F.concat(F.lit("what about "), word, F.lit("?")).alias("query"))
+    made, _ = generate.generate(rows, TOOLS, F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    return made.select(F.col("lineage_id").cast("long").alias("p_partkey"), F.get(calls(), F.lit(0))["name"].alias("tool"), F.size("events").alias("n_events"))
+
+
+_DRAW = "substr(sha256('4::' || 'view' || '::' || props || '::' || CAST(event_id AS VARCHAR) || '::' || '{0}'), 1, 15) < '{1}'"
+
+
+@query(f"SELECT event_id, CASE WHEN {_DRAW.format('TIMEOUT', '400000000000000')} THEN 'TIMEOUT' WHEN {_DRAW.format('NO_RESULTS', '800000000000000')} THEN 'NO_RESULTS' ELSE 'none' END AS mode FROM events")
+def failure_injection(spark, d):
+    mode = generate.injected_mode(F.lit("view"), F.col("props"), F.col("event_id"), {"view": {"TIMEOUT": 0.25, "NO_RESULTS": 0.5}}, 4)
+    return table(spark, d, "events").select("event_id", F.coalesce(mode, F.lit("none")).alias("mode"))
+
+
+# ---- records ------------------------------------------------------------------------
+@query("SELECT doc_id, CAST((row_number() OVER (ORDER BY doc_id) - 1) // 100 AS INT) AS shard FROM documents")
+def shard_assignment(spark, d):
+    return records.shard_ids(table(spark, d, "documents").select("doc_id"), ["doc_id"], 100)
+
+
+@query()
+def dataset_fingerprint(spark, d):
+    return records.fingerprint(table(spark, d, "documents"))
+
+
+@query("SELECT CAST(conv_id AS VARCHAR) AS session_id, 'generic_chat' AS source, count(*) FILTER (role IN ('user', 'assistant')) AS n_events FROM conversations GROUP BY conv_id")
+def ingest_generic(spark, d):
+    turns = table(spark, d, "conversations")
+    msg = F.struct("role", F.col("text").alias("content"))
+    rows = turns.groupBy("conv_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("turn", msg.alias("m")))), lambda x: x["m"]).alias("messages"))
+    lines = rows.select(F.to_json(F.struct(F.col("conv_id").cast("string").alias("session_id"), "messages")).alias("line"))
+    good, _ = adapters.normalize(lines.withColumn("raw", F.parse_json("line")), F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    return good.select("session_id", "source", F.size("events").cast("long").alias("n_events"))
+
+
+@query(f"WITH {T2} SELECT k AS kind, count(*) AS n FROM (SELECT CASE k WHEN 'call' THEN 'tool_call' WHEN 'say' THEN 'assistant' ELSE 'tool_result' END AS k FROM t2) GROUP BY k")
+def event_kinds(spark, d):
+    return exploded(t2(spark, d)).groupBy("kind").agg(F.count("*").alias("n"))

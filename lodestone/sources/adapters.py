@@ -43,7 +43,7 @@ def get(v: Column, path: str, kind: str = "string") -> Column:
 
 def text_of(v: Column, path: str) -> Column:
     """A value as text; objects and arrays as JSON, null as null."""
-    return F.coalesce(get(v, path), F.to_json(get(v, path, "variant")))
+    return F.coalesce(get(v, path), F.nullif(F.to_json(get(v, path, "variant")), F.lit("null")))
 
 
 def is_array(v: Column) -> Column:
