@@ -146,7 +146,7 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str]]]:
         if not skip and attrs and tag not in ("body", "article", "main"):
             skip = bool(names and SKIP_NAME.search(names)) or bool(SKIP_ROLE.search(attrs))
         step = tag
-        if attrs:
+        if attrs and tag != "body":  # a body's classes often name the single page
             classes = sorted(_name(CLASS, attrs).lower().split())
             if classes:
                 step += "." + ".".join(DIGITS.sub("#", c) for c in classes)
