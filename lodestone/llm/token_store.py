@@ -20,6 +20,7 @@ are ignored.
 
 from __future__ import annotations
 
+import gc
 import json
 import os
 import re
@@ -34,7 +35,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.scratch import new_path, parallelism
+from lodestone.llm.scratch import new_path, parallelism, text_batches
 
 #: content bytes after which a frame is closed; a longer document is a frame of its own
 FRAME_BYTES = 1 << 16
@@ -119,14 +120,14 @@ class Encoder:
                 out[i] = np.array(ids, dtype=self.kind).tobytes()
             else:
                 split[i] = t.lower().split()
-        words = set().union(*split.values()) if split else set()
+        words = set().union(*split.values())
         new = words.difference(self.known)
         if len(self.known) + len(new) > CACHE_WORDS:
             # the words learned first are the frequent ones
             self.known = dict(islice(self.known.items(), CACHE_WORDS // 4))
             new = words.difference(self.known)
         if new:
-            self._learn(sorted(new))
+            self._learn(list(new))
         get = self.known.__getitem__
         for i, w in split.items():
             out[i] = b"".join(map(get, w))
@@ -248,6 +249,7 @@ def _write(root: str, tokenizer: str, end_id: int, frame_bytes: int, level: int)
         from pyspark import TaskContext
 
         shard = TaskContext.get().partitionId()
+        gc.disable()  # millions of remembered strings and no cycles
         enc = encoder(tokenizer)
         tail = np.array([end_id], dtype=enc.kind).tobytes()
         fs = stream = writer = None
@@ -293,6 +295,7 @@ def write_tokens(docs: DataFrame, root: str, tokenizer: str, end_id: int = END_I
     Each entry has the number of ids before the shard as `start`.
     """
     spark = docs.sparkSession
+    text_batches(spark)
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     dealt = base.repartitionByRange(parallelism(spark), F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
     found = sorted(dealt.mapInPandas(_write(root, tokenizer, end_id, frame_bytes, level), MANIFEST).collect(), key=lambda r: r["shard"])
