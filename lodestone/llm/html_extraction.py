@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lodestone.llm.scratch import materialise
+from lodestone.llm.scratch import materialise, text_batches
 
 #: leading paths kept per host
 PATHS = 8
@@ -246,6 +246,7 @@ def _extract(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def extract_main_text(pages: DataFrame, broadcast_hosts: int = BROADCAST_HOSTS) -> DataFrame:
     """One row per page: page_id, url, text, n_chars."""
+    text_batches(pages.sparkSession)
     best = materialise(host_paths(pages), "paths")
     if best.count() <= broadcast_hosts:
         best = F.broadcast(best)

@@ -35,6 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from lodestone.llm.scratch import text_batches
 from lodestone.llm.wordhash import blocks, mix
 
 UND = "und"
@@ -314,7 +315,7 @@ def _predict(handle, full: bool):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = handle.value
         for pdf in frames:
-            for at, texts in blocks(pdf["text"], 1 << 19):
+            for at, texts in blocks(pdf["text"], 1 << 18):
                 rest = pdf.drop(columns="text").iloc[at : at + len(texts)]
                 mean = predict(model, texts) if model else np.zeros((len(texts), 1))
                 best, top = mean.argmax(axis=1), mean.max(axis=1)
@@ -330,6 +331,7 @@ def _predict(handle, full: bool):
 
 def identify(docs: DataFrame, model: Model | None, shares: bool = False) -> DataFrame:
     """One row per document: doc_id, held_out, lang_pred, score; with `shares` the mean marginals of all labels."""
+    text_batches(docs.sparkSession)
     handle = docs.sparkSession.sparkContext.broadcast(model)
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("string").alias("text"))
     schema = "doc_id long, held_out boolean, lang_pred string, score double" + (", shares map<string,double>" if shares else "")
@@ -338,6 +340,7 @@ def identify(docs: DataFrame, model: Model | None, shares: bool = False) -> Data
 
 def keep_known(docs: DataFrame, model: Model | None, min_score: float = MIN_SCORE) -> DataFrame:
     """The rows of `docs` whose language is known with `min_score` at least."""
+    text_batches(docs.sparkSession)
     handle = docs.sparkSession.sparkContext.broadcast(model)
     schema = docs.schema
 
@@ -345,7 +348,7 @@ def keep_known(docs: DataFrame, model: Model | None, min_score: float = MIN_SCOR
         for pdf in frames:
             keep = np.zeros(len(pdf), bool)
             text = pdf.iloc[:, schema.names.index("text")]
-            for at, texts in blocks(text, 1 << 19):
+            for at, texts in blocks(text, 1 << 18):
                 top = predict(model, texts).max(axis=1) if model else np.zeros(len(texts))
                 keep[at : at + len(texts)] = (top >= min_score) & np.array([has_letter(t) for t in texts], bool)
             yield pdf[keep]

@@ -46,6 +46,17 @@ def discard(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: rows of whole texts in one Arrow batch; bounds what a Python worker holds at once
+TEXT_ROWS = 2000
+
+
+def text_batches(spark: SparkSession) -> None:
+    """Keep the session's Arrow batches small enough for columns of whole texts."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key, "10000")) <= TEXT_ROWS:
+        spark.conf.set(key, str(TEXT_ROWS))
+
+
 def parallelism(spark: SparkSession) -> int:
     """Partitions for an exchange: the session's setting for its data size."""
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))

@@ -41,7 +41,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lodestone.llm.components import components
-from lodestone.llm.scratch import materialise
+from lodestone.llm.scratch import materialise, text_batches
 
 SHINGLE = 4
 SEED = 42
@@ -145,6 +145,7 @@ def _roots(docs: DataFrame, prints: DataFrame, list_limit: int) -> DataFrame:
 
 def simhash_components(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED, list_limit: int = LIST_LIMIT) -> DataFrame:
     """One row per document: doc_id, fingerprint (16 hex digits), component_id."""
+    text_batches(docs.sparkSession)
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     marked = materialise(base.mapInPandas(_fingerprint(shingle, seed), "doc_id long, fp long"), "prints")
     prints = materialise(marked.groupBy("fp").agg(F.min("doc_id").alias("low")), "distinct")
@@ -157,6 +158,7 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED, list_lim
 
     Ties (repeated doc_ids, or null ones) go to the smallest text hash.
     """
+    text_batches(docs.sparkSession)
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     base = base.withColumn("tkey", F.md5(F.coalesce("text", F.lit(""))))
     marked = materialise(base.mapInPandas(_fingerprint(shingle, seed), "doc_id long, tkey string, fp long"), "prints")

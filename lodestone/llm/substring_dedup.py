@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.llm import wordhash as wh
-from lodestone.llm.scratch import discard, materialise
+from lodestone.llm.scratch import discard, materialise, text_batches
 
 WINDOW = 35
 GRAM = 8
@@ -233,6 +233,7 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, kee
     """
     if not 1 <= gram <= window:
         raise ValueError("gram must lie between 1 and window")
+    text_batches(docs.sparkSession)
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     base = base.withColumn("tkey", F.xxhash64(F.coalesce("text", F.lit(""))))
     cut = materialise(base.mapInPandas(_cut(window, gram), PHRASES), "phrases")
