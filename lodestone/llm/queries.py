@@ -52,6 +52,40 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op10_source_mixing"] = op10_source_mixing
+# tables of up to 2**20 words are one shard, so a source's quota is its only stream's
+ORACLES["op10_source_mixing"] = r"""
+WITH d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+         md5('17:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS o, md5(coalesce(text, '')) AS tie FROM documents
+), b AS (SELECT CAST(greatest(1, least(256, sum(size) // 65536)) AS BIGINT) AS block, CAST(sum(size) AS BIGINT) AS total FROM d
+), s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS sz, CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS DOUBLE) AS w FROM d GROUP BY source
+), g AS (
+  SELECT s.*, total, CAST(greatest(ceil(sz / greatest(ceil(sz / block), 1)), 1) AS BIGINT) AS per, CAST(sz AS DOUBLE) * 3 AS cap FROM s, b
+), l AS (
+  SELECT *, CAST(ceil(sz / per) AS BIGINT) AS n,
+         (total - coalesce(sum(cap) OVER r, 0.0)) / (sum(w) OVER () - coalesce(sum(w) OVER r, 0.0)) AS level
+  FROM g WINDOW r AS (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), f AS (SELECT arg_min(level, cap / w) AS free FROM l WHERE NOT (level * w >= cap)
+), t AS (
+  SELECT l.*, CASE WHEN level * w >= cap THEN cap ELSE w * free END AS target FROM l, f
+), v AS (
+  SELECT *, CASE WHEN sz > 0 THEN target * n / sz ELSE 0.0 END AS vote FROM t
+), seats AS (
+  SELECT source, row_number() OVER (ORDER BY vote / (2 * k - 1) DESC, source NULLS LAST, k) AS r FROM (SELECT source, vote, unnest(range(1, 3 * n + 2)) AS k FROM v WHERE vote > 0)
+), q AS (
+  SELECT v.source, least(count(seats.r), 3 * any_value(v.n)) AS q FROM v LEFT JOIN seats
+    ON v.source IS NOT DISTINCT FROM seats.source AND seats.r <= (SELECT round(sum(vote)) FROM v) GROUP BY v.source
+), x AS (
+  SELECT d.*, v.sz, v.target, v.per, v.n, v.n // 2 AS u, q.q,
+         CAST(coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY o, tie ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS a
+  FROM d JOIN v ON d.source IS NOT DISTINCT FROM v.source JOIN q ON d.source IS NOT DISTINCT FROM q.source
+)
+SELECT doc_id, size, sz AS source_size, target, CAST(CASE WHEN size = 0 THEN 0 ELSE
+    ((((a + size) // per) * q + u) // n) * per + ((a + size) % per) * (((((a + size) // per) + 1) * q + u) // n - (((a + size) // per) * q + u) // n)
+    - ((((a // per) * q + u) // n) * per + (a % per) * (((a // per + 1) * q + u) // n - ((a // per) * q + u) // n)) END AS BIGINT) AS taken
+FROM x
+"""
 
 
 def tokenizer_path() -> str:
