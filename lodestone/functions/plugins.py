@@ -6,6 +6,7 @@ lazily and are shared by the worker's batches.  Data moves in Arrow batches.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable, Iterator
 from typing import Any
 
@@ -16,12 +17,11 @@ from pyspark.sql.functions import pandas_udf
 
 from lodestone.operators.redact import SPANS, none
 
-_MADE: dict[Any, Any] = {}
+_MADE: dict[str, Any] = {}
 
 
-def once(factory: Callable[[], Any]) -> Any:
-    """The factory's product, made once per process."""
-    key = (getattr(factory, "__module__", ""), getattr(factory, "__qualname__", id(factory)))
+def once(factory: Callable[[], Any], key: str) -> Any:
+    """The factory's product, made once per process for a key that the driver drew."""
     if key not in _MADE:
         _MADE[key] = factory()
     return _MADE[key]
@@ -38,16 +38,17 @@ def optional(module: str, make: Callable[[Any], Any]) -> Callable[[], Any | None
         except ImportError:
             return None
 
-    factory.__qualname__ = f"optional.{module}"
     return factory
 
 
 def pii_engine(factory: Callable[[], Callable[[str, str], Iterable[tuple[str, str, int, int]]] | None], order: int = 100) -> Callable[[Column, Column], Column]:
     """An engine (text, language) -> [(rule, category, start, end)] as a spans column; an engine of None finds nothing."""
 
+    key = uuid.uuid4().hex
+
     @pandas_udf("array<struct<rule:string,category:string,start:int,end:int>>")
     def find(text: pd.Series, lang: pd.Series) -> pd.Series:
-        engine = once(factory)
+        engine = once(factory, key)
         if engine is None:
             return pd.Series([[] for _ in text])
         return pd.Series([[{"rule": r, "category": c, "start": int(s), "end": int(e)} for r, c, s, e in engine(t or "", g)] for t, g in zip(text, lang, strict=True)])
@@ -70,9 +71,11 @@ def union_engines(*spans: Column) -> Column:
 def judge(factory: Callable[[], Callable[[str, str, str], float]]) -> Callable:
     """A judge (rule id, criterion, text) -> score for persona.score(); a failing call scores 0.5."""
 
+    key = uuid.uuid4().hex
+
     @pandas_udf("double")
     def run(rule: pd.Series, criterion: pd.Series, text: pd.Series) -> pd.Series:
-        model = once(factory)
+        model = once(factory, key)
 
         def one(r: str, c: str, t: str) -> float:
             try:
@@ -96,10 +99,11 @@ def backend(df: DataFrame, prompt: str, factory: Callable[[], Callable[[list[str
     """Adds a model's answers to a prompt column, batch by batch."""
     from pyspark.sql.types import StringType, StructField, StructType
 
+    key = uuid.uuid4().hex
     schema = StructType([*df.schema.fields, StructField(out, StringType())])
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = once(factory)
+        model = once(factory, key)
         for pdf in frames:
             yield pdf.assign(**{out: model(pdf[prompt].tolist())})
 
@@ -109,19 +113,24 @@ def backend(df: DataFrame, prompt: str, factory: Callable[[], Callable[[list[str
 def tool_hook(factory: Callable[[], Callable[[str, str], str]]) -> Callable[[Column, Column], Column]:
     """A hook (tool, arguments as JSON) -> content for generate.call_tools()."""
 
+    key = uuid.uuid4().hex
+
     @pandas_udf("string")
     def run(tool: pd.Series, args: pd.Series) -> pd.Series:
-        hook = once(factory)
+        hook = once(factory, key)
         return pd.Series([hook(t, a) for t, a in zip(tool, args, strict=True)])
 
     return lambda tool, args: run(tool, args)
 
 
-def render_with(template: Callable[[list[dict]], str]) -> Callable[[Column], Column]:
-    """A user's template over a list of message dicts, for templates that are not named ones."""
+def render_with(df: DataFrame, messages: str, template: Callable[[list[dict]], str], out: str = "text") -> DataFrame:
+    """Adds a user's rendering of a message column, for templates that are not named ones."""
+    from pyspark.sql.types import StringType, StructField, StructType
 
-    @pandas_udf("string")
-    def run(messages: pd.Series) -> pd.Series:
-        return pd.Series([template([dict(m) for m in ms]) for ms in messages])
+    schema = StructType([*df.schema.fields, StructField(out, StringType())])
 
-    return run
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            yield pdf.assign(**{out: [template([dict(m) for m in ms]) for ms in pdf[messages]]})
+
+    return df.mapInPandas(run, schema)

@@ -33,8 +33,9 @@ def test_engines_judges_hooks_and_templates(spark):
     assert generate.call_tools(calls, hook=plugins.tool_hook(lambda: lambda t, a: t + a)).first()["content"] == 'f{"a":1}'
     ans = plugins.backend(df, "t", lambda: lambda ps: [p.upper() for p in ps]).collect()
     assert {r["answer"] for r in ans} == {"CALL ASHA AT A@X.IO", "NONE"}
-    text = t.select(plugins.render_with(lambda ms: "/".join(m["role"] for m in ms))(sft.to_messages())).collect()
-    assert text[2][0] == "user/assistant/assistant"
+    rows = t.select("session_id", F.transform(sft.to_messages(), lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content"))).alias("m"))
+    text = plugins.render_with(rows, "m", lambda ms: "/".join(m["role"] for m in ms)).orderBy("session_id").collect()
+    assert text[2]["text"] == "user/assistant/assistant"
 
 
 def test_rounds_end_when_all_are_finished(spark):
