@@ -181,16 +181,19 @@ def pii_ipv4(spark, d):
     return _found(spark, d, "ipv4")
 
 
+# digits of a match, most significant first
 LUHN_SQL = """list_sum(list_transform(range(1, len(g) + 1), lambda i: CASE WHEN (len(g) - i) % 2 = 0 THEN CAST(g[i] AS INT)
   WHEN CAST(g[i] AS INT) > 4 THEN 2 * CAST(g[i] AS INT) - 9 ELSE 2 * CAST(g[i] AS INT) END)) % 10 = 0"""
 
 
-@query()
+@query(f"""WITH m AS (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '\\b(?:[0-9][ -]?){{13,19}}[0-9]\\b')) AS s FROM documents),
+g AS (SELECT doc_id, s, string_split(regexp_replace(s, '[^0-9]', '', 'g'), '') AS g FROM m)
+SELECT doc_id, count(*) AS n, string_agg(s, '|' ORDER BY s) AS found FROM g WHERE len(g) BETWEEN 13 AND 19 AND {LUHN_SQL} GROUP BY doc_id""")
 def pii_card_luhn(spark, d):
     return _found(spark, d, "credit_card")
 
 
-@query()
+@query(_re2(r"\+[0-9]{1,3}[\s\-.]?(?:\(?[0-9]{1,4}\)?[\s\-.]?){1,4}[0-9]{2,4}"))
 def pii_phone(spark, d):
     return _found(spark, d, "phone_e164")
 
@@ -323,18 +326,26 @@ def fingerprint_dups(spark, d):
     return rows.where("n > 1")
 
 
-QUESTIONS = f"WITH {T1}, q AS (SELECT sid, lower(utext) AS t FROM s1 WHERE utext <> ''), g AS (SELECT DISTINCT sid, CASE WHEN length(t) <= 5 THEN t ELSE substr(t, i, 5) END AS s FROM (SELECT sid, t, unnest(range(1, greatest(length(t) - 4, 1) + 1)) AS i FROM q)), n AS (SELECT sid, count(*) AS n FROM g GROUP BY sid), b AS (SELECT x.sid AS ka, y.sid AS kb, count(*) AS c FROM g x JOIN g y ON x.s = y.s AND x.sid < y.sid GROUP BY ALL), p AS (SELECT ka, kb, c / (m.n + o.n - c) AS j FROM b JOIN n m ON m.sid = ka JOIN n o ON o.sid = kb)"
+def _jaccard_sql(rows: str) -> str:
+    """CTEs ending in p(ka, kb, j) over q(sid, t)."""
+    return f"{rows}, g AS (SELECT DISTINCT sid, CASE WHEN length(t) <= 5 THEN t ELSE substr(t, i, 5) END AS s FROM (SELECT sid, t, unnest(range(1, greatest(length(t) - 4, 1) + 1)) AS i FROM q)), n AS (SELECT sid, count(*) AS n FROM g GROUP BY sid), b AS (SELECT x.sid AS ka, y.sid AS kb, count(*) AS c FROM g x JOIN g y ON x.s = y.s AND x.sid < y.sid GROUP BY ALL), p AS (SELECT ka, kb, c / (m.n + o.n - c) AS j FROM b JOIN n m ON m.sid = ka JOIN n o ON o.sid = kb)"
 
 
-def _questions(spark, d):
-    from lodestone.plans.schema import texts
-
-    return t1(spark, d).select("session_id", F.array_join(texts("user"), " ").alias("utext")).where("utext <> ''")
+QUESTIONS = _jaccard_sql(f"WITH {T1}, q AS (SELECT sid, lower(utext) AS t FROM s1 WHERE utext <> '')")
+URLS = _jaccard_sql("WITH q AS (SELECT page_id AS sid, lower(url) AS t FROM pages WHERE url <> '')")
 
 
 @query(f"{QUESTIONS} SELECT ka AS key_a, kb AS key_b, round(j, 6) AS jaccard FROM p WHERE j >= 0.6")
 def near_dup_questions(spark, d):
-    return splits.near_duplicates(_questions(spark, d), "session_id", "utext", 0.6).select("key_a", "key_b", F.round("jaccard", 6).alias("jaccard"))
+    from lodestone.plans.schema import texts
+
+    rows = t1(spark, d).select("session_id", F.array_join(texts("user"), " ").alias("utext"))
+    return splits.near_duplicates(rows, "session_id", "utext", 0.6).select("key_a", "key_b", F.round("jaccard", 6).alias("jaccard"))
+
+
+@query(f"{URLS} SELECT ka AS key_a, kb AS key_b, round(j, 6) AS jaccard FROM p WHERE j >= 0.8")
+def near_dup_urls(spark, d):
+    return splits.near_duplicates(table(spark, d, "pages"), "page_id", "url", 0.8).select("key_a", "key_b", F.round("jaccard", 6).alias("jaccard"))
 
 
 @query()
@@ -342,12 +353,11 @@ def near_dup_docs(spark, d):
     return splits.near_duplicates(table(spark, d, "documents"), "doc_id", "text", 0.85)
 
 
-@query(f"{QUESTIONS}, sp AS (SELECT sid, CASE CAST(sid AS BIGINT) % 3 WHEN 0 THEN 'train' WHEN 1 THEN 'val' ELSE 'test' END AS s FROM q), w AS (SELECT least(a.s, b.s) AS split_a, greatest(a.s, b.s) AS split_b FROM p JOIN sp a ON a.sid = ka JOIN sp b ON b.sid = kb WHERE j >= 0.6 AND a.s <> b.s) SELECT split_a, split_b, count(*) AS n_pairs FROM w GROUP BY ALL")
+@query(f"{URLS}, sp AS (SELECT sid, CASE sid % 3 WHEN 0 THEN 'train' WHEN 1 THEN 'val' ELSE 'test' END AS s FROM q), w AS (SELECT least(a.s, b.s) AS split_a, greatest(a.s, b.s) AS split_b FROM p JOIN sp a ON a.sid = ka JOIN sp b ON b.sid = kb WHERE j >= 0.8 AND a.s <> b.s) SELECT split_a, split_b, count(*) AS n_pairs FROM w GROUP BY ALL")
 def split_leaks(spark, d):
-    q = _questions(spark, d)
-    n = F.col("session_id").cast("long") % 3
-    q = q.withColumn("split", F.when(n == 0, "train").when(n == 1, "val").otherwise("test"))
-    return splits.split_summary(splits.split_integrity(q, "session_id", "utext", threshold=0.6))
+    n = F.col("page_id") % 3
+    rows = table(spark, d, "pages").withColumn("split", F.when(n == 0, "train").when(n == 1, "val").otherwise("test"))
+    return splits.split_summary(splits.split_integrity(rows, "page_id", "url", threshold=0.8))
 
 
 @query("""WITH d AS (SELECT doc_id, ' ' || array_to_string(list_filter(regexp_split_to_array(lower(coalesce(text, '')), '\\s+'), lambda x: x <> ''), ' ') || ' ' AS t FROM documents),
