@@ -198,7 +198,7 @@ BUILT = "shard int, dim int, path string, n int"
 
 
 def _build(root: str, m: int, candidates: int):
-    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         dim, shard = int(key[0]), int(key[1])
         # the same order, hence the same graph, however rows arrive
         pdf = pdf.sort_values(["k1", "k2"], kind="stable")
@@ -230,7 +230,7 @@ def _load(path: str):
 
 
 def _search(k: int, ef: int):
-    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         graph, more = _load(key[0])
         raw, size, ids = more["raw"], more["size"], more["ids"]
         first = np.concatenate(([0], np.cumsum(size)))

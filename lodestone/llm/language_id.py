@@ -26,6 +26,7 @@ result.  The prediction looks at the text alone.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -47,6 +48,7 @@ TRI = 1 << 17
 AFFIX = 1 << 15
 LEXICON = 1 << 15
 CHUNK = 64
+ASCII_LETTER = re.compile(rb"[A-Za-z]")
 
 # byte classes after lower-casing: letters keep their byte, all else is 0
 _LOWER = np.zeros(256, np.uint8)
@@ -307,8 +309,8 @@ def fit(docs: DataFrame, docs_per_lang: int = DOCS_PER_LANG, words_per_doc: int
 
 
 def has_letter(text: bytes) -> bool:
-    t = text.decode("utf-8", "replace")
-    return any(map(str.isalpha, t))
+    """Whether a text holds a letter of any script."""
+    return bool(ASCII_LETTER.search(text)) or any(map(str.isalpha, text.decode("utf-8", "replace")))
 
 
 def _predict(handle, full: bool):
@@ -318,8 +320,11 @@ def _predict(handle, full: bool):
             for at, texts in blocks(pdf["text"], 1 << 18):
                 rest = pdf.drop(columns="text").iloc[at : at + len(texts)]
                 mean = predict(model, texts) if model else np.zeros((len(texts), 1))
+                if model:
+                    # letters that no feature covers leave every label equal
+                    mean[mean.max(axis=1) == 0] = 1 / len(model.labels)
                 best, top = mean.argmax(axis=1), mean.max(axis=1)
-                known = (top > 0) & np.array([has_letter(t) for t in texts], bool)
+                known = np.array([model is not None and has_letter(t) for t in texts], bool)
                 names = np.array(model.labels if model else [UND], dtype=object)
                 out = rest.assign(lang_pred=np.where(known, names[best], UND), score=np.where(known, np.minimum(top, 1.0), 0.0))
                 if full:

@@ -46,6 +46,12 @@ def discard(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def clear(spark: SparkSession) -> None:
+    """Delete all that operators left in the shared folder; call it once results are written elsewhere."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/lodestone")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 #: rows of whole texts in one Arrow batch; bounds what a Python worker holds at once
 TEXT_ROWS = 2000
 

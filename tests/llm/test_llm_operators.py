@@ -235,7 +235,7 @@ def labelled(n=90, seed=1):
 
 
 def test_language_id_accuracy_and_cases(spark):
-    rows = labelled() + [(500, None, "en"), (501, "123 !! …", None), (502, "the house and the tree das haus und der baum mit wasser aus diesem fluss", None), (503, LONG[:200] + " the water " * 20_000, "en")]
+    rows = labelled() + [(500, None, "en"), (501, "123 !! …", None), (502, "the house and the tree das haus und der baum mit wasser aus diesem fluss", None), (504, "ⱥ ⱥ", None), (503, LONG[:200] + " the water " * 20_000, "en")]
     df = docs(spark, rows, "doc_id long, text string, lang string", extra=True)
     model = language_id.fit(df)
     got = {x["doc_id"]: x for x in language_id.identify(df, model, shares=True).collect()}
@@ -245,6 +245,7 @@ def test_language_id_accuracy_and_cases(spark):
     assert np.mean([got[i]["lang_pred"] == lang[i] for i in held]) >= 0.95
     assert got[500]["lang_pred"] == got[501]["lang_pred"] == "und" and got[500]["score"] == 0
     assert got[502]["shares"]["de"] > 0.3 and got[502]["shares"]["en"] > 0.2 and all(0 <= x["score"] <= 1 for x in got.values())
+    assert got[504]["lang_pred"] == "de" and got[504]["score"] == pytest.approx(1 / 3)
     kept = language_id.keep_known(df, model)
     assert kept.columns == df.columns and {500, 501}.isdisjoint(x["doc_id"] for x in kept.select("doc_id").collect())
     none = language_id.fit(df.withColumn("lang", F.lit(None).cast("string")))
