@@ -31,11 +31,11 @@ def collect_questions(trajectories: DataFrame, min_chars: int = MIN_CHARS) -> Da
 def hash_embed(text: Column, dim: int = DIM, sizes: tuple[int, ...] = (3, 4, 5)) -> Column:
     """Unit vector of hashed character n-gram counts of the lower-cased text; all zero for a text without n-grams."""
 
-    def grams(t: Column) -> Column:
-        parts = [F.when(F.length(t) >= n, _grams(t, n)).otherwise(F.array().cast("array<string>")) for n in sizes]
+    def grams(c: Column) -> Column:
+        parts = [F.when(F.size(c) >= n, _grams(c, n)).otherwise(F.array().cast("array<string>")) for n in sizes]
         return F.transform(F.concat(*parts), lambda g: F.pmod(F.xxhash64(g), F.lit(dim)).cast("int"))
 
-    bins = F.transform(F.array(F.lower(F.coalesce(text, F.lit("")))), grams)[0]
+    bins = F.transform(F.array(F.split(F.lower(F.coalesce(text, F.lit(""))), "")), grams)[0]
 
     def vector(b: Column) -> Column:
         counts = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda k: F.size(F.filter(b, lambda x: x == k)).cast("double"))
@@ -49,8 +49,8 @@ def hash_embed(text: Column, dim: int = DIM, sizes: tuple[int, ...] = (3, 4, 5))
     return F.transform(F.array(bins), vector)[0]
 
 
-def _grams(t: Column, n: int) -> Column:
-    return F.transform(F.sequence(F.lit(1), F.length(t) - (n - 1)), lambda i: F.substring(t, i, n))
+def _grams(chars: Column, n: int) -> Column:
+    return F.transform(F.sequence(F.lit(0), F.size(chars) - n), lambda i: F.concat(*[chars[i + j] for j in range(n)]))
 
 
 def cosine(a: Column, b: Column) -> Column:

@@ -51,11 +51,12 @@ def shingles(text: Column, k: int = 5) -> Column:
     """Distinct character k-grams of lower-cased text; a shorter text is its own shingle, an empty one has none."""
     t = F.lower(F.coalesce(text, F.lit("")))
 
-    def grams(x: Column) -> Column:
-        at = F.sequence(F.lit(1), F.length(x) - (k - 1))
-        return F.when(x == "", F.array().cast("array<string>")).when(F.length(x) <= k, F.array(x)).otherwise(F.array_distinct(F.transform(at, lambda i: F.substring(x, i, k))))
+    # by array access: substring() would walk the text from its start for every gram
+    def grams(c: Column) -> Column:
+        at = F.sequence(F.lit(0), F.size(c) - k)
+        return F.when(F.size(c) <= k, F.array(F.array_join(c, ""))).otherwise(F.array_distinct(F.transform(at, lambda i: F.concat(*[c[i + j] for j in range(k)]))))
 
-    return F.transform(F.array(t), grams)[0]
+    return F.when(t == "", F.array().cast("array<string>")).otherwise(F.transform(F.array(F.split(t, "")), grams)[0])
 
 
 def jaccard(a: Column, b: Column) -> Column:
