@@ -2,8 +2,8 @@
 
 1. *Score.* Each page is read into blocks of text under a chain of structural
    containers.  A container scores its own paragraphs' text outside links plus
-   a share of its children's scores; article-like tags weigh more, boilerplate
-   containers nothing.
+   a share of its children's scores; article-like tags and containers that hold
+   the main heading weigh more, boilerplate containers nothing.
 2. *Vote.* A container's path is its chain of tag.class steps with digits
    generalised.  Pages vote for their best paths, and the votes are summed per
    host in Spark, pre-aggregated per batch, so a hot host costs no more than
@@ -40,6 +40,8 @@ PATHS = 8
 #: hosts whose paths may be broadcast (about 500 bytes each); beyond, a shuffle join
 BROADCAST_HOSTS = 100_000
 CHILD_SHARE = 0.6
+#: weight of article-like tags, and of a container that holds the main heading itself
+GOOD, HEADED = 2.0, 1.8
 
 # elements that hold other blocks and may be a container
 STRUCTURE = frozenset("body article main section div nav header footer aside form ul ol dl table tbody thead tr td th figure details dialog menu fieldset center".split())
@@ -70,11 +72,11 @@ DIGITS = re.compile(r"\d+")
 
 
 class Node:
-    __slots__ = ("tag", "path", "parent", "skip", "own", "link", "order")
+    __slots__ = ("tag", "path", "parent", "skip", "own", "link", "order", "headed")
 
     def __init__(self, tag: str, path: str, parent: Node | None, skip: bool, order: int):
         self.tag, self.path, self.parent, self.skip, self.order = tag, path, parent, skip, order
-        self.own, self.link = 0, 0
+        self.own, self.link, self.headed = 0, 0, False
 
 
 def _name(rx: re.Pattern, attrs: str) -> str:
@@ -90,6 +92,7 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str]]]:
     link = 0
     link_chars = 0
     mute = False  # inside a paragraph whose own name marks it as boilerplate
+    heading = False
 
     def flush() -> None:
         nonlocal link_chars
@@ -99,6 +102,7 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str]]]:
             if text and not mute:
                 node = stack[-1]
                 node.own += len(text)
+                node.headed = node.headed or heading
                 node.link += min(link_chars, len(text))
                 blocks.append((node, text))
         link_chars = 0
@@ -126,6 +130,7 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str]]]:
         flush()
         link = 0
         mute = False
+        heading = tag == "h1" and not closing
         if tag not in STRUCTURE:
             attrs = m["attrs"]
             mute = not closing and bool(attrs) and bool(SKIP_NAME.search(_name(CLASS, attrs) + " " + _name(IDENT, attrs)))
@@ -170,7 +175,8 @@ def scores(nodes: list[Node]) -> dict[str, float]:
     out: dict[str, float] = {}
     for n in nodes:
         if not n.skip and total[n.order] > 0:
-            out[n.path] = out.get(n.path, 0.0) + total[n.order] * (2.0 if n.tag in GOOD_TAGS else 1.0)
+            weight = (GOOD if n.tag in GOOD_TAGS else 1.0) * (HEADED if n.headed and n.tag != "body" else 1.0)
+            out[n.path] = out.get(n.path, 0.0) + total[n.order] * weight
     return out
 
 

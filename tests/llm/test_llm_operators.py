@@ -444,6 +444,15 @@ def test_html_extraction(spark):
     assert html_extraction.extract_main_text(d.limit(0)).count() == 0
 
 
+def test_html_main_heading_and_boilerplate():
+    body = "<p>" + "long text of the post " * 40 + "</p>"
+    text = "long text of the post " * 40
+    find = html_extraction.extract
+    assert find(f'<body><div class="logo"><h1>Site</h1></div><div class="post"><h1>Title</h1><div class="entry">{body}</div></div>', []) == "Title\n" + text.strip()
+    assert find(f'<body><div class="logo"><h1>Site</h1></div><div class="content">{body}</div><div class="sidebar">x</div>', []) == text.strip()
+    assert find(f'<main><h1>T</h1><article>{body}<section id="comments"><p>{"nice " * 300}</p></section></article><div role="complementary">y</div></main>', []) == "T\n" + text.strip()
+
+
 def test_html_on_the_table(spark, tiny):
     pages = spark.read.parquet(f"{tiny}/pages.parquet")
     got = {x["page_id"]: x["text"] for x in QUERIES["op7_html_extraction"](spark, tiny).collect()}
