@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.plans.schema import texts
+from lodestone.plans.schema import once, texts
 
 PASS_AT = 0.6
 TOOL_CALL_TEXT = r"(?is)<tool_call>.*?</tool_call>"
@@ -118,12 +118,12 @@ def score(trajectories: DataFrame, persona: Persona, forbidden: dict | None = No
 
     0 if a hard rule fails (a score under 0.5), else the mean of the soft rules, 1 without any.
     """
-    rows = trajectories.withColumn("assistant_text", assistant_text())
+    rows = once(trajectories, "assistant_text", assistant_text())
     results = [
         F.struct(F.lit(r.id).alias("rule"), F.lit(r.hard).alias("hard"), rule_score(r, F.col("assistant_text"), forbidden, judge).alias("score")) for r in persona.rules
     ]
     empty = F.array().cast("array<struct<rule:string,hard:boolean,score:double>>")
-    rows = rows.withColumn("rule_results", F.array(*results) if results else empty)
+    rows = once(rows, "rule_results", F.array(*results) if results else empty)
     soft = F.filter("rule_results", lambda r: ~r["hard"])
     mean = F.when(F.size(soft) > 0, F.aggregate(soft, F.lit(0.0), lambda a, r: a + r["score"]) / F.size(soft)).otherwise(1.0)
     rows = rows.withColumn("hard_pass", ~F.exists("rule_results", lambda r: r["hard"] & (r["score"] < 0.5)))

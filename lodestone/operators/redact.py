@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.functions.pii_rules import BUILTIN, FIELDS, INDIAN_IDS, SCRIPTS, Rule, check_of, without
-from lodestone.plans.schema import EVENT, EVENT_FIELDS
+from lodestone.plans.schema import EVENT, EVENT_FIELDS, once
 
 SPAN = "struct<start:int,less:int,ord:int,end:int,rule:string,category:string,text:string>"
 SPANS = f"array<{SPAN}>"
@@ -153,12 +153,12 @@ def _with_texts(e: Column, texts: Column) -> Column:
 def redact_trajectories(trajectories: DataFrame, rules: tuple[Rule, ...] = BUILTIN) -> DataFrame:
     """Events redacted with one memo per trajectory; adds pii_redacted, pii_counts, pii_leak_count, pii_leak_categories, leaks."""
     rows = trajectories.withColumn("_texts", F.transform("events", _field_texts))
-    rows = rows.withColumn("_spans", F.transform("_texts", lambda ts: F.transform(ts, lambda t: resolve(detect_all(t, rules)))))
+    rows = once(rows, "_spans", F.transform("_texts", lambda ts: F.transform(ts, lambda t: resolve(detect_all(t, rules)))))
     rows = rows.withColumn("_memo", _memo_with(no_memo(), F.flatten(F.flatten("_spans"))))
     spliced = F.zip_with("_texts", "_spans", lambda ts, ss: F.zip_with(ts, ss, lambda t, s: F.when(F.size(s) > 0, _splice(t, s, F.col("_memo"))).otherwise(t)))
-    rows = rows.withColumn("_new", spliced)
+    rows = once(rows, "_new", spliced)
     rows = rows.withColumn("events", F.zip_with("events", "_new", _with_texts).cast(f"array<{EVENT}>"))
-    rows = rows.withColumn("leaks", F.flatten(F.flatten(F.transform("_new", lambda ts: F.transform(ts, lambda t: leaks(t, rules))))))
+    rows = once(rows, "leaks", F.flatten(F.flatten(F.transform("_new", lambda ts: F.transform(ts, lambda t: leaks(t, rules))))))
     rows = rows.withColumns(
         {
             "pii_redacted": F.size("_memo") > 0,

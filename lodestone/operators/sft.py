@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.plans.schema import CALL, MESSAGE
+from lodestone.plans.schema import CALL, MESSAGE, once
 
 MESSAGES = f"array<{MESSAGE}>"
 NO_CALLS = f"array<{CALL}>"
@@ -86,7 +86,7 @@ def valid_messages(messages: Column) -> Column:
 
 def sft_records(trajectories: DataFrame, system_prompt: str | None = None, policy: str | None = "assistant_only") -> DataFrame:
     """messages and metadata of every valid trajectory; tags never replace the core metadata."""
-    rows = trajectories.withColumn("messages", to_messages("events", system_prompt)).where(valid_messages(F.col("messages")))
+    rows = once(trajectories, "messages", to_messages("events", system_prompt)).where(valid_messages(F.col("messages")))
     meta = F.struct("session_id", "domain", "source", "schema_version", "lineage_id", "tags", loss_weights(F.col("messages"), policy).alias("loss_weights"), F.lit(policy).alias("loss_policy"))
     return rows.select("messages", meta.alias("metadata"))
 

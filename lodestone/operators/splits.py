@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from lodestone.plans.schema import once
+
 SPLITS = ("train", "val", "test")
 
 
@@ -76,7 +78,8 @@ def near_duplicates(df: DataFrame, key: str, text: str, threshold: float = 0.85,
     what passes is verified on the shingles.  With `groups` only pairs of
     different groups count (a < b by group), else a < b by key.
     """
-    sets = df.select(F.col(key).alias("key"), *([F.col(groups).alias("grp")] if groups else []), shingles(F.col(text), k).alias("set")).where(F.size("set") > 0)
+    sets = df.select(F.col(key).alias("key"), *([F.col(groups).alias("grp")] if groups else []), F.col(text).alias("_text"))
+    sets = once(sets, "set", shingles(F.col("_text"), k)).drop("_text").where(F.size("set") > 0)
     sets = sets.withColumn("sid", F.xxhash64(F.array_sort("set")))
     distinct = sets.groupBy("sid").agg(F.first("set").alias("set"))
     tokens = distinct.select("sid", F.explode("set").alias("s")).withColumn("h", F.xxhash64("s"))

@@ -16,7 +16,7 @@ from lodestone.functions import checks
 from lodestone.functions.pii_rules import BUILTIN, FIELDS
 from lodestone.operators import evaluate, generate, pairs, persona, redact, seeds, sft, splits, tagging, validate
 from lodestone.plans import trajectories
-from lodestone.plans.schema import calls, exploded
+from lodestone.plans.schema import calls, exploded, once
 from lodestone.session import table
 from lodestone.sources import adapters, records
 
@@ -209,13 +209,13 @@ def pii_category_counts(spark, d):
 WHERE len(list_distinct(regexp_extract_all(coalesce(text, ''), '(?i)\\b[A-Z0-9._%+\\-]+@[A-Z0-9.\\-]+\\.[A-Z]{2,}\\b'))) = 1""")
 def redact_docs(spark, d):
     out = redact.redact_text(F.col("text"), _rule("email"))
-    return table(spark, d, "documents").select("doc_id", out.alias("r")).where("element_at(r.counts, 'EMAIL') = 1").select("doc_id", F.col("r.text").alias("redacted"))
+    return once(table(spark, d, "documents").select("doc_id", "text"), "r", out).where("element_at(r.counts, 'EMAIL') = 1").select("doc_id", F.col("r.text").alias("redacted"))
 
 
 @query()
 def leak_gate(spark, d):
     narrow = redact.redact_text(F.col("text"), _rule("email"))["text"]
-    rows = table(spark, d, "documents").select("doc_id", redact.leaks(narrow).alias("l")).where(F.size("l") > 0)
+    rows = once(table(spark, d, "documents").select("doc_id", narrow.alias("t")), "l", redact.leaks(F.col("t"))).where(F.size("l") > 0)
     return rows.select("doc_id", F.size("l").cast("long").alias("n_leaks"), F.array_join(F.array_sort(F.array_distinct(F.transform("l", lambda s: s["category"]))), ",").alias("categories"))
 
 
@@ -607,3 +607,74 @@ def ingest_generic(spark, d):
 @query(f"WITH {T2} SELECT k AS kind, count(*) AS n FROM (SELECT CASE k WHEN 'call' THEN 'tool_call' WHEN 'say' THEN 'assistant' ELSE 'tool_result' END AS k FROM t2) GROUP BY k")
 def event_kinds(spark, d):
     return exploded(t2(spark, d)).groupBy("kind").agg(F.count("*").alias("n"))
+
+
+# ---- raw records of several shapes ----------------------------------------------------
+def _raw(spark, d):
+    """Conversations as raw JSON lines: plain, with tool calls, with content blocks, and of no known shape, by conv_id."""
+    n = F.col("conv_id") % 4
+    call = F.array(F.struct(F.lit("c1").alias("id"), F.struct(F.lit("look").alias("name"), F.lit('{"q":1}').alias("arguments")).alias("function")))
+    plain = F.struct("role", F.col("text").alias("content"))
+    tools = F.struct("role", F.col("text").alias("content"), F.when(F.col("role") == "assistant", call).alias("tool_calls"))
+    block = F.struct("role", F.array(F.struct(F.lit("text").alias("type"), "text")).alias("content"))
+    rows = table(spark, d, "conversations").select("conv_id", "turn", *[x.alias(k) for k, x in (("p", plain), ("t", tools), ("b", block))])
+    rows = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "p", "t", "b"))).alias("m"))
+    sid = F.col("conv_id").cast("string").alias("session_id")
+    form = lambda k: F.to_json(F.struct(sid, F.transform("m", lambda x: x[k]).alias("messages")))
+    line = F.when(n == 0, form("p")).when(n == 1, form("t")).when(n == 2, form("b")).otherwise(F.to_json(F.struct(sid, F.lit(1).alias("other"))))
+    return rows.select("conv_id", line.alias("line")).withColumn("raw", F.parse_json("line"))
+
+
+BASE_TIME = "2024-01-01 00:00:00"
+SHAPES = "c AS (SELECT conv_id, conv_id % 4 AS n, count(*) FILTER (role = 'user') AS u, count(*) FILTER (role = 'assistant') AS a, count(*) FILTER (role = 'user' AND text <> '') AS ut, count(*) FILTER (role = 'assistant' AND text <> '') AS ta FROM conversations GROUP BY conv_id)"
+
+
+@query(f"WITH {SHAPES} SELECT conv_id, CASE WHEN n = 0 OR (n = 1 AND a = 0) THEN 'generic_chat' WHEN n = 1 THEN 'openai_chat' WHEN n = 2 THEN 'anthropic' END AS shape FROM c")
+def source_shapes(spark, d):
+    return _raw(spark, d).select("conv_id", adapters.detect_source(F.col("raw")).alias("shape"))
+
+
+@query(f"WITH {SHAPES} SELECT CAST(conv_id AS VARCHAR) AS session_id, CAST(CASE WHEN n = 0 OR (n = 1 AND a = 0) THEN u + a WHEN n = 1 THEN u + a + ta ELSE ut + ta END AS BIGINT) AS n_events FROM c WHERE n < 3")
+def ingest_mixed(spark, d):
+    good, _ = adapters.normalize(_raw(spark, d), F.lit(BASE_TIME).cast("timestamp"))
+    return good.select("session_id", F.size("events").cast("long").alias("n_events"))
+
+
+@query(f"WITH {SHAPES} SELECT 'no known record shape' AS error, count(*) AS n FROM c WHERE n = 3")
+def quarantine(spark, d):
+    _, bad = adapters.normalize(_raw(spark, d), F.lit(BASE_TIME).cast("timestamp"))
+    return bad.groupBy("error").agg(F.count("*").alias("n"))
+
+
+@query("SELECT c_custkey, CASE WHEN substr('PFCATBLJGHXYZQRS', CAST(c_custkey % 16 AS INT) + 1, 1) IN ('P','F','C','A','T','B','L','J','G','H') THEN 'GOV_ID_IN|' ELSE '' END || 'EMAIL' AS found FROM customer")
+def orchestrated_ids(spark, d):
+    kind = F.substring(F.lit("PFCATBLJGHXYZQRS"), (F.col("c_custkey") % 16 + 1).cast("int"), F.lit(1))
+    text = F.concat(F.lit("id ABC"), kind, F.lit("E1234F and a"), F.col("c_custkey").cast("string"), F.lit("@ex.org"))
+    return table(spark, d, "customer").select("c_custkey", F.array_join(F.transform(redact.orchestrated(text), lambda s: s["category"]), "|").alias("found"))
+
+
+@query(f"WITH {T2}, {SAY_SQL.removeprefix(f'WITH {T2}, ')}, v AS (SELECT count(*) AS n FROM x), i AS (SELECT count(*) AS n FROM a2 WHERE calls >= 1 AND EXISTS (SELECT 1 FROM x WHERE x.sid = a2.sid)) SELECT 'persona_violation' AS source, 3 * n AS n FROM v UNION ALL SELECT 'tool_inefficiency', n FROM i")
+def dpo_sources(spark, d):
+    rows = persona.score(t2(spark, d), PERSONA)
+    made = pairs.synthesise(rows, PERSONA, "session_id", sources=("persona_violation", "tool_inefficiency"))
+    return made.groupBy("source").agg(F.count("*").alias("n"))
+
+
+@query(f"SELECT CASE WHEN event_type NOT IN ('view', 'click') THEN 'INVALID_ARGS' WHEN event_type = 'view' THEN CASE WHEN {_DRAW.format('TIMEOUT', '400000000000000')} THEN 'TIMEOUT' ELSE 'none' END ELSE 'none' END AS mode, count(*) AS n FROM events GROUP BY 1")
+def mock_tools(spark, d):
+    rows = table(spark, d, "events").select(F.col("event_type").alias("tool"), F.col("props").alias("arguments"), F.col("event_id").alias("call_index"))
+    out = generate.call_tools(rows, {"view": {"required": ["k"]}, "click": {}}, {"view": {"TIMEOUT": 0.25}}, seed=4)
+    return out.groupBy(F.coalesce("failure_mode", F.lit("none")).alias("mode")).agg(F.count("*").alias("n"))
+
+
+@query("""WITH g AS (SELECT user_id, ts, CASE WHEN ts >= lag(ts) OVER w + INTERVAL 30 MINUTE THEN 1 WHEN lag(ts) OVER w IS NULL THEN 1 ELSE 0 END AS new FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+s AS (SELECT user_id, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS k FROM g) SELECT user_id, count(DISTINCT k) AS n_sessions FROM s GROUP BY user_id""")
+def session_windows(spark, d):
+    e = table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    return e.groupBy("user_id", F.session_window("ts", "30 minutes")).agg(F.count("*").alias("c")).groupBy("user_id").agg(F.count("*").alias("n_sessions"))
+
+
+@query("""SELECT r_name, n_name, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY r_name, n_name""")
+def strata_of_customers(spark, d):
+    c, n, r = (table(spark, d, t) for t in ("customer", "nation", "region"))
+    return c.join(n, F.col("c_nationkey") == F.col("n_nationkey")).join(r, F.col("n_regionkey") == F.col("r_regionkey")).groupBy("r_name", "n_name").agg(F.count("*").alias("n"))

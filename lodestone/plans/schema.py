@@ -57,6 +57,15 @@ def texts(kind: str, events: Column | str = "events") -> Column:
     return F.transform(of_kind(kind, events), lambda e: F.coalesce(e["content"], F.lit("")))
 
 
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Adds a costly column that is computed once per row.
+
+    A filter on a plain projected column is pushed below the projection and
+    repeats its expression; a generator's output holds it back.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def exploded(trajectories: DataFrame, *keep: str) -> DataFrame:
     """Flat layout: session_id, kept columns, pos, and the event's fields."""
     return trajectories.select("session_id", *keep, F.posexplode("events").alias("pos", "event")).select("session_id", *keep, "pos", "event.*")

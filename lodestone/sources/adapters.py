@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.plans.schema import CALL, EVENT, VERSION, event, no_events
+from lodestone.plans.schema import CALL, EVENT, VERSION, event, no_events, once
 
 _ADAPTERS: dict[str, Callable[[Column, Column], Column]] = {}
 
@@ -232,7 +232,7 @@ def normalize(records: DataFrame, base_time: Column, source: str | None = None)
         made = F.when(F.col("_kind") == name, events) if made is None else made.when(F.col("_kind") == name, events)
     lineage = lineage_id(raw)
     stamped = F.transform(made, lambda e: e.withField("lineage_id", F.coalesce(e["lineage_id"], lineage)))
-    rows = rows.withColumn("events", stamped)
+    rows = once(rows, "events", stamped)
     bad_kind = F.exists("events", lambda e: ~F.coalesce(e["kind"].isin("user", "assistant", "tool_call", "tool_result", "error"), F.lit(False)))
     no_call = F.exists("events", lambda e: (e["kind"] == "tool_call") & (F.coalesce(F.size(e["tool_calls"]), F.lit(0)) <= 0))
     error = (
