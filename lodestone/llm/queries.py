@@ -141,6 +141,14 @@ def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op7_html_extraction"] = op7_html_extraction
+# for pages that mark their article up as one element, as the tables' pages do
+ORACLES["op7_html_extraction"] = r"""
+WITH b AS (
+  SELECT page_id, url, list_filter(list_transform(regexp_split_to_array(regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1), '</?(?:p|h1)>'),
+    lambda x: trim(regexp_replace(replace(replace(replace(replace(regexp_replace(x, '<[^>]+>', ' ', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&'), '\s+', ' ', 'g'))), lambda x: x <> '') AS l FROM pages
+), t AS (SELECT page_id, url, coalesce(array_to_string(l, chr(10)), '') AS text FROM b)
+SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM t
+"""
 
 
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
