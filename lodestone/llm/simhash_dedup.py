@@ -114,7 +114,8 @@ def links(prints: DataFrame, list_limit: int = LIST_LIMIT) -> DataFrame:
     posted = prints.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in masks])).alias("place", "bytes"))
     posted = posted.withColumn("place", F.col("place").cast("byte"))
     size = posted.groupBy("place", "bytes").agg(F.count("*").alias("n")).where("n > 1")
-    met = posted.join(size, ["place", "bytes"])
+    # the same plan at every size: lists that meet are hashed where their postings are dealt, without a sort
+    met = posted.join(size.hint("shuffle_hash"), ["place", "bytes"])
     short = met.where(F.col("n") <= list_limit).groupBy("place", "bytes").agg(F.sort_array(F.collect_list("fp")).alias("l"))
     pairs = F.flatten(
         F.transform(
