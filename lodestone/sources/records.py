@@ -9,10 +9,12 @@ from __future__ import annotations
 import json
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from lodestone.operators.ranking import global_rank
+
 GLOB = "*.{jsonl,jsonl.gz}"
 
 
@@ -52,14 +54,10 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
 
 def write_jsonl(df: DataFrame, path: str, mode: str = "errorifexists", compress: bool = False) -> int:
     """JSON lines without null fields; returns the number of rows."""
-    seen = {}
-    from pyspark.sql import Observation
-
-    obs = Observation()
-    counted = df.observe(obs, F.count(F.lit(1)).alias("n"))
+    seen = Observation()
+    counted = df.observe(seen, F.count(F.lit(1)).alias("n"))
     counted.write.mode(mode).option("ignoreNullFields", True).option("compression", "gzip" if compress else "none").json(path)
-    seen.update(obs.get)
-    return int(seen["n"])
+    return int(seen.get["n"])
 
 
 def shard_ids(df: DataFrame, order: list[str], shard_size: int) -> DataFrame:
@@ -68,8 +66,6 @@ def shard_ids(df: DataFrame, order: list[str], shard_size: int) -> DataFrame:
     Ranks come from a range partitioning and per-partition counts, so no task
     holds more than its range.
     """
-    from lodestone.operators.ranking import global_rank
-
     return global_rank(df, order, "_rank").withColumn("shard", F.floor((F.col("_rank") - 1) / shard_size).cast("int")).drop("_rank")
 
 
