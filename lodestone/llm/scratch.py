@@ -8,7 +8,6 @@ driver's temporary folder, which local mode shares by nature.
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import uuid
 
@@ -36,9 +35,6 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    # the shuffle files behind the table go once the driver's garbage is collected
-    gc.collect()
-    spark._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
