@@ -8,6 +8,7 @@ driver's temporary folder, which local mode shares by nature.
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -46,6 +47,12 @@ def discard(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of shuffle files that no frame refers to any more; call it once the frames are deleted."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def clear(spark: SparkSession) -> None:
     """Delete all that operators left in the shared folder; call it once results are written elsewhere."""
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/lodestone")

@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.llm import wordhash as wh
-from lodestone.llm.scratch import discard, materialise, text_batches
+from lodestone.llm.scratch import discard, materialise, release, text_batches
 
 WINDOW = 35
 GRAM = 8
@@ -262,11 +262,15 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, kee
     # a repeated row asks twice for the same phrase, so count places, not rows
     place = F.struct("fp", "phrase", "off")
     source = seen.groupBy("h1", "h2").agg(F.min(place).alias("a"), F.max(place).alias("b"), F.min(F.struct("doc_id", "pos")).alias("src")).where("a <> b")
-    sources = (
+    sources = materialise(
         seen.join(source, ["h1", "h2"])
         .groupBy("fp", "phrase")
-        .agg(F.array_sort(F.collect_set(F.struct("off", F.col("src.doc_id").alias("doc_id"), F.col("src.pos").alias("pos")))).alias("sources"))
+        .agg(F.array_sort(F.collect_set(F.struct("off", F.col("src.doc_id").alias("doc_id"), F.col("src.pos").alias("pos")))).alias("sources")),
+        "sources",
     )
+    discard(seen)
+    del opened, asked, source, seen
+    release(docs.sparkSession)
     verdict = index.join(sources, ["fp", "phrase"], "left").where("copies > 1 OR sources IS NOT NULL")
     verdict = verdict.select(
         "fp",
