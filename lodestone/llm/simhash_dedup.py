@@ -36,7 +36,7 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -154,6 +154,21 @@ def simhash_components(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def row_key() -> Column:
+    """A row's text hash, which with its doc_id names it."""
+    return F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")))
+
+
+def keep_rows(docs: DataFrame, named: DataFrame) -> DataFrame:
+    """The rows of `docs` that are the smallest of their group; named: (row, root), row as (null id, doc_id, tkey)."""
+    keep = materialise(named.groupBy("root").agg(F.min("row").alias("row")).select(F.col("row.doc_id").alias("_keep_id"), F.col("row.tkey").alias("_keep_key")), "keep")
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col("doc_id").cast("long").alias("_id"), row_key().alias("_key"))
+    kept = packed.join(keep, (packed["_key"] == keep["_keep_key"]) & packed["_id"].eqNullSafe(keep["_keep_id"]))
+    # a row that is there twice, doc_id and text, stays once
+    kept = kept.withColumn("_n", F.row_number().over(W.partitionBy("_id", "_key").orderBy(F.lit(0)))).where("_n = 1")
+    return kept.select(*[F.col("_row")[c].alias(c) for c in docs.columns])
+
+
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED, list_limit: int = LIST_LIMIT) -> DataFrame:
     """The rows of `docs` without near copies: of each group, the row with the smallest doc_id stays.
 
@@ -161,14 +176,9 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED, list_lim
     """
     text_batches(docs.sparkSession)
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    base = base.withColumn("tkey", F.md5(F.coalesce("text", F.lit(""))))
+    base = base.withColumn("tkey", row_key())
     marked = materialise(base.mapInPandas(_fingerprint(shingle, seed), "doc_id long, tkey string, fp long"), "prints")
     prints = materialise(marked.groupBy("fp").agg(F.min("doc_id").alias("low"), F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("tkey"))).alias("row")), "distinct")
     root = components(links(prints.select("fp"), list_limit))
     named = prints.join(root, prints["fp"] == root["node"], "left").select("row", F.coalesce("root", "fp").alias("root"))
-    keep = materialise(named.groupBy("root").agg(F.min("row").alias("row")).select(F.col("row.doc_id").alias("_keep_id"), F.col("row.tkey").alias("_keep_key")), "keep")
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col("doc_id").cast("long").alias("_id"), F.md5(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("_key"))
-    kept = packed.join(keep, (packed["_key"] == keep["_keep_key"]) & packed["_id"].eqNullSafe(keep["_keep_id"]))
-    # a row that is there twice, doc_id and text, stays once
-    kept = kept.withColumn("_n", F.row_number().over(W.partitionBy("_id", "_key").orderBy(F.lit(0)))).where("_n = 1")
-    return kept.select(*[F.col("_row")[c].alias(c) for c in docs.columns])
+    return keep_rows(docs, named)

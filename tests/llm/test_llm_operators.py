@@ -109,6 +109,49 @@ def test_simhash_equals_brute_force(spark):
     assert simhash_dedup.simhash_components(docs(spark, [])).count() == 0
 
 
+def jaccard_groups(rows, k, least):
+    """Smallest id of each component of word k-gram Jaccard similarity `least`."""
+    sets = {}
+    for i, t in rows:
+        w = (t or "").encode().lower().split()
+        sets[i] = {tuple(w[j : j + k]) for j in range(max(len(w) - k + 1, 1))}
+    root = {i: i for i in sets}
+
+    def find(i):
+        return i if root[i] == i else find(root[i])
+
+    for a in sets:
+        for b in sets:
+            both = len(sets[a] & sets[b])
+            if a < b and both >= least * (len(sets[a]) + len(sets[b]) - both):
+                a2, b2 = find(a), find(b)
+                root[max(a2, b2)] = min(a2, b2)
+    return sorted({find(i) for i in sets})
+
+
+def test_near_copies_equal_brute_force(spark):
+    import corpus_pipeline
+
+    r = random.Random(8)
+    vocab = [f"v{i}" for i in range(400)] + ["ÉTÉ", "Alpha"]
+    rows = []
+    for g in range(25):
+        base = [r.choice(vocab) for _ in range(r.choice([2, 4, 5, 9, 60, 300]))]
+        for _ in range(6):
+            t = list(base)
+            for _ in range(int(len(t) * r.choice([0, 0.005, 0.012, 0.02, 0.03, 0.05]))):
+                t[r.randrange(len(t))] = r.choice(vocab)
+            rows.append((len(rows), " ".join(t)))
+    # a chain: ends are less alike than neighbours, and hold together through the middle
+    chain = [f"c{i}" for i in range(200)]
+    rows += [(500 + i, " ".join(chain[8 * i : 8 * i + 120])) for i in range(8)]
+    rows += [(600, None), (601, " "), (602, LONG), (603, LONG.upper()), (604, rows[3][1])]
+    want = jaccard_groups(rows, 5, 0.8)
+    kept = corpus_pipeline.drop_near_copies(spark, docs(spark, rows + [rows[0]], extra=True), "")
+    assert sorted(x["doc_id"] for x in kept.collect()) == want and "_row" in kept.columns
+    assert corpus_pipeline.drop_near_copies(spark, docs(spark, []), "").count() == 0
+
+
 @pytest.mark.parametrize("limit", [4, 64])
 def test_dense_lists_lose_no_link(spark, limit):
     r = random.Random(3)
