@@ -64,12 +64,16 @@ def letters(data: bytes) -> np.ndarray:
     raw = np.frombuffer(data, np.uint8)
     b = _LOWER[raw]
     if (raw >= 0x80).any():
-        # Latin-1 capitals follow 0xC3; 0xC2 and 0xE2 lead symbols and punctuation
+        # Latin-1 capitals follow 0xC3; 0xC2 and 0xE2 lead symbols and punctuation, and
+        # 0xE2 the scripts of U+2C00-2DFF (Latin Extended-C, part of Latin words, left out)
         after = np.flatnonzero(raw[:-1] == 0xC3) + 1
         x = raw[after]
         b[after] = np.where((x <= 0x9E) & (x != 0x97), x + 0x20, x)
         for lead, n in ((0xC2, 2), (0xE2, 3)):
             at = np.flatnonzero(raw == lead)
+            if lead == 0xE2:
+                x = raw[np.minimum(at + 1, len(raw) - 1)]
+                at = at[(x < 0xB0) | (x > 0xB7) | ((x == 0xB1) & (raw[np.minimum(at + 2, len(raw) - 1)] >= 0xA0))]
             for k in range(n):
                 b[np.minimum(at + k, len(b) - 1)] = 0
     return b
@@ -313,18 +317,24 @@ def has_letter(text: bytes) -> bool:
     return bool(ASCII_LETTER.search(text)) or any(map(str.isalpha, text.decode("utf-8", "replace")))
 
 
+def scores(model: Model | None, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Mean marginals of each text, and whether it can be labelled at all."""
+    if not model:
+        return np.zeros((len(texts), 1)), np.zeros(len(texts), bool)
+    mean = predict(model, texts)
+    # letters that no feature covers leave every label equal
+    mean[mean.max(axis=1) == 0] = 1 / len(model.labels)
+    return mean, np.array([has_letter(t) for t in texts], bool)
+
+
 def _predict(handle, full: bool):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = handle.value
         for pdf in frames:
             for at, texts in blocks(pdf["text"], 1 << 18):
                 rest = pdf.drop(columns="text").iloc[at : at + len(texts)]
-                mean = predict(model, texts) if model else np.zeros((len(texts), 1))
-                if model:
-                    # letters that no feature covers leave every label equal
-                    mean[mean.max(axis=1) == 0] = 1 / len(model.labels)
+                mean, known = scores(model, texts)
                 best, top = mean.argmax(axis=1), mean.max(axis=1)
-                known = np.array([model is not None and has_letter(t) for t in texts], bool)
                 names = np.array(model.labels if model else [UND], dtype=object)
                 out = rest.assign(lang_pred=np.where(known, names[best], UND), score=np.where(known, np.minimum(top, 1.0), 0.0))
                 if full:
@@ -354,8 +364,8 @@ def keep_known(docs: DataFrame, model: Model | None, min_score: float = MIN_SCOR
             keep = np.zeros(len(pdf), bool)
             text = pdf.iloc[:, schema.names.index("text")]
             for at, texts in blocks(text, 1 << 18):
-                top = predict(model, texts).max(axis=1) if model else np.zeros(len(texts))
-                keep[at : at + len(texts)] = (top >= min_score) & np.array([has_letter(t) for t in texts], bool)
+                mean, known = scores(model, texts)
+                keep[at : at + len(texts)] = known & (mean.max(axis=1) >= min_score)
             yield pdf[keep]
 
     return docs.mapInPandas(run, schema)

@@ -298,6 +298,22 @@ def test_language_id_accuracy_and_cases(spark):
     assert "xx" not in language_id.fit(swapped).labels
 
 
+def test_scripts_led_by_e2_are_learned_and_kept(spark):
+    r = random.Random(4)
+    scripts = {"zgh": (0x2D30, 40), "cop": (0x2C80, 60), "cu": (0x2C00, 40)}
+    word = lambda lang: "".join(chr(scripts[lang][0] + r.randrange(scripts[lang][1])) for _ in range(r.randint(3, 7)))
+    rows = labelled() + [(1000 + i, " ".join(word(lang) for _ in range(30)), lang) for i in range(90) for lang in [list(scripts)[i % 3]]]
+    df = docs(spark, rows + [(2000, "“…” — ‘₂’ © °", None), (2001, "ⱥ ⱥ", "en")], "doc_id long, text string, lang string")
+    model = language_id.fit(df)
+    assert not language_id.letters("“…” — ‘’ © ° ⱥ".encode()).any() and language_id.letters("ⵣ".encode()).all()
+    got = {x["doc_id"]: x["lang_pred"] for x in language_id.identify(df, model).collect()}
+    assert all(got[i] == lang for i, _, lang in rows if i >= 1000)
+    kept = {x["doc_id"] for x in language_id.keep_known(df, model).collect()}
+    assert {i for i, _, _ in rows if i >= 1000} <= kept and 2000 not in kept
+    # the same scores as identify(), also where no feature covers the letters
+    assert 2001 in {x["doc_id"] for x in language_id.keep_known(df, model, 1 / len(model.labels)).collect()}
+
+
 def test_forward_backward_equals_enumeration():
     rng = np.random.default_rng(0)
     score, move, begin = rng.normal(size=(150, 3)), rng.normal(size=(3, 3)), rng.normal(size=3)
