@@ -78,9 +78,10 @@ def greedy_labels(vectors: np.ndarray, threshold: float) -> np.ndarray:
     return out
 
 
-def greedy_cluster(rows: DataFrame, block: str, order: str, threshold: float = THRESHOLD) -> DataFrame:
+def greedy_cluster(rows: DataFrame, block: str | None, order: str, threshold: float = THRESHOLD) -> DataFrame:
     """Order-dependent greedy clustering inside each block; adds `label` (block/number).
 
+    Without a block all rows are clustered in one pass (label: the number).
     One task holds one block, so blocks must be bounded; kmeans_cluster() is the way without that bound.
     """
     schema = StructType([*rows.schema.fields, StructField("label", StringType())])
@@ -88,9 +89,11 @@ def greedy_cluster(rows: DataFrame, block: str, order: str, threshold: float = T
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(order, kind="stable")
         labels = greedy_labels(np.array(pdf["vector"].tolist(), dtype=float), threshold)
+        if block is None:
+            return pdf.assign(label=[f"{n:012d}" for n in labels])
         return pdf.assign(label=[f"{b}/{n}" for b, n in zip(pdf[block], labels, strict=True)])
 
-    return rows.groupBy(block).applyInPandas(run, schema)
+    return rows.groupBy(*([block] if block else [])).applyInPandas(run, schema)
 
 
 def kmeans_cluster(rows: DataFrame, k: int | None = None, seed: int = 0) -> DataFrame:
@@ -146,7 +149,7 @@ def embed_with(model_factory, batch: int = 256):
     return embed
 
 
-def extract(trajectories: DataFrame, method: str = "greedy", block: str = "domain", threshold: float = THRESHOLD, k: int | None = None, seed: int = 0) -> DataFrame:
+def extract(trajectories: DataFrame, method: str = "greedy", block: str | None = "domain", threshold: float = THRESHOLD, k: int | None = None, seed: int = 0) -> DataFrame:
     """Seeds of the trajectories' first questions."""
     rows = collect_questions(trajectories).withColumn("vector", hash_embed(F.col("query"))).withColumn("domain", F.coalesce("domain", F.lit("")))
     clustered = greedy_cluster(rows, block, "session_id", threshold) if method == "greedy" else kmeans_cluster(rows, k, seed)

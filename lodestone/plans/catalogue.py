@@ -553,8 +553,7 @@ def kmeans_seeds(spark, d):
 
 @query()
 def greedy_seeds(spark, d):
-    rows = t1(spark, d).withColumn("domain", (F.xxhash64("session_id") % 64).cast("string"))
-    return seeds.extract(rows).select("seed_id", "query", long("cluster_id"), long("cluster_size"))
+    return seeds.extract(t1(spark, d), block=None).select("seed_id", "query", long("cluster_id"), long("cluster_size"))
 
 
 @query(f"WITH {T1}, q AS (SELECT sid, text FROM (SELECT sid, text, row_number() OVER (PARTITION BY sid ORDER BY pos) AS r FROM t1 WHERE role = 'user' AND regexp_matches(text, '\\S')) WHERE r = 1) SELECT sid AS session_id, regexp_replace(text, '^\\s+|\\s+$', '', 'g') AS query FROM q WHERE length(regexp_replace(text, '^\\s+|\\s+$', '', 'g')) >= 3")

@@ -130,6 +130,27 @@ def test_seeds(spark):
     assert sum(x * x for x in v[0][0]) == pytest.approx(1.0) and sum(v[1][0]) == 0
 
 
+def test_greedy_query_is_one_pass_over_all_rows(spark, tiny):
+    import numpy as np
+    from lodestone.plans import catalogue
+
+    rows = seeds.collect_questions(catalogue.t1(spark, tiny)).withColumn("vector", seeds.hash_embed(F.col("query"))).orderBy("session_id").collect()
+    # single pass as in the reference: the nearest running mean, or a new cluster
+    means, sizes = [], []
+    for r in rows:
+        v = np.array(r["vector"])
+        near = [float(m @ v) for m in means]
+        j = int(np.argmax(near)) if near else -1
+        if near and near[j] >= seeds.THRESHOLD:
+            m = (means[j] * sizes[j] + v) / (sizes[j] + 1)
+            means[j], sizes[j] = m / np.linalg.norm(m), sizes[j] + 1
+        else:
+            means.append(v)
+            sizes.append(1)
+    got = [r["cluster_size"] for r in catalogue.QUERIES["greedy_seeds"](spark, tiny).orderBy("cluster_id").collect()]
+    assert got == sorted(sizes, reverse=True)
+
+
 def test_generation(spark):
     reg = {"mandi_price": {"required": ["commodity"], "properties": {"commodity": "string"}}, "a_tool": {"required": ["must"]}}
     rows = spark.createDataFrame([("s1", "mandi price?"), ("s2", "hello")], "seed_id string, query string")
