@@ -121,17 +121,29 @@ def split_summary(pairs: DataFrame) -> DataFrame:
 
 
 def contained(items: DataFrame, docs: DataFrame, item_key: str, item_text: str, doc_key: str, doc_text: str, k: int = 5) -> DataFrame:
-    """(item, document) pairs whose word k-grams of the item all occur in the document."""
-    words = lambda c: F.filter(F.split(F.lower(F.coalesce(F.col(c), F.lit(""))), r"\s+"), lambda x: x != "")
+    """(item, document) pairs whose word k-grams of the item all occur in the document.
 
-    def grams(w: Column) -> Column:
-        return F.when(F.size(w) >= k, F.array_distinct(F.transform(F.sequence(F.lit(0), F.size(w) - k), lambda i: F.xxhash64(*[w[i + j] for j in range(k)])))).otherwise(F.array().cast("array<bigint>"))
+    An item of fewer than k words is one gram of its own length, and one without words is in every document.
+    """
+    words = lambda c: F.filter(F.split(F.lower(F.coalesce(F.col(c), F.lit(""))), r"\s+"), lambda x: x != "")
 
-    bind = lambda c: F.transform(F.array(words(c)), grams)[0]
-    left = items.select(F.col(item_key).alias("item"), bind(item_text).alias("g")).where(F.size("g") > 0)
-    left = left.select("item", F.size("g").alias("n"), F.explode("g").alias("h"))
-    right = docs.select(F.col(doc_key).alias("doc"), F.explode(bind(doc_text)).alias("h"))
-    return right.join(left, "h").groupBy("doc", "item", "n").agg(F.count("*").alias("m")).where("m = n").select("doc", "item")
+    def grams(w: Column, n: int) -> Column:
+        return F.when(F.size(w) >= n, F.array_distinct(F.transform(F.sequence(F.lit(0), F.size(w) - n), lambda i: F.xxhash64(*[w[i + j] for j in range(n)])))).otherwise(F.array().cast("array<bigint>"))
+
+    left = items.select(F.col(item_key).alias("item"), words(item_text).alias("w")).withColumn("k", F.least(F.size("w"), F.lit(k)))
+    # only the lengths that items have are cut from documents
+    sizes = sorted(r["k"] for r in left.select("k").distinct().collect())
+    right = docs.select(F.col(doc_key).alias("doc"), words(doc_text).alias("w"))
+    found = left.where("k = 0").select("item").distinct().crossJoin(right.select("doc").distinct()).select("doc", "item")
+    for n in (n for n in sizes if n):
+        cut = lambda df, key, n=n: df.select(key, F.transform(F.array("w"), lambda w: grams(w, n))[0].alias("g"))
+        # every row has grams of its own: ids may be there twice
+        one = cut(left.where(F.col("k") == n), "item").distinct().withColumn("v", F.xxhash64("g"))
+        one = one.select("item", "v", F.size("g").alias("n"), F.explode("g").alias("h"))
+        two = cut(right, "doc").withColumn("row", F.monotonically_increasing_id()).select("doc", "row", F.explode("g").alias("h"))
+        met = two.join(one, "h").groupBy("doc", "row", "item", "v", "n").agg(F.count("*").alias("m"))
+        found = found.unionByName(met.where("m = n").select("doc", "item"))
+    return found.distinct()
 
 
 def same(a: DataFrame, b: DataFrame, *columns: str) -> Column:

@@ -6,7 +6,7 @@ import pytest
 from helpers import call, ev, frame, result, say, user
 from pyspark.sql import functions as F
 
-from lodestone.operators import evaluate, generate, manifest, pairs, persona, seeds, sft, validate
+from lodestone.operators import evaluate, generate, manifest, pairs, persona, seeds, sft, splits, validate
 from lodestone.sources import adapters, records
 
 REG = {"t": {"required": ["a"], "properties": {"a": "integer", "b": {"type": "string"}}}}
@@ -151,6 +151,13 @@ def test_greedy_query_is_one_pass_over_all_rows(spark, tiny):
     assert got == sorted(sizes, reverse=True)
 
 
+def test_contained_short_items_and_repeated_ids(spark):
+    items = spark.createDataFrame([(1, "a b c d e f"), (1, "a b c d e f"), (2, "x y"), (3, " "), (4, "p q r s t u")], "item_id int, text string")
+    rows = spark.createDataFrame([(10, "z a b c d e f"), (10, "z a b c d e f"), (11, "X  Y z"), (12, "y x"), (13, "p q r s t"), (13, "q r s t u"), (14, None)], "doc_id int, text string")
+    got = sorted((r["doc"], r["item"]) for r in splits.contained(items, rows, "item_id", "text", "doc_id", "text").collect())
+    assert got == sorted([(10, 1), (11, 2), *[(d, 3) for d in (10, 11, 12, 13, 14)]])
+
+
 def test_generation(spark):
     reg = {"mandi_price": {"required": ["commodity"], "properties": {"commodity": "string"}}, "a_tool": {"required": ["must"]}}
     rows = spark.createDataFrame([("s1", "mandi price?"), ("s2", "hello")], "seed_id string, query string")
