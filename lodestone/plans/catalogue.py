@@ -548,7 +548,7 @@ def seed_representatives(spark, d):
 @query()
 def kmeans_seeds(spark, d):
     rows = seeds.collect_questions(t1(spark, d)).withColumn("vector", seeds.hash_embed(F.col("query")))
-    return seeds.build_seeds(seeds.kmeans_cluster(rows, 8, 1)).select("seed_id", "query", long("cluster_id"), long("cluster_size"))
+    return seeds.build_seeds(seeds.kmeans_cluster(rows, None, 1)).select("seed_id", "query", long("cluster_id"), long("cluster_size"))
 
 
 @query()

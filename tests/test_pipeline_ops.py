@@ -151,6 +151,16 @@ def test_greedy_query_is_one_pass_over_all_rows(spark, tiny):
     assert got == sorted(sizes, reverse=True)
 
 
+def test_kmeans_query_follows_the_number_of_rows(spark, tiny, monkeypatch):
+    from lodestone.plans import catalogue
+
+    rows = [("s%03d" % i, None, None, f"question number {i} on {'rice rain soil tea pest'.split()[i % 5]} {i * i}") for i in range(150)]
+    made = spark.createDataFrame(rows, "session_id string, lineage_id string, domain string, query string")
+    monkeypatch.setattr(catalogue.seeds, "collect_questions", lambda t: made)
+    n = catalogue.QUERIES["kmeans_seeds"](spark, tiny).count()
+    assert 8 < n <= 12  # the root of 150; a cluster may be left empty
+
+
 def test_contained_short_items_and_repeated_ids(spark):
     items = spark.createDataFrame([(1, "a b c d e f"), (1, "a b c d e f"), (2, "x y"), (3, " "), (4, "p q r s t u")], "item_id int, text string")
     rows = spark.createDataFrame([(10, "z a b c d e f"), (10, "z a b c d e f"), (11, "X  Y z"), (12, "y x"), (13, "p q r s t"), (13, "q r s t u"), (14, None)], "doc_id int, text string")
