@@ -3,7 +3,8 @@
 Each round points every node at the smallest node of its neighbourhood; the
 rounds end when the edges are stars (Kiveris et al., "Connected Components in
 MapReduce and Beyond", 2014).  Edges stay in Spark throughout; only a count
-and a checksum of each round come to the driver.
+and a checksum of each round come to the driver.  Both sides of every join
+grow with the corpus, so all are sort-merge joins and nothing is broadcast.
 """
 
 from __future__ import annotations
@@ -21,13 +22,13 @@ def _both(edges: DataFrame) -> DataFrame:
 def _large_star(edges: DataFrame) -> DataFrame:
     sym = _both(edges)
     low = sym.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-    return sym.where("v > u").join(low, "u").select(F.col("m").alias("a"), F.col("v").alias("b")).where("a <> b").distinct()
+    return sym.where("v > u").join(low.hint("merge"), "u").select(F.col("m").alias("a"), F.col("v").alias("b")).where("a <> b").distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     low = down.groupBy("u").agg(F.min("v").alias("m"))
-    moved = down.join(low, "u").select(F.col("m").alias("a"), F.col("v").alias("b")).where("a <> b")
+    moved = down.join(low.hint("merge"), "u").select(F.col("m").alias("a"), F.col("v").alias("b")).where("a <> b")
     return moved.unionByName(low.select(F.col("m").alias("a"), F.col("u").alias("b"))).distinct()
 
 

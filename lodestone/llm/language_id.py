@@ -9,7 +9,7 @@ the label with the largest mean marginal over all its words, and that mean is
 the score.
 
 The model is fitted on the driver on a bounded sample: per language, up to
-``docs_per_lang`` labelled documents (those with the smallest hash), one window
+``docs_per_lang`` labelled rows (those with the smallest hash), one window
 of ``words_per_doc`` words of each, spliced into monolingual and code-switched
 sequences.  Prediction reads every whole text.  Feature tables have fixed
 sizes, so the broadcast model is a few MB per language.
@@ -303,12 +303,16 @@ def fit(docs: DataFrame, docs_per_lang: int = DOCS_PER_LANG, words_per_doc: int
     """Fit on a bounded sample of the labelled documents outside the held-out fold."""
     open_ = docs.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
     order = F.md5(F.col("doc_id").cast("string"))
-    ids = open_.select("doc_id", F.col("lang").alias("_lang"), order.alias("_o")).withColumn("_r", F.row_number().over(W.partitionBy("_lang").orderBy("_o", "doc_id"))).where(F.col("_r") <= docs_per_lang)
-    ids = ids.select("doc_id").distinct()  # at most docs_per_lang rows a language
+    open_ = open_.select("doc_id", "lang", "text", order.alias("_o"), F.xxhash64("text").alias("_t"))
+    first = W.partitionBy("lang").orderBy("_o", "doc_id", "_t")
+    ids = open_.select("doc_id", "lang", "_o", "_t").withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= docs_per_lang)
+    ids = ids.select("doc_id", "lang", "_t").distinct()  # at most docs_per_lang rows a language
     words = F.split(F.trim(F.col("text")), r"[\x20\x09-\x0D]+")
-    picked = open_.join(F.broadcast(ids), "doc_id").select("lang", words.alias("w"), F.conv(F.substring(order, 1, 7), 16, 10).cast("int").alias("h"))
+    picked = open_.join(F.broadcast(ids), ["doc_id", "lang", "_t"]).select("lang", "doc_id", "_o", "_t", words.alias("w"), F.conv(F.substring("_o", 1, 7), 16, 10).cast("int").alias("h"))
     span = F.greatest(F.size("w") - words_per_doc + 1, F.lit(1))
-    rows = picked.select("lang", F.array_join(F.slice("w", (F.col("h") % span) + 1, words_per_doc), " ").alias("t")).collect()
+    picked = picked.select("lang", "doc_id", "_o", "_t", F.array_join(F.slice("w", (F.col("h") % span) + 1, words_per_doc), " ").alias("t"))
+    # rows repeat: the bound holds for rows, not ids
+    rows = picked.withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= docs_per_lang).select("lang", "t").collect()
     return train([(r["t"], r["lang"]) for r in rows])
 
 

@@ -2,8 +2,8 @@
 
 Lineage is cut by writing Parquet below ``spark.checkpoint.dir`` and reading
 it again, so a lost executor costs a re-run task and never the data.  Where
-the session sets no such folder (tests, a laptop) one is made under the
-driver's temporary folder, which local mode shares by nature.
+the session sets no such folder and runs in one process (tests, a laptop) one
+is made under the temporary folder; on a cluster its absence is an error.
 """
 
 from __future__ import annotations
@@ -21,6 +21,9 @@ def shared_dir(spark: SparkSession) -> str:
     if not found:
         found = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not found:
+        master = spark.conf.get("spark.master", "") or ""
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = tempfile.mkdtemp(prefix="lodestone-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")

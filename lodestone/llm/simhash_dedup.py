@@ -6,21 +6,24 @@ components of links are groups.
 
 *Index.* Two linked fingerprints differ in at most 4 of their 8 bytes, so they
 share at least 4 bytes in place: the guaranteed minimum.  A posting list per
-single (position, byte) would hold 1/256 of the corpus, so the tally is taken
-four positions at a time: each distinct fingerprint is posted under the 70
-combinations of 4 positions with their bytes, and two fingerprints meet in a
-posting list exactly if their tally of shared positional bytes reaches the
-minimum.  A list is a 32-bit key, so lists of unrelated fingerprints stay
-near one entry.
-
-*Pairs.* Equal fingerprints are collapsed before.  In lists of up to
-``list_limit`` entries every pair is verified by its differing bits.  Longer
-lists (groups of very many near copies) emit no pairs: their fingerprints are
-linked exactly through common neighbours.  Two fingerprints are within 4 bits
-if and only if some value lies within 2 bits of both, so each posts itself
-under the 2,081 values within 2 bits and is linked to the smallest one posted
-there; whatever meets there is within 4 bits, and nothing is missed.  Both
-ways are linear in the number of fingerprints.
+single (position, byte) would hold 1/256 of the corpus, so lists are kept for
+combinations of 4 positions with their bytes: the intersection of 4 single
+lists, a 32-bit key under which unrelated fingerprints rarely meet.  Each
+distinct fingerprint is posted under all 70 combinations, dealt out before
+they are written so that tasks stay even.
+
+*Count filter.* Where a pair meets, its shared positional bytes are tallied.
+A pair that shares m positions meets in C(m, 4) lists and is taken in one of
+them, the one of its first 4 shared positions.  Pairs whose tally reaches the
+minimum are then verified by their differing bits.
+
+*Long lists.* A list of over ``list_limit`` entries holds a group of very many
+near copies, whose pairs grow with its square.  The tally there is not taken
+pair by pair: two fingerprints are within 4 bits if and only if some value
+lies within 2 bits of both, so each posts itself under the 2,081 values within
+2 bits and is linked to the smallest one posted there.  Whatever meets there
+is within 4 bits and nothing is missed, so the components are the same for
+any limit (tests); both ways are linear in the number of fingerprints.
 
 Cases: null and word-less texts have fingerprint 0 and link like any other;
 fewer words than a shingle are one shingle; only A-Z are lower-cased; repeated
@@ -32,7 +35,9 @@ ignored by simhash_components() and kept by keep_one().
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
+from operator import add
 
 import numpy as np
 import pandas as pd
@@ -41,11 +46,13 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lodestone.llm.components import components
-from lodestone.llm.scratch import materialise, text_batches
+from lodestone.llm.scratch import materialise, parallelism, text_batches
 
 SHINGLE = 4
 SEED = 42
 MAX_BITS = 4
+#: positional bytes that two linked fingerprints share at least
+MIN_SHARED = 8 - MAX_BITS
 #: lists of postings up to this long are compared pair by pair
 LIST_LIMIT = 64
 _WEIGHT = (1 << np.arange(64, dtype=np.uint64)).astype(np.uint64)
@@ -99,7 +106,7 @@ def _signed(x: int) -> int:
 
 def _lists() -> list[int]:
     """Masks of the combinations of 4 byte positions."""
-    return [_signed(sum(0xFF << (8 * p) for p in c)) for c in combinations(range(8), 8 - MAX_BITS)]
+    return [_signed(sum(0xFF << (8 * p) for p in c)) for c in combinations(range(8), MIN_SHARED)]
 
 
 def _near() -> list[int]:
@@ -111,37 +118,36 @@ def _near() -> list[int]:
 def links(prints: DataFrame, list_limit: int = LIST_LIMIT) -> DataFrame:
     """Distinct fingerprints (fp) -> links (a, b), enough to connect every component, none too many bits apart."""
     masks = _lists()
-    posted = prints.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in masks])).alias("place", "bytes"))
+    spread = prints.select("fp").repartition(parallelism(prints.sparkSession), "fp")
+    posted = spread.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in masks])).alias("place", "bytes"))
     posted = posted.withColumn("place", F.col("place").cast("byte"))
     size = posted.groupBy("place", "bytes").agg(F.count("*").alias("n")).where("n > 1")
     # the same plan at every size: lists that meet are hashed where their postings are dealt, without a sort
     met = posted.join(size.hint("shuffle_hash"), ["place", "bytes"])
     short = met.where(F.col("n") <= list_limit).groupBy("place", "bytes").agg(F.sort_array(F.collect_list("fp")).alias("l"))
-    pairs = F.flatten(
-        F.transform(
-            "l",
-            lambda x, i: F.transform(
-                F.filter(F.slice("l", i + 2, F.lit(list_limit)), lambda y: F.bit_count(x.bitwiseXOR(y)) <= MAX_BITS),
-                lambda y: F.struct(x.alias("a"), y.alias("b")),
-            ),
-        )
-    )
-    found = short.select(F.explode(pairs).alias("p")).select("p.a", "p.b").distinct()
-    dense = materialise(met.where(F.col("n") > list_limit).select("fp").distinct(), "dense")
+    pairs = F.flatten(F.transform("l", lambda x, i: F.transform(F.slice("l", i + 2, F.lit(list_limit)), lambda y: F.struct(x.alias("a"), y.alias("b")))))
+    found = short.select("place", F.explode(pairs).alias("p")).select("place", "p.a", "p.b", F.col("p.a").bitwiseXOR(F.col("p.b")).alias("x"))
+    # the tally of shared positional bytes; a pair's first list is that whose last position is its 4th shared one
+    shared = [F.col("x").bitwiseAND(F.lit(_signed(0xFF << (8 * p)))) == 0 for p in range(8)]
+    tally = reduce(add, [c.cast("int") for c in shared])
+    last = F.element_at(F.array(*[F.lit(c[-1]) for c in combinations(range(8), MIN_SHARED)]), F.col("place").cast("int") + 1)
+    upto = reduce(add, [(c & (F.lit(p) <= last)).cast("int") for p, c in enumerate(shared)])
+    found = found.where((tally >= MIN_SHARED) & (upto == MIN_SHARED)).where(F.bit_count("x") <= MAX_BITS).select("a", "b")
+    dense = materialise(met.where(F.col("n") > list_limit).select("fp").distinct().repartition(parallelism(prints.sparkSession), "fp"), "dense")
     if dense.isEmpty():
         return found
     near = dense.select("fp", F.explode(F.transform(F.array(*[F.lit(m) for m in _near()]), lambda m: F.col("fp").bitwiseXOR(m))).alias("v"))
     low = near.groupBy("v").agg(F.min("fp").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n")
-    hub = near.join(low, "v").where("fp <> a").select("a", F.col("fp").alias("b")).distinct()
+    hub = near.join(low.hint("merge"), "v").where("fp <> a").select("a", F.col("fp").alias("b")).distinct()
     return found.unionByName(hub)
 
 
 def _roots(docs: DataFrame, prints: DataFrame, list_limit: int) -> DataFrame:
     """(fp, component_id): the smallest doc_id of each fingerprint's component."""
     root = components(links(prints.select("fp"), list_limit))
-    named = prints.join(root, prints["fp"] == root["node"], "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
+    named = prints.join(root.hint("merge"), prints["fp"] == root["node"], "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
     low = named.groupBy("root").agg(F.min("low").alias("component_id"))
-    return named.join(low, "root").select("fp", "component_id")
+    return named.join(low.hint("merge"), "root").select("fp", "component_id")
 
 
 def simhash_components(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED, list_limit: int = LIST_LIMIT) -> DataFrame:
@@ -150,7 +156,7 @@ def simhash_components(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     marked = materialise(base.mapInPandas(_fingerprint(shingle, seed), "doc_id long, fp long"), "prints")
     prints = materialise(marked.groupBy("fp").agg(F.min("doc_id").alias("low")), "distinct")
-    found = marked.join(_roots(marked, prints, list_limit), "fp")
+    found = marked.join(_roots(marked, prints, list_limit).hint("merge"), "fp")
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 

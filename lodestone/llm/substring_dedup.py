@@ -20,9 +20,12 @@ is a duplicate.  The reference is the corpus itself, cut into blocks:
    is not missed.  Factors are never shorter than ``window`` words; the words
    they cover are removed.
 
-The work is linear in the text.  Windows are compared by 128 bits of hash.
-All joins are equi-joins with one unique side; a hot anchor only makes that
-side's partner long, which adaptive execution splits.
+The work is linear in the text, repeated rows included: what a text's phrases
+meet is gathered once per distinct (doc_id, text) and phrase start, as a set
+that is built up on the map side.  Phrases and windows are compared by 128
+bits of hash, from two independent families.  All joins are equi-joins with
+one unique side; a hot anchor only makes that side's partner long, which
+adaptive execution splits.
 
 Cases: null text is empty (0 words, nothing removed, hash of the empty
 string).  Texts under ``window`` words never lose words.  Overlapping repeats
@@ -100,7 +103,8 @@ def _cut(window: int, gram: int):
                 fp, first, count, owner, h, own = _phrases(w, window, gram)
                 if not len(fp):
                     continue
-                body = wh.spans_hash(h, first, first + count + window - 1)
+                # the anchor is of the first family of hashes, the body of the second
+                body = wh.spans_hash(w.hashes(1), first, first + count + window - 1, 1)
                 yield pd.DataFrame(
                     {
                         "fp": fp.view(np.int64),
@@ -254,7 +258,7 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, kee
         index.join(mixed, "fp", "left")
         .where("mixed OR (own AND copies = 1)")
         .groupBy(F.col("home.doc_id").alias("doc_id"), F.col("home.tkey").alias("tkey"))
-        .agg(F.collect_list(F.struct("fp", "phrase", F.col("home.first").alias("first"), F.col("home.n").alias("n"))).alias("wanted"))
+        .agg(F.collect_set(F.struct("fp", "phrase", F.col("home.first").alias("first"), F.col("home.n").alias("n"))).alias("wanted"))
     )
     same = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & (a["tkey"] == b["tkey"])
     opened = base.join(asked, same(base, asked)).select(base["doc_id"], base["text"], "wanted").mapInPandas(_open(window), OPENED)
@@ -279,10 +283,11 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, kee
         F.col("home.doc_id").alias("home_doc"),
         F.col("home.first").alias("home_first"),
     )
+    # a set: n equal rows bring every hit n times
     hits = (
         kept.join(verdict, ["fp", "phrase"])
         .groupBy("doc_id", "tkey")
-        .agg(F.collect_list(F.struct("first", "n", "sources", "home_doc", "home_first")).alias("hits"))
+        .agg(F.collect_set(F.struct("first", "n", "sources", "home_doc", "home_first")).alias("hits"))
     )
     joined = base.join(hits, same(base, hits), "left").select(base["doc_id"], base["text"], "hits")
     return joined.mapInPandas(_factor(window, keep_text), RESULT + (", text string" if keep_text else ""))

@@ -6,6 +6,7 @@ import html
 import io
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -64,6 +65,25 @@ def test_substring_dedup_spans_and_text(spark):
     assert substring_dedup.substring_dedup(docs(spark, [])).count() == 0
 
 
+def test_substring_dedup_repeated_rows(spark):
+    r = random.Random(4)
+    texts = [" ".join(r.choice("abcd") for _ in range(60)) for _ in range(3)]
+    rows = [(9, texts[0])] * 30 + [(None, texts[1])] * 5 + [(9, texts[2]), (9, "q " + texts[0][20:80] + " r"), (None, None), (None, None)]
+    got = substring_dedup.substring_dedup(docs(spark, rows), 8, 3).collect()
+    assert sorted(((x["doc_id"], x["n_words"], x["n_removed"], x["kept_sha256"]) for x in got), key=repr) == repeats(rows, 8)
+
+
+def test_substring_dedup_is_linear_in_repeated_rows(spark):
+    text = " ".join(f"w{i * i % 389}" for i in range(400))
+    spent = []
+    for n in (50, 50, 5000):
+        t = time.monotonic()
+        got = substring_dedup.substring_dedup(docs(spark, [(1, text)] * n)).select("n_words", "n_removed").distinct().collect()
+        spent.append(time.monotonic() - t)
+        assert [tuple(x) for x in got] == [(400, 400)]
+    assert spent[2] < 4 * spent[1] + 5
+
+
 def test_factors_resume_at_the_boundary():
     pos, doc, src = np.array([0, 1, 2, 3, 9]), np.array([1, 1, 2, 2, 1]), np.array([5, 6, 0, 1, 9])
     assert substring_dedup.factors(pos, doc, src, 4) == [(0, 5, 1, 5), (2, 5, 2, 0), (9, 4, 1, 9)]
@@ -298,6 +318,29 @@ def test_language_id_accuracy_and_cases(spark):
     assert "xx" not in language_id.fit(swapped).labels
 
 
+def test_language_id_sample_is_bounded_and_tables_may_be_empty(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(language_id, "train", lambda rows: seen.extend(rows))
+    texts = ["the house", "the tree"]
+    same = spark.range(20_000).select(F.lit(7).cast("long").alias("doc_id"), F.element_at(F.array(*map(F.lit, texts)), (F.col("id") % 2 + 1).cast("int")).alias("text"), F.lit("en").alias("lang"))
+    language_id.fit(same)
+    assert len(seen) == language_id.DOCS_PER_LANG
+    monkeypatch.undo()
+    none = docs(spark, [], "doc_id long, text string, lang string")
+    assert language_id.fit(none) is None
+    assert language_id.identify(none, None).count() == 0 and language_id.keep_known(none, None).count() == 0
+    # repeated rows are documents of their own
+    rows = [*labelled(30), (1, "the house and the tree", "en"), (1, "the house and the tree", "en")]
+    df = docs(spark, rows, "doc_id long, text string, lang string")
+    assert language_id.identify(df, language_id.fit(df)).count() == 32
+
+
+def test_op8_held_out_accuracy_on_the_table(spark, tiny):
+    lang = spark.read.parquet(f"{tiny}/documents.parquet").where("lang IS NOT NULL AND text IS NOT NULL").select("doc_id", "lang")
+    got = QUERIES["op8_language_id"](spark, tiny).where("held_out AND lang_pred <> 'und'").join(lang, "doc_id").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int")), F.count("*")).first()
+    assert got[1] >= 20 and got[0] >= 0.97
+
+
 def test_scripts_led_by_e2_are_learned_and_kept(spark):
     r = random.Random(4)
     scripts = {"zgh": (0x2D30, 40), "cop": (0x2C80, 60), "cu": (0x2C00, 40)}
