@@ -4,16 +4,21 @@ Vectors are collapsed to distinct ones (each with its smallest ids, as many as
 a result can hold), dealt to shards of bounded size by a hash of their
 values, and each shard gets a hierarchical navigable small-world graph stored
 as flat neighbour arrays (one int matrix per level) in the shared folder.
-Every query goes to every shard, in blocks; shard results are scored again in
-double precision and merged.
+Queries are written there once, in blocks.  What is dealt to tasks are tiles,
+a few graphs by a few blocks, as file names: a task loads each of its graphs
+once, scores what it finds again in double precision, merges the results of
+its graphs and hands on only the best k of each query.
 
 Inner products become distances on a sphere by one more coordinate,
 sqrt(R^2 - |x|^2), so that the graph's navigation is sound for vectors of any
-length.  Graphs are built level by level: a node's candidates come from blocks
-of exact products within its level, the diversity heuristic selects its
-neighbours, and reverse links are added up to the level's limit.  Search runs
-many queries in lockstep: greedy descent, then a beam of ``ef`` on the ground
-level.  A shard of up to ``ef`` nodes is thereby searched in full.
+length.  Graphs are built level by level from the top: a node's candidates
+come from the cells of the pivots (nodes of the level above) nearest to its
+own pivot, the diversity heuristic selects its neighbours, reverse links are
+added up to the level's limit, and nodes that the pivots cannot reach get a
+link from one that they can.  Search scans the lowest upper level of up to
+EXACT nodes, so that every cluster's pivots are seen, hands its best entries
+down and ends in a beam of ``ef`` on the ground level, many queries in
+lockstep.
 
 Cases: vectors that are null, empty, zero or hold null or non-finite
 components take no part, neither as query nor as candidate; vectors of other
@@ -34,18 +39,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lodestone.llm.scratch import materialise, new_path
+from lodestone.llm.scratch import materialise, new_path, parallelism
 from lodestone.llm.token_store import filesystem
 
 K = 20
 M = 24
 CANDIDATES = 64
-EF = 200
+EF = 320
 #: distinct vectors in a shard, about
 SHARD_ROWS = 16_384
 #: queries in a block
 BLOCK = 512
+#: graphs and query blocks in a task at most (a block of 512 queries of 768 values is 3 MB)
+GRAPHS_TASK, BLOCKS_TASK = 8, 16
 SEED = 7
+#: nodes of a level up to which all are compared
+EXACT = 1_024
+#: cells whose nodes are a node's candidates on larger levels
+CELLS = 160
+#: entries handed from level to level
+ENTRIES = 48
+#: links that a node gets even if they are not diverse, and links kept free for nodes out of reach
+FILL, SPARE = 16, 8
 
 
 def _top(sim: np.ndarray, k: int) -> np.ndarray:
@@ -56,56 +71,124 @@ def _top(sim: np.ndarray, k: int) -> np.ndarray:
     return np.take_along_axis(part, np.argsort(-np.take_along_axis(sim, part, 1), axis=1, kind="stable"), 1)
 
 
-def _diverse(x: np.ndarray, sim: np.ndarray, cand: np.ndarray, m: int) -> np.ndarray:
-    """Of each row's candidates (nearest first), up to m that are nearer to the node than to one chosen before; the nearest others fill up."""
+def _diverse(x: np.ndarray, sim: np.ndarray, cand: np.ndarray, m: int, fill: int) -> np.ndarray:
+    """Of each row's candidates (nearest first), up to m that are nearer to the node than to one chosen before.
+
+    Only rows with fewer than `fill` such candidates are filled up to `fill` with their nearest others.
+    """
     n, c = cand.shape
-    safe = np.maximum(cand, 0)
-    v = x[safe]
-    among = np.einsum("ncd,ned->nce", v, v)
+    v = x[np.maximum(cand, 0)]
+    among = np.einsum("ncd,ned->nce", v, v, optimize=True)
     ok = cand >= 0
     chosen = np.zeros((n, c), bool)
     for j in range(c):
         blocked = (chosen & (among[:, j, :] > sim[:, j, None])).any(axis=1)
         chosen[:, j] = ok[:, j] & ~blocked & (chosen.sum(axis=1) < m)
-    rank = np.where(chosen, 0, 1) * c + np.arange(c)
-    rank[~ok] = 3 * c
+    spare = ok & ~chosen
+    spare &= np.cumsum(spare, axis=1) <= (fill - chosen.sum(axis=1))[:, None]
+    rank = np.where(chosen, 0, np.where(spare, 1, 3)) * c + np.arange(c)
     order = np.argsort(rank, axis=1, kind="stable")[:, :m]
-    out = np.take_along_axis(cand, order, 1)
+    out = np.where(np.take_along_axis(chosen | spare, order, 1), np.take_along_axis(cand, order, 1), -1)
     if out.shape[1] < m:
         out = np.concatenate([out, np.full((n, m - out.shape[1]), -1)], axis=1)
     return out
 
 
-def _level(x: np.ndarray, m: int, limit: int, candidates: int, block: int = 256) -> np.ndarray:
-    """Neighbour matrix (n x limit, -1 where none) of one level's vectors."""
+def _pools(x: np.ndarray, pivots: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(nodes, pool) pairs: every node once, with the nodes among which its candidates are sought.
+
+    A level of up to EXACT nodes is one pool.  Beyond, nodes go to the cell of
+    their nearest pivot (a node of the level above), and a cell's pool are the
+    cells of the CELLS pivots nearest to its own, so the work grows with the
+    number of nodes, not with its square.
+    """
     n = len(x)
+    if n <= EXACT or len(pivots) <= CELLS:
+        every = np.arange(n)
+        for lo in range(0, n, 256):
+            yield every[lo : lo + 256], every
+        return
+    cell = np.empty(n, np.int64)
+    p = x[pivots]
+    for lo in range(0, n, 1024):
+        cell[lo : lo + 1024] = (x[lo : lo + 1024] @ p.T).argmax(axis=1)
+    by = np.argsort(cell, kind="stable")
+    bound = np.searchsorted(cell[by], np.arange(len(p) + 1))
+    for lo in range(0, len(p), 256):
+        near = _top(p[lo : lo + 256] @ p.T, CELLS)
+        for c in range(lo, min(lo + 256, len(p))):
+            mine = by[bound[c] : bound[c + 1]]
+            if len(mine):
+                row = np.union1d(near[c - lo], [c])
+                pool = np.concatenate([by[bound[k] : bound[k + 1]] for k in row])
+                for at in range(0, len(mine), 256):
+                    yield mine[at : at + 256], pool
+
+
+def _reach(flat: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Whether each node can be reached from `start` along the links."""
+    seen = np.zeros(len(flat), bool)
+    seen[start] = True
+    front = start
+    while len(front):
+        to = flat[front].ravel()
+        to = np.unique(to[to >= 0])
+        front = to[~seen[to]]
+        seen[front] = True
+    return seen
+
+
+def _level(x: np.ndarray, m: int, limit: int, candidates: int, pivots: np.ndarray) -> np.ndarray:
+    """Neighbour matrix (n x (limit + SPARE), -1 where none) of one level's vectors; pivots: the nodes of the level above."""
+    n = len(x)
+    flat = np.full((n, limit + SPARE), -1, np.int32)
     if n == 1:
-        return np.full((1, limit), -1, np.int32)
-    c = min(candidates, n - 1)
+        return flat
     out = np.full((n, m), -1, np.int64)
-    for lo in range(0, n, block):
-        part = x[lo : lo + block]
-        sim = part @ x.T
-        sim[np.arange(len(part)), np.arange(lo, lo + len(part))] = -np.inf
-        cand = _top(sim, c)
-        out[lo : lo + len(part)] = _diverse(x, np.take_along_axis(sim, cand, 1), cand, m)
-    # links both ways; where a node has too many, the nearest stay
+    nearest = np.full(n, -1, np.int64)
+    for nodes, pool in _pools(x, pivots):
+        sim = x[nodes] @ x[pool].T
+        sim[nodes[:, None] == pool] = -np.inf
+        pick = _top(sim, min(candidates, len(pool)))
+        sim = np.take_along_axis(sim, pick, 1)
+        cand = np.where(sim > -np.inf, pool[pick], -1)
+        nearest[nodes] = cand[:, 0]
+        out[nodes] = _diverse(x, sim, cand, m, min(FILL, m))
+    # links both ways; where a node has too many, the selected ones, then the nearest stay
     a = np.repeat(np.arange(n), m)
     b = out.ravel()
     a, b = a[b >= 0], b[b >= 0]
-    pair = np.unique(np.concatenate([a * n + b, b * n + a]))
+    forward = np.unique(a * n + b)
+    pair = np.unique(np.concatenate([forward, b * n + a]))
     a, b = pair // n, pair % n
     sim = np.empty(len(a), x.dtype)
     for lo in range(0, len(a), 1 << 16):
         s = slice(lo, lo + (1 << 16))
         sim[s] = np.einsum("nd,nd->n", x[a[s]], x[b[s]])
-    own = np.isin(pair, np.repeat(np.arange(n), m) * n + out.ravel())  # the selected ones first
+    own = np.isin(pair, forward, assume_unique=True)
     order = np.lexsort((b, -sim, ~own, a))
     a, b = a[order], b[order]
     at = np.arange(len(a)) - np.searchsorted(a, a)
-    flat = np.full((n, limit), -1, np.int32)
     keep = at < limit
     flat[a[keep], at[keep]] = b[keep]
+    # nodes out of reach get a link from their nearest that is in reach and has room
+    start = pivots if len(pivots) else np.zeros(1, np.int64)
+    room = np.full(n, SPARE)
+    seen = _reach(flat, start)
+    last = int(start[0])
+    while not seen.all():
+        lost = np.flatnonzero(~seen)
+        u = lost[seen[nearest[lost]] & (nearest[lost] >= 0)]
+        u = u[room[nearest[u]] > 0]
+        if len(u):
+            v, first = np.unique(nearest[u], return_index=True)
+            u = u[first]
+        else:
+            u, v = lost[:1], np.array([last if room[last] else int(np.flatnonzero(seen & (room > 0))[0])])
+        flat[v, limit + SPARE - room[v]] = u
+        room[v] -= 1
+        last = int(u[-1])
+        seen |= _reach(flat, u)
     return flat
 
 
@@ -122,42 +205,56 @@ class Graph:
         x = np.concatenate([raw, np.sqrt(np.maximum(radius - norm, 0))[:, None]], axis=1).astype(np.float32)
         draw = np.random.default_rng(seed).random(len(x))
         level = np.minimum((-np.log(np.maximum(draw, 1e-12)) / np.log(m)).astype(int), 8)
-        members, links = [], []
-        for at in range(level.max() + 1):
-            who = np.flatnonzero(level >= at)
-            members.append(who.astype(np.int32))
-            links.append(_level(x[who], m, 2 * m if at == 0 else m, candidates))
+        members = [np.flatnonzero(level >= at).astype(np.int32) for at in range(level.max() + 1)]
+        links = []
+        for at, who in enumerate(members):
+            above = np.searchsorted(who, members[at + 1]) if at + 1 < len(members) else np.zeros(0, np.int64)
+            links.append(_level(x[who], m, 2 * m if at == 0 else m, candidates, above))
         return cls(x, radius, members, links)
 
     def search(self, queries: np.ndarray, k: int, ef: int = EF, width: int = 4) -> np.ndarray:
         """Node numbers (len(queries) x min(k, n)), nearest first, -1 where none was found."""
         q = np.concatenate([queries, np.zeros((len(queries), 1))], axis=1).astype(np.float32)
-        n, rows = len(self.x), np.arange(len(q))
-        at = np.full(len(q), self.members[-1][0], np.int64)
-        best = q @ self.x[self.members[-1][0]]
-        for level in range(len(self.members) - 1, 0, -1):
-            who, links = self.members[level], self.links[level]
-            moving = rows
-            while len(moving):
-                here = np.searchsorted(who, at[moving])
-                near = links[here]
-                ids = who[np.maximum(near, 0)]
-                sim = np.where(near >= 0, np.einsum("qd,qnd->qn", q[moving], self.x[ids]), -np.inf)
-                j = sim.argmax(axis=1)
-                top = sim[np.arange(len(moving)), j]
-                go = top > best[moving]
-                at[moving[go]], best[moving[go]] = ids[np.flatnonzero(go), j[go]], top[go]
-                moving = moving[go]
-        ef = max(ef, k)
+        n = len(self.x)
+        # the lowest level of up to EXACT nodes above the ground is scanned, those below it are searched
+        top = min([at for at in range(1, len(self.members)) if len(self.members[at]) <= EXACT], default=0)
+        if top:
+            who = self.members[top]
+            entry = who[_top(q @ self.x[who].T, ENTRIES)]
+        else:
+            entry = np.broadcast_to(np.arange(min(n, ENTRIES)), (len(q), min(n, ENTRIES)))
+        for level in range(max(top - 1, 0), -1, -1):
+            who = self.members[level]
+            at = np.searchsorted(who, entry)
+            cand, sims = self._beam(q, level, at, max(ef, k) if level == 0 else ENTRIES, width)
+            if level:
+                order = np.argsort(-sims, axis=1, kind="stable")
+                # all entries were found, or fewer than asked for: the best stands in for those
+                best = np.take_along_axis(cand, order, 1)
+                entry = who[np.where(best >= 0, best, best[:, :1])]
+        top = _top(sims, min(k, n))
+        return np.where(np.take_along_axis(sims, top, 1) > -np.inf, np.take_along_axis(cand, top, 1), -1)
+
+    def _beam(self, q: np.ndarray, level: int, entry: np.ndarray, ef: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """(positions in the level, products) of up to `ef` nodes a query, unordered, from its entry positions."""
+        who = self.members[level]
+        n, rows = len(who), np.arange(len(q))
+        ground = level == 0
         cand = np.full((len(q), ef), -1, np.int64)
         sims = np.full((len(q), ef), -np.inf, np.float32)
         done = np.ones((len(q), ef), bool)
-        cand[:, 0], sims[:, 0], done[:, 0] = at, best, False
         seen = np.zeros((len(q), n + 1), bool)
-        seen[rows, at] = True
         seen[:, n] = True
+        entry = np.sort(entry, axis=1)[:, :ef]
+        fresh = np.ones(entry.shape, bool)
+        fresh[:, 1:] = entry[:, 1:] != entry[:, :-1]
+        e = entry.shape[1]
+        cand[:, :e] = np.where(fresh, entry, -1)
+        sims[:, :e] = np.where(fresh, np.einsum("qd,qed->qe", q, self.x[entry if ground else who[entry]]), -np.inf)
+        done[:, :e] = ~fresh
+        seen[rows[:, None], entry] = True
         live = rows
-        links = np.where(self.links[0] >= 0, self.links[0], n)
+        links = np.where(self.links[level] >= 0, self.links[level], n)
         while len(live):
             open_ = np.where(done[live], -np.inf, sims[live])
             pick = _top(open_, width)
@@ -171,15 +268,14 @@ class Graph:
             r, c = np.nonzero(fresh)
             sim = np.full(near.shape, -np.inf, np.float32)
             ids = near[r, c]
-            sim[r, c] = np.einsum("nd,nd->n", q[live[r]], self.x[ids])
+            sim[r, c] = np.einsum("nd,nd->n", q[live[r]], self.x[ids if ground else who[ids]])
             every = np.concatenate([sims[live], sim], axis=1)
             keep = np.argpartition(-every, ef - 1, axis=1)[:, :ef]
             sims[live] = np.take_along_axis(every, keep, 1)
             cand[live] = np.take_along_axis(np.concatenate([cand[live], near], axis=1), keep, 1)
             done[live] = np.take_along_axis(np.concatenate([done[live], ~fresh], axis=1), keep, 1)
             live = live[(~done[live] & (sims[live] > -np.inf)).any(axis=1)]
-        top = _top(sims, min(k, n))
-        return np.where(np.take_along_axis(sims, top, 1) > -np.inf, np.take_along_axis(cand, top, 1), -1)
+        return np.where(sims > -np.inf, cand, -1), sims
 
     def save(self, stream, **more: np.ndarray) -> None:
         body = io.BytesIO()
@@ -216,41 +312,84 @@ def _build(root: str, m: int, candidates: int):
     return run
 
 
+def _save_queries(root: str):
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        dim, block = int(key[0]), int(key[1])
+        pdf = pdf.sort_values(["query_id", "k1", "k2"], kind="stable")
+        fs, base = filesystem(root)
+        fs.create_dir(base, recursive=True)
+        name, mine = f"queries-{dim}-{block:06d}.npz", f".{uuid.uuid4().hex}"
+        body = io.BytesIO()
+        np.savez(body, query_id=pdf["query_id"].to_numpy(np.int64), q=np.array(pdf["embedding"].tolist(), dtype=np.float64).reshape(len(pdf), dim))
+        with fs.open_output_stream(f"{base}/{mine}") as f:
+            f.write(body.getvalue())
+        fs.move(f"{base}/{mine}", f"{base}/{name}")
+        return pd.DataFrame({"dim": [dim], "block": [block], "path": [f"{root}/{name}"]})
+
+    return run
+
+
 FOUND = "query_id long, vec_id long, score double"
-_KEPT: dict[str, tuple] = {}
 
 
-def _load(path: str):
-    if path not in _KEPT:
-        _KEPT.clear()
-        fs, name = filesystem(path)
-        with fs.open_input_stream(name) as f:
-            _KEPT[path] = Graph.load(f)
-    return _KEPT[path]
+def _open(path: str, read):
+    fs, name = filesystem(path)
+    with fs.open_input_stream(name) as f:
+        return read(f)
+
+
+def _nearest(graph: Graph, more: dict, query_id: np.ndarray, q: np.ndarray, k: int, ef: int) -> pd.DataFrame:
+    """Each query's k best of one graph."""
+    raw, size, ids = more["raw"], more["size"], more["ids"]
+    first = np.concatenate(([0], np.cumsum(size)))
+    # one node more: the query's own vector may be among the found
+    node = graph.search(q, k + 1, ef)
+    who, hit = np.repeat(np.arange(len(q)), node.shape[1])[node.ravel() >= 0], node.ravel()[node.ravel() >= 0]
+    score = np.einsum("nd,nd->n", raw[hit], q[who])
+    n = size[hit]
+    vec = ids[np.repeat(first[hit] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+    out = pd.DataFrame({"who": np.repeat(who, n), "query_id": query_id[np.repeat(who, n)], "vec_id": vec, "score": np.repeat(score, n)})
+    return out[out["vec_id"] != out["query_id"]]
+
+
+def _best(found: pd.DataFrame, k: int) -> pd.DataFrame:
+    found = found.sort_values(["who", "score", "vec_id"], ascending=[True, False, True], kind="stable")
+    return found[found.groupby("who").cumcount() < k]
 
 
 def _search(k: int, ef: int):
-    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        graph, more = _load(key[0])
-        raw, size, ids = more["raw"], more["size"], more["ids"]
-        first = np.concatenate(([0], np.cumsum(size)))
-        q = np.array(pdf["embedding"].tolist(), dtype=np.float64).reshape(len(pdf), raw.shape[1])
-        # one node more: the query's own vector may be among the found
-        node = graph.search(q, k + 1, ef)
-        out = []
-        for i, me in enumerate(pdf["query_id"].tolist()):
-            hit = node[i][node[i] >= 0]
-            score = raw[hit] @ q[i]
-            vec = np.concatenate([ids[first[h] : first[h + 1]] for h in hit]) if len(hit) else ids[:0]
-            score = np.repeat(score, size[hit])
-            score, vec = score[vec != me], vec[vec != me]
-            order = np.lexsort((vec, -score))[:k]
-            out.append(pd.DataFrame({"query_id": me, "vec_id": vec[order], "score": score[order]}))
-        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            for graphs, blocks in zip(pdf["graphs"], pdf["blocks"], strict=True):
+                asked = [_open(b, lambda f: dict(np.load(io.BytesIO(f.read()), allow_pickle=False))) for b in blocks]
+                held: list[pd.DataFrame | None] = [None] * len(asked)
+                for g in graphs:
+                    graph, more = _open(g, Graph.load)
+                    for i, a in enumerate(asked):
+                        new = _nearest(graph, more, a["query_id"], a["q"], k, ef)
+                        held[i] = _best(new if held[i] is None else pd.concat([held[i], new]), k)
+                for found in held:
+                    if found is not None:
+                        yield found[["query_id", "vec_id", "score"]]
 
     return run
 
 
+def _tiles(built: list, blocks: list, tasks: int) -> list[tuple[list[str], list[str]]]:
+    """(graphs, query blocks) of each task: every graph meets every block of its length once.
+
+    Tiles grow with the work up to GRAPHS_TASK by BLOCKS_TASK; only file names come to the driver.
+    """
+    out = []
+    for dim in sorted({b["dim"] for b in blocks}):
+        g, q = ([x["path"] for x in rows if x["dim"] == dim] for rows in (built, blocks))
+        area = max(1, len(g) * len(q) // max(1, tasks))
+        wide = min(BLOCKS_TASK, area, len(q))
+        high = min(GRAPHS_TASK, max(1, area // wide))
+        out += [(g[i : i + high], q[j : j + wide]) for i in range(0, len(g), high) for j in range(0, len(q), wide)]
+    return out
+
+
 def usable(v: Column) -> Column:
     """Whether a vector takes part."""
     return v.isNotNull() & (F.size(v) > 0) & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
@@ -269,12 +408,19 @@ def neighbours(vectors: DataFrame, is_query: Column, k: int = K, m: int = M, can
     count = nodes.groupBy("dim").agg(F.ceil(F.count("*") / shard_rows).cast("int").alias("shards"))
     dealt = nodes.join(count, "dim").withColumn("shard", F.pmod("k1", "shards").cast("int"))
     root = new_path(spark, "hnsw")
-    built = materialise(dealt.select("dim", "shard", "k1", "k2", "ids", "embedding").groupBy("dim", "shard").applyInPandas(_build(root, m, candidates), BUILT), "built")
-    asked = base.where("is_query").select(F.col("vec_id").alias("query_id"), "embedding", F.size("embedding").alias("dim")).dropDuplicates(["query_id", "embedding"])
+    built = dealt.select("dim", "shard", "k1", "k2", "ids", "embedding").groupBy("dim", "shard").applyInPandas(_build(root, m, candidates), BUILT)
+    built = sorted(built.collect(), key=lambda r: r["path"])  # one short row per shard
+    asked = base.where("is_query").select(F.col("vec_id").alias("query_id"), "k1", "k2", "embedding", F.size("embedding").alias("dim")).dropDuplicates(["query_id", "k1", "k2"])
     total = base.where("is_query").count()
-    asked = asked.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(max(1, -(-total // BLOCK)))))
-    tasks = asked.join(built.select("dim", "path"), "dim")
-    found = tasks.groupBy("path", "block").applyInPandas(_search(k, ef), FOUND)
-    best = W.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    found = found.distinct().withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-    return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    asked = asked.withColumn("block", F.pmod(F.xxhash64("query_id", "k1"), F.lit(max(1, -(-total // BLOCK)))).cast("int"))
+    blocks = asked.groupBy("dim", "block").applyInPandas(_save_queries(root), "dim int, block int, path string")
+    blocks = sorted(blocks.collect(), key=lambda r: r["path"])  # one short row per block
+    tiles = _tiles(built, blocks, 2 * parallelism(spark))
+    if not tiles:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    tasks = spark.createDataFrame(tiles, "graphs array<string>, blocks array<string>").repartition(len(tiles))
+    found = tasks.mapInPandas(_search(k, ef), FOUND)
+    # the best k of a query over its tiles; a set, as an id may be there with several vectors
+    ranked = found.groupBy("query_id").agg(F.array_sort(F.collect_set(F.struct((-F.col("score")).alias("less"), "vec_id", "score"))).alias("all"))
+    hits = ranked.select("query_id", F.posexplode(F.slice("all", 1, k)).alias("at", "hit"))
+    return hits.select("query_id", (F.col("at") + 1).cast("int").alias("rank"), F.col("hit.vec_id").alias("vec_id"), F.col("hit.score").alias("score"))

@@ -4,6 +4,7 @@ import collections
 import hashlib
 import html
 import io
+import os
 import random
 import re
 import time
@@ -461,7 +462,53 @@ def test_hnsw_graph_recall_and_files():
     assert len(hnsw.Graph.build(x[:1]).search(q[:2], 5)[0]) == 1
 
 
-def test_op1_recall_on_the_table(spark, tiny):
+def clusters(k, per, spread, dim, unit, seed=0):
+    rng = np.random.default_rng(seed)
+    c = rng.normal(size=(k, dim))
+    x = (c / np.linalg.norm(c, axis=1, keepdims=True) if unit else c)[:, None] + spread * rng.normal(size=(k, per, dim))
+    x = x.reshape(-1, dim)
+    x = x / np.linalg.norm(x, axis=1, keepdims=True) if unit else x
+    return x[rng.permutation(len(x))]
+
+
+@pytest.mark.parametrize("k,per,spread,dim,unit", [(10, 500, 0.05, 64, True), (40, 200, 0.05, 64, True), (40, 200, 0.001, 64, True), (40, 200, 0.05, 32, False), (1, 8000, 1.0, 48, False)])
+def test_hnsw_recall_on_clusters(k, per, spread, dim, unit):
+    x = clusters(k, per, spread, dim, unit)
+    g = hnsw.Graph.build(x)
+    q = x[::40]
+    found = g.search(q, 20)
+    least = np.sort(q @ x.T, axis=1)[:, -20]
+    assert np.mean([np.mean((n >= 0) & (x[n] @ v >= low - 1e-12)) for n, v, low in zip(found, q, least, strict=True)]) >= 0.9
+    start = g.members[1] if len(g.members) > 1 else np.zeros(1, int)
+    assert hnsw._reach(g.links[0], start).all()
+
+
+def test_hnsw_merges_shards_above_ef(spark):
+    x = clusters(10, 500, 0.05, 32, True)
+    d = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    got = collections.defaultdict(dict)
+    for r in hnsw.neighbours(d, F.col("vec_id") % 20 == 0, shard_rows=1500).collect():
+        got[r["query_id"]][r["rank"]] = r["vec_id"]
+    recall = []
+    for i in range(0, len(x), 20):
+        s = x @ x[i]
+        s[i] = -np.inf
+        recall.append(len(set(got[i].values()) & set(np.argsort(-s)[:20].tolist())) / 20)
+        assert sorted(got[i]) == list(range(1, 21))
+    assert np.mean(recall) >= 0.9
+
+
+def test_hnsw_tiles_cover_all_once():
+    built, blocks = [{"dim": 3, "path": f"g{i}"} for i in range(37)], [{"dim": 3, "path": f"b{i}"} for i in range(50)] + [{"dim": 4, "path": "x"}]
+    for tasks in (1, 12, 10_000):
+        pairs = [(g, b) for gs, bs in hnsw._tiles(built, blocks, tasks) for g in gs for b in bs]
+        assert len(pairs) == len(set(pairs)) == 37 * 50
+
+
+def test_op1_recall_on_the_table(spark):
+    tiny = "/root/testdata/sf0.1"
+    if not os.path.exists(tiny):
+        pytest.skip("no test tables here")
     got = collections.defaultdict(set)
     for x in QUERIES["op1_hnsw_search"](spark, tiny).collect():
         got[x["query_id"]].add(x["vec_id"])
