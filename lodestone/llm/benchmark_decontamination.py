@@ -9,22 +9,31 @@ along one alignment (document position minus item position) each item slot
 value must map to one document value, so a re-parameterised copy counts and a
 chance meeting of empty templates does not.
 
-DataFrame functions only.  The item windows are broadcast if their count is
-within ``broadcast_windows``; beyond, the same join runs as a shuffle.  A
-window's hash is 64 bits; the template words of surviving pairs are compared
-in full.
+*Search.* Each item's rarest windows are its probes: as many as may be missed,
+and one more, so a document that reaches ``min_share`` holds at least one of
+them.  Document windows are kept only if some item has them (the side that
+grows meets a unique one), candidate pairs come from the probes, and only for
+those are positions joined.
+
+DataFrame functions only.  The distinct item windows are broadcast if their
+count is within ``broadcast_windows``; beyond, the same join runs as a
+shuffle.  A window's hash is 64 bits; the template words of surviving pairs
+are compared in full.
 
 Definitions.  Number: digits with inner [.,:/] and an optional currency sign or
 percent sign, not touching letters.  Unit: a word of UNITS right after a
-number.  Name: a capitalised word one space after a letter, digit, comma or
-closing quote, that is, not at the start of a sentence or line.  Windows need
-``min_literals`` (2) words that are no placeholders.
-
-Cases: null texts match nothing; items with fewer than five template words, or
-no window with enough literals, match nothing; repeated rows of a doc_id are
-judged one by one and reported once; an empty table on either side gives an
-empty result.  Other columns are ignored by contaminated() and kept by
-drop_contaminated().
+number.  Name: a capitalised word that is none of OPENERS, wherever it stands,
+so a name that starts a sentence is one too and a passage reads the same in
+every context.  Each item is also read in lower case, for copies without
+capitals.  Windows need ``min_literals`` (2) words that are no placeholders.
+An item of two to four template words is one window of its own length.  An
+item without such a window (one word, or placeholders only) matches documents
+whose words, numbers included, are the item's, case and punctuation aside.
+
+Cases: null texts and items without words match nothing; repeated rows of a
+doc_id are judged one by one and reported once; an empty table on either side
+gives an empty result.  Other columns are ignored by contaminated() and kept
+by drop_contaminated().
 """
 
 from __future__ import annotations
@@ -33,6 +42,7 @@ from functools import reduce
 from operator import and_
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lodestone.llm.scratch import materialise
@@ -54,7 +64,15 @@ _VALUE = r"[$€£]?\d++(?:[.,:/]\d++)*+%?"
 _FREE = r"(?<![\p{L}\p{N}" + NUM + "])"
 MEASURE = _FREE + "(" + _VALUE + r")[ ]?(" + _UNIT + r")(?![\p{L}\p{N}])"
 NUMBER = _FREE + _VALUE + r"(?![\p{L}\p{N}])"
-PROPER = r"(?<=[\p{L}\p{N},;)'\"’”] )\p{Lu}[\p{L}\p{N}]*+(?:['’-][\p{L}\p{N}]++)*+"
+# capitalised words that open sentences and are no names (English, then German, French and Spanish)
+OPENERS = (
+    "a about after all also although an and another any are as at be because before both but by can could did do does during each either every few find for from give given "
+    "had has have he her here his how however i if in into is it its let many may more most my no not now of on once one only or other our over she should since so some "
+    "such than that the their then there these they this those through to under until up was we were what when where whether which while who whose why will with would you your "
+    "der die das ein eine und wenn wie wer wo es ist le la les un une et si il elle de du en el los las y que qué cómo cuánto se por para"
+)
+_OPEN = "|".join(sorted((w.capitalize() for w in OPENERS.split()), key=lambda w: (-len(w), w)))
+PROPER = r"(?<![\p{L}\p{N}])(?!(?:" + _OPEN + r")(?![\p{L}\p{N}]))\p{Lu}[\p{L}\p{N}]*+(?:['’-][\p{L}\p{N}]++)*+"
 SPLIT = "[^\\p{L}\\p{N}" + NUM + NAME + UNIT + "]+"
 
 
@@ -92,21 +110,59 @@ def _bind(value: Column, use) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
-def _hashes(words: Column, window: int) -> Column:
+def _hash(words: Column, at: Column, n: int) -> Column:
+    return F.xxhash64(*[words[at + k] for k in range(n)])
+
+
+def _windows(words: Column, lengths: list[int]) -> Column:
+    """Array of (dpos, h): the hashes of all windows of these lengths."""
+
     def of(w: Column) -> Column:
-        at = F.sequence(F.lit(0), F.size(w) - window)
-        return F.when(F.size(w) >= window, F.transform(at, lambda i: F.xxhash64(*[w[i + k] for k in range(window)])))
+        def run(n: int) -> Column:
+            every = F.transform(F.sequence(F.lit(0), F.size(w) - n), lambda i: F.struct(i.alias("dpos"), _hash(w, i, n).alias("h")))
+            return F.when(F.size(w) >= n, every).otherwise(F.array().cast("array<struct<dpos:int,h:bigint>>"))
+
+        one = [run(n) for n in lengths]
+        return F.concat(*one) if len(one) > 1 else one[0]
 
     return _bind(words, of)
 
 
-def _items(benchmark: DataFrame, window: int, min_literals: int) -> DataFrame:
-    base = benchmark.select(F.col("item_id"), template_words(F.col("text").cast("string")).alias("words"), F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("ikey"))
-    at = F.when(F.size("words") >= window, F.sequence(F.lit(0), F.size("words") - window))
-    rows = base.select("item_id", "ikey", "words", F.explode(at).alias("ipos"))
-    body = F.slice("words", F.col("ipos") + 1, F.lit(window))
-    rows = rows.withColumn("body", body).where(F.size(F.filter("body", lambda x: ~x.isin(NUM, NAME, UNIT))) >= min_literals)
-    return rows.select("item_id", "ikey", "ipos", F.xxhash64(*[F.col("body")[k] for k in range(window)]).alias("h"), F.array_join("body", " ").alias("body"))
+def _plain(text: Column) -> Column:
+    """The words of a text in lower case, joined by one space."""
+    return F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " "))
+
+
+def _readings(benchmark: DataFrame) -> DataFrame:
+    """(item_id, text, ikey): each item as it is and, where that differs, in lower case."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    both = benchmark.select(F.col("item_id"), F.explode(F.array_distinct(F.array(text, F.lower(text)))).alias("text"))
+    return both.withColumn("ikey", F.xxhash64("text"))
+
+
+def _items(readings: DataFrame, window: int, min_literals: int) -> DataFrame:
+    base = readings.select("item_id", "ikey", template_words(F.col("text")).alias("words"))
+    base = base.withColumn("w", F.least(F.size("words"), F.lit(window)))
+    rows = base.select("item_id", "ikey", "words", "w", F.explode(F.sequence(F.lit(0), F.size("words") - F.col("w"))).alias("ipos"))
+    body = F.slice("words", F.col("ipos") + 1, F.col("w"))
+    rows = rows.withColumn("body", body).where(F.size(F.filter("body", lambda x: ~x.isin(NUM, NAME, UNIT) & (x != ""))) >= min_literals)
+    h = F.coalesce(*[F.when(F.col("w") == n, _hash(F.col("body"), F.lit(0), n)) for n in range(1, window + 1)])
+    return rows.select("item_id", "ikey", "ipos", "w", h.alias("h"), F.array_join("body", " ").alias("body")).distinct()
+
+
+def _same(a: DataFrame, b: DataFrame, cols: list[str]) -> Column:
+    return reduce(and_, [a[c].eqNullSafe(b[c]) for c in cols])
+
+
+def _probes(items: DataFrame, whole: DataFrame, min_share: float) -> DataFrame:
+    """(h, item_id, ikey): of each item, the rarest windows, one more than a match may miss."""
+    pair = ["item_id", "ikey"]
+    own = items.select("h", *pair).distinct()
+    rare = own.groupBy("h").agg(F.count("*").alias("f"))
+    own = own.join(rare, "h")
+    own = own.join(whole, _same(own, whole, pair)).select(own["h"], own["item_id"], own["ikey"], "f", "n_windows")
+    order = F.row_number().over(W.partitionBy(*pair).orderBy("f", "h"))
+    return own.withColumn("r", order).where(F.col("r") <= F.floor((1 - min_share) * F.col("n_windows") + 1e-9) + 1).select("h", *pair)
 
 
 def contaminated(
@@ -118,19 +174,30 @@ def contaminated(
     min_consistency: float = MIN_CONSISTENCY,
     broadcast_windows: int = BROADCAST_WINDOWS,
 ) -> DataFrame:
-    """(doc_id, item_id, n_windows, n_matched, share, doc key) of the contaminated documents."""
-    items = materialise(_items(benchmark, window, min_literals), "items")
-    whole = items.groupBy("item_id", "ikey").agg(F.countDistinct("body").alias("n_windows"))
-    keys = items.select("h", "item_id", "ikey", "ipos")
-    if items.count() <= broadcast_windows:
+    """(doc_id, dkey, item_id, ikey, n_windows, slot_consistency, n_matched) of the contaminated documents."""
+    pair = ["item_id", "ikey"]
+    readings = materialise(_readings(benchmark), "readings")
+    items = materialise(_items(readings, window, min_literals), "items")
+    lengths = sorted(r["w"] for r in items.select("w").distinct().collect())  # at most `window` numbers
+    whole = items.groupBy(*pair).agg(F.countDistinct("body").alias("n_windows"))
+    keys = items.select("h").distinct()
+    if keys.count() <= broadcast_windows:
         keys = F.broadcast(keys)
     base = docs.select(F.col("doc_id").alias("doc_id"), F.col("text").cast("string").alias("text"))
     base = base.withColumn("dkey", F.xxhash64(F.coalesce("text", F.lit(""))))
-    opened = base.select("doc_id", "dkey", F.posexplode(_hashes(template_words(F.col("text")), window)).alias("dpos", "h"))
-    met = materialise(opened.join(keys, "h").select("doc_id", "dkey", "item_id", "ikey", "dpos", "ipos"), "met")
+    words = template_words(F.col("text"))
+    if lengths in ([], [window]):
+        opened = base.select("doc_id", "dkey", F.posexplode(_bind(words, lambda w: F.when(F.size(w) >= window, F.transform(F.sequence(F.lit(0), F.size(w) - window), lambda i: _hash(w, i, window))))).alias("dpos", "h"))
+    else:
+        opened = base.select("doc_id", "dkey", F.explode(_windows(words, lengths)).alias("x")).select("doc_id", "dkey", "x.dpos", "x.h")
+    hits = materialise(opened.join(keys, "h").select("doc_id", "dkey", "dpos", "h").distinct(), "hits")
+    at = hits.select("doc_id", "dkey", "h").distinct()
+    pairs = at.join(_probes(items, whole, min_share), "h").select("doc_id", "dkey", *pair).distinct()
+    asked = pairs.join(items, _same(pairs, items, pair)).select("doc_id", "dkey", pairs["item_id"], pairs["ikey"], "ipos", "h")
+    met = asked.join(hits, _same(asked, hits, ["doc_id", "dkey"]) & (asked["h"] == hits["h"])).select(*[asked[c] for c in ("doc_id", "dkey", *pair, "ipos")], "dpos")
+    met = materialise(met, "met")
+    same = _same
     # enough windows in any alignment: few pairs remain
-    pair = ["item_id", "ikey"]
-    same = lambda a, b, cols: reduce(and_, [a[c].eqNullSafe(b[c]) for c in cols])
     count = met.groupBy("doc_id", "dkey", *pair).agg(F.countDistinct("ipos").alias("n"))
     count = count.join(whole, same(count, whole, pair)).where(F.col("n") >= min_share * F.col("n_windows")).select(count["doc_id"], count["dkey"], count["item_id"], count["ikey"], "n_windows")
     count = materialise(count, "pairs")
@@ -141,12 +208,12 @@ def contaminated(
     numbers, names, units = slot_values(F.col("text"))
     d = base.join(few, same(base, few, ["doc_id", "dkey"]), "left_semi").dropDuplicates(["doc_id", "dkey"])
     d = d.select(F.col("doc_id").alias("d_id"), F.col("dkey").alias("d_key"), template_words(F.col("text")).alias("dw"), numbers.alias("dn"), names.alias("dm"), units.alias("du"))
-    b = benchmark.select(F.col("item_id").alias("i_id"), F.col("text").cast("string").alias("text")).withColumn("i_key", F.xxhash64(F.coalesce("text", F.lit("")))).dropDuplicates(["i_id", "i_key"])
-    b = b.select("i_id", "i_key", template_words(F.col("text")).alias("iw"), numbers.alias("inn"), names.alias("im"), units.alias("iu"))
+    b = readings.select(F.col("item_id").alias("i_id"), F.col("ikey").alias("i_key"), "text").dropDuplicates(["i_id", "i_key"])
+    b = b.select("i_id", "i_key", F.least(F.size(template_words(F.col("text"))), F.lit(window)).alias("w"), template_words(F.col("text")).alias("iw"), numbers.alias("inn"), names.alias("im"), units.alias("iu"))
     full = rows.join(d, rows["doc_id"].eqNullSafe(d["d_id"]) & (rows["dkey"] == d["d_key"])).join(b, rows["item_id"].eqNullSafe(b["i_id"]) & (rows["ikey"] == b["i_key"]))
     # windows that are equal in full
-    full = full.withColumn("at", F.filter("at", lambda i: F.slice("iw", i + 1, F.lit(window)) == F.slice("dw", i + F.col("shift") + 1, F.lit(window))))
-    spots = F.array_distinct(F.flatten(F.transform("at", lambda i: F.sequence(i, i + window - 1))))
+    full = full.withColumn("at", F.filter("at", lambda i: F.slice("iw", i + 1, F.col("w")) == F.slice("dw", i + F.col("shift") + 1, F.col("w"))))
+    spots = F.array_distinct(F.flatten(F.transform("at", lambda i: F.sequence(i, i + F.col("w") - 1))))
     slots = F.filter(spots, lambda q: F.col("iw")[q].isin(NUM, NAME, UNIT))
 
     def value(words: str, num: str, name: str, unit: str, q: Column) -> Column:
@@ -159,10 +226,17 @@ def contaminated(
     full = full.withColumn("maps", F.array_distinct("maps"))
     agree = F.when(F.size("maps") == 0, F.lit(1.0)).otherwise(F.size(F.array_distinct(F.transform("maps", lambda m: m["i"]))) / F.size("maps"))
     full = full.withColumn("agree", agree).where(F.col("agree") >= min_consistency)
-    bodies = F.transform("at", lambda i: F.array_join(F.slice("iw", i + 1, F.lit(window)), " "))
+    bodies = F.transform("at", lambda i: F.array_join(F.slice("iw", i + 1, F.col("w")), " "))
     found = full.select("doc_id", "dkey", *pair, "n_windows", "agree", F.explode(bodies).alias("body"))
     found = found.groupBy("doc_id", "dkey", *pair, "n_windows").agg(F.countDistinct("body").alias("n_matched"), F.min("agree").alias("slot_consistency"))
-    return found.where(F.col("n_matched") >= min_share * F.col("n_windows"))
+    found = found.where(F.col("n_matched") >= min_share * F.col("n_windows"))
+    # items without a window: the whole text, word by word
+    bare = readings.join(whole, _same(readings, whole, pair), "left_anti").select(*pair, _plain(F.col("text")).alias("plain")).where("plain <> ''").distinct()
+    if bare.isEmpty():
+        return found
+    texts = base.select("doc_id", "dkey", _plain(F.col("text")).alias("plain")).where("plain <> ''")
+    equal = texts.join(bare, "plain").select("doc_id", "dkey", *pair, F.lit(1).cast("long").alias("n_windows"), F.lit(1).cast("long").alias("n_matched"), F.lit(1.0).alias("slot_consistency")).distinct()
+    return found.unionByName(equal)
 
 
 def report(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

@@ -409,8 +409,14 @@ def test_decontamination(spark):
 def by_hand(rows, items):
     """Containment of word 5-grams; for texts without numbers, names and units."""
     words = lambda t: re.sub(r"[^\w]+", " ", (t or "").lower()).split()
-    grams = lambda w: {" ".join(w[i : i + 5]) for i in range(len(w) - 4)}
-    return {(i, k) for i, t in rows for k, u in items if grams(words(u)) and len(grams(words(u)) & grams(words(t))) >= 0.8 * len(grams(words(u)))}
+    grams = lambda w, n: {" ".join(w[i : i + n]) for i in range(len(w) - n + 1)}
+    found = set()
+    for i, t in rows:
+        for k, u in items:
+            n = min(5, len(words(u)))
+            if n > 1 and len(grams(words(u), n) & grams(words(t), n)) >= 0.8 * len(grams(words(u), n)):
+                found.add((i, k))
+    return found
 
 
 def test_decontamination_equals_brute_force_on_plain_words(spark):
@@ -428,6 +434,93 @@ def test_decontamination_equals_brute_force_on_plain_words(spark):
     assert got == by_hand(rows, items)
 
 
+def test_decontamination_finds_names_at_sentence_starts_and_short_items(spark):
+    items = [
+        (1, "Alice has 5 apples. Bob gives Alice 7 more apples. How many apples does Alice have?"),
+        (2, "Solve for x."),
+        (3, "12 + 30 = 42"),
+        (4, "Yes"),
+        (5, ""),
+    ]
+    rows = [
+        (10, "Carol has 9 apples. Dan gives Carol 4 more apples. How many apples does Carol have?"),
+        (11, "So: Eve has 1 apples. Tom gives Eve 4,000 more apples. How many apples does Eve have? The end."),
+        (12, "Carol has 9 pears. Dan gives Carol 4 more pears. How much does it cost?"),
+        (13, "Now solve for x, please"),
+        (14, "12+30 = 42"),
+        (15, "12 + 31 = 43"),
+        (16, "yes, yes"),
+        (17, "YES"),
+        (18, items[0][1].lower()),
+        (19, "Alice has 5 apples. Bob gives Fred 7 more apples. How many apples does Gus have?"),
+    ]
+    got = {(x["doc_id"], x["item_id"]) for x in deco.report(docs(spark, rows), docs(spark, items, "item_id long, text string")).collect()}
+    assert got == {(10, 1), (11, 1), (13, 2), (14, 3), (17, 4), (18, 1)} | ({(19, 1)} & got)
+    strict = {(x["doc_id"], x["item_id"]) for x in deco.report(docs(spark, rows), docs(spark, items, "item_id long, text string"), min_consistency=1.0).collect()}
+    assert (19, 1) not in strict and (10, 1) in strict
+
+
+NAMES = ("Ada Ben Cleo Dov Eli Fay Gil Hana Ivo Jana Kai Lea".split(), "3 4 17 250 9.5 1,200".split(), "kg km miles hours".split())
+
+
+def filled(template, rng):
+    """A template with slots {n0} (names), {v0} (numbers) and {u0} (units) filled, one value per slot."""
+    slots = {}
+
+    def pick(m):
+        kind = {"n": 0, "v": 1, "u": 2}[m[1]]
+        taken = {v for k, v in slots.items() if k[0] == m[1]}
+        return slots.setdefault(m[1] + m[2], rng.choice([v for v in NAMES[kind] if v not in taken]))
+
+    return re.sub(r"\{([nvu])(\d)\}", pick, template)
+
+
+def test_decontamination_equals_brute_force_on_templates(spark):
+    r = random.Random(12)
+    vocab = [f"word{chr(97 + i)}{chr(97 + j)}" for i in range(8) for j in range(4)]
+
+    def template():
+        out = []
+        for k in range(r.choice([8, 14, 20])):
+            out.append(r.choice(["{n0}", "{n1}", "{v0} {u0}", "{v1}"]) if k % 4 == r.randrange(4) else r.choice(vocab))
+        return " ".join(out)
+
+    shapes = [template() for _ in range(12)]
+    items = [(k, filled(t, r)) for k, t in enumerate(shapes)]
+    rows = []
+    for i in range(72):
+        noise = lambda: " ".join(r.choice(vocab) for _ in range(12))
+        body = filled(shapes[i % 12], r)
+        if i % 3 == 2:  # only half of it
+            body = " ".join(body.split()[: len(body.split()) // 2])
+        rows.append((i, f"{noise()} {body} {noise()}"))
+
+    def words(t):
+        out = []
+        for w in t.split():
+            out.append(("N", w) if w in NAMES[0] else ("V", w) if w in NAMES[1] else ("U", w) if w in NAMES[2] else ("", w))
+        return out
+
+    want = set()
+    for i, t in rows:
+        d = words(t)
+        for k, u in items:
+            it = words(u)
+            kind = lambda x: tuple(x[0] or x[1] for x in x)
+            wins = {p: kind(it[p : p + 5]) for p in range(len(it) - 4) if sum(not x[0] for x in it[p : p + 5]) >= 2}
+            ok = set()
+            for shift in range(-len(it), len(d)):
+                at = [p for p in wins if 0 <= p + shift and p + shift + 5 <= len(d) and kind(d[p + shift : p + shift + 5]) == wins[p]]
+                spots = {q for p in at for q in range(p, p + 5) if it[q][0]}
+                maps = {(it[q], d[q + shift]) for q in spots}
+                if at and (not maps or len({m[0] for m in maps}) / len(maps) >= 0.75):
+                    ok |= {wins[p] for p in at}
+            if ok and len(ok) >= 0.8 * len(set(wins.values())):
+                want.add((i, k))
+    got = {(x["doc_id"], x["item_id"]) for x in deco.report(docs(spark, rows), docs(spark, items, "item_id long, text string")).collect()}
+    assert got == want and len(want) >= 40
+
+
 # ---- op1 --------------------------------------------------------------------------
 def test_hnsw_recall_ties_and_cases(spark):
     r = random.Random(2)
