@@ -26,3 +26,17 @@ def build_session(app: str = "lodestone", master: str | None = None, **settings:
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the Parquet tables below `sf_dir`."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A scan of fewer splits than there are cores, dealt over all cores; larger scans stay as they are.
+
+    For work that costs far more than moving the rows: a small file of one
+    row group is one split, however much is done with each row.  What has an
+    exchange in its plan gets its partitions there and is left alone.
+    """
+    execution = df._jdf.queryExecution()
+    if "Exchange" in execution.executedPlan().toString():
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if execution.toRdd().getNumPartitions() < cores else df
