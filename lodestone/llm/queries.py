@@ -8,13 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.llm import benchmark_decontamination, hnsw, html_extraction, language_id, mixing, pii, simhash_dedup, substring_dedup, token_store, url_filter
+from lodestone.session import spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,7 +134,7 @@ QUERIES["op1_hnsw_search"] = op1_hnsw_search
 
 
 def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
 def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
