@@ -3,7 +3,8 @@
 1. *Score.* Each page is read into blocks of text under a chain of structural
    containers.  A container scores its own paragraphs' text outside links plus
    a share of its children's scores; article-like tags and containers that hold
-   the main heading weigh more, boilerplate containers nothing.
+   the main heading weigh more, those whose names only hint at boilerplate
+   less, and boilerplate nothing.
 2. *Vote.* A container's path is its chain of tag.class steps with digits
    generalised.  Pages vote for their best paths, and the votes are summed per
    host in Spark, pre-aggregated per batch, so a hot host costs no more than
@@ -13,6 +14,13 @@
 
 A page whose host's paths it lacks uses its own best container.
 
+Boilerplate is what its tag or role says (nav, footer, aside, form, ...), and
+what a class or id says with nothing else in the word: every part of it is a
+boilerplate word or a word of layout ("comment-list", "sidebar-left").  A name
+with any other part ("related-work", "menu-prices", "side-by-side") lowers the
+container's score by HINTED, and its text stays if the container wins or lies
+in the winner, unless most of it is links.
+
 Text: character references are decoded, white space inside a block becomes one
 space, blocks are trimmed and joined by one newline in page order.
 
@@ -24,8 +32,11 @@ their own.  An empty table gives an empty result.  Other columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 import html as html_lib
 import re
+from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -42,6 +53,10 @@ BROADCAST_HOSTS = 100_000
 CHILD_SHARE = 0.6
 #: weight of article-like tags, and of a container that holds the main heading itself
 GOOD, HEADED = 2.0, 1.8
+#: characters beyond which a path's head becomes a digest
+PATH_CHARS = 2_000
+#: weight of a container with a boilerplate word among others in its name
+HINTED = 0.5
 
 # elements that hold other blocks and may be a container
 STRUCTURE = frozenset("body article main section div nav header footer aside form ul ol dl table tbody thead tr td th figure details dialog menu fieldset center".split())
@@ -50,32 +65,55 @@ BLOCK = STRUCTURE | frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre blockquote figca
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 # elements whose content is no text
 RAW = "script|style|iframe|textarea|title|noscript|xmp"
-# the same, but an unclosed one does not swallow the rest of the page
+# the same, but an unclosed one does not swallow the rest of the page: end tags are looked up once per page
 CLOSED = "template|svg|math|object|canvas|select|button|audio|video|map|datalist"
 SKIP_TAGS = frozenset("nav footer aside form menu dialog fieldset".split())
 GOOD_TAGS = frozenset(("article", "main"))
-SKIP_NAME = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adv|adverts?|advertisements?|advertising|banner|sponsor(?:ed)?|promo(?:tion)?|cookies?|consent|gdpr|notices?|alert|popup|modal|overlay|"
-    r"newsletter|subscribe|subscription|signup|login|comments?|commentlist|disqus|replies|reply|respond|share|sharing|social|related|recommended|sidebar|side|widget|"
-    r"breadcrumbs?|(?:site|page|global|top|main)-?header|menu|nav|navbar|navigation|footer|masthead|pagination|pager|toolbar|skip|hidden)(?:$|[\s_-]|\d)",
-    re.I,
+SKIP_WORDS = frozenset(
+    "ad ads adv advert adverts advertisement advertisements advertising banner sponsor sponsored promo promotion cookie cookies consent gdpr notice notices alert popup modal "
+    "overlay newsletter subscribe subscription signup login comment comments commentlist disqus reply replies respond share sharing social related recommended sidebar side "
+    "widget widgets breadcrumb breadcrumbs menu nav navbar navigation footer masthead pagination pager toolbar skip hidden".split()
+)
+# words that say where a thing is or how it is drawn, not what it is
+LAYOUT_WORDS = frozenset(
+    "left right top bottom main site page global primary secondary upper lower inner outer box block list item items wrap wrapper wrapping container content area section region "
+    "panel row col column columns bar strip button buttons btn icons icon link links post posts article articles story stories news thread form group unit slot text title header "
+    "head body small large mobile desktop sticky fixed js the a an to us policy message msg tags media follow and".split()
 )
+PARTS = re.compile(r"[^\W_]+")
+HEADERS = frozenset(("site", "page", "global", "top", "main"))
+
+
+def named(names: str) -> int:
+    """2 for a class or id that names boilerplate, 1 for a hint of it among other words, 0 for none."""
+    found = 0
+    for name in names.lower().split():
+        parts = [p.rstrip("0123456789") for p in PARTS.findall(name)]
+        parts = [p for p in parts if p]
+        bad = any(p in SKIP_WORDS for p in parts) or ("header" in parts and len(parts) == 2 and not HEADERS.isdisjoint(parts)) or (len(parts) == 1 and parts[0].endswith("header") and parts[0][:-6] in HEADERS)
+        if bad and all(p in SKIP_WORDS or p in LAYOUT_WORDS or p.endswith("header") for p in parts):
+            return 2
+        found = max(found, int(bad))
+    return found
+
+
 SKIP_ROLE = re.compile(r"\brole\s*=\s*[\"']?(?:navigation|banner|contentinfo|complementary|search|dialog|alert|menu)", re.I)
 TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)|<(?P<closed>{CLOSED})\b[^>]*>.*?</(?P=closed)\s*>|"
+    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)|<(?P<closed>{CLOSED})\b[^>]*>|"
     r"<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/a-zA-Z][^>]*(?:>|\Z)|(?P<text>[^<]+|<)",
     re.S | re.I,
 )
+CLOSERS = re.compile(rf"</(?P<name>{CLOSED})\s*>", re.I)
 CLASS = re.compile(r"\bclass\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 IDENT = re.compile(r"(?<![\w-])id\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 DIGITS = re.compile(r"\d+")
 
 
 class Node:
-    __slots__ = ("tag", "path", "parent", "skip", "own", "link", "order", "headed")
+    __slots__ = ("tag", "path", "parent", "skip", "hinted", "own", "link", "order", "headed")
 
-    def __init__(self, tag: str, path: str, parent: Node | None, skip: bool, order: int):
-        self.tag, self.path, self.parent, self.skip, self.order = tag, path, parent, skip, order
+    def __init__(self, tag: str, path: str, parent: Node | None, skip: bool, order: int, hinted: bool = False):
+        self.tag, self.path, self.parent, self.skip, self.order, self.hinted = tag, path, parent, skip, order, hinted
         self.own, self.link, self.headed = 0, 0, False
 
 
@@ -84,10 +122,38 @@ def _name(rx: re.Pattern, attrs: str) -> str:
     return next((g for g in m.groups() if g is not None), "") if m else ""
 
 
+def _below(path: str, step: str) -> str:
+    """A path's child; the head of a very long path is folded into a digest, so that deep pages stay linear."""
+    if len(path) > PATH_CHARS:
+        path = hashlib.md5(path.encode()).hexdigest()
+    return f"{path}>{step}"
+
+
+def _tokens(page: str) -> Iterator[re.Match]:
+    """Tokens in page order; what lies in a closed element is passed over."""
+    ends: dict[str, list[int]] | None = None
+    at = 0
+    while (m := TOKEN.match(page, at)) is not None:
+        at = m.end()
+        closed = m["closed"]
+        if closed is None:
+            yield m
+            continue
+        if ends is None:
+            ends = {}
+            for c in CLOSERS.finditer(page):
+                ends.setdefault(c["name"].lower(), []).append(c.end())
+        mine = ends.get(closed.lower(), [])
+        k = bisect_right(mine, at)
+        if k < len(mine):
+            at = mine[k]
+
+
 def parse(page: str) -> tuple[list[Node], list[tuple[Node, str]]]:
     """Containers in page order, and (container, text) blocks in page order."""
     root = Node("", "", None, False, 0)
     nodes, blocks, stack = [root], [], [root]
+    opened: Counter[str] = Counter()
     held: list[str] = []
     link = 0
     link_chars = 0
@@ -107,7 +173,7 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str]]]:
                 blocks.append((node, text))
         link_chars = 0
 
-    for m in TOKEN.finditer(page):
+    for m in _tokens(page):
         text = m["text"]
         if text is not None:
             held.append(text)
@@ -133,12 +199,13 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str]]]:
         heading = tag == "h1" and not closing
         if tag not in STRUCTURE:
             attrs = m["attrs"]
-            mute = not closing and bool(attrs) and bool(SKIP_NAME.search(_name(CLASS, attrs) + " " + _name(IDENT, attrs)))
+            mute = not closing and bool(attrs) and named(_name(CLASS, attrs) + " " + _name(IDENT, attrs)) == 2
             continue
         if closing:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    del stack[k:]
+            while opened[tag]:
+                last = stack.pop()
+                opened[last.tag] -= 1
+                if last.tag == tag:
                     break
             continue
         attrs = m["attrs"]
@@ -146,20 +213,30 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str]]]:
         if tag == "body" and top.tag == "body":
             continue
         names = (_name(CLASS, attrs) + " " + _name(IDENT, attrs)).strip() if attrs else ""
-        inside_article = any(n.tag in GOOD_TAGS for n in stack)
-        skip = tag in SKIP_TAGS or (tag == "header" and not inside_article)
+        skip = tag in SKIP_TAGS or (tag == "header" and not any(opened[t] for t in GOOD_TAGS))
+        hint = 0
         if not skip and attrs and tag not in ("body", "article", "main"):
-            skip = bool(names and SKIP_NAME.search(names)) or bool(SKIP_ROLE.search(attrs))
+            hint = named(names) if names else 0
+            skip = hint == 2 or bool(SKIP_ROLE.search(attrs))
         step = tag
         if attrs and tag != "body":  # a body's classes often name the single page
             classes = sorted(_name(CLASS, attrs).lower().split())
             if classes:
                 step += "." + ".".join(DIGITS.sub("#", c) for c in classes)
-        node = Node(tag, f"{top.path}>{step}", top, skip or top.skip, len(nodes))
+        node = Node(tag, _below(top.path, step), top, skip or top.skip, len(nodes), hint == 1)
         nodes.append(node)
         if not attrs.endswith("/") or tag == "div":
             stack.append(node)
+            opened[tag] += 1
     flush()
+    # a hint and mostly links: boilerplate after all
+    text, links = [n.own for n in nodes], [n.link for n in nodes]
+    for n in reversed(nodes):
+        if n.parent is not None:
+            text[n.parent.order] += text[n.order]
+            links[n.parent.order] += links[n.order]
+    for n in nodes:
+        n.skip = n.skip or (n.parent is not None and n.parent.skip) or (n.hinted and 2 * links[n.order] > text[n.order])
     return nodes, blocks
 
 
@@ -175,7 +252,7 @@ def scores(nodes: list[Node]) -> dict[str, float]:
     out: dict[str, float] = {}
     for n in nodes:
         if not n.skip and total[n.order] > 0:
-            weight = (GOOD if n.tag in GOOD_TAGS else 1.0) * (HEADED if n.headed and n.tag != "body" else 1.0)
+            weight = (HINTED if n.hinted else 1.0) * (GOOD if n.tag in GOOD_TAGS else 1.0) * (HEADED if n.headed and n.tag != "body" else 1.0)
             out[n.path] = out.get(n.path, 0.0) + total[n.order] * weight
     return out
 
@@ -218,11 +295,10 @@ def _vote(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if not isinstance(page, str) or not page:
                 continue
             found = scores(parse(page)[0])
-            best = _ranked(found)[:3]
-            whole = sum(found[p] for p in best)
-            for p in best:
+            whole = sum(found.values())
+            for p, score in found.items():
                 v = votes.setdefault((host, p), [0.0, 0])
-                v[0] += found[p] / whole
+                v[0] += score / whole
                 v[1] += 1
         if votes:
             yield pd.DataFrame({"host": [h for h, _ in votes], "path": [p for _, p in votes], "vote": [v[0] for v in votes.values()], "pages": [v[1] for v in votes.values()]})

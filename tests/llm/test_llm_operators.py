@@ -695,6 +695,27 @@ def test_html_main_heading_and_boilerplate():
     assert find(f'<main><h1>T</h1><article>{body}<section id="comments"><p>{"nice " * 300}</p></section></article><div role="complementary">y</div></main>', []) == "T\n" + text.strip()
 
 
+def test_html_keeps_text_inside_the_article_and_stays_linear():
+    page = '<article><p>one two three</p><section class="related-work"><p>kept text here</p></section><p class="menu-prices">and prices</p><div class="comment-list"><p>gone</p></div></article>'
+    assert html_extraction.extract(page, []) == "one two three\nkept text here\nand prices"
+    assert html_extraction.extract('<body><div class="side-by-side"><p>all the text</p></div></body>', []) == "all the text"
+    links = '<div id="x"><p>kept kept kept</p><div class="related-things"><a href=x>link one</a> <a href=y>two</a></div></div>'
+    assert html_extraction.extract('<div class="sidebar-left"><p>gone</p></div>' + links, []) == "kept kept kept"
+    for name, want in {"ad": 2, "share-buttons": 2, "top-header": 2, "SiteHeader": 2, "widget3": 2, "shade": 0, "adapter": 0, "header": 0, "ad-hoc": 1, "navigation-theory": 1}.items():
+        assert html_extraction.named(name) == want, name
+    for page in ("<p>a</p>" + "<button>x" * 200_000, "<div>" * 50_000 + "x", "<section><p>x</p>" * 20_000 + "</nav>" * 20_000, "<a '" * 50_000, "<!-- " * 50_000):
+        began = time.monotonic()
+        html_extraction.extract(page, [])
+        assert time.monotonic() - began < 8
+    assert html_extraction.parse("<svg><p>in</p></svg><p>out</p><svg><p>open</p>")[1][0][1] == "out"
+
+
+def test_html_repeated_rows_and_nulls(spark):
+    rows = [(1, "http://a/x", PAGE)] * 3 + [(None, "http://a/y", None), (2, None, PAGE)]
+    got = html_extraction.extract_main_text(docs(spark, rows, "page_id long, url string, html string")).collect()
+    assert sorted((x["page_id"] or 0, x["n_chars"]) for x in got) == [(0, 0), (1, len(TEXT)), (1, len(TEXT)), (1, len(TEXT)), (2, len(TEXT))]
+
+
 def test_html_on_the_table(spark, tiny):
     pages = spark.read.parquet(f"{tiny}/pages.parquet")
     got = {x["page_id"]: x["text"] for x in QUERIES["op7_html_extraction"](spark, tiny).collect()}
