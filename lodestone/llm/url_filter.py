@@ -6,12 +6,16 @@ method judges: host labels are cut into words by unigram Viterbi (so that
 "casinowin" reads casino win), and a multinomial naive Bayes model scores the
 host words and the path words.
 
-Both models are learned from the table.  Unigrams are the path words of all
-urls with a lexicon of host words on top.  Naive Bayes counts words over all
-urls, labelled by whether the segmented host holds a word of BLOCK_WORDS; the
-lexicon also enters as pseudo-counts.  The models keep the ``vocabulary`` most
-frequent words (a bound on model size, documented parameter); a word outside
-says nothing either way.
+Both models are learned from the whole table and behave alike at every size.
+Unigrams are half the path words of all urls, half a lexicon of host words.  A
+word counts as one if its share of all path words is ``min_share`` or more,
+which bounds the dictionary by 1/min_share words.  Naive Bayes is fitted on
+the urls that a rule labels, all of them: their segmented host words and path
+words, by the rule's verdict.  BLOCK_WORDS and HOST_WORDS are prior knowledge:
+they hold half of each class's mass.  Counts are kept in a table of fixed
+size by hash, so no word is dropped for being rare; words that share a place
+share their counts, and a place that was never met says nothing.  Both classes
+are equally likely beforehand: what the rules cover says nothing on the rest.
 
 Cases: a null url, or one without ``://``, has empty host and path, no rule
 fits it, and it has no words, so it is allowed.  Repeated rows are judged one
@@ -22,16 +26,23 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-VOCABULARY = 50_000
-#: pseudo-count of lexicon words
-LEXICON_COUNT = 1000
+from lodestone.llm.scratch import materialise
+
+#: share of all path words from which a word is in the dictionary of the segmenter
+MIN_SHARE = 2e-6
+#: part of the unigrams, and of each class's words, that the word lists hold
+LEXICON_SHARE = 0.5
+#: places of the table of word counts
+PLACES = 1 << 18
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 RULES = (
@@ -82,11 +93,10 @@ class Segmenter:
 
     LONGEST = 24
 
-    def __init__(self, counts: dict[str, int]):
-        total = sum(counts.values()) or 1
-        self.cost = {w: -math.log(c / total) for w, c in counts.items()}
-        # unknown words: ever less likely with length, dearer than two known ones
-        self.base, self.step = math.log(total) + 2.0, 2.3
+    def __init__(self, shares: dict[str, float]):
+        self.cost = {w: -math.log(p) for w, p in shares.items()}
+        # unknown words: ever less likely with length
+        self.base, self.step = 12.0, 2.3
         self.words = lru_cache(maxsize=100_000)(self._words)
 
     def _words(self, run: str) -> tuple[str, ...]:
@@ -115,50 +125,64 @@ def words_of(seg: Segmenter, host: str, path: str) -> tuple[list[str], list[str]
     return host_words, _RUN.findall(path.lower())
 
 
-def _tokens(handle) -> callable:
+def unigrams(counts: dict[str, int]) -> dict[str, float]:
+    """Word shares: path words by count, mixed with the word lists."""
+    total = sum(counts.values())
+    lexicon = sorted(set((BLOCK_WORDS + " " + HOST_WORDS).split()))
+    part = LEXICON_SHARE if total else 1.0
+    shares = {w: (1 - part) * c / total for w, c in counts.items()}
+    for w in lexicon:
+        shares[w] = shares.get(w, 0.0) + part / len(lexicon)
+    return shares
+
+
+def place(kind: str, word: str) -> int:
+    """The place of a host ("h") or path ("p") word in the table of counts."""
+    return zlib.crc32(f"{kind}:{word}".encode("utf-8", "surrogatepass")) % PLACES
+
+
+def places(host_words: list[str], path_words: list[str]) -> list[int]:
+    return [place("h", w) for w in host_words] + [place("p", w) for w in path_words]
+
+
+def _count(handle) -> callable:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seg = Segmenter(handle.value)
-        bad = set(BLOCK_WORDS.split())
         for pdf in frames:
-            count: dict[str, list[int]] = {}
-            for host, path in zip(pdf["host"], pdf["path"], strict=True):
-                h, p = words_of(seg, host, path)
-                label = not bad.isdisjoint(h)
-                count.setdefault("", [0, 0])[label] += 1
-                for w in h:
-                    count.setdefault("h:" + w, [0, 0])[label] += 1
-                for w in p:
-                    count.setdefault("p:" + w, [0, 0])[label] += 1
-            yield pd.DataFrame({"word": list(count), "n_allow": [c[0] for c in count.values()], "n_block": [c[1] for c in count.values()]})
+            total = np.zeros((2, PLACES), np.int64)
+            for host, path, verdict in zip(pdf["host"], pdf["path"], pdf["verdict"], strict=True):
+                np.add.at(total[int(verdict == "block")], places(*words_of(seg, host, path)), 1)
+            at = np.flatnonzero(total.any(axis=0))
+            yield pd.DataFrame({"place": at.astype(np.int32), "n_allow": total[0, at], "n_block": total[1, at]})
 
     return run
 
 
 class Bayes:
-    """Log-odds of block against allow, by word."""
-
-    def __init__(self, counts: dict[str, tuple[int, int]], docs: tuple[int, int]):
-        merged = {w: [float(a), float(b)] for w, (a, b) in counts.items()}
-        for w in BLOCK_WORDS.split():
-            merged.setdefault("h:" + w, [0.0, 0.0])[1] += 1
-        for w in HOST_WORDS.split():
-            merged.setdefault("h:" + w, [0.0, 0.0])[0] += 1
-        allow, block = (sum(c[i] for c in merged.values()) + len(merged) for i in (0, 1))
-        self.odds = {w: math.log((b + 1) / block) - math.log((a + 1) / allow) for w, (a, b) in merged.items()}
-        self.prior = math.log((docs[1] + 1) / (docs[0] + 1))
+    """Log-odds of block against allow, by place."""
+
+    def __init__(self, counts: dict[int, tuple[int, int]]):
+        n = np.zeros((2, PLACES))
+        for k, (a, b) in counts.items():
+            n[:, k] = a, b
+        for i, words in enumerate((HOST_WORDS.split(), BLOCK_WORDS.split())):
+            # as much as all that was counted, or one each where nothing was
+            weight = max(n[i].sum() * LEXICON_SHARE / (1 - LEXICON_SHARE) / len(words), 1.0)
+            np.add.at(n[i], [place("h", w) for w in words], weight)
+        met = n.any(axis=0)
+        p = (n + 1) / (n.sum(axis=1, keepdims=True) + met.sum())
+        self.odds = np.where(met, np.log(p[1]) - np.log(p[0]), 0.0)
 
     def score(self, host_words: list[str], path_words: list[str]) -> float:
-        get = self.odds.get
-        return self.prior + sum(get("h:" + w, 0.0) for w in host_words) + sum(get("p:" + w, 0.0) for w in path_words)
+        return float(self.odds[places(host_words, path_words)].sum()) if host_words or path_words else 0.0
 
 
-def _judge(unigrams, model):
+def _judge(shares, counts):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seg, bayes = Segmenter(unigrams.value), Bayes(*model.value)
+        seg, bayes = Segmenter(shares.value), Bayes(counts.value)
         for pdf in frames:
             said = [words_of(seg, h, p) for h, p in zip(pdf["host"], pdf["path"], strict=True)]
-            score = [bayes.score(h, p) if h or p else -1.0 for h, p in said]
-            yield pdf.assign(host_words=[" ".join(h) for h, _ in said], score=score)
+            yield pdf.assign(host_words=[" ".join(h) for h, _ in said], score=[bayes.score(h, p) for h, p in said])
 
     return run
 
@@ -168,27 +192,25 @@ def _parsed(pages: DataFrame) -> DataFrame:
     return pages.select(F.col("page_id").cast("long").alias("page_id"), host.alias("host"), path.alias("path"))
 
 
-def fit(pages: DataFrame, vocabulary: int = VOCABULARY) -> tuple[dict, tuple]:
-    """(unigram counts, naive Bayes counts), from all urls of the table."""
+def fit(pages: DataFrame, rules=RULES, min_share: float = MIN_SHARE) -> tuple[dict[str, float], dict[int, tuple[int, int]]]:
+    """(unigram shares, naive Bayes counts by place), from all urls of the table."""
     parsed = _parsed(pages)
     words = parsed.select(F.explode(F.split(F.lower("path"), r"[^\p{L}]+")).alias("w")).where("w <> ''")
-    top = words.groupBy("w").count().orderBy(F.desc("count"), "w").limit(vocabulary).collect()
-    unigrams = {r["w"]: r["count"] for r in top}
-    for w in (BLOCK_WORDS + " " + HOST_WORDS).split():
-        unigrams[w] = unigrams.get(w, 0) + LEXICON_COUNT
-    handle = pages.sparkSession.sparkContext.broadcast(unigrams)
-    counted = parsed.select("host", "path").mapInPandas(_tokens(handle), "word string, n_allow long, n_block long")
-    counted = counted.groupBy("word").agg(F.sum("n_allow").alias("n_allow"), F.sum("n_block").alias("n_block"))
-    rows = counted.orderBy(F.desc(F.col("n_allow") + F.col("n_block")), "word").limit(vocabulary).collect()
-    counts = {r["word"]: (r["n_allow"], r["n_block"]) for r in rows}
-    return unigrams, (counts, counts.pop("", (0, 0)))
-
-
-def judge(pages: DataFrame, model: tuple[dict, tuple] | None = None, rules=RULES) -> DataFrame:
+    counted = materialise(words.groupBy("w").agg(F.count("*").alias("n")), "words")
+    total = counted.agg(F.sum("n")).first()[0] or 0
+    shares = unigrams({r["w"]: r["n"] for r in counted.where(F.col("n") >= min_share * total).collect()})  # at most 1 / min_share words
+    handle = pages.sparkSession.sparkContext.broadcast(shares)
+    labelled = parsed.select("host", "path", rule_of(F.col("host"), F.col("path"), rules)[1].alias("verdict")).where("verdict IS NOT NULL")
+    counts = labelled.mapInPandas(_count(handle), "place int, n_allow long, n_block long")
+    counts = counts.groupBy("place").agg(F.sum("n_allow").alias("a"), F.sum("n_block").alias("b"))
+    return shares, {r["place"]: (r["a"], r["b"]) for r in counts.collect()}  # at most PLACES rows
+
+
+def judge(pages: DataFrame, model: tuple[dict, dict] | None = None, rules=RULES) -> DataFrame:
     """One row per page: page_id, host, path, rule, verdict, host_words, score (log-odds of block)."""
-    unigrams, bayes = model or fit(pages)
+    shares, bayes = model or fit(pages, rules)
     context = pages.sparkSession.sparkContext
-    scored = _parsed(pages).mapInPandas(_judge(context.broadcast(unigrams), context.broadcast(bayes)), "page_id long, host string, path string, host_words string, score double")
+    scored = _parsed(pages).mapInPandas(_judge(context.broadcast(shares), context.broadcast(bayes)), "page_id long, host string, path string, host_words string, score double")
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     method = F.when(F.col("score") > 0, "block").otherwise("allow")
     return scored.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, method).alias("verdict"), "host_words", "score")

@@ -4,6 +4,7 @@ import collections
 import hashlib
 import html
 import io
+import math
 import os
 import random
 import re
@@ -742,6 +743,68 @@ def test_url_filter(spark):
     assert url_filter.judge(docs(spark, [], "page_id long, url string")).count() == 0
 
 
+def every_cut(run):
+    for cuts in range(1 << (len(run) - 1)):
+        out, at = [], 0
+        for i in range(1, len(run) + 1):
+            if i == len(run) or cuts >> (i - 1) & 1:
+                out.append(run[at:i])
+                at = i
+        yield tuple(out)
+
+
+def test_segmentation_equals_enumeration_at_every_corpus_size():
+    counts = {"in": 40, "cas": 3, "s": 25, "a": 30, "news": 50, "bonus": 2, "gar": 1, "den": 4, "obonu": 1}
+    seg = url_filter.Segmenter(url_filter.unigrams(counts))
+    big = url_filter.Segmenter(url_filter.unigrams({w: c * 100_000 for w, c in counts.items()}))
+    price = lambda ws: sum(seg.cost.get(w, seg.base + seg.step * len(w)) for w in ws)
+    for run in ("freebonus", "gardenclub", "newscasino", "xqzzy", "casinobonus", "aaaa", "é"):
+        got = seg.words(run)
+        assert "".join(got) == run and math.isclose(price(got), min(map(price, every_cut(run)))) and big.words(run) == got
+    assert big.words("freecasinobonus") == ("free", "casino", "bonus")
+
+
+def test_url_filter_equals_plain_python(spark):
+    r = random.Random(5)
+    hosts = ["a.org", "x.example.org", "shop.com", "best-casino.net", "my.gardennews.net", "example.org", "freeloans.info"]
+    rows = [(i % 40, r.choice([f"http://{r.choice(hosts)}/{r.choice(['en/1', 'es', 'de/w', 'fr/wein', 'news', 'bonus/x'])}/{r.choice('abc')}{i % 9}", None, "x", "http://A.com/de/1"])) for i in range(300)]
+    rows += rows[:5]
+    got = url_filter.judge(docs(spark, rows, "page_id long, url string")).collect()
+
+    def parse(u):
+        rest = u.split("://", 1)[1] if u and "://" in u else ""
+        host = re.split(r"[/?#]", rest, maxsplit=1)[0]
+        return "".join(c.lower() if "A" <= c <= "Z" else c for c in host), re.split(r"[?#]", rest[len(host) :], maxsplit=1)[0]
+
+    def rule(host, path):
+        fit = [(h + p, say) for say, h, p in url_filter.RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        return max(fit, key=lambda x: len(x[0])) if fit else None
+
+    words = collections.Counter(w for _, u in rows for w in re.findall(r"[^\W\d_]+", parse(u)[1].lower()))
+    seg = url_filter.Segmenter(url_filter.unigrams(dict(words)))
+    tally = collections.defaultdict(lambda: [0.0, 0.0])
+    for _, u in rows:
+        if rule(*parse(u)):
+            h, p = url_filter.words_of(seg, *parse(u))
+            for w in [("h", w) for w in h] + [("p", w) for w in p]:
+                tally[w][rule(*parse(u))[1] == "block"] += 1
+    for i, lexicon in enumerate((url_filter.HOST_WORDS.split(), url_filter.BLOCK_WORDS.split())):
+        weight = max(sum(v[i] for v in tally.values()) / len(lexicon), 1.0)
+        for w in lexicon:
+            tally[("h", w)][i] += weight
+    whole = [sum(v[i] for v in tally.values()) + len(tally) for i in (0, 1)]
+    want = []
+    for i, u in rows:
+        h, p = url_filter.words_of(seg, *parse(u))
+        score = sum(math.log((tally[w][1] + 1) / whole[1]) - math.log((tally[w][0] + 1) / whole[0]) for w in [("h", w) for w in h] + [("p", w) for w in p] if w in tally)
+        found = rule(*parse(u))
+        want.append((i, *parse(u), found[0] if found else None, found[1] if found else "block" if score > 0 else "allow", round(score, 6)))
+    # the words here share no place, so the table of places is exact
+    assert len({url_filter.place(*w) for w in tally}) == len(tally)
+    assert sorted(((x["page_id"], x["host"], x["path"], x["rule"], x["verdict"], round(x["score"], 6)) for x in got), key=repr) == sorted(want, key=repr)
+    assert {x["verdict"] for x in got if x["host"] == "best-casino.net"} >= {"block"}
+
+
 # ---- pipeline -------------------------------------------------------------------------
 def test_pipeline_stages(spark, tiny):
     import corpus_pipeline
