@@ -80,10 +80,27 @@ def _grow(x, grad, hess, rows, depth: int, cuts, reg: float, least: int):
     return (f, float(cut), _grow(x, grad, hess, rows[left], depth - 1, cuts, reg, least), _grow(x, grad, hess, rows[~left], depth - 1, cuts, reg, least))
 
 
-def fit(x: np.ndarray, y: np.ndarray, features: list[str], rounds: int = 30, depth: int = 3, rate: float = 0.3, bins: int = 8, reg: float = 1.0, least: int = 5) -> Trees:
-    """Boost on (x, y in {0, 1}); a fourth of the rows, every fourth, calibrates the scores."""
-    held = np.arange(len(x)) % 4 == 3
-    xt, yt = x[~held], y[~held].astype(float)
+def fit(
+    x: np.ndarray,
+    y: np.ndarray,
+    features: list[str],
+    calibrate: np.ndarray | None = None,
+    leave: np.ndarray | None = None,
+    rounds: int = 30,
+    depth: int = 3,
+    rate: float = 0.3,
+    bins: int = 8,
+    reg: float = 1.0,
+    least: int = 5,
+) -> Trees:
+    """Boost on (x, y in {0, 1}).
+
+    Rows of `calibrate` (every fourth, if not given) calibrate the scores,
+    those of `leave` are not looked at, the others grow the trees.
+    """
+    held = np.arange(len(x)) % 4 == 3 if calibrate is None else calibrate
+    grow = ~held if leave is None else ~held & ~leave
+    xt, yt = x[grow], y[grow].astype(float)
     rate_pos = np.clip(yt.mean() if len(yt) else 0.5, 0.01, 0.99)
     model = Trees(features, float(np.log(rate_pos / (1 - rate_pos))))
     cuts = [np.unique(np.quantile(xt[:, f], np.linspace(0, 1, bins + 1)[:-1])) if len(xt) else [] for f in range(x.shape[1])]

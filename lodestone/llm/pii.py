@@ -7,15 +7,19 @@ by fixed patterns and checks; these spans always stay.
 out or bracketed email addresses, IPv6 and dotted quads, 13-19 digit numbers
 under any separators, phone numbers without a plus.  Each candidate has format
 features (digits, groups, separators, check digit, ...) and context features
-(label words on its left, neighbouring characters).  Boosted trees score them;
-scores are calibrated on held-out rows, and per kind the lowest threshold that
-reaches ``precision`` there selects spans.  A kind without enough held-out
-positives selects nothing.
-
-*Training rows.* Examples made from fixed templates, and up to ``sample``
-candidates of the table (those with the smallest hash), labelled by whether
-they lie on a base span of their kind.  The trees are fitted on the driver and
-scored as a column expression.
+(label words on its left, neighbouring characters).  Boosted trees score them
+and the calibrated score decides: per kind the lowest threshold that reaches
+``precision`` on rows of their own selects spans.  A kind without enough
+positives there selects nothing.
+
+*Training rows.* Generated values of each kind (and of things that look like
+them: dates, versions, part numbers, hex dumps, failing check digits) in the
+sentences of PHRASES, labelled by what they were generated as.  Neither the
+patterns of the base nor the features' word lists take part in the labels, and
+most sentences hold none of those words.  Rows go to three folds: trees are
+fitted on the first, scores are calibrated on the second, thresholds chosen on
+the third.  The rows do not depend on the table, so the model is the same at
+every size; it is fitted on the driver and scored as a column expression.
 
 Texts are read once, whole; spans are code points, end exclusive.  Positions
 come from the pieces between matches, so nothing is rescanned.  The patterns
@@ -38,8 +42,9 @@ from lodestone.llm import boosting
 from lodestone.llm.scratch import materialise
 
 KINDS = ("email", "ip", "card", "phone")
-SAMPLE = 4_000
-PRECISION = 0.95
+#: examples of each sentence
+EACH = 24
+PRECISION = 0.9
 #: a threshold needs so many held-out positives at least
 LEAST = 10
 LEFT, RIGHT = 28, 12
@@ -53,6 +58,8 @@ BASE = {
     "card": r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){15,18}(?![\x20-]?[0-9])",
     "phone": r"\+[0-9][\x20().0-9-]*[\x20().0-9-][0-9]",
 }
+# two card numbers side by side are one run of digits: groups of four are candidates of their own
+GROUPED = r"(?<![0-9])[0-9]{4}(?:[\x20-]?[0-9]{4}){2}[\x20-]?[0-9]{1,7}+(?![0-9])"
 LOOSE = {
     "email": rf"(?<![{_LOCAL}])[{_LOCAL}]{{1,64}}+\s?[\[(]\s?(?:at|AT)\s?[\])]\s?[A-Za-z0-9-]{{1,63}}+(?:\s?(?:[\[(]\s?(?:dot|DOT)\s?[\])]|\.)\s?[A-Za-z0-9-]{{1,24}}+){{1,4}}",
     "ip": r"(?<![0-9A-Fa-f:.])(?:(?:[0-9A-Fa-f]{1,4}+:){7}[0-9A-Fa-f]{1,4}+|[0-9]{1,4}+\.[0-9]{1,4}+\.[0-9]{1,4}+\.[0-9]{1,4}+)(?![0-9A-Fa-f:])",
@@ -133,6 +140,7 @@ def _spans(text: Column) -> tuple[Column, Column]:
     base = [F.filter(located(text, BASE[k], k, NEEDS.get(k)), checked(k)) for k in KINDS]
     loose = {k: located(text, LOOSE[k], k) for k in KINDS}
     written = F.rlike(text, F.lit(r"[\[(]\s?(?:at|AT)\s?[\])]"))
+    loose["grouped"] = located(text, GROUPED, "card")
     loose["email"] = F.when(written, loose["email"]).otherwise(F.array().cast(CAND))
     return F.concat(*base), F.concat(*loose.values())
 
@@ -165,47 +173,94 @@ def features(c: Column) -> dict[str, Column]:
     return {k: out[k].cast("double") for k in FEATURES}
 
 
-def templates(seed: int = 3, each: int = 60) -> list[tuple[str, str, int]]:
-    """Labelled texts: (kind, text, 1 if its candidates of that kind are personal data)."""
-    r = random.Random(seed)
+#: sentences around a value: (kind, what the value is, sentence)
+PHRASES = (
+    ("email", "email", "You can reach the treasurer under {} until Friday."),
+    ("email", "email", "Send the signed form to {} please"),
+    ("email", "email", "Questions? {} answers within a day"),
+    ("email", "email", "email: {} (office hours only)"),
+    ("email", "email", "joe's new address {} works again"),
+    ("email", "email", "{}"),
+    ("email", "aside", "The gates open {} and close at dusk"),
+    ("email", "aside", "shares were sold {} yesterday"),
+    ("email", "aside", "look {} again"),
+    ("ip", "ip6", "The attacker came from {} at night"),
+    ("ip", "ip6", "ping {} shows no loss"),
+    ("ip", "ip6", "server {} is down"),
+    ("ip", "ip6", "she connected through {} twice"),
+    ("ip", "hex", "the dump reads {} there"),
+    ("ip", "hex", "checksum {} ok"),
+    ("ip", "quad", "chapter {} of the manual"),
+    ("ip", "quad", "measured {} in the lab"),
+    ("ip", "quad", "the address {} does not exist"),
+    ("card", "card", "He paid with {} and left"),
+    ("card", "card", "charge it to {} (Ms. Lee)"),
+    ("card", "card", "my visa {} expires in May"),
+    ("card", "card", "old plastic: {}, new one follows"),
+    ("card", "card", "{}"),
+    ("card", "number", "parcel {} is on its way"),
+    ("card", "number", "the card catalogue lists {} as missing"),
+    ("card", "number", "order {} was cancelled"),
+    ("card", "number", "meter reading {} kWh"),
+    ("card", "stamp", "log entry {} repeated"),
+    ("card", "stamp", "taken on {} in Rome"),
+    ("phone", "phone", "Ring me on {} after six"),
+    ("phone", "phone", "You get the front desk under {} all day"),
+    ("phone", "phone", "tel {} or knock"),
+    ("phone", "phone", "Her mobile, {}, is off"),
+    ("phone", "phone", "ask for Bob, {}, any time"),
+    ("phone", "phone", "phone number {} (landline)"),
+    ("phone", "part", "part {} fits the older model"),
+    ("phone", "part", "invoice {} is overdue"),
+    ("phone", "part", "ISBN {} is out of print"),
+    ("phone", "part", "we counted {} birds"),
+    ("phone", "date", "born {} in Lyon"),
+    ("phone", "date", "call the meeting of {} to order"),
+    ("phone", "date", "from {} on"),
+)
+PERSONAL = ("email", "ip6", "card", "phone")
+
+
+def value(what: str, r: random.Random) -> str:
+    """A random value of what a sentence asks for."""
     d = lambda n: "".join(r.choice("0123456789") for _ in range(n))
+    name = lambda: "".join(r.choice("abcdefghiklmnoprstu") for _ in range(r.randint(3, 9)))
 
     def card(n: int, good: bool) -> str:
         body = r.choice("3456") + d(n - 2)
         total = sum(x if i % 2 else (2 * x - 9 if x > 4 else 2 * x) for i, x in enumerate(map(int, reversed(body))))
         digit = (10 - total % 10) % 10
         body += str(digit if good else (digit + r.randint(1, 9)) % 10)
-        sep = r.choice(["", " ", "-", "."])
+        sep = r.choice(["", "", " ", "-", ".", "  "])
         return sep.join(body[i : i + 4] for i in range(0, n, 4))
 
-    def phone() -> str:
-        a, b, c = d(3), d(3), d(4)
-        return r.choice([f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"{a}.{b}.{c}", f"{a} {b} {c}", f"0{d(2)} {d(4)} {d(4)}"])
-
-    name = lambda: "".join(r.choice("abcdefghiklmnoprstu") for _ in range(r.randint(3, 8)))
-    say = lambda words: r.choice(words.split("|"))
+    a, b, c = d(3), d(3), d(4)
+    return {
+        "email": lambda: f"{name()}{r.choice(['', '.' + name(), d(2)])}{r.choice([' [at] ', '(at)', '[at]', ' (AT) '])}{name()}{r.choice([' [dot] ', '.', '(dot)'])}{r.choice(['com', 'org', 'net', 'de'])}",
+        "aside": lambda: f"{r.choice(['[at]', '(at)', '[ at ]'])} {r.choice([d(2), name(), name() + ' .  ' + name(), d(1) + '.' + d(2)])}",
+        "ip6": lambda: ":".join(f"{r.randrange(65536):x}" for _ in range(8)),
+        "hex": lambda: ":".join(d(2) if r.random() < 0.5 else f"{r.randrange(256):02x}" for _ in range(8)),
+        "quad": lambda: f"{r.randrange(256, 1999)}.{d(2)}.{d(1)}.{d(r.randint(1, 4))}",
+        "card": lambda: card(r.choice([14, 15, 15, 16, 16, 16, 19]), True),
+        "number": lambda: card(r.randint(13, 18), r.random() < 0.1) if r.random() < 0.7 else r.choice("0129") + d(r.randint(12, 17)),
+        "stamp": lambda: f"20{d(2)}{r.choice(['', '-', '.'])}0{r.randint(1, 9)}{r.choice(['', '-', '.'])}{r.randint(10, 28)} {r.randint(10, 23)} {d(2)} {d(2)} {d(3)}",
+        "phone": lambda: r.choice([f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"{a}.{b}.{c}", f"{a} {b} {c}", f"0{d(2)} {d(4)} {d(4)}", f"0{d(3)}/{d(3)} {d(2)} {d(2)}"]),
+        "part": lambda: r.choice([f"{a}-{b}-{c}", f"{d(2)}.{d(3)}.{d(3)}", f"{a} {b} {c}", f"97{d(1)}-{d(2)}-{d(4)}-{d(3)}", f"{d(2)} {d(3)} {d(3)}", f"{r.randrange(256)}.{r.randrange(256)}.{r.randrange(256)}.{r.randrange(256)}"]),
+        "date": lambda: r.choice([f"{r.randint(10, 31)}.{r.randint(10, 12)}.{r.randint(1900, 2030)}", f"{r.randint(1900, 2030)}-{r.randint(10, 12)}-{r.randint(10, 31)}", f"{r.randint(10, 31)}/{r.randint(10, 12)}/{r.randint(1900, 2030)} {r.randint(10, 23)}"]),
+    }[what]()
+
+
+def examples(phrases=PHRASES, each: int = EACH, seed: int = 3) -> list[tuple[str, str, int, int, int]]:
+    """Labelled texts: (kind, text, 1 if the value is personal data, its start and end)."""
+    r = random.Random(seed)
     out = []
     for _ in range(each):
-        tail = " " + name() + " " + name() + "."
-        out += [
-            ("email", f"{name()} {say(WORDS['email'])}: {name()} [at] {name()} [dot] com{tail}", 1),
-            ("email", f"{name()} {name()}(at){name()}.org{tail}", 1),
-            ("email", f"array [ at ] {d(2)} . {d(1)}{tail}", 0),
-            ("ip", f"{say(WORDS['ip'])} {':'.join(f'{r.randrange(65536):x}' for _ in range(8))}{tail}", 1),
-            ("ip", f"{say(WORDS['ip'])} {'.'.join(str(r.randrange(256)) for _ in range(4))}{tail}", 1),
-            ("ip", f"{say(WORDS['other'])} {r.randrange(300, 999)}.{d(2)}.{d(1)}.{d(4)}{tail}", 0),
-            ("ip", f"time {':'.join(d(2) for _ in range(8))}{tail}", 0),
-            ("card", f"{say(WORDS['card'])} {card(r.choice([15, 16]), True)}{tail}", 1),
-            ("card", f"{say(WORDS['card'])} number {card(16, True)}{tail}", 1),
-            ("card", f"{name()} {card(16, False)}{tail}", 0),
-            ("card", f"{say(WORDS['other'])} {card(r.choice([13, 14, 15, 16]), r.random() < 0.1)}{tail}", 0),
-            ("card", f"{name()} {d(4)} {d(4)} {d(4)} {d(2)}{tail}", 0),
-            ("phone", f"{say(WORDS['phone'])} {phone()}{tail}", 1),
-            ("phone", f"{say(WORDS['phone'])}: {phone()}{tail}", 1),
-            ("phone", f"{say(WORDS['other'])} {phone()}{tail}", 0),
-            ("phone", f"{name()} {d(2)}.{d(2)}.{r.randrange(1900, 2030)}{tail}", 0),
-            ("phone", f"{name()} {phone()}{tail}", 0),
-        ]
+        for kind, what, phrase in phrases:
+            head = " ".join("".join(r.choice("aeiounrstl") for _ in range(r.randint(2, 8))) for _ in range(r.randint(0, 5)))
+            before, after = phrase.split("{}")
+            x = value(what, r)
+            start = f"{head} {before}" if head else before
+            out.append((kind, start + x + after, int(what in PERSONAL), len(start), len(start) + len(x)))
     return out
 
 
@@ -213,37 +268,36 @@ def _matrix(rows) -> tuple[list[str], np.ndarray]:
     return [r["kind"] for r in rows], np.array([[r[f] for f in FEATURES] for r in rows], dtype=float).reshape(len(rows), len(FEATURES))
 
 
-def _on_base(c: Column, base: Column) -> Column:
-    """Whether a candidate overlaps a base span of its kind."""
-    return F.exists(base, lambda b: (b["kind"] == c["kind"]) & (b["start"] < c["end"]) & (c["start"] < b["end"]))
-
-
-def fit(found: DataFrame, sample: int = SAMPLE, precision: float = PRECISION) -> tuple[boosting.Trees, dict[str, float]]:
-    """Trees and thresholds, from candidate rows (doc_id, base, loose) and the templates."""
-    spark = found.sparkSession
-    table = found.select("doc_id", "base", F.explode("loose").alias("c"))
-    table = table.withColumn("label", _on_base(F.col("c"), F.col("base")).cast("int"))
-    order = F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("c.start").cast("string"), F.col("c.match")))
-    table = table.select("c", "label", order.alias("o")).orderBy("o", "label").limit(sample)
-    own = spark.createDataFrame(templates(), "k string, text string, label int")
-    base, loose = _spans(F.col("text"))
-    own = own.select("k", "label", F.explode(loose).alias("c")).where("k = c.kind").select("c", "label", F.md5("c.match").alias("o"))
-    # a negative of the table is only "no base span here": it may be PII in a form that the base misses
-    rows = own.unionByName(table).select(F.col("c.kind").alias("kind"), "label", "o", *[v.alias(k) for k, v in features(F.col("c")).items()])
-    rows = sorted(rows.collect(), key=lambda r: (r["o"], r["label"], r["kind"]))
+def labelled(spark, rows: list[tuple[str, str, int, int, int]]) -> list:
+    """Features, kind and label of the candidates of each example's kind that cover most of its value."""
+    frame = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, k string, text string, label int, a int, b int")
+    _, loose = _spans(F.col("text"))
+    found = frame.select("i", "k", "label", "a", "b", F.explode(loose).alias("c")).where("k = c.kind")
+    found = found.where((F.least("b", F.col("c.end")) - F.greatest("a", F.col("c.start"))) * 2 > F.col("b") - F.col("a"))
+    return sorted(found.select("i", "label", F.col("c.kind").alias("kind"), F.col("c.start").alias("start"), *[v.alias(k) for k, v in features(F.col("c")).items()]).collect(), key=lambda r: (r["i"], r["start"]))
+
+
+def fit(spark, precision: float = PRECISION, phrases=PHRASES, each: int = EACH) -> tuple[boosting.Trees, dict[str, float]]:
+    """Trees and thresholds from generated examples; a row count that is fixed by phrases and each."""
+    rows = labelled(spark, examples(phrases, each))
     kinds, x = _matrix(rows)
     y = np.array([r["label"] for r in rows], dtype=int)
-    model = boosting.fit(x, y, FEATURES)
-    held = np.arange(len(x)) % 4 == 3
+    # whole rounds of sentences go to one fold
+    fold = np.array([r["i"] // len(phrases) % 4 for r in rows])
+    model = boosting.fit(x, y, FEATURES, calibrate=fold == 2, leave=fold == 3)
+    held = fold == 3
     p = model.probability(x[held])
     limits = {}
     for k in KINDS:
         mine = np.array([a == k for a, h in zip(kinds, held, strict=True) if h], bool)
         s, t = p[mine], y[held][mine]
         order = np.argsort(-s, kind="stable")
-        good = np.cumsum(t[order]) / np.arange(1, len(order) + 1)
-        ok = np.flatnonzero((good >= precision) & (np.cumsum(t[order]) >= LEAST))
-        limits[k] = max(0.8, float(s[order][ok[-1]])) if len(ok) else 2.0
+        s, t = s[order], t[order]
+        good = np.cumsum(t) / np.arange(1, len(t) + 1)
+        # equal scores stand or fall together
+        last = np.append(s[1:] != s[:-1], True) if len(s) else np.zeros(0, bool)
+        ok = np.flatnonzero((good >= precision) & (np.cumsum(t) >= LEAST) & last)
+        limits[k] = float(s[ok[-1]]) if len(ok) else 2.0
     return model, limits
 
 
@@ -251,7 +305,9 @@ def _selected(model: boosting.Trees, limits: dict[str, float]) -> Column:
     """Method spans: candidates over their threshold that touch no base span, leftmost-longest, none overlapping."""
     limit = lambda c: F.coalesce(*[F.when(c["kind"] == k, F.lit(v)) for k, v in limits.items()])
     free = lambda c: ~F.exists("base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))
-    scored = F.filter(F.filter("loose", free), lambda c: model.expression(features(c)) >= limit(c))
+    # features once per candidate, then the trees on plain numbers
+    told = F.transform(F.filter("loose", free), lambda c: F.struct(c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end"), F.struct(*[v.alias(k) for k, v in features(c).items()]).alias("f")))
+    scored = F.filter(told, lambda c: model.expression({k: c["f"][k] for k in FEATURES}) >= limit(c))
     ranked = F.array_sort(F.transform(scored, lambda c: F.struct(c["start"].alias("start"), (-c["end"]).alias("less"), c["end"].alias("end"), c["kind"].alias("kind"))))
     kept = F.aggregate(
         ranked,
@@ -276,10 +332,10 @@ def candidates(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").alias("doc_id"), base.alias("base"), loose.alias("loose"))
 
 
-def find_pii(docs: DataFrame, sample: int = SAMPLE, precision: float = PRECISION) -> DataFrame:
+def find_pii(docs: DataFrame, precision: float = PRECISION) -> DataFrame:
     """One row per document: doc_id, base and method spans as arrays of (kind, start, end)."""
     found = materialise(candidates(docs), "candidates")
-    model, limits = fit(found, sample, precision)
+    model, limits = fit(docs.sparkSession, precision)
     plain = F.transform("base", lambda c: F.struct(c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end")))
     return found.select("doc_id", plain.alias("base"), F.when(F.size("loose") > 0, _selected(model, limits)).otherwise(F.array().cast("array<struct<kind:string,start:int,end:int>>")).alias("method"))
 

@@ -652,6 +652,54 @@ def test_pii_base_equals_the_patterns_and_method_adds(spark):
     assert pii.digest(docs(spark, [])).count() == 0
 
 
+# other sentences than those that the model is fitted on
+UNSEEN = (
+    ("email", "email", "Applications go to {} by noon"),
+    ("email", "email", "signed, {}"),
+    ("email", "aside", "He stood {} for hours"),
+    ("ip", "ip6", "route via {} instead"),
+    ("ip", "ip6", "blocked {} for abuse"),
+    ("ip", "hex", "key bytes {} were wiped"),
+    ("ip", "quad", "section {} explains it"),
+    ("card", "card", "refund it onto {} today"),
+    ("card", "card", "took {} as a deposit"),
+    ("card", "number", "tracking code {} is unknown"),
+    ("card", "number", "serial {} was recalled"),
+    ("card", "stamp", "backup {} failed"),
+    ("phone", "phone", "text Mia on {} first"),
+    ("phone", "phone", "our hotline {} is free"),
+    ("phone", "part", "article {} is sold out"),
+    ("phone", "part", "build {} crashed"),
+    ("phone", "date", "due {} at the latest"),
+)
+
+
+def test_pii_method_on_unseen_sentences(spark):
+    """Precision and recall per kind on sentences and values of another generator run; README has the figures."""
+    model, limits = pii.fit(spark)
+    assert len(set(limits.values())) > 1
+    rows = pii.labelled(spark, pii.examples(UNSEEN, 40, 99))
+    kinds, x = pii._matrix(rows)
+    p = model.probability(x)
+    for k in pii.KINDS:
+        mine = [i for i, a in enumerate(kinds) if a == k]
+        said = [i for i in mine if p[i] >= limits[k]]
+        good = sum(rows[i]["label"] for i in said)
+        precision, recall = good / max(1, len(said)), good / sum(rows[i]["label"] for i in mine)
+        print(f"{k}: limit {limits[k]:.3f}, precision {precision:.3f}, recall {recall:.3f}, rows {len(mine)}")
+        # a national phone number and a part number look alike; only the sentence tells
+        assert precision >= (0.75 if k == "phone" else 0.8) and recall >= (0.3 if k == "phone" else 0.7), k
+
+
+def test_pii_repeated_rows_and_cards_side_by_side(spark):
+    two = "paid with 4111 1111 1111 1111 5500005555555559 today"
+    rows = [(1, two)] * 3 + [(None, two), (2, "")]
+    got = pii.digest(docs(spark, rows)).collect()
+    assert len(got) == 5 and len({(x["n_card"], x["spans"]) for x in got if x["doc_id"] != 2}) == 1
+    one = next(x for x in got if x["doc_id"] == 1)
+    assert one["n_card"] == 0 and one["spans"] == "card:10:29,card:30:46"
+
+
 def test_redaction_and_trees(spark):
     df = docs(spark, [(1, "mail a@b.co now, 😀 +1 (988) 555-2485.")])
     spans = pii.find_pii(df).select("doc_id", F.concat("base", "method").alias("s"))
