@@ -4,9 +4,10 @@
    stops at ``max_epochs`` times its source's size and the excess is shared
    again by weight.  This water level has a closed form over the sources in
    ascending order of cap per weight.
-2. *Blocks.* Every source is dealt over shards by a hash of the document, and
-   each (source, shard) stream, in seeded order, is cut into blocks of equal
-   word counts.
+2. *Blocks.* Every source is dealt over shards of its own, as many as its size
+   asks for, by a hash of doc_id and text, and each shard's stream, in seeded
+   order, is cut into blocks of equal word counts (about BLOCK_WORDS).  Equal
+   rows are one entry with a count until they are written out again.
 3. *Seats.* Blocks are seats: Sainte-Lague gives the seats to the sources by
    highest quotients v/(2j-1), then each source's seats to its shards the
    same way.  Only the seats near the cut are ranked; the sure ones follow
@@ -17,13 +18,14 @@
    than ceil(q/n) <= max_epochs times, so a document's share is a difference
    of two prefix values.
 
-Everything is DataFrame code; windows are over shards of bounded size or over
-one row per source.
+Everything is DataFrame code; windows are over the distinct rows of a shard of
+bounded size, over one narrow row per shard of a source, or over one per source.
 
 Cases: null text has size 0; a null source is a source of its own, last; an
 empty table gives an empty result; sources of size 0 have target 0.  Repeated
-rows are documents of their own.  The same rows give the same result whatever
-their order or partitioning.  Other columns are ignored by mix(); take()
+rows are documents of their own, and null or repeated doc_ids are spread by
+their texts.  The same rows give the same result whatever their order or
+partitioning; rows that differ in other columns alone are told apart by those.  Other columns are ignored by mix(); take()
 keeps them, under any name.
 """
 
@@ -39,10 +41,11 @@ WEIGHTS = (1, 2, 3)
 MAX_EPOCHS = 3
 SEED = 17
 #: words in a shard, about: bounds what one window partition holds
-SHARD_WORDS = 1 << 20
-#: a block has the corpus size divided by this, at most BLOCK_WORDS words
-BLOCKS = 1 << 16
-BLOCK_WORDS = 256
+SHARD_WORDS = 1 << 18
+#: words in a block, about
+BLOCK_WORDS = 16
+#: sources whose sizes may be broadcast (about 100 bytes each)
+BROADCAST_SOURCES = 10_000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -86,15 +89,16 @@ def apportion(df: DataFrame, keys: list[str], votes: str, seats: str, tie: list[
     return df.groupBy(*columns, "_sure").agg(F.sum("_won").alias("_won")).select(*columns, (F.col("_sure") + F.col("_won")).alias(out))
 
 
-def _plan(sized: DataFrame, weights: tuple[int, ...], max_epochs: int, seed: int, shard_words: int) -> DataFrame:
-    """(source, size, order keys) rows -> the same with their place in a shard's stream and the shard's quota."""
-    spark = sized.sparkSession
-    corpus = sized.agg(F.sum("_size")).first()[0] or 0
-    shards = max(1, -(-corpus // shard_words))
-    block = max(1, min(BLOCK_WORDS, corpus // BLOCKS))
-    sized = sized.withColumn("_shard", (F.conv(F.substring("_order", 1, 8), 16, 10).cast("long") % shards).cast("int"))
-    groups = sized.groupBy("_source", "_shard").agg(F.sum("_size").alias("_len"))
-    per = F.greatest(F.ceil(F.col("_len") / F.greatest(F.ceil(F.col("_len") / block), F.lit(1))), F.lit(1)).cast("long")
+def _plan(sized: DataFrame, weights: tuple[int, ...], max_epochs: int, shard_words: int) -> DataFrame:
+    """Distinct (_source, _size, _order, _tie, _copies) rows -> the same with their place in a shard's stream and the shard's quota."""
+    length = F.col("_size") * F.col("_copies")
+    by_source = materialise(sized.groupBy("_source").agg(F.greatest(F.ceil(F.sum(length) / shard_words), F.lit(1)).alias("_shards")).withColumnRenamed("_source", "_s1"), "sources")
+    if by_source.count() <= BROADCAST_SOURCES:
+        by_source = F.broadcast(by_source)
+    sized = sized.join(by_source, sized["_source"].eqNullSafe(by_source["_s1"])).drop("_s1")
+    sized = sized.withColumn("_shard", F.pmod(F.xxhash64("_order", "_tie"), F.col("_shards")).cast("int")).drop("_shards")
+    groups = sized.groupBy("_source", "_shard").agg(F.sum(length).alias("_len"))
+    per = F.greatest(F.ceil(F.col("_len") / F.greatest(F.ceil(F.col("_len") / BLOCK_WORDS), F.lit(1))), F.lit(1)).cast("long")
     groups = materialise(groups.withColumn("_block", per).withColumn("_n", F.ceil(F.col("_len") / F.col("_block")).cast("long")), "streams")
     sources = groups.groupBy(F.col("_source").alias("source")).agg(F.sum("_len").alias("source_size"), F.sum("_n").alias("blocks"))
     sources = targets(sources, weights, max_epochs)
@@ -106,9 +110,12 @@ def _plan(sized: DataFrame, weights: tuple[int, ...], max_epochs: int, seed: int
     dealt = apportion(dealt, ["_source"], "_w", "_quota", ["_shard"], "_q").withColumn("_q", F.least("_q", max_epochs * F.col("_n")))
     dealt = materialise(dealt.drop("_w", "_quota"), "shards")
     stream = W.partitionBy("_source", "_shard").orderBy("_order", "_tie").rowsBetween(W.unboundedPreceding, -1)
-    placed = sized.withColumn("_from", F.coalesce(F.sum("_size").over(stream), F.lit(0)))
+    placed = sized.withColumn("_from", F.coalesce(F.sum(length).over(stream), F.lit(0)))
     b = dealt.withColumnsRenamed({"_source": "_s2", "_shard": "_h2"})
-    return placed.join(b, placed["_source"].eqNullSafe(b["_s2"]) & (placed["_shard"] == b["_h2"])).drop("_s2", "_h2")
+    placed = placed.join(b, placed["_source"].eqNullSafe(b["_s2"]) & (placed["_shard"] == b["_h2"])).drop("_s2", "_h2")
+    # equal rows follow each other in the stream
+    placed = placed.withColumn("_twin", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
+    return placed.withColumn("_from", F.col("_from") + (F.col("_twin") - 1) * F.col("_size"))
 
 
 def _order(seed: int, doc_id: Column, text: Column) -> dict[str, Column]:
@@ -137,7 +144,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = M
     """One row per document: doc_id, size, source_size, target, taken."""
     text = F.col("text").cast("string")
     sized = docs.select(F.col("doc_id").alias("doc_id"), F.col("source").cast("string").alias("_source"), n_words(text).alias("_size"), *[c.alias(k) for k, c in _order(seed, F.col("doc_id"), text).items()])
-    placed = _plan(materialise(sized, "sizes"), weights, max_epochs, seed, shard_words)
+    sized = materialise(sized.groupBy(*sized.columns).agg(F.count("*").alias("_copies")), "sizes")
+    placed = _plan(sized, weights, max_epochs, shard_words)
     taken = F.when(F.col("_size") > 0, _before(F.col("_from") + F.col("_size")) - _before(F.col("_from"))).otherwise(F.lit(0))
     return placed.select("doc_id", F.col("_size").alias("size"), "source_size", "target", taken.cast("long").alias("taken"))
 
@@ -152,12 +160,14 @@ def take(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int =
     columns = docs.columns
     text = F.col("text").cast("string")
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_row"), F.col("source").cast("string").alias("_source"), n_words(text).alias("_size"), *[c.alias(k) for k, c in _order(seed, F.col("doc_id"), text).items()])
-    narrow = materialise(packed.select("_source", "_size", "_order", "_tie").where("_size > 0"), "sizes")
-    placed = _plan(narrow, weights, max_epochs, seed, shard_words)
-    # equal rows get places of their own: number them on both sides
-    twin = W.partitionBy("_order", "_tie", "_source").orderBy("_from")
-    placed = placed.withColumn("_twin", F.row_number().over(twin)).drop("_size", "source_size", "target")
-    left = packed.where("_size > 0").withColumn("_twin", F.row_number().over(W.partitionBy("_order", "_tie", "_source").orderBy(F.lit(0))))
+    # sources without words count in the turn of weights
+    narrow = packed.select("_source", "_size", "_order", "_tie")
+    narrow = materialise(narrow.groupBy(*narrow.columns).agg(F.count("*").alias("_copies")), "sizes")
+    placed = _plan(narrow, weights, max_epochs, shard_words).where("_size > 0").drop("_size", "source_size", "target", "_copies")
+    # equal rows get places of their own, in the order of their other columns
+    rest = [F.col("_row")[f.name] for f in docs.schema.fields if f.name != "text" and "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
+    twins = W.partitionBy("_order", "_tie", "_source").orderBy(F.xxhash64(F.lit(0), *rest))
+    left = packed.where("_size > 0").withColumn("_twin", F.row_number().over(twins))
     right = placed.withColumnsRenamed({"_order": "_o2", "_tie": "_t2", "_source": "_s2", "_twin": "_w2"})
     joined = left.join(right, (left["_order"] == right["_o2"]) & (left["_tie"] == right["_t2"]) & (left["_twin"] == right["_w2"]) & left["_source"].eqNullSafe(right["_s2"]))
     first, last = F.floor(F.col("_from") / F.col("_block")), F.floor((F.col("_from") + F.col("_size") - 1) / F.col("_block"))

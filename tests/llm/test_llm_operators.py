@@ -233,6 +233,73 @@ def test_mixing_targets_and_takes(spark):
     assert mixing.mix(df.limit(0)).count() == 0
 
 
+def plain_mix(rows, shard_words, max_epochs=3):
+    """{(doc_id, text, source): words taken by all its rows}, step by step: shards, seats, quotas, blocks."""
+    import xxhash
+
+    md5 = lambda t: hashlib.md5(t.encode()).hexdigest()
+    n = lambda t: len((t or "").split())
+    sizes = collections.Counter()
+    for _, t, s in rows:
+        sizes[s] += n(t)
+    target = water(dict(sizes))
+    streams = collections.defaultdict(list)
+    for i, t, s in rows:
+        order, tie = md5(f"17:{'' if i is None else i}"), md5(t or "")
+        h = xxhash.xxh64_intdigest(tie.encode(), xxhash.xxh64_intdigest(order.encode(), 42))
+        h -= 1 << 64 if h >= 1 << 63 else 0
+        streams[s, h % max(1, -(-sizes[s] // shard_words))].append((order, tie, (i, t, s)))
+    shape = {}
+    for k, docs_ in streams.items():
+        length = sum(n(x[2][1]) for x in docs_)
+        per = max(1, -(-length // max(1, -(-length // mixing.BLOCK_WORDS))))
+        shape[k] = (per, -(-length // per))
+    blocks = collections.Counter()
+    for (s, _), (_, m) in shape.items():
+        blocks[s] += m
+    names = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + [None] * (None in sizes)
+
+    def seats(votes, count):
+        won = [0] * len(votes)
+        for _ in range(count if any(votes) else 0):
+            won[max(range(len(votes)), key=lambda j: (votes[j] / (2 * won[j] + 1), -j))] += 1
+        return won
+
+    votes = [target[s] * blocks[s] / sizes[s] if sizes[s] else 0.0 for s in names]
+    quota = {s: min(q, max_epochs * blocks[s]) for s, q in zip(names, seats(votes, math.floor(sum(votes) + 0.5)), strict=True)}
+    out = collections.Counter()
+    for s in names:
+        mine = sorted(h for x, h in streams if x == s)
+        for h, q in zip(mine, seats([float(shape[s, h][1]) for h in mine], quota[s]), strict=True):
+            (per, m), at = shape[s, h], 0
+            q = min(q, max_epochs * m)
+            for _, _, doc in sorted(streams[s, h], key=lambda x: x[:2]):
+                for w in range(at, at + n(doc[1])):
+                    j = w // per
+                    out[doc] += ((j + 1) * q + m // 2) // m - (j * q + m // 2) // m
+                at += n(doc[1])
+    return out
+
+
+def test_mixing_shards_equal_plain_python(spark):
+    r = random.Random(9)
+    rows = [(r.choice([None, 1, i, i]), " ".join(r.choice("xyz") for _ in range(r.choice([0, 3, 50, 200]))), r.choice(["hot", "hot", "b", None])) for i in range(260)]
+    rows += rows[:20] + [rows[4]] * 30
+    got = collections.Counter()
+    df = docs(spark, [(*x, k) for k, x in enumerate(rows)], "doc_id long, text string, source string, extra int")
+    key = collections.defaultdict(int)
+    for x in mixing.mix(df, shard_words=2_000).collect():
+        key[x["doc_id"], x["size"]] += x["taken"]
+    want = plain_mix(rows, 2_000)
+    for (i, t, _), v in want.items():
+        got[i, len((t or "").split())] += v
+    assert {k: v for k, v in key.items() if v} == {k: v for k, v in got.items() if v}
+    # the mix itself, twins told apart by the other column, the same on every run
+    out = sorted((x["extra"], x["text"]) for x in mixing.take(df, shard_words=2_000).collect())
+    assert out == sorted((x["extra"], x["text"]) for x in mixing.take(df.repartition(7), shard_words=2_000).collect())
+    assert sum(len(t.split()) for _, t in out) == sum(want.values())
+
+
 def test_apportion_is_sainte_lague(spark):
     r = random.Random(1)
     votes = [("p" + str(i), r.uniform(0, 100)) for i in range(9)] + [("z", 0.0)]
