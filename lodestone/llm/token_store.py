@@ -1,7 +1,8 @@
 """Token-ID binary output with random access (operator 4).
 
-Documents are range-partitioned by doc_id and each partition becomes one
-shard file: independent zstandard frames holding whole documents' ids (little
+Documents are range-partitioned by doc_id, repeated and null ones further by a
+hash of their text, into shards of about SHARD_BYTES of text (more of them
+where the session has more partitions), and each becomes one file: independent zstandard frames holding whole documents' ids (little
 endian, 2 bytes where the vocabulary allows, else 4), then a skippable frame
 with the document index, then a seek table in the layout of the public
 zstandard seekable format: per frame its compressed size, its content size
@@ -13,8 +14,8 @@ that depends on the partition alone, so that a retried or speculative task
 leaves the same file.  The manifest is one row per shard.
 
 Cases: null text is the empty text (the end id alone).  Repeated rows are
-documents of their own, in text order within a doc_id; null doc_ids come
-first.  An empty table gives no shards and an empty result.  Other columns
+documents of their own, in the order of their texts' hashes within a doc_id;
+null doc_ids come first.  An empty table gives no shards and an empty result.  Other columns
 are ignored.
 """
 
@@ -40,6 +41,10 @@ from lodestone.llm.scratch import new_path, parallelism, text_batches
 #: content bytes after which a frame is closed; a longer document is a frame of its own
 FRAME_BYTES = 1 << 16
 LEVEL = 3
+#: bytes of text in a shard, about: bounds a writer's index and a file whatever the corpus
+SHARD_BYTES = 256 << 20
+#: documents in one batch that a reader hands on
+READ_ROWS = 20_000
 END_ID = 1
 #: words that a worker remembers; beyond, it forgets all but the first quarter
 CACHE_WORDS = 1_000_000
@@ -289,7 +294,7 @@ def _blocks(pdf: pd.DataFrame, limit: int = 1 << 19) -> Iterator[tuple[list, lis
         yield ids, texts
 
 
-def write_tokens(docs: DataFrame, root: str, tokenizer: str, end_id: int = END_ID, frame_bytes: int = FRAME_BYTES, level: int = LEVEL) -> list[dict]:
+def write_tokens(docs: DataFrame, root: str, tokenizer: str, end_id: int = END_ID, frame_bytes: int = FRAME_BYTES, level: int = LEVEL, shard_bytes: int = SHARD_BYTES) -> list[dict]:
     """Write the shards below `root`; returns the manifest, in doc_id order, one entry per shard.
 
     Each entry has the number of ids before the shard as `start`.
@@ -297,7 +302,10 @@ def write_tokens(docs: DataFrame, root: str, tokenizer: str, end_id: int = END_I
     spark = docs.sparkSession
     text_batches(spark)
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    dealt = base.repartitionByRange(parallelism(spark), F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+    size = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shards = max(parallelism(spark), -(-size // shard_bytes))
+    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
+    dealt = base.repartitionByRange(shards, *order).sortWithinPartitions(*order, "text")
     found = sorted(dealt.mapInPandas(_write(root, tokenizer, end_id, frame_bytes, level), MANIFEST).collect(), key=lambda r: r["shard"])
     out, start = [], 0
     for r in found:
@@ -315,15 +323,14 @@ def _read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             fs, name = filesystem(path)
             with fs.open_input_file(name) as f:
                 r = ShardReader(f, f.size())
-                n = [0] * len(r.doc_ids)
-                crc = [0] * len(r.doc_ids)
-                for k in range(len(n)):
-                    ids = r.ids(k)
-                    n[k], crc[k] = len(ids), zlib.crc32(ids.tobytes())
-            before = start + np.concatenate(([0], np.cumsum(n)))[:-1] if n else []
-            doc = pd.array(r.doc_ids, dtype="Int64")
-            doc[r.null.astype(bool)] = pd.NA
-            yield pd.DataFrame({"doc_id": doc, "start": np.asarray(before, np.int64), "n_tokens": np.asarray(n, np.int64), "ids_crc32": np.asarray(crc, np.int64)})
+                for lo in range(0, len(r.doc_ids), READ_ROWS):
+                    every = range(lo, min(lo + READ_ROWS, len(r.doc_ids)))
+                    ids = map(r.ids, every)
+                    n, crc = (np.array(x, np.int64) for x in zip(*[(len(i), zlib.crc32(i.tobytes())) for i in ids], strict=True))
+                    doc = pd.array(r.doc_ids[lo : lo + len(n)], dtype="Int64")
+                    doc[r.null[lo : lo + len(n)].astype(bool)] = pd.NA
+                    yield pd.DataFrame({"doc_id": doc, "start": start + np.cumsum(n) - n, "n_tokens": n, "ids_crc32": crc})
+                    start += int(n.sum())
 
 
 def read_digest(spark, manifest: list[dict]) -> DataFrame:

@@ -8,6 +8,7 @@ import math
 import os
 import random
 import re
+import tempfile
 import time
 import zlib
 
@@ -335,6 +336,20 @@ def test_token_store_round_trip(spark):
     assert sorted((x["doc_id"] is None, x["start"], x["n_tokens"]) for x in twice) == [(False, 2, 2), (False, 4, 2), (True, 0, 2)]
 
 
+def test_token_store_splits_repeated_ids_over_shards(spark):
+    rows = [(None, f"text number {i}") for i in range(300)] + [(5, f"more {i}") for i in range(300)]
+    root = "file:" + tempfile.mkdtemp()
+    manifest = token_store.write_tokens(docs(spark, rows), root, tokenizer_path(), shard_bytes=1_000)
+    assert len(manifest) >= 6 and max(m["n_docs"] for m in manifest) < 250
+    got = token_store.read_digest(spark, manifest).collect()
+    assert len(got) == 600 and sorted(x["start"] for x in got)[0] == 0
+    at = 0
+    for x in sorted(got, key=lambda x: x["start"]):
+        assert x["start"] == at
+        at += x["n_tokens"]
+    assert [x["doc_id"] for x in sorted(got, key=lambda x: x["start"])] == [None] * 300 + [5] * 300
+
+
 def test_shard_reads_single_frames_and_checks_sums():
     import zstandard
 
