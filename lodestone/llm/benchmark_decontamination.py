@@ -61,7 +61,8 @@ UNITS = (
 )
 _UNIT = "|".join(u for u in sorted(UNITS.split(), key=lambda u: (-len(u), u)))
 _VALUE = r"[$€£]?\d++(?:[.,:/]\d++)*+%?"
-_FREE = r"(?<![\p{L}\p{N}" + NUM + "])"
+# the character itself is looked at first: most positions end there
+_FREE = r"(?=[$€£\d])(?<![\p{L}\p{N}" + NUM + "])"
 MEASURE = _FREE + "(" + _VALUE + r")[ ]?(" + _UNIT + r")(?![\p{L}\p{N}])"
 NUMBER = _FREE + _VALUE + r"(?![\p{L}\p{N}])"
 # capitalised words that open sentences and are no names (English, then German, French and Spanish)
@@ -72,7 +73,7 @@ OPENERS = (
     "der die das ein eine und wenn wie wer wo es ist le la les un une et si il elle de du en el los las y que qué cómo cuánto se por para"
 )
 _OPEN = "|".join(sorted((w.capitalize() for w in OPENERS.split()), key=lambda w: (-len(w), w)))
-PROPER = r"(?<![\p{L}\p{N}])(?!(?:" + _OPEN + r")(?![\p{L}\p{N}]))\p{Lu}[\p{L}\p{N}]*+(?:['’-][\p{L}\p{N}]++)*+"
+PROPER = r"(?=\p{Lu})(?<![\p{L}\p{N}])(?!(?:" + _OPEN + r")(?![\p{L}\p{N}]))\p{Lu}[\p{L}\p{N}]*+(?:['’-][\p{L}\p{N}]++)*+"
 SPLIT = "[^\\p{L}\\p{N}" + NUM + NAME + UNIT + "]+"
 
 
