@@ -20,6 +20,11 @@ class Rule:
     check: str | None = None
     group: int = 0
 
+    @property
+    def needs(self) -> tuple[str, ...]:
+        """What a text must hold for the pattern to be worth a scan: single characters, or a plain pattern."""
+        return NEEDS.get(self.name, ()) if self in SHIPPED else ()
+
     @property
     def java(self) -> str:
         # (?u) and (?U): letters, digits and word boundaries as in Unicode
@@ -56,6 +61,32 @@ INDIAN_IDS: tuple[Rule, ...] = (
     Rule("driving_license_in", "GOV_ID_IN", r"\b[A-Z]{2}[\s\-]?\d{2}[\s\-]?(?:19|20)\d{2}[\s\-]?\d{7}\b"),
 )
 
+# every match of the rule holds these
+DIGIT = r"\p{Nd}"
+NEEDS: dict[str, tuple[str, ...]] = {
+    "email": ("@", "."),
+    "phone_e164": ("+",),
+    "phone_in": (DIGIT,),
+    "credit_card": (DIGIT,),
+    "iban": (DIGIT,),
+    "ipv4": (".", DIGIT),
+    "ipv6": (":",),
+    "url_credential": ("@", ":"),
+    "gps_coords": (",", ".", DIGIT),
+    "aadhaar": (DIGIT,),
+    "pan": (DIGIT,),
+    "gstin": (DIGIT,),
+    "aws_access_key": ("A", "(?:AKIA|ASIA|AGPA)"),
+    "generic_secret": ("[-_]",),
+    "ssn_us": ("-", DIGIT),
+    "aadhaar_verhoeff": (DIGIT,),
+    "pan_with_checksum": (DIGIT,),
+    "indian_mobile": (DIGIT,),
+    "voter_id_epic": (DIGIT,),
+    "driving_license_in": (DIGIT,),
+}
+SHIPPED = frozenset((*BUILTIN, *INDIAN_IDS))
+
 # fixed values: field labels by group, with category and longest value
 FIELD_GROUPS: tuple[tuple[str, str, int, tuple[str, ...]], ...] = (
     ("field_name", "PERSON", 80, (r"name", r"full\s+name", r"farmer\s+name", r"applicant", r"नाम", r"पूरा\s+नाम", r"નામ", r"নাম", r"ਨਾਮ", r"ಹೆಸರು", r"പേര്", r"పేరు", r"பெயர்")),

@@ -110,6 +110,19 @@ def backend(df: DataFrame, prompt: str, factory: Callable[[], Callable[[list[str
     return df.mapInPandas(run, schema)
 
 
+def token_counter(factory: Callable[[], Callable[[str], Iterable] | None]) -> Callable[[Column], Column]:
+    """A tokenizer (text -> tokens) as a count for sft.dry_run(); one of None counts words times 1.3."""
+
+    key = uuid.uuid4().hex
+
+    @pandas_udf("int")
+    def run(text: pd.Series) -> pd.Series:
+        encode = once(factory, key) or (lambda t: range(int(len(t.split()) * 1.3)))
+        return text.map(lambda t: None if t is None else len(list(encode(t)))).astype("Int32")
+
+    return lambda text: run(text)
+
+
 def tool_hook(factory: Callable[[], Callable[[str, str], str]]) -> Callable[[Column, Column], Column]:
     """A hook (tool, arguments as JSON) -> content for generate.call_tools()."""
 

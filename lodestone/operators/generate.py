@@ -1,8 +1,8 @@
 """Synthetic trajectories: stub model, mock tools with failure injection, the two-step loop.
 
 With the stub the loop ends after one call and one answer, so it unrolls into
-columns.  Real models plug in through rounds(), which runs a bounded number of
-`mapInPandas` rounds over the rows that are not finished.
+columns.  Real models plug in through generate_with(): per step one pass of the
+model over the rows that are not finished; everything else stays in columns.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lodestone import session
 from lodestone.plans.schema import VERSION, event
 from lodestone.sources.adapters import get
 
@@ -214,9 +215,9 @@ def generate(seeds: DataFrame, registry: dict, start: Column, config: dict | Non
         event(kind="assistant", role="assistant", event_id="a0", timestamp=at(1), content=F.lit(NO_TOOL), finish_reason="stop", lineage_id=lineage),
     )
     tags = F.to_json(F.struct(F.struct(sid.alias("seed_id"), F.when(F.col("tool").isNull(), 1).otherwise(2).alias("n_steps"), F.lit("final").alias("finish_reason")).alias("synthetic")))
-    session = F.concat(F.lit("syn_"), F.substring(F.sha2(F.coalesce(sid, F.col("query")), 256), 1, 16))
+    name = F.concat(F.lit("syn_"), F.substring(F.sha2(F.coalesce(sid, F.col("query")), 256), 1, 16))
     made = kept.select(
-        session.alias("session_id"), F.lit("synthetic").alias("source"), (F.col("domain") if "domain" in cols else F.lit(None).cast("string")).alias("domain"),
+        name.alias("session_id"), F.lit("synthetic").alias("source"), (F.col("domain") if "domain" in cols else F.lit(None).cast("string")).alias("domain"),
         F.lit(VERSION).alias("schema_version"), lineage.alias("lineage_id"), tags.alias("tags"), F.when(F.col("tool").isNull(), without).otherwise(with_tool).alias("events"),
     )
     return made, dropped
@@ -230,3 +231,75 @@ def rounds(state: DataFrame, step: Callable[[Iterator[pd.DataFrame]], Iterator[p
         if checkpoint:
             state = checkpoint(state)
     return state
+
+
+def generate_with(
+    seeds: DataFrame,
+    registry: dict,
+    start: Column,
+    model: Callable[[], Callable[[list[str]], list[str]]],
+    max_steps: int = MAX_STEPS,
+    config: dict | None = None,
+    fixtures: DataFrame | None = None,
+    hook=None,
+    drop_invalid: bool = True,
+    seed: int = 0,
+    system: str | None = None,
+    cut: Callable[[DataFrame], DataFrame] | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """(trajectories, dropped seeds) by a model that proposes calls and sees their results, up to `max_steps` answers a seed.
+
+    model: a factory (called once a worker) of chats, as JSON, -> answers.  An
+    answer is {"tool_call": {"name", "arguments"}}, {"final": text}, or plain
+    text, which is final.  A seed is dropped if a call is malformed or, with
+    drop_invalid, does not fit the registry.  `cut` writes and rereads the rows
+    twice a step, so that no answer is asked for twice and plans stay short; by
+    default they are checkpointed.
+    """
+    from lodestone.functions.plugins import backend
+    from lodestone.operators.evaluate import _fits
+
+    cols = seeds.columns
+    sid = F.col("seed_id") if "seed_id" in cols else F.lit(None).cast("string")
+    at = lambda s: start + F.make_dt_interval(secs=s)
+    turn = lambda role, content: F.to_json(F.struct(F.lit(role).alias("role"), content.alias("content")))
+    asked = event(kind="user", role="user", event_id="u0", timestamp=at(F.lit(0)), content=F.col("query"), lineage_id=sid)
+    head = [turn("system", F.lit(system))] if system else []
+    rows = seeds.withColumns({"_chat": F.array(*head, turn("user", F.col("query"))), "events": F.array(asked), "_state": F.lit("open"), "_n": F.lit(0)})
+    cut = cut or session.cut
+    for step in range(max_steps):
+        open_ = rows.where("_state = 'open'").withColumn("_prompt", F.concat(F.lit("["), F.array_join("_chat", ","), F.lit("]")))
+        said = cut(backend(open_, "_prompt", model, "_raw")).drop("_prompt")
+        body = F.regexp_extract("_raw", r"(?s)\{.*\}", 0)
+        said = said.withColumns({"_call": F.get_json_object(body, "$.tool_call"), "_final": F.get_json_object(body, "$.final")})
+        args = F.coalesce(F.get_json_object("_call", "$.arguments"), F.lit("{}"))
+        said = said.withColumns({"tool": F.get_json_object("_call", "$.name"), "arguments": args, "call_index": F.lit(step)})
+        malformed = F.col("_call").isNotNull() & (F.coalesce(F.col("tool"), F.lit("")).eqNullSafe("") | ~F.startswith(F.ltrim("arguments"), F.lit("{")))
+        unfit = F.col("_call").isNotNull() & ~_fits(F.struct(F.col("tool").alias("name"), F.col("arguments")), registry) if drop_invalid else F.lit(False)
+        said = said.withColumn("_bad", F.coalesce(malformed | unfit, F.lit(True)))
+        calls_ = call_tools(said.where("_call IS NOT NULL AND NOT _bad"), registry, config, fixtures, hook, seed)
+        cid = F.lit(f"call_{step}")
+        call = F.struct(cid.alias("id"), F.col("tool").alias("name"), F.col("arguments"))
+        meta = F.when(F.col("failure_mode").isNull(), F.lit("{}")).otherwise(F.to_json(F.struct("failure_mode")))
+        new = F.array(
+            event(kind="tool_call", role="assistant", event_id=f"tc{step}", timestamp=at(F.lit(2 * step + 1)), tool_calls=F.array(call), lineage_id=sid),
+            event(kind="tool_result", role="tool", event_id=f"tr{step}", timestamp=at(F.lit(2 * step + 2)), tool_call_id=cid, name=F.col("tool"), content=F.col("content"), is_error=F.col("is_error"), lineage_id=sid, metadata=meta),
+        )
+        function = F.struct(F.col("tool").alias("name"), F.col("arguments"))
+        used = F.to_json(F.struct(F.lit("assistant").alias("role"), F.lit("").alias("content"), F.array(F.struct(cid.alias("id"), F.lit("function").alias("type"), function.alias("function"))).alias("tool_calls")))
+        told = F.to_json(F.struct(F.lit("tool").alias("role"), cid.alias("tool_call_id"), F.col("tool").alias("name"), F.col("content")))
+        keep = [*cols, "_chat", "events", "_state", "_n"]
+        calls_ = calls_.withColumns({"_chat": F.concat("_chat", F.array(used, told)), "events": F.concat("events", new), "_n": F.lit(step + 1)}).select(*keep)
+        text = F.trim(F.coalesce(F.nullif("_final", F.lit("")), F.col("_raw"), F.lit("")))
+        done = event(kind="assistant", role="assistant", event_id=f"a{step}", timestamp=at(F.lit(2 * step + 1)), content=text, finish_reason="stop", lineage_id=sid)
+        ended = said.where("_call IS NULL").withColumns({"events": F.array_append("events", done), "_state": F.lit("final"), "_n": F.lit(step + 1)}).select(*keep)
+        lost = said.where("_call IS NOT NULL AND _bad").withColumn("_state", F.lit("dropped")).select(*keep)
+        rows = cut(rows.where("_state <> 'open'").select(*keep).unionByName(calls_).unionByName(ended).unionByName(lost))
+        if rows.where("_state = 'open'").isEmpty():
+            break
+    reason = F.when(F.col("_state") == "final", "final").otherwise("max_steps")
+    tags = F.to_json(F.struct(F.struct(sid.alias("seed_id"), F.col("_n").alias("n_steps"), reason.alias("finish_reason")).alias("synthetic")))
+    name = F.concat(F.lit("syn_"), F.substring(F.sha2(F.coalesce(sid, F.col("query")), 256), 1, 16))
+    domain = F.col("domain") if "domain" in cols else F.lit(None).cast("string")
+    made = rows.where("_state <> 'dropped'").select(name.alias("session_id"), F.lit("synthetic").alias("source"), domain.alias("domain"), F.lit(VERSION).alias("schema_version"), sid.alias("lineage_id"), tags.alias("tags"), "events")
+    return made, rows.where("_state = 'dropped'").select(*cols)

@@ -2,28 +2,30 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+#: bits of monotonically_increasing_id() that number the rows of a partition
+ROW_BITS = 33
+
 
 def global_rank(df: DataFrame, order: list[str], out: str) -> DataFrame:
-    """Adds the 1-based position of each row in the given order of non-null columns.
+    """Adds the 1-based position of each row in the given order; columns of any sortable type.
 
-    Cut points of the first column (at most one per shuffle partition, from a
-    sketch) give ordered buckets; rows are numbered within their bucket and
-    shifted by the counts of the buckets before, which are a few numbers.
+    Rows are range-partitioned by the whole order and sorted within partitions,
+    so equal leading columns do not share a task unless the whole order is
+    equal.  A row's position is its place in the partition plus the sizes of
+    the partitions before, of which one number each comes to the driver.  The
+    ranged rows are kept on the executors' disks, because both passes must see
+    the same ranges; a lost block is computed again with the same bounds.
     """
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    kind = dict(df.dtypes)[order[0]]
-    # numeric cut points; other types sort by a single bucket per leading two characters
-    if kind in ("int", "bigint", "double", "float", "smallint", "tinyint") or kind.startswith("decimal"):
-        cuts = df.agg(F.percentile_approx(order[0], [i / n for i in range(1, n)] or [0.5], 1000)).first()[0] or []
-        bucket = F.aggregate(F.array(*[F.lit(c) for c in sorted(set(cuts))]).cast("array<double>"), F.lit(0), lambda a, c: a + (F.col(order[0]) > c).cast("int"))
-    else:
-        bucket = F.coalesce(F.ascii(F.substring(order[0], 1, 1)) * 65536 + F.ascii(F.substring(order[0], 2, 1)), F.lit(0))
-    rows = df.withColumn("_bucket", bucket)
-    sizes = rows.groupBy("_bucket").agg(F.count("*").alias("_c"))
-    before = sizes.withColumn("_before", F.coalesce(F.sum("_c").over(W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).drop("_c")
-    rank = F.row_number().over(W.partitionBy("_bucket").orderBy(*order))
-    return rows.withColumn("_r", rank).join(before, "_bucket").withColumn(out, F.col("_r") + F.col("_before")).drop("_bucket", "_r", "_before")
+    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()).persist(StorageLevel.DISK_ONLY)
+    part = F.shiftright("_at", ROW_BITS)
+    before, total = {}, 0
+    for r in sorted(ranged.groupBy(part.alias("p")).agg(F.count("*").alias("n")).collect()):
+        before[r["p"]] = total
+        total += r["n"]
+    shift = F.element_at(F.create_map(*[F.lit(x).cast("long") for kv in before.items() for x in kv]), part) if before else F.lit(0)
+    return ranged.withColumn(out, F.col("_at").bitwiseAND(F.lit((1 << ROW_BITS) - 1)) + shift + 1).drop("_at")

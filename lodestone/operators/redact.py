@@ -7,9 +7,13 @@ and placeholder numbering are folds over the row's few spans.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lodestone.functions.checks import aadhaar_valid, pan_valid
 from lodestone.functions.pii_rules import BUILTIN, FIELDS, INDIAN_IDS, SCRIPTS, Rule, check_of, without
 from lodestone.plans.schema import EVENT, EVENT_FIELDS, once
 
@@ -24,11 +28,16 @@ def none() -> Column:
 
 def rule_spans(text: Column, rule: Rule, order: int) -> Column:
     """Spans of one rule.  `less` is minus the end, so that sorting puts longer spans first."""
-    parts = F.struct(
-        F.split(text, rule.java, -1).alias("s"),
-        F.regexp_extract_all(text, F.lit(rule.java), F.lit(0)).alias("m"),
-        (F.regexp_extract_all(text, F.lit(rule.java), F.lit(rule.group)) if rule.group else F.array().cast("array<string>")).alias("g"),
-    )
+    found = F.regexp_extract_all(text, F.lit(rule.java), F.lit(0))
+
+    def spans(m: Column) -> Column:
+        # where nothing matched, the text is not looked at again
+        parts = F.struct(
+            F.split(text, rule.java, -1).alias("s"),
+            m.alias("m"),
+            (F.regexp_extract_all(text, F.lit(rule.java), F.lit(rule.group)) if rule.group else F.array().cast("array<string>")).alias("g"),
+        )
+        return F.when(F.size(m) > 0, F.transform(F.array(parts), walk)[0]).otherwise(none())
 
     def walk(x: Column) -> Column:
         def step(acc: Column, k: Column) -> Column:
@@ -48,9 +57,11 @@ def rule_spans(text: Column, rule: Rule, order: int) -> Column:
             return F.struct(after.alias("pos"), F.when(good, F.array_append(acc["out"], one)).otherwise(acc["out"]).alias("out"))
 
         start = F.struct(F.lit(0).alias("pos"), none().alias("out"))
-        return F.when(F.size(x["m"]) > 0, F.aggregate(F.sequence(F.lit(0), F.size(x["m"]) - 1), start, step, lambda a: a["out"])).otherwise(none())
+        return F.aggregate(F.sequence(F.lit(0), F.size(x["m"]) - 1), start, step, lambda a: a["out"])
 
-    return F.transform(F.array(parts), walk)[0]
+    out = F.transform(F.array(found), spans)[0]
+    needed = [F.contains(text, F.lit(n)) if len(n) == 1 else F.rlike(text, F.lit(n)) for n in rule.needs]
+    return F.when(reduce(and_, needed), out).otherwise(none()) if needed else out
 
 
 def detect_all(text: Column, rules: tuple[Rule, ...] = BUILTIN) -> Column:
@@ -66,9 +77,25 @@ def resolve(spans: Column) -> Column:
     return F.aggregate(spans, start, step, lambda a: a["out"])
 
 
-def orchestrated(text: Column) -> Column:
-    """Checked Indian identifiers, general rules without their categories, labelled fields; overlaps resolved."""
-    return resolve(detect_all(text, (*INDIAN_IDS, *without(BUILTIN, "GOV_ID_IN", "PHONE"), *FIELDS)))
+def orchestrated(text: Column, engines: tuple = (), language: Column | None = None) -> Column:
+    """Checked Indian identifiers, general rules without their categories, labelled fields, then engines; overlaps resolved.
+
+    engines: functions (text, language) -> spans (plugins.pii_engine).  What an
+    engine takes for an Aadhaar or PAN number must pass its check.
+    """
+    native = detect_all(text, (*INDIAN_IDS, *without(BUILTIN, "GOV_ID_IN", "PHONE"), *FIELDS))
+    if not engines:
+        return resolve(native)
+    lang = detect_language(text) if language is None else language
+    found = [F.filter(e(F.coalesce(text, F.lit("")), lang), checked_id) for e in engines]
+    return resolve(F.array_sort(F.concat(native, *found)))
+
+
+def checked_id(span: Column) -> Column:
+    """False for a span of category GOV_ID_IN in the form of a PAN or Aadhaar number that fails its check."""
+    t = span["text"]
+    pan, aadhaar = F.rlike(F.upper(t), F.lit(r"^[A-Z]{5}\d{4}[A-Z]$")), F.rlike(t, F.lit(r"^\d{4}[\s\-]?\d{4}[\s\-]?\d{4}$"))
+    return (span["category"] != "GOV_ID_IN") | F.when(pan, pan_valid(t)).when(aadhaar, aadhaar_valid(t)).otherwise(F.lit(True))
 
 
 def detect_language(text: Column) -> Column:
@@ -190,6 +217,13 @@ def audit_sample(df: DataFrame, key: str, rate: float, seed: int = 0, cap: int |
     return rows if cap is None else rows.orderBy("audit_hash", key).limit(cap)
 
 
+def audit_summary(sample: DataFrame) -> DataFrame:
+    """One row on redacted rows drawn for audit: audit_total, category_counts (by name), categories_seen, n_with_leaks."""
+    totals = category_totals(sample).agg(F.array_sort(F.collect_list(F.struct("category", "n"))).alias("category_counts"))
+    whole = sample.agg(F.count("*").alias("audit_total"), F.count_if(F.col("pii_leak_count") > 0).alias("n_with_leaks"))
+    return whole.crossJoin(totals).withColumn("categories_seen", F.transform("category_counts", lambda c: c["category"]))  # one row each
+
+
 def coverage(samples: DataFrame) -> DataFrame:
     """samples(sample_id, text, expected array) -> recall of expected categories: general rules alone, all engines."""
     cats = lambda s: F.array_distinct(F.transform(s, lambda x: x["category"]))

@@ -37,16 +37,15 @@ def hash_embed(text: Column, dim: int = DIM, sizes: tuple[int, ...] = (3, 4, 5))
 
     bins = F.transform(F.array(F.split(F.lower(F.coalesce(text, F.lit(""))), "")), grams)[0]
 
-    def vector(b: Column) -> Column:
-        counts = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda k: F.size(F.filter(b, lambda x: x == k)).cast("double"))
+    def vector(s: Column) -> Column:
+        # sorted, with every bin once besides: a bin's count is the length of its run, less one
+        ends = F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda i: (i == F.size(s) - 1) | (F.get(s, i + 1) != s[i]))
+        counts = F.transform(F.array(ends), lambda e: F.transform(e, lambda x, i: (x - F.coalesce(F.get(e, i - 1), F.lit(-1)) - 1).cast("double")))[0]
 
-        def unit(v: Column) -> Column:
-            norm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x))
-            return F.transform(v, lambda x: F.when(norm > 0, x / norm).otherwise(F.lit(0.0)))
+        return F.transform(F.transform(F.array(counts), lambda c: F.struct(c.alias("c"), F.sqrt(F.aggregate(c, F.lit(0.0), lambda a, x: a + x * x)).alias("n"))), lambda v: F.transform(v["c"], lambda x: F.when(v["n"] > 0, x / v["n"]).otherwise(F.lit(0.0))))[0]
 
-        return F.transform(F.array(counts), unit)[0]
-
-    return F.transform(F.array(bins), vector)[0]
+    every = F.sequence(F.lit(0), F.lit(dim - 1))
+    return F.transform(F.array(F.array_sort(F.concat(bins, every))), vector)[0]
 
 
 def _grams(chars: Column, n: int) -> Column:
@@ -60,11 +59,11 @@ def cosine(a: Column, b: Column) -> Column:
 
 def greedy_labels(vectors: np.ndarray, threshold: float) -> np.ndarray:
     """Single pass: each vector joins the nearest running-mean centroid within the threshold, else opens a cluster."""
-    centroids = np.zeros((0, vectors.shape[1]))
+    centroids = np.zeros((64, vectors.shape[1] if vectors.ndim > 1 else 0))
     counts: list[int] = []
     out = np.zeros(len(vectors), np.int64)
     for i, v in enumerate(vectors):
-        sims = centroids @ v
+        sims = centroids[: len(counts)] @ v
         j = int(sims.argmax()) if len(sims) else -1
         if j >= 0 and sims[j] >= threshold:
             c = (centroids[j] * counts[j] + v) / (counts[j] + 1)
@@ -72,7 +71,9 @@ def greedy_labels(vectors: np.ndarray, threshold: float) -> np.ndarray:
             counts[j] += 1
             out[i] = j
         else:
-            centroids = np.vstack([centroids, v])
+            if len(counts) == len(centroids):  # room doubles, so that growing stays linear
+                centroids = np.concatenate([centroids, np.zeros_like(centroids)])
+            centroids[len(counts)] = v
             counts.append(1)
             out[i] = len(counts) - 1
     return out

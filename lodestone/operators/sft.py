@@ -170,12 +170,15 @@ def whitespace_tokens(text: Column) -> Column:
     return (F.regexp_count(text, F.lit(r"\S+")) * F.lit(1.3).cast("double")).cast("int")
 
 
-def dry_run(records: DataFrame, template: str = "chatml", max_tokens: int = 8192, key: str | None = None, fail_fast: bool = False) -> DataFrame:
-    """Per record: code (null: passed) and n_tokens.  fail_fast returns the first failure only."""
+def dry_run(records: DataFrame, template: str = "chatml", max_tokens: int = 8192, key: str | None = None, fail_fast: bool = False, tokens=whitespace_tokens) -> DataFrame:
+    """Per record: code (null: passed) and n_tokens.  fail_fast returns the first failure only.
+
+    tokens: text column -> number of tokens, words by default (plugins.token_counter() for a tokenizer).
+    """
     m = F.col("messages")
     rows = records.withColumn("_text", F.when(m.isNotNull() & (F.size(m) > 0), render(m, template)))
     parse_bad = m.isNull() | F.exists(m, lambda x: ~F.coalesce(x["role"].isin("system", "user", "assistant", "tool"), F.lit(False)))
-    rows = rows.withColumn("n_tokens", F.coalesce(whitespace_tokens(F.col("_text")), F.lit(0)))
+    rows = rows.withColumn("n_tokens", F.coalesce(tokens(F.col("_text")).cast("int"), F.lit(0)))
     code = (
         F.when(m.isNotNull() & (F.size(m) == 0), "EMPTY_MESSAGES")
         .when(parse_bad, "MESSAGE_PARSE")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -12,6 +13,8 @@ from pyspark.sql import functions as F
 from lodestone.plans.schema import once
 
 SPLITS = ("train", "val", "test")
+#: leading hexadecimal digits of a hash that make a bucket of a stratum: 4,096 buckets
+BUCKET_DIGITS = 3
 
 
 def tool_arity(n_tools: Column) -> Column:
@@ -33,20 +36,25 @@ def stratified_split(df: DataFrame, stratum: Column, key: Column, fractions: tup
 
     Rows of a stratum are ranked by a seeded hash of their key; half-even
     rounding gives the sizes of train and val, val being cut to what is left.
-    Ranks are per stratum, so a stratum's rows share a task; give strata that
-    can grow without bound a finer key.
+    A stratum is cut into 4,096 buckets by the hash's first digits: bucket sizes give
+    each bucket's first rank, and rows are numbered within their bucket only,
+    so one stratum may hold the whole corpus.
     """
     if any(f < 0 for f in fractions) or abs(sum(fractions) - 1.0) > 1e-6:
         raise ValueError("fractions must be non-negative and sum to 1")
     h = F.sha2(F.concat(F.lit(f"{seed}:"), F.col("stratum"), F.lit(":"), key.cast("string")), 256)
-    df = df.withColumn("stratum", stratum)
-    w = W.partitionBy("stratum")
-    n = F.count("*").over(w)
-    rank = F.row_number().over(w.orderBy(h, key))
+    df = df.withColumn("stratum", stratum).withColumn("_h", h).withColumn("_bucket", F.substring("_h", 1, BUCKET_DIGITS))
+    sizes = df.groupBy("stratum", "_bucket").agg(F.count("*").alias("_c"))
+    whole = W.partitionBy("stratum")
+    # at most 4,096 narrow rows a stratum
+    sizes = sizes.withColumn("_before", F.coalesce(F.sum("_c").over(whole.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).withColumn("_n", F.sum("_c").over(whole)).drop("_c")
+    rows = df.withColumn("_r", F.row_number().over(W.partitionBy("stratum", "_bucket").orderBy("_h", key)))
+    rows = rows.join(sizes.withColumnsRenamed({"stratum": "_s", "_bucket": "_b"}), F.col("stratum").eqNullSafe(F.col("_s")) & (F.col("_bucket").eqNullSafe(F.col("_b"))))
+    rank, n = F.col("_before") + F.col("_r"), F.col("_n")
     train = F.bround(n * F.lit(fractions[0])).cast("long")
     val = F.least(F.bround(n * F.lit(fractions[1])).cast("long"), n - train)
     out = F.when(rank <= train, SPLITS[0]).when(rank <= train + val, SPLITS[1]).otherwise(SPLITS[2])
-    return df.withColumn("split", out)
+    return rows.withColumn("split", out).drop("_h", "_bucket", "_before", "_n", "_r", "_s", "_b")
 
 
 def shingles(text: Column, k: int = 5) -> Column:
@@ -67,21 +75,25 @@ def jaccard(a: Column, b: Column) -> Column:
     return F.when((F.size(a) > 0) & (F.size(b) > 0), both / union).otherwise(F.lit(0.0))
 
 
-def near_duplicates(df: DataFrame, key: str, text: str, threshold: float = 0.85, k: int = 5, groups: str | None = None) -> DataFrame:
-    """All pairs (a, b) with Jaccard similarity of at least `threshold`; exact.
-
-    Equal shingle sets are collapsed first, so copies meet once.  Prefix
-    filtering: with shingles in one global order (rarest first), two sets that
-    similar share a shingle among their first n - ceil(t n) + 1; only those are
-    joined.  Of a pair's common shingles the first bounds the overlap by what
-    follows it (positional filter).  What is left is counted on hashes, and
-    what passes is verified on the shingles.  With `groups` only pairs of
-    different groups count (a < b by group), else a < b by key.
-    """
+def _classes(df: DataFrame, key: str, text: str, k: int, groups: str | None) -> tuple[DataFrame, DataFrame]:
+    """((key, grp, sid) rows without their sets, (sid, set) of each different set)."""
     sets = df.select(F.col(key).alias("key"), *([F.col(groups).alias("grp")] if groups else []), F.col(text).alias("_text"))
     sets = once(sets, "set", shingles(F.col("_text"), k)).drop("_text").where(F.size("set") > 0)
-    sets = sets.withColumn("sid", F.xxhash64(F.array_sort("set")))
-    distinct = sets.groupBy("sid").agg(F.first("set").alias("set"))
+    # sets are cut once and kept on disk: every later step reads them from there
+    sets = sets.withColumn("sid", F.xxhash64(F.array_sort("set"))).persist(StorageLevel.DISK_ONLY)
+    distinct = sets.groupBy("sid").agg(F.first("set").alias("set")).persist(StorageLevel.DISK_ONLY)
+    return sets.drop("set"), distinct
+
+
+def _similar(distinct: DataFrame, threshold: float) -> DataFrame:
+    """(sa, sb, jaccard) of the different sets (sid, set) that are similar enough, sa < sb.
+
+    Prefix filtering: with shingles in one global order (rarest first), two
+    sets that similar share a shingle among their first n - ceil(t n) + 1; only
+    those are joined.  Of a pair's common shingles the first bounds the overlap
+    by what follows it (positional filter).  What is left is counted on hashes,
+    and what passes is verified on the shingles.
+    """
     tokens = distinct.select("sid", F.explode("set").alias("s")).withColumn("h", F.xxhash64("s"))
     freq = tokens.groupBy("h").agg(F.count("*").alias("df"))
     ordered = (
@@ -89,6 +101,7 @@ def near_duplicates(df: DataFrame, key: str, text: str, threshold: float = 0.85,
         .groupBy("sid")
         .agg(F.transform(F.array_sort(F.collect_list(F.struct("df", "h"))), lambda x: x["h"]).alias("hs"))
         .withColumn("n", F.size("hs"))
+        .persist(StorageLevel.DISK_ONLY)
     )
     take = F.col("n") - F.ceil(F.lit(threshold) * F.col("n")).cast("int") + 1
     prefix = ordered.select("sid", "n", F.posexplode(F.slice("hs", F.lit(1), take)).alias("i", "h"))
@@ -100,7 +113,19 @@ def near_duplicates(df: DataFrame, key: str, text: str, threshold: float = 0.85,
     one, two = ordered.select(F.col("sid").alias("sa"), F.col("hs").alias("x")), ordered.select(F.col("sid").alias("sb"), F.col("hs").alias("y"))
     near = cand.join(one, "sa").join(two, "sb").where(F.size(F.array_intersect("x", "y")) >= need - 1).select("sa", "sb")
     one, two = distinct.withColumnsRenamed({"sid": "sa", "set": "x"}), distinct.withColumnsRenamed({"sid": "sb", "set": "y"})
-    sure = near.join(one, "sa").join(two, "sb").withColumn("jaccard", jaccard(F.col("x"), F.col("y"))).where(F.col("jaccard") >= threshold)
+    return near.join(one, "sa").join(two, "sb").withColumn("jaccard", jaccard(F.col("x"), F.col("y"))).where(F.col("jaccard") >= threshold).select("sa", "sb", "jaccard")
+
+
+def near_duplicates(df: DataFrame, key: str, text: str, threshold: float = 0.85, k: int = 5, groups: str | None = None) -> DataFrame:
+    """All pairs (a, b) with Jaccard similarity of at least `threshold`; exact.
+
+    The output holds every pair of a group of copies, which grows with the
+    square of the group: near_duplicate_classes() says the same in one row per
+    key and one per pair of different texts.  With `groups` only pairs of
+    different groups count (a < b by group), else a < b by key.
+    """
+    sets, distinct = _classes(df, key, text, k, groups)
+    sure = _similar(distinct, threshold)
     links = sure.select("sa", "sb", "jaccard").unionByName(sure.select(F.col("sb").alias("sa"), F.col("sa").alias("sb"), "jaccard"))
     links = links.unionByName(distinct.select(F.col("sid").alias("sa"), F.col("sid").alias("sb"), F.lit(1.0).alias("jaccard")))
     cols = ["key", "sid"] + (["grp"] if groups else [])
@@ -110,6 +135,26 @@ def near_duplicates(df: DataFrame, key: str, text: str, threshold: float = 0.85,
     return pairs.select(*(["grp_a", "grp_b"] if groups else []), "key_a", "key_b", "jaccard")
 
 
+def near_duplicate_classes(df: DataFrame, key: str, text: str, threshold: float = 0.85, k: int = 5) -> tuple[DataFrame, DataFrame]:
+    """(members, links), linear in rows: no group of copies is expanded.
+
+    members: key, class_key (the smallest key with the same shingles), n_links
+    (rows of other classes that are similar enough, plus the other rows of the
+    own class).  links: class_a, class_b, jaccard for classes of different
+    shingles, class_a < class_b.  Rows without shingles have neither.
+    """
+    sets, distinct = _classes(df, key, text, k, None)
+    named = sets.groupBy("sid").agg(F.min("key").alias("class_key"), F.count("*").alias("n"))
+    sure = _similar(distinct, threshold)
+    a, b = (named.select(F.col("sid").alias(s), F.col("class_key").alias(c), F.col("n").alias(m)) for s, c, m in (("sa", "ca", "na"), ("sb", "cb", "nb")))
+    met = sure.join(a, "sa").join(b, "sb")
+    links = met.select(F.least("ca", "cb").alias("class_a"), F.greatest("ca", "cb").alias("class_b"), "jaccard")
+    both = met.select(F.col("sa").alias("sid"), F.col("nb").alias("m")).unionByName(met.select(F.col("sb").alias("sid"), F.col("na").alias("m")))
+    more = both.groupBy("sid").agg(F.sum("m").alias("m"))
+    counted = named.join(more, "sid", "left").select("sid", "class_key", (F.col("n") - 1 + F.coalesce("m", F.lit(0))).alias("n_links"))
+    return sets.join(counted, "sid").select("key", "class_key", "n_links"), links
+
+
 def split_integrity(df: DataFrame, key: str, text: str, split: str = "split", threshold: float = 0.85, k: int = 5) -> DataFrame:
     """Near-duplicate pairs across splits: split_a, split_b, key_a, key_b, jaccard (three places)."""
     pairs = near_duplicates(df, key, text, threshold, k, groups=split)

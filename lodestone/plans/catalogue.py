@@ -7,6 +7,7 @@ tested against brute force on fixtures.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,7 @@ from lodestone.functions.pii_rules import BUILTIN, FIELDS
 from lodestone.operators import evaluate, generate, pairs, persona, redact, seeds, sft, splits, tagging, validate
 from lodestone.plans import trajectories
 from lodestone.plans.schema import calls, exploded, once
-from lodestone.session import table
+from lodestone.session import spread, table
 from lodestone.sources import adapters, records
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,6 +76,11 @@ f2 AS (SELECT *, CASE WHEN errs >= 2 OR (rec AND calls >= 3) OR tools >= 3 OR sc
 """
 
 
+def documents(spark, d):
+    """The documents, dealt over all cores where the file is one split: what is done with each text costs more than moving it."""
+    return spread(table(spark, d, "documents"))
+
+
 def long(c: str):
     return F.col(c).cast("long").alias(c)
 
@@ -161,7 +167,7 @@ def _rule(name: str):
 
 def _found(spark, d, name):
     spans = redact.detect_all(F.col("text"), _rule(name))
-    rows = table(spark, d, "documents").select("doc_id", F.explode(spans).alias("s"))
+    rows = documents(spark, d).select("doc_id", F.explode(spans).alias("s"))
     return rows.groupBy("doc_id").agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_list("s.text")), "|").alias("found"))
 
 
@@ -201,7 +207,7 @@ def pii_phone(spark, d):
 @query()
 def pii_category_counts(spark, d):
     out = redact.redact_text(F.col("text"))["counts"]
-    rows = table(spark, d, "documents").select(F.explode(out).alias("category", "n"))
+    rows = documents(spark, d).select(F.explode(out).alias("category", "n"))
     return rows.groupBy("category").agg(F.sum("n").cast("long").alias("n"))
 
 
@@ -209,13 +215,13 @@ def pii_category_counts(spark, d):
 WHERE len(list_distinct(regexp_extract_all(coalesce(text, ''), '(?i)\\b[A-Z0-9._%+\\-]+@[A-Z0-9.\\-]+\\.[A-Z]{2,}\\b'))) = 1""")
 def redact_docs(spark, d):
     out = redact.redact_text(F.col("text"), _rule("email"))
-    return once(table(spark, d, "documents").select("doc_id", "text"), "r", out).where("element_at(r.counts, 'EMAIL') = 1").select("doc_id", F.col("r.text").alias("redacted"))
+    return once(documents(spark, d).select("doc_id", "text"), "r", out).where("element_at(r.counts, 'EMAIL') = 1").select("doc_id", F.col("r.text").alias("redacted"))
 
 
 @query()
 def leak_gate(spark, d):
     narrow = redact.redact_text(F.col("text"), _rule("email"))["text"]
-    rows = once(table(spark, d, "documents").select("doc_id", narrow.alias("t")), "l", redact.leaks(F.col("t"))).where(F.size("l") > 0)
+    rows = once(documents(spark, d).select("doc_id", narrow.alias("t")), "l", redact.leaks(F.col("t"))).where(F.size("l") > 0)
     return rows.select("doc_id", F.size("l").cast("long").alias("n_leaks"), F.array_join(F.array_sort(F.array_distinct(F.transform("l", lambda s: s["category"]))), ",").alias("categories"))
 
 
@@ -256,7 +262,50 @@ def field_rules(spark, d):
 
 @query("SELECT lang, language, count(*) AS n FROM (SELECT lang, 'en' AS language FROM documents) GROUP BY ALL")
 def language_script(spark, d):
-    return table(spark, d, "documents").select("lang", redact.detect_language(F.col("text")).alias("language")).groupBy("lang", "language").agg(F.count("*").alias("n"))
+    return documents(spark, d).select("lang", redact.detect_language(F.col("text")).alias("language")).groupBy("lang", "language").agg(F.count("*").alias("n"))
+
+
+# every built-in rule once, on strings made from customer keys
+_K4, _K7 = "lpad(CAST(c_custkey % 10000 AS VARCHAR), 4, '0')", "lpad(CAST(c_custkey AS VARCHAR), 7, '0')"
+MADE = {
+    "email": f"'u' || {_K7} || '@ex.org'",
+    "phone_e164": f"'+44 20 ' || {_K4} || ' 1234'",
+    "credit_card": "'4111 1111 1111 1111'",
+    "phone_in": f"'987' || {_K7}",
+    "iban": f"'GB29NWBK601613' || {_K7}",
+    "ipv4": "'10.0.' || CAST(c_custkey % 256 AS VARCHAR) || '.7'",
+    "ipv6": f"'fe80:1:2:3:' || {_K4}",
+    "url_credential": f"'https://u' || {_K4} || ':pw@h.org/x'",
+    "gps_coords": f"'12.' || {_K4} || ', 77.' || {_K4}",
+    "aadhaar": f"'4321-8765-' || {_K4}",
+    "pan": f"'ABCPE' || {_K4} || 'F'",
+    "gstin": f"'29ABCPE' || {_K4} || 'F1Z5'",
+    "aws_access_key": f"'AKIA00000000X' || {_K7}",
+    "generic_secret": f"'token-abcdefghij' || {_K7}",
+    "ssn_us": f"'123-45-' || {_K4}",
+}
+_LINE = " || ' ;' || ".join(MADE.values())
+
+
+@query("WITH r AS (" + " UNION ALL ".join(f"SELECT c_custkey, '{k}' AS rule, {v} AS found FROM customer" for k, v in MADE.items()) + ") SELECT * FROM r")
+def pii_rules_made(spark, d):
+    rows = table(spark, d, "customer").select("c_custkey", F.expr(_LINE.replace("AS VARCHAR", "AS STRING")).alias("text"))
+    found = rows.select("c_custkey", F.explode(redact.detect_all(F.col("text"))).alias("s"))
+    # a string may hold a part that another rule takes; each rule's own string counts here
+    own = F.coalesce(*[F.when((F.col("s.rule") == k) & (F.col("s.text") == F.expr(v.replace("AS VARCHAR", "AS STRING"))), F.lit(True)) for k, v in MADE.items()])
+    return found.where(own).select("c_custkey", F.col("s.rule").alias("rule"), F.col("s.text").alias("found"))
+
+
+_MAIL = "'(?i)\\b[A-Z0-9._%+\\-]+@[A-Z0-9.\\-]+\\.[A-Z]{2,}\\b'"
+
+
+@query(f"""WITH e AS (SELECT doc_id, list_distinct(regexp_extract_all(coalesce(text, ''), {_MAIL})) AS l FROM documents WHERE substr(sha256('3:' || CAST(doc_id AS VARCHAR)), 1, 16) < '8000000000000000')
+SELECT count(*) AS audit_total, CASE WHEN sum(len(l)) > 0 THEN 'EMAIL:' || CAST(sum(len(l)) AS VARCHAR) ELSE '' END AS category_counts FROM e""")
+def audit_summary(spark, d):
+    drawn = redact.audit_sample(documents(spark, d), "doc_id", 0.5, 3)
+    r = once(drawn.select("doc_id", "text"), "r", redact.redact_text(F.col("text"), _rule("email")))
+    out = redact.audit_summary(r.select(F.col("r.counts").alias("pii_counts"), F.lit(0).alias("pii_leak_count")))
+    return out.select("audit_total", F.array_join(F.transform("category_counts", lambda c: F.concat_ws(":", c["category"], c["n"].cast("string"))), ",").alias("category_counts"))
 
 
 # ---- validation -------------------------------------------------------------------
@@ -320,10 +369,9 @@ def valid_sessions(spark, d):
 
 
 # ---- duplicates and leakage ---------------------------------------------------------
-@query("SELECT h AS fingerprint, count(*) AS n FROM (SELECT sha256(string_agg(lower(regexp_replace(coalesce(text, ''), '^\\s+|\\s+$', '', 'g')) || chr(0), '' ORDER BY turn)) AS h FROM conversations WHERE role = 'user' GROUP BY conv_id) GROUP BY h HAVING count(*) > 1")
+@query("SELECT h AS fingerprint, count(*) AS n FROM (SELECT sha256(string_agg(lower(regexp_replace(coalesce(text, ''), '^\\s+|\\s+$', '', 'g')) || chr(0), '' ORDER BY turn)) AS h FROM conversations WHERE role = 'user' GROUP BY conv_id) GROUP BY h")
 def fingerprint_dups(spark, d):
-    rows = t1(spark, d).where(F.exists("events", lambda e: e["kind"] == "user")).groupBy(tagging.fingerprint().alias("fingerprint")).agg(F.count("*").alias("n"))
-    return rows.where("n > 1")
+    return t1(spark, d).where(F.exists("events", lambda e: e["kind"] == "user")).groupBy(tagging.fingerprint().alias("fingerprint")).agg(F.count("*").alias("n"))
 
 
 def _jaccard_sql(rows: str) -> str:
@@ -335,22 +383,32 @@ QUESTIONS = _jaccard_sql(f"WITH {T1}, q AS (SELECT sid, lower(utext) AS t FROM s
 URLS = _jaccard_sql("WITH q AS (SELECT page_id AS sid, lower(url) AS t FROM pages WHERE url <> '')")
 
 
-@query(f"{QUESTIONS} SELECT ka AS key_a, kb AS key_b, round(j, 6) AS jaccard FROM p WHERE j >= 0.6")
+def _classes_sql(rows: str, least: float) -> str:
+    """Members of classes of equal shingles, with their number of similar rows."""
+    return f"{rows}, c AS (SELECT sid, list_sort(list(s)) AS l FROM g GROUP BY sid), k AS (SELECT sid, min(sid) OVER (PARTITION BY l) AS class_key FROM c), x AS (SELECT sid, count(*) AS n FROM (SELECT ka AS sid FROM p WHERE j >= {least} UNION ALL SELECT kb FROM p WHERE j >= {least}) GROUP BY sid) SELECT k.sid AS key, class_key, coalesce(n, 0) AS n_links FROM k LEFT JOIN x USING (sid)"
+
+
+@query(_classes_sql(QUESTIONS, 0.2))
 def near_dup_questions(spark, d):
     from lodestone.plans.schema import texts
 
     rows = t1(spark, d).select("session_id", F.array_join(texts("user"), " ").alias("utext"))
-    return splits.near_duplicates(rows, "session_id", "utext", 0.6).select("key_a", "key_b", F.round("jaccard", 6).alias("jaccard"))
+    return splits.near_duplicate_classes(rows, "session_id", "utext", 0.2)[0]
 
 
-@query(f"{URLS} SELECT ka AS key_a, kb AS key_b, round(j, 6) AS jaccard FROM p WHERE j >= 0.8")
+@query(_classes_sql(URLS, 0.8))
 def near_dup_urls(spark, d):
-    return splits.near_duplicates(table(spark, d, "pages"), "page_id", "url", 0.8).select("key_a", "key_b", F.round("jaccard", 6).alias("jaccard"))
+    return splits.near_duplicate_classes(table(spark, d, "pages"), "page_id", "url", 0.8)[0]
+
+
+@query(f"{URLS}, c AS (SELECT sid, list_sort(list(s)) AS l FROM g GROUP BY sid), k AS (SELECT sid, min(sid) OVER (PARTITION BY l) AS ck FROM c) SELECT DISTINCT least(a.ck, b.ck) AS class_a, greatest(a.ck, b.ck) AS class_b, round(j, 6) AS jaccard FROM p JOIN k a ON a.sid = ka JOIN k b ON b.sid = kb WHERE j >= 0.8 AND a.ck <> b.ck")
+def near_dup_url_links(spark, d):
+    return splits.near_duplicate_classes(table(spark, d, "pages"), "page_id", "url", 0.8)[1].withColumn("jaccard", F.round("jaccard", 6))
 
 
 @query()
 def near_dup_docs(spark, d):
-    return splits.near_duplicates(table(spark, d, "documents"), "doc_id", "text", 0.85)
+    return splits.near_duplicate_classes(documents(spark, d), "doc_id", "text", 0.85)[0]
 
 
 @query(f"{URLS}, sp AS (SELECT sid, CASE sid % 3 WHEN 0 THEN 'train' WHEN 1 THEN 'val' ELSE 'test' END AS s FROM q), w AS (SELECT least(a.s, b.s) AS split_a, greatest(a.s, b.s) AS split_b FROM p JOIN sp a ON a.sid = ka JOIN sp b ON b.sid = kb WHERE j >= 0.8 AND a.s <> b.s) SELECT split_a, split_b, count(*) AS n_pairs FROM w GROUP BY ALL")
@@ -364,7 +422,7 @@ def split_leaks(spark, d):
 b AS (SELECT item_id, ' ' || array_to_string(list_filter(regexp_split_to_array(lower(coalesce(text, '')), '\\s+'), lambda x: x <> ''), ' ') || ' ' AS t FROM benchmark)
 SELECT d.doc_id AS doc, b.item_id AS item FROM d JOIN b ON contains(d.t, b.t)""")
 def benchmark_leaks(spark, d):
-    return splits.contained(table(spark, d, "benchmark"), table(spark, d, "documents"), "item_id", "text", "doc_id", "text")
+    return splits.contained(table(spark, d, "benchmark"), documents(spark, d), "item_id", "text", "doc_id", "text")
 
 
 # ---- export -----------------------------------------------------------------------
@@ -573,6 +631,30 @@ def stub_generate(spark, d):
     return made.select(F.col("lineage_id").cast("long").alias("p_partkey"), F.get(calls(), F.lit(0))["name"].alias("tool"), F.size("events").alias("n_events"))
 
 
+@query("""SELECT p_partkey, n_calls, n_events, finish FROM (SELECT p_partkey, p_partkey % 4 AS n_calls, p_partkey % 4 * 2 + CASE WHEN p_partkey % 4 = 3 THEN 1 ELSE 2 END AS n_events, CASE WHEN p_partkey % 4 = 3 THEN 'max_steps' ELSE 'final' END AS finish FROM part WHERE p_partkey % 5 <> 4)""")
+def multi_step_generate(spark, d):
+    """A model that calls a tool as often as its seed asks for, then answers; every fifth seed's calls lack an argument."""
+
+    def make():
+        def answer(prompts):
+            out = []
+            for p in prompts:
+                chat = json.loads(p)
+                want, bad = map(int, chat[0]["content"].split())
+                made = sum(m["role"] == "tool" for m in chat)
+                call = {"tool_call": {"name": "mandi_price", "arguments": {} if bad else {"commodity": "tea"}}}
+                out.append(json.dumps(call) if made < want or bad else 'So: {"final": "done"}')
+            return out
+
+        return answer
+
+    k = F.col("p_partkey")
+    rows = table(spark, d, "part").select(k.cast("string").alias("seed_id"), F.concat_ws(" ", (k % 4).cast("string"), F.when(k % 5 == 4, "1").otherwise("0")).alias("query"))
+    made, _ = generate.generate_with(rows, TOOLS, F.lit("2024-01-01 00:00:00").cast("timestamp"), make, max_steps=3)
+    n = F.size(F.filter("events", lambda e: e["kind"] == "tool_call"))
+    return made.select(F.col("lineage_id").cast("long").alias("p_partkey"), n.cast("long").alias("n_calls"), F.size("events").cast("long").alias("n_events"), F.get_json_object("tags", "$.synthetic.finish_reason").alias("finish"))
+
+
 _DRAW = "substr(sha256('4::' || 'view' || '::' || props || '::' || CAST(event_id AS VARCHAR) || '::' || '{0}'), 1, 15) < '{1}'"
 
 
@@ -588,9 +670,11 @@ def shard_assignment(spark, d):
     return records.shard_ids(table(spark, d, "documents").select("doc_id"), ["doc_id"], 100)
 
 
-@query()
+@query("""WITH h AS (SELECT sha256('{"event_id":' || event_id || ',"event_type":"' || event_type || '"}') AS h FROM events),
+w AS (SELECT count(*) AS n, """ + ", ".join(f"sum(CAST('0x' || substr(h, {1 + 12 * i}, 12) AS BIGINT)) AS s{i}" for i in range(4)) + """ FROM h)
+SELECT n AS n_records, sha256(concat_ws(':', CAST(n AS VARCHAR), CAST(s0 AS VARCHAR), CAST(s1 AS VARCHAR), CAST(s2 AS VARCHAR), CAST(s3 AS VARCHAR))) AS fingerprint FROM w""")
 def dataset_fingerprint(spark, d):
-    return records.fingerprint(table(spark, d, "documents"))
+    return records.fingerprint(table(spark, d, "events"), ["event_id", "event_type"])
 
 
 @query("SELECT CAST(conv_id AS VARCHAR) AS session_id, 'generic_chat' AS source, count(*) FILTER (role IN ('user', 'assistant')) AS n_events FROM conversations GROUP BY conv_id")
@@ -633,10 +717,15 @@ def source_shapes(spark, d):
     return _raw(spark, d).select("conv_id", adapters.detect_source(F.col("raw")).alias("shape"))
 
 
-@query(f"WITH {SHAPES} SELECT CAST(conv_id AS VARCHAR) AS session_id, CAST(CASE WHEN n = 0 OR (n = 1 AND a = 0) THEN u + a WHEN n = 1 THEN u + a + ta ELSE ut + ta END AS BIGINT) AS n_events FROM c WHERE n < 3")
+@query("""WITH c AS (SELECT *, conv_id % 4 AS n, role IN ('user', 'assistant') AS said FROM conversations), has AS (SELECT conv_id, count(*) FILTER (role = 'assistant') > 0 AS calls FROM conversations GROUP BY conv_id),
+e AS (SELECT conv_id, turn, 0 AS part, role AS kind, coalesce(text, '') AS content, '' AS args FROM c JOIN has USING (conv_id) WHERE said AND (n = 0 OR (n = 1 AND (role = 'user' OR text <> '')) OR (n = 2 AND text <> ''))
+UNION ALL SELECT conv_id, turn, 1, 'tool_call', '', 'c1:look:{"q":1}' FROM c WHERE n = 1 AND role = 'assistant')
+SELECT CAST(conv_id AS VARCHAR) AS session_id, string_agg(kind || '=' || content || args, '|' ORDER BY turn, part) AS events FROM e GROUP BY conv_id""")
 def ingest_mixed(spark, d):
     good, _ = adapters.normalize(_raw(spark, d), F.lit(BASE_TIME).cast("timestamp"))
-    return good.select("session_id", F.size("events").cast("long").alias("n_events"))
+    args = F.transform(F.coalesce(F.col("x.tool_calls"), F.array().cast("array<struct<id:string,name:string,arguments:string>>")), lambda c: F.concat_ws(":", c["id"], c["name"], c["arguments"]))
+    rows = good.select("session_id", F.posexplode("events").alias("at", "x")).select("session_id", "at", F.concat("x.kind", F.lit("="), F.when(F.col("x.kind") == "tool_call", "").otherwise(F.coalesce("x.content", F.lit(""))), F.array_join(args, "")).alias("s"))
+    return rows.groupBy("session_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "s"))), lambda v: v["s"]), "|").alias("events"))
 
 
 @query(f"WITH {SHAPES} SELECT 'no known record shape' AS error, count(*) AS n FROM c WHERE n = 3")
@@ -659,11 +748,11 @@ def dpo_sources(spark, d):
     return made.groupBy("source").agg(F.count("*").alias("n"))
 
 
-@query(f"SELECT CASE WHEN event_type NOT IN ('view', 'click') THEN 'INVALID_ARGS' WHEN event_type = 'view' THEN CASE WHEN {_DRAW.format('TIMEOUT', '400000000000000')} THEN 'TIMEOUT' ELSE 'none' END ELSE 'none' END AS mode, count(*) AS n FROM events GROUP BY 1")
+@query(f"SELECT event_id AS call_index, event_type AS tool, CASE WHEN event_type NOT IN ('view', 'click') THEN 'INVALID_ARGS' WHEN event_type = 'view' THEN CASE WHEN {_DRAW.format('TIMEOUT', '400000000000000')} THEN 'TIMEOUT' ELSE 'none' END ELSE 'none' END AS mode FROM events")
 def mock_tools(spark, d):
     rows = table(spark, d, "events").select(F.col("event_type").alias("tool"), F.col("props").alias("arguments"), F.col("event_id").alias("call_index"))
     out = generate.call_tools(rows, {"view": {"required": ["k"]}, "click": {}}, {"view": {"TIMEOUT": 0.25}}, seed=4)
-    return out.groupBy(F.coalesce("failure_mode", F.lit("none")).alias("mode")).agg(F.count("*").alias("n"))
+    return out.select("call_index", "tool", F.coalesce("failure_mode", F.lit("none")).alias("mode"))
 
 
 @query("""WITH g AS (SELECT user_id, ts, CASE WHEN ts >= lag(ts) OVER w + INTERVAL 30 MINUTE THEN 1 WHEN lag(ts) OVER w IS NULL THEN 1 ELSE 0 END AS new FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),

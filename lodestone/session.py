@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
@@ -40,3 +42,16 @@ def spread(df: DataFrame) -> DataFrame:
         return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if execution.toRdd().getNumPartitions() < cores else df
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """A checkpoint of the frame in the folder that the cluster names in spark.checkpoint.dir; cuts plan and lineage."""
+    spark = df.sparkSession
+    if not spark.sparkContext.getCheckpointDir():
+        found = spark.conf.get("spark.checkpoint.dir", None)
+        if not found:
+            if not (spark.conf.get("spark.master", "") or "").startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+            found = tempfile.mkdtemp(prefix="lodestone-")
+        spark.sparkContext.setCheckpointDir(found)
+    return df.checkpoint()

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import json
+import re
 from datetime import datetime, timedelta
 
 from helpers import call, frame, say, user
@@ -62,3 +64,41 @@ def test_sessions_assembled_from_a_stream(spark, tmp_path):
     assert got == [["t0", "t1"], ["t2", "t3"]]
     ev = spark.createDataFrame([(t0, "error"), (t0, "click")], "ts timestamp, event_type string")
     assert frontend.stream_counts(ev).agg(F.sum("n"), F.sum("n_errors")).first()[0:2] == (2, 1)
+
+
+def test_multi_step_generation_sees_results_and_drops_bad_calls(spark):
+    def make():
+        def answer(prompts):
+            out = []
+            for p in prompts:
+                chat = json.loads(p)
+                q, seen = chat[0]["content"], [m for m in chat if m["role"] == "tool"]
+                if q == "bad":
+                    out.append('{"tool_call": {"name": "nope"}}')
+                elif q == "list":
+                    out.append('{"tool_call": {"name": "look", "arguments": [1]}}')
+                elif q == "twice" and len(seen) < 2:
+                    out.append(json.dumps({"tool_call": {"name": "look", "arguments": {"q": len(seen)}}}))
+                else:
+                    out.append(f"saw {[m['content'] for m in seen]}")
+            return out
+
+        return answer
+
+    seeds = spark.createDataFrame([(q, q) for q in ("twice", "none", "bad", "list")], "seed_id string, query string")
+    made, dropped = generate.generate_with(seeds, {"look": {"required": ["q"], "properties": {"q": "integer"}}}, F.lit("2024-01-01").cast("timestamp"), make)
+    got = {r["lineage_id"]: r["events"] for r in made.collect()}
+    assert [e["kind"] for e in got["twice"]] == ["user", "tool_call", "tool_result", "tool_call", "tool_result", "assistant"]
+    assert [e["kind"] for e in got["none"]] == ["user", "assistant"] and got["none"][1]["content"] == "saw []"
+    assert got["twice"][-1]["content"].count('"stub":true') == 2 and got["twice"][3]["tool_calls"][0]["arguments"] == '{"q":1}'
+    assert sorted(r["seed_id"] for r in dropped.collect()) == ["bad", "list"]
+
+
+def test_engines_in_the_orchestrator_and_tokenizer_in_the_dry_run(spark):
+    find = lambda text, lang: [("x", "GOV_ID_IN", m.start(), m.end()) for m in re.finditer(r"[A-Z]{5}\d{4}[A-Z]", text)] + [("n", "PERSON", 0, 3)]
+    df = spark.createDataFrame([("Bob ABCPE1234F and ABCXE1234F",)], "t string")
+    spans = redact.orchestrated(F.col("t"), (plugins.pii_engine(lambda: find),))
+    got = [(s["category"], s["text"]) for s in df.select(F.explode(spans).alias("s")).select("s.*").collect()]
+    assert got == [("PERSON", "Bob"), ("GOV_ID_IN", "ABCPE1234F")]
+    n = df.select(plugins.token_counter(lambda: list)(F.col("t")).alias("n"), plugins.token_counter(lambda: None)(F.col("t")).alias("w")).first()
+    assert (n["n"], n["w"]) == (29, 5)

@@ -128,3 +128,42 @@ def test_near_duplicates_equal_brute_force(spark):
 def test_error_events_are_no_steps(spark):
     t = frame(spark, [user(0, "x"), ev("error", 1, error_type="E", message="m"), say(2, "y")])
     assert t.select(tagging.num_steps()).first()[0] == 1
+
+
+def test_near_duplicate_classes_say_what_pairs_say(spark):
+    import random
+
+    r = random.Random(3)
+    texts = ["".join(r.choice("abcd ") for _ in range(60)) for _ in range(12)]
+    rows = [(i, texts[i % 12] if i % 3 else texts[i % 12][:-1] + "z") for i in range(60)] + [(900, ""), (901, None)]
+    df = spark.createDataFrame(rows, "k long, t string")
+    pairs = {(x["key_a"], x["key_b"]) for x in splits.near_duplicates(df, "k", "t", 0.8).collect()}
+    members, links = splits.near_duplicate_classes(df, "k", "t", 0.8)
+    got = {x["key"]: x for x in members.collect()}
+    assert set(got) == set(range(60))
+    for i in got:
+        assert got[i]["n_links"] == sum(i in p for p in pairs), i
+    both = {(x["class_a"], x["class_b"]) for x in links.collect()}
+    expanded = {(a, b) for a in got for b in got if a < b and (got[a]["class_key"] == got[b]["class_key"] or tuple(sorted((got[a]["class_key"], got[b]["class_key"]))) in both)}
+    assert expanded == pairs
+
+
+def test_global_rank_of_strings_with_a_common_prefix_and_ties(spark):
+    from lodestone.operators.ranking import global_rank
+
+    rows = [(f"sess_{i * 7919 % 1000:05d}", i % 3) for i in range(1000)] + [("sess_00000", 9)] * 3
+    df = spark.createDataFrame(rows, "s string, n int").repartition(6)
+    got = sorted((x["r"], x["s"], x["n"]) for x in global_rank(df, ["s", "n"], "r").collect())
+    assert [r for r, _, _ in got] == list(range(1, 1004)) and [x[1:] for x in got] == sorted(rows)
+    assert global_rank(df.limit(0), ["s"], "r").count() == 0
+
+
+def test_stratified_split_of_one_stratum_ranks_over_all_buckets(spark):
+    import hashlib
+
+    from pyspark.sql import functions as F
+
+    df = spark.range(3000).select(F.col("id").cast("string").alias("k"), F.lit("all").alias("s"))
+    got = {x["k"]: x["split"] for x in splits.stratified_split(df, F.col("s"), F.col("k"), (0.8, 0.1, 0.1), 5).collect()}
+    ranked = sorted(got, key=lambda k: hashlib.sha256(f"5:all:{k}".encode()).hexdigest())
+    assert [got[k] for k in ranked] == ["train"] * 2400 + ["val"] * 300 + ["test"] * 300
