@@ -125,14 +125,24 @@ def links(prints: DataFrame, list_limit: int = LIST_LIMIT) -> DataFrame:
     # the same plan at every size: lists that meet are hashed where their postings are dealt, without a sort
     met = posted.join(size.hint("shuffle_hash"), ["place", "bytes"])
     short = met.where(F.col("n") <= list_limit).groupBy("place", "bytes").agg(F.sort_array(F.collect_list("fp")).alias("l"))
-    pairs = F.flatten(F.transform("l", lambda x, i: F.transform(F.slice("l", i + 2, F.lit(list_limit)), lambda y: F.struct(x.alias("a"), y.alias("b")))))
-    found = short.select("place", F.explode(pairs).alias("p")).select("place", "p.a", "p.b", F.col("p.a").bitwiseXOR(F.col("p.b")).alias("x"))
-    # the tally of shared positional bytes; a pair's first list is that whose last position is its 4th shared one
-    shared = [F.col("x").bitwiseAND(F.lit(_signed(0xFF << (8 * p)))) == 0 for p in range(8)]
-    tally = reduce(add, [c.cast("int") for c in shared])
     last = F.element_at(F.array(*[F.lit(c[-1]) for c in combinations(range(8), MIN_SHARED)]), F.col("place").cast("int") + 1)
-    upto = reduce(add, [(c & (F.lit(p) <= last)).cast("int") for p, c in enumerate(shared)])
-    found = found.where((tally >= MIN_SHARED) & (upto == MIN_SHARED)).where(F.bit_count("x") <= MAX_BITS).select("a", "b")
+
+    def linked(x: Column, y: Column) -> Column:
+        """Whether the tally of shared positional bytes reaches the minimum, in the list whose last position is the pair's 4th shared one, and few bits differ."""
+        apart = x.bitwiseXOR(y)
+        shared = [apart.bitwiseAND(F.lit(_signed(0xFF << (8 * p)))) == 0 for p in range(8)]
+        tally = reduce(add, [c.cast("int") for c in shared])
+        upto = reduce(add, [(c & (F.lit(p) <= F.col("last"))).cast("int") for p, c in enumerate(shared)])
+        return (F.bit_count(apart) <= MAX_BITS) & (tally >= MIN_SHARED) & (upto == MIN_SHARED)
+
+    # pairs are tallied and verified within the list; only links come out of it
+    pairs = F.flatten(
+        F.transform(
+            "l",
+            lambda x, i: F.transform(F.filter(F.slice("l", i + 2, F.lit(list_limit)), lambda y: linked(x, y)), lambda y: F.struct(x.alias("a"), y.alias("b"))),
+        )
+    )
+    found = short.withColumn("last", last).select(F.explode(pairs).alias("p")).select("p.a", "p.b")
     dense = materialise(met.where(F.col("n") > list_limit).select("fp").distinct().repartition(parallelism(prints.sparkSession), "fp"), "dense")
     if dense.isEmpty():
         return found
