@@ -175,6 +175,36 @@ def test_near_copies_equal_brute_force(spark):
     assert corpus_pipeline.drop_near_copies(spark, docs(spark, []), "").count() == 0
 
 
+def test_large_groups_of_edited_copies_equal_brute_force(spark):
+    """Copies edited apart, cut short, extended alike and edited again: what the hub holds and what it lacks both link."""
+    import corpus_pipeline
+
+    r = random.Random(17)
+    vocab = [f"v{i}" for i in range(3000)]
+    rows = []
+    for size in (80, 200):
+        base = [r.choice(vocab) for _ in range(size)]
+        tails = [[r.choice(vocab) for _ in range(size // 3)] for _ in range(2)]
+        for _ in range(60):
+            t = list(base)
+            for _ in range(r.choice([0, 1, 2, 3, 4, 6]) * size // 100):
+                t[r.randrange(len(t))] = r.choice(vocab)
+            kind = r.randrange(6)
+            if kind == 0:
+                t = t[: int(size * r.uniform(0.55, 1))]
+            elif kind == 1:
+                t = t[int(size * r.uniform(0, 0.45)) :]
+            elif kind == 2:
+                t += r.choice(tails)[: r.randrange(size // 3)]
+            rows.append((len(rows), " ".join(t)))
+            if r.random() < 0.4:
+                t[r.randrange(len(t))] = r.choice(vocab)
+                rows.append((len(rows), " ".join(t)))
+    want = jaccard_groups(rows, 5, 0.8)
+    kept = corpus_pipeline.drop_near_copies(spark, docs(spark, rows, extra=True), "")
+    assert 10 < len(want) < len(rows) - 10 and sorted(x["doc_id"] for x in kept.collect()) == want
+
+
 @pytest.mark.parametrize("limit", [4, 64])
 def test_dense_lists_lose_no_link(spark, limit):
     r = random.Random(3)
