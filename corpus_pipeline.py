@@ -6,8 +6,9 @@ columns of `documents`.
 
 1. language_id: fits the model on the stage's labelled documents and drops
    those whose language it cannot tell.
-2. simhash_dedup: of each group of near copies, one document stays; near copies
-   share 0.8 of their five-word shingles (exact Jaccard similarity).
+2. simhash_dedup: of each group of near copies, one document stays; pairs come
+   from the tally of shared SimHash bytes by position, and are near copies if
+   they share 0.8 of their five-word shingles (exact Jaccard similarity).
 3. benchmark_decontamination: drops documents that hold a benchmark item.
 4. source_mixing: takes blocks of each source up to its quota, again up to
    three times where the quota asks for it.

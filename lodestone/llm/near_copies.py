@@ -1,32 +1,45 @@
-"""Near copies by exact Jaccard similarity (the pipeline's near-dedup stage).
+"""SimHash near-dedup with bounds of its own (operator 5 as the pipeline's stage).
 
 Two texts are near copies if the Jaccard similarity of their sets of word
 shingles (five words) is ``similarity`` (0.8) or more; groups are components
-of such links.  The 64 bits of operator 5 cannot tell that apart (0.8 is some
-10 differing bits, give or take 3), so they are not used here.
-
-*Candidates.* Equal sets are collapsed before.  Each set has 128 MinHash
-values, posted as 32 bands of 4: two sets of similarity s share a band with
-probability 1 - (1 - s**4)**32, so a pair at 0.8 is missed with 5e-8.  One bit
-of each value makes a sketch; pairs of more than 32 differing sketch bits
-(12.8 expected at 0.8; more than 32 has 1e-7) or of sizes too far apart are
-dropped.
-
-*Verifying.* Candidates are verified on their shingles' 64-bit hashes, in two
-rounds.  In the first every set meets one hub in each of its bands: the set
-that shares most bands with all others, which in a group of edited copies is
+of such links.  The steps are those of operator 5: fingerprints, an inverted
+index of their bytes by position, a tally of shared positional bytes with a
+count filter, and verification.  Its 64 bits and its bound of 4 are too narrow
+for this (0.8 is some 10 differing bits of 64, give or take 3, which leaves no
+byte that is surely shared), so the fingerprint is longer.
+
+*Fingerprints.* Equal sets are collapsed before.  Each set has 384 SimHash
+bits (bitwise majorities over its shingles' hashes): 48 bytes.
+
+*Index and tally.* A set is posted under each (position, byte).  Pairs at 0.8
+share 13 of 48 positions, give or take 3, unrelated ones 0.2; MIN_SHARED (3)
+is the least tally of a candidate, which a pair at 0.8 misses with 3e-5.  A
+list is split by the byte of each later position, and once more if still long,
+so a pair is met only where it shares two or three positions, and taken in one
+such place alone: that of its first ones.  Candidates differ in at most MOST
+bits (see there) and in size by no more than the similarity allows.
+
+*Dense lists.* What still holds over LIST_LIMIT sets that share three positions
+is a part of one large group, whose pairs grow with its square.  Such parts
+that overlap in a list are one dense list, whose pairs are never made; they
+meet through a hub, in two rounds, and nothing is cut.
+
+In the first every set meets one hub in each of its dense lists: the set
+that shares most lists with all others, which in a group of edited copies is
 the one closest to what they were made from.  That is linear.
 
-What is then still in different components within a band meets over what the
+What is then still in different components within a list meets over what the
 hub does not hold.  With h their hub, two sets x and y of similarity t share
 o = t / (1 + t) * (|x| + |y|) shingles or more, of which the hub holds
 min(|x & h|, |y & h|) at most.  Either that alone reaches o (a comparison of
 sizes per hub), or x and y share a shingle that h lacks: then they meet under
 (hub, shingle) in the prefixes of x - h and y - h in hash order, the first
-|x - h| - max(1, t * |x| - |x & h|) + 1 shingles.  Copies of one text that were
-edited apart have no such shingle in common, so their pairs are never made.
-Pairs within a component need no look, as they change no component.  No list
-is cut and no pair at t or more that shares a band is missed.
+|x - h| - max(1, t * |x| - |x & h|) + 1 shingles, and are a pair at the first
+one that both prefixes hold.  Copies of one text that were edited apart have
+no such shingle in common, so their pairs are never made.  Pairs within a
+component need no look, as they change no component.
+
+*Verifying.* Candidates are verified on their shingles' 64-bit hashes.
 
 Cases: as in operator 5: texts without words (or null) are copies of each
 other, fewer words than a shingle are one shingle, only A-Z are lower-cased.
@@ -34,7 +47,9 @@ other, fewer words than a shingle are one shingle, only A-Z are lower-cased.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pandas as pd
@@ -42,18 +57,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.llm.components import components
-from lodestone.llm.scratch import discard, materialise, text_batches
+from lodestone.llm.scratch import discard, materialise, parallelism, release, text_batches
 from lodestone.llm.simhash_dedup import keep_rows, row_key
 from lodestone.llm.wordhash import Words, blocks, grams, mix, spans_hash
 
 SHINGLE = 5
 SIMILARITY = 0.8
-BANDS, ROWS = 32, 4
-#: differing bits of two sketches (128 bits) up to which a pair is verified
-SKETCH_BITS = 32
-_RNG = np.random.default_rng(20240805)
-_MUL = _RNG.integers(1, 2**63, size=BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_ADD = _RNG.integers(0, 2**63, size=BANDS * ROWS, dtype=np.uint64)
+WORDS = 6
+#: bytes of a fingerprint
+POSITIONS = 8 * WORDS
+#: positional bytes that a candidate pair shares at least
+MIN_SHARED = 3
+#: differing bits of a candidate pair, at most: 0.8 is 57 of 384, give or take 7; the majorities of
+#: sets of fewer than FEW shingles are less steady (up to 72, give or take 8)
+MOST, MOST_FEW, FEW = 92, 120, 24
+#: lists up to this long are compared pair by pair
+LIST_LIMIT = 32
+_SALT = np.random.default_rng(20240805).integers(1, 2**63, size=WORDS, dtype=np.uint64)
+#: the bits of a byte, each in a byte of its own
+_LANES = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view(np.uint64).ravel()
+_FP = [f"f{i}" for i in range(WORDS)]
 
 
 def shingle_sets(texts: list[bytes], shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -75,19 +98,33 @@ def shingle_sets(texts: list[bytes], shingle: int = SHINGLE) -> tuple[np.ndarray
     return value, np.searchsorted(owner, np.arange(len(texts) + 1))
 
 
-def signatures(value: np.ndarray, bound: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(set id, band keys, sketches) of sets; a set without shingles has id 0 and no use for the rest."""
-    n = len(bound) - 1
-    sid, band, sketch = np.zeros(n, np.uint64), np.zeros((n, BANDS), np.uint64), np.zeros((n, 2), np.uint64)
+def fingerprints(value: np.ndarray, bound: np.ndarray) -> np.ndarray:
+    """SimHash bytes of sets, one row of POSITIONS each; zero for a set without shingles."""
+    count = np.diff(bound)
+    out = np.zeros((len(count), POSITIONS), np.uint8)
+    full = np.flatnonzero(count)
+    if not len(full):
+        return out
+    # ones are summed in lanes of a byte, so over 255 shingles at a time
+    runs = -(-count[full] // 255)
+    cut = np.concatenate(([0], np.cumsum(runs)[:-1]))
+    start = np.repeat(bound[full], runs) + 255 * (np.arange(runs.sum()) - np.repeat(cut, runs))
+    for w in range(WORDS):
+        byte = mix(value ^ _SALT[w]).view(np.uint8).reshape(-1, 8)
+        for p in range(8):
+            lanes = np.add.reduceat(_LANES[byte[:, p]], start).view(np.uint8).reshape(-1, 8)
+            ones = np.add.reduceat(lanes, cut, axis=0, dtype=np.int64)
+            out[full, 8 * w + p] = np.packbits(ones * 2 > count[full, None], axis=1, bitorder="little")[:, 0]
+    return out
+
+
+def set_ids(value: np.ndarray, bound: np.ndarray) -> np.ndarray:
+    """Ids of sets; 0 for a set without shingles."""
+    sid = np.zeros(len(bound) - 1, np.uint64)
     full = np.flatnonzero(np.diff(bound))
     if len(full):
-        cut = bound[full]
-        sid[full] = mix(np.add.reduceat(mix(value ^ np.uint64(0x5851F42D4C957F2D)), cut))
-        for k in range(BANDS * ROWS):
-            low = np.minimum.reduceat(value * _MUL[k] + _ADD[k], cut)
-            band[full, k // ROWS] = mix(band[full, k // ROWS] * np.uint64(0x9E3779B97F4A7C15) + low)
-            sketch[full, k // 64] |= (mix(low) & np.uint64(1)) << np.uint64(k % 64)
-    return sid, band, sketch
+        sid[full] = mix(np.add.reduceat(mix(value ^ np.uint64(0x5851F42D4C957F2D)), bound[full]))
+    return sid
 
 
 def _mark(shingle: int):
@@ -95,9 +132,9 @@ def _mark(shingle: int):
         for pdf in frames:
             for at, texts in blocks(pdf["text"]):
                 value, bound = shingle_sets(texts, shingle)
-                sid, band, sketch = signatures(value, bound)
                 rest = pdf.drop(columns="text").iloc[at : at + len(texts)]
-                yield rest.assign(sid=sid.view(np.int64), n=np.diff(bound).astype(np.int32), s0=sketch[:, 0].view(np.int64), s1=sketch[:, 1].view(np.int64), bands=list(band.view(np.int64)))
+                fp = [x.tobytes() for x in fingerprints(value, bound)]
+                yield rest.assign(sid=set_ids(value, bound).view(np.int64), n=np.diff(bound).astype(np.int32), fp=fp)
 
     return run
 
@@ -113,54 +150,144 @@ def _sets(shingle: int):
     return run
 
 
-def _may(similarity: float):
-    """Whether a pair of postings (a, na, a0, a1; b, nb, b0, b1) is worth verifying."""
-    apart = F.bit_count(F.col("a0").bitwiseXOR(F.col("b0"))) + F.bit_count(F.col("a1").bitwiseXOR(F.col("b1")))
-    return (apart <= SKETCH_BITS) & (F.least("na", "nb") >= similarity * F.greatest("na", "nb") - 1e-9)
+def _runs(key: np.ndarray) -> np.ndarray:
+    """Lengths of the runs of equal values."""
+    return np.diff(np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1], [True])))) if len(key) else np.zeros(0, np.int64)
+
+
+def _join(label: np.ndarray, rows: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Labels (rows' numbers) once the rows of each run are one; the smallest wins."""
+    start = np.cumsum(length) - length
+    while True:
+        own = label[rows]
+        low = np.repeat(np.minimum.reduceat(own, start), length)
+        if (own == low).all():
+            return label
+        parent = np.arange(len(label))
+        np.minimum.at(parent, own, low)
+        while (parent[parent] != parent).any():
+            parent = parent[parent]
+        label = parent[label]
+
+
+def meet(place: np.ndarray, byte: np.ndarray, sid: np.ndarray, n: np.ndarray, fp: np.ndarray, similarity: float, limit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Whole lists of postings -> pairs (x, y) and members of dense lists (sid, place, smallest sid of the dense list)."""
+    order = np.lexsort((sid, byte, place))
+    place, byte, sid, n, fp = place[order].astype(np.int64), byte[order], sid[order], n[order].astype(np.int64), np.ascontiguousarray(fp[order])
+    word = fp.view(np.uint64)
+    group = np.cumsum(np.concatenate(([0], (place[1:] != place[:-1]) | (byte[1:] != byte[:-1])))) if len(sid) else place
+    label = np.arange(len(sid))
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def compare(rows: np.ndarray, key: np.ndarray, *later: int) -> None:
+        for d in range(1, limit):
+            at = np.flatnonzero(key[d:] == key[:-d])
+            if not len(at):
+                return
+            x, y = rows[at], rows[at + d]
+            small = np.minimum(n[x], n[y])
+            most = np.where(small < FEW, MOST_FEW, MOST)
+            ok = (label[x] != label[y]) & (small >= similarity * np.maximum(n[x], n[y]) - 1e-9)
+            x, y, most = x[ok], y[ok], most[ok]
+            ok = np.bitwise_count(word[x] ^ word[y]).sum(axis=1) <= most
+            x, y = x[ok], y[ok]
+            tally = (fp[x] == fp[y]).cumsum(axis=1)
+            one = np.arange(len(x))
+            ok = (tally[:, -1] >= MIN_SHARED) & (tally[one, place[x]] == 1)
+            for k, p in enumerate(later):
+                ok &= tally[one, p] == k + 2
+            found.append((x[ok], y[ok]))
+
+    for p in range(1, POSITIONS):
+        end = np.searchsorted(place, p)
+        key = group[:end] * 256 + fp[:end, p]
+        rows = np.argsort(key, kind="stable")
+        key = key[rows]
+        length = _runs(key)
+        pick = np.repeat((length > 1) & (length <= limit), length)
+        compare(rows[pick], key[pick], p)
+        pick = np.repeat(length > limit, length)
+        if not pick.any():
+            continue
+        long, key = rows[pick], key[pick]
+        for q in range(p + 1, POSITIONS):
+            finer = key * 256 + fp[long, q]
+            by = np.argsort(finer, kind="stable")
+            rows, finer = long[by], finer[by]
+            length = _runs(finer)
+            pick = np.repeat(length > limit, length)
+            if pick.any():
+                label = _join(label, rows[pick], length[length > limit])
+            pick = np.repeat((length > 1) & (length <= limit), length)
+            compare(rows[pick], finer[pick], p, q)
+    x, y = (np.concatenate(c) if c else np.zeros(0, np.int64) for c in (list(zip(*found, strict=True)) or [[], []]))
+    # what one dense list holds meets through its hub
+    ok = label[x] != label[y]
+    dense = np.flatnonzero(np.bincount(label, minlength=len(label))[label] > 1)
+    return sid[x[ok]], sid[y[ok]], sid[dense], place[dense], sid[label[dense]]
+
+
+def _meet(similarity: float, limit: int):
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = [f for f in frames if len(f)]
+        if not held:
+            return
+        pdf = pd.concat(held)
+        del held
+        fp = np.frombuffer(b"".join(pdf["fp"]), np.uint8).reshape(-1, POSITIONS)
+        place = pdf["place"].to_numpy()
+        byte = fp[np.arange(len(fp)), place]
+        x, y, sid, at, low = meet(place, byte, pdf["sid"].to_numpy(), pdf["n"].to_numpy(), fp, similarity, limit)
+        yield pd.DataFrame({"a": np.concatenate((x, sid)), "b": np.concatenate((y, low)), "place": np.concatenate((np.full(len(x), -1), at)).astype(np.int32)})
+
+    return run
 
 
-def _sets_of(pairs: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
-    """(sid, hs): the shingles of all sets in (a, b); texts: (sid, text), one text of each set."""
-    used = pairs.select(F.col("a").alias("sid")).union(pairs.select(F.col("b").alias("sid"))).distinct()
-    return materialise(texts.join(used, "sid").select("sid", "text").mapInPandas(_sets(shingle), "sid long, hs array<bigint>"), "sets")
+def _may(similarity: float):
+    """Whether a pair (na, a0...; nb, b0...) is a candidate by its bits and sizes."""
+    apart = reduce(add, [F.bit_count(F.col(f"a{i}").bitwiseXOR(F.col(f"b{i}"))) for i in range(WORDS)])
+    most = F.when(F.least("na", "nb") < FEW, MOST_FEW).otherwise(MOST)
+    return (apart <= most) & (F.least("na", "nb") >= similarity * F.greatest("na", "nb") - 1e-9)
 
 
 def _met(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs with the shingles of a as x and of b as y."""
     # b may be in very many pairs: it is met first, while rows are narrow
-    return pairs.join(sets.select(F.col("sid").alias("b"), F.col("hs").alias("y")), "b").join(sets.select(F.col("sid").alias("a"), F.col("hs").alias("x")), "a")
+    x, y = sets.select(F.col("sid").alias("a"), F.col("hs").alias("x")), sets.select(F.col("sid").alias("b"), F.col("hs").alias("y"))
+    return pairs.join(y.hint("merge"), "b").join(x.hint("merge"), "a")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, similarity: float, shingle: int) -> DataFrame:
-    """The (a, b) pairs that are similar enough; texts: (sid, text), one text of each set."""
+def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The (a, b) pairs that are similar enough; sets: (sid, hs)."""
     pairs = materialise(pairs.select("a", "b").distinct(), "pairs")
-    sets = _sets_of(pairs, texts, shingle)
     both = F.size(F.array_intersect("x", "y"))
     sure = materialise(_met(pairs, sets).where(both >= similarity * (F.size("x") + F.size("y") - both) - 1e-9).select("a", "b"), "links")
-    discard(sets)
     discard(pairs)
     return sure
 
 
-def _apart(left: DataFrame, texts: DataFrame, similarity: float, shingle: int) -> DataFrame:
+def _apart(left: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """Candidates (a, b) among sets of different components that share a hub.
 
-    left: the open postings (sid, n, s0, s1, root, l.sid the hub).
+    left: the open postings (sid, n, fingerprint, root, l.sid the hub); sets: (sid, hs).
     """
-    pairs = left.where("sid <> l.sid").select(F.col("sid").alias("a"), F.col("l.sid").alias("b"), "n", "s0", "s1", "root").distinct()
+    kept = ["n", *_FP, "root"]
+    pairs = left.where("sid <> l.sid").select(F.col("sid").alias("a"), F.col("l.sid").alias("b"), *kept).distinct()
     # a hub whose other sets are of one component has nothing to tell apart
     several = pairs.groupBy("b").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1").select("b")
-    pairs = materialise(pairs.join(several, "b"), "hubs")
-    sets = _sets_of(pairs, texts, shingle)
+    pairs = materialise(pairs.join(several.hint("merge"), "b"), "hubs")
     own = F.array_sort(F.array_except("x", "y"))
     held = F.col("n") - F.size("own")
     prefix = F.size("own") - F.greatest(F.lit(1), F.ceil(similarity * F.col("n") - F.col("held") - 1e-9)) + 1
-    parts = _met(pairs, sets).select("a", "b", "n", "s0", "s1", "root", own.alias("own")).withColumn("held", held)
+    parts = _met(pairs, sets).select("a", "b", *kept, own.alias("own")).withColumn("held", held)
     parts = parts.withColumn("own", F.slice("own", F.lit(1), F.greatest(F.lit(0), prefix).cast("int")))
-    parts = materialise(parts.select(F.col("b").alias("hub"), F.col("a").alias("sid"), "n", "s0", "s1", "root", "held", "own"), "parts")
-    discard(sets)
+    parts = materialise(parts.select(F.col("b").alias("hub"), F.col("a").alias("sid"), *kept, "held", "own"), "parts")
     discard(pairs)
-    side = lambda df, k, *key: df.select(*key, *[F.col(c).alias(v) for c, v in (("sid", k), ("n", f"n{k}"), ("s0", f"{k}0"), ("s1", f"{k}1"), ("root", f"r{k}"), ("held", f"h{k}"))])
+
+    def side(df: DataFrame, k: str, *key: str) -> DataFrame:
+        names = {"sid": k, "n": f"n{k}", "root": f"r{k}", "held": f"h{k}", "own": f"own{k}"} | {f: f"{k}{i}" for i, f in enumerate(_FP)}
+        return df.select(*key, *[F.col(c).alias(v) for c, v in names.items() if c in df.columns])
+
     different = (F.col("ra") < F.col("rb")) & _may(similarity)
     # alike by what the hub holds: the largest partner that `held` allows
     whole = parts.drop("own").withColumn("most", F.floor(F.col("held") * (1 + similarity) / similarity - F.col("n") + 1e-6))
@@ -171,38 +298,57 @@ def _apart(left: DataFrame, texts: DataFrame, similarity: float, shingle: int) -
     x, y = side(whole, "a", "hub"), side(whole, "b", "hub")
     enough = F.least("ha", "hb") >= similarity / (1 + similarity) * (F.col("na") + F.col("nb")) - 1e-6
     within = x.join(y, "hub").where(different & enough).select("a", "b")
-    # alike by what it lacks
-    posted = parts.withColumn("s", F.explode("own")).drop("own")
+    # alike by what it lacks, taken at the first such shingle
+    posted = parts.withColumn("s", F.explode("own"))
     lists = posted.groupBy("hub", "s").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1").select("hub", "s")
     posted = materialise(posted.join(lists, ["hub", "s"]), "own")
-    beyond = side(posted, "a", "hub", "s").join(side(posted, "b", "hub", "s"), ["hub", "s"]).where(different).select("a", "b")
+    first = F.get(F.array_intersect("owna", "ownb"), F.lit(0)) == F.col("s")
+    beyond = side(posted, "a", "hub", "s").join(side(posted, "b", "hub", "s"), ["hub", "s"]).where(different & first).select("a", "b")
     return within.unionByName(beyond)
 
 
-def links(sets: DataFrame, texts: DataFrame, similarity: float = SIMILARITY, shingle: int = SHINGLE) -> DataFrame:
-    """Distinct sets (sid, n, s0, s1, bands) -> verified links (a, b), enough to connect every component."""
-    posted = sets.where("n > 0").select("sid", "n", "s0", "s1", F.posexplode("bands").alias("place", "band")).withColumn("place", F.col("place").cast("byte"))
-    size = posted.groupBy("place", "band").agg(F.count("*").alias("c")).where("c > 1")
-    shared = materialise(posted.join(size.hint("shuffle_hash"), ["place", "band"]), "shared")
-    # the tally of bands that a set shares with all others makes the hub
+def links(sets: DataFrame, texts: Callable[[DataFrame], DataFrame], similarity: float = SIMILARITY, shingle: int = SHINGLE, list_limit: int = LIST_LIMIT) -> DataFrame:
+    """Distinct sets (sid, n, fp) -> verified links (a, b), enough to connect every component.
+
+    texts: gives (sid, text), the text of each set, for a frame of sids.
+    """
+    spark = sets.sparkSession
+    posted = sets.where("n > 0").select("sid", "n", "fp", F.explode(F.sequence(F.lit(0), F.lit(POSITIONS - 1))).alias("place"))
+    lists = posted.repartition(parallelism(spark), "place", F.substring("fp", F.col("place") + 1, F.lit(1)))
+    met = materialise(lists.mapInPandas(_meet(similarity, list_limit), "a long, b long, place int"), "met")
+    release(spark)
+    pairs, dense = met.where("place < 0").select("a", "b"), met.where("place >= 0").select(F.col("a").alias("sid"), "place", F.col("b").alias("band"))
+    used = met.select(F.col("a").alias("sid")).union(pairs.select(F.col("b").alias("sid"))).distinct()
+    # a row that is there many times is one text
+    alone = texts(used).groupBy("sid").agg(F.first("text").alias("text"))
+    shingles = materialise(alone.mapInPandas(_sets(shingle), "sid long, hs array<bigint>"), "sets")
+    release(spark)
+    part = [F.conv(F.hex(F.substring("fp", 8 * i + 1, 8)), 16, -10).cast("long").alias(f) for i, f in enumerate(_FP)]
+    size = dense.groupBy("place", "band").agg(F.count("*").alias("c"))
+    shared = dense.join(size.hint("merge"), ["place", "band"]).join(sets.select("sid", "n", *part).hint("merge"), "sid")
+    # the tally of sets met in all dense lists makes the hub
     tally = shared.groupBy("sid").agg(F.sum("c").alias("t"))
-    low = shared.join(tally, "sid").groupBy("place", "band").agg(F.max(F.struct("t", F.negative("sid").alias("last"), "sid", "n", "s0", "s1")).alias("l"))
-    met = materialise(shared.drop("c").join(low, ["place", "band"]), "postings")
+    shared = materialise(shared.drop("c").join(tally.hint("merge"), "sid"), "shared")
+    low = shared.groupBy("place", "band").agg(F.max(F.struct("t", F.negative("sid").alias("last"), "sid", "n", *_FP)).alias("l"))
+    crowd = materialise(shared.drop("t").join(low.hint("merge"), ["place", "band"]), "postings")
     discard(shared)
-    mine = [F.col(c).alias(v) for c, v in (("sid", "a"), ("n", "na"), ("s0", "a0"), ("s1", "a1"))]
-    hub = [F.col(f"l.{c}").alias(v) for c, v in (("sid", "b"), ("n", "nb"), ("s0", "b0"), ("s1", "b1"))]
-    first = _verified(met.select(*mine, *hub).where("a <> b").where(_may(similarity)), texts, similarity, shingle)
+    mine = [F.col("sid").alias("a"), F.col("n").alias("na"), *[F.col(f).alias(f"a{i}") for i, f in enumerate(_FP)]]
+    hub = [F.col("l.sid").alias("b"), F.col("l.n").alias("nb"), *[F.col(f"l.{f}").alias(f"b{i}") for i, f in enumerate(_FP)]]
+    star = crowd.select(*mine, *hub).where("a <> b").where(_may(similarity)).select("a", "b")
+    first = _verified(pairs.union(star), shingles, similarity)
+    if crowd.isEmpty():
+        return first
     root = components(first)
-    own = met.join(root.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
+    own = crowd.join(root.withColumnRenamed("node", "sid").hint("merge"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     split = own.groupBy("place", "band").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1").select("place", "band")
-    left = materialise(own.join(split, ["place", "band"]), "open")
-    second = _verified(_apart(left, texts, similarity, shingle), texts, similarity, shingle)
-    discard(met)
-    discard(left)
+    left = materialise(own.join(split.hint("merge"), ["place", "band"]), "open")
+    second = _verified(_apart(left, shingles, similarity), shingles, similarity)
+    for frame in (met, crowd, left, shingles):
+        discard(frame)
     return first.unionByName(second)
 
 
-def keep_one(docs: DataFrame, similarity: float = SIMILARITY, shingle: int = SHINGLE) -> DataFrame:
+def keep_one(docs: DataFrame, similarity: float = SIMILARITY, shingle: int = SHINGLE, list_limit: int = LIST_LIMIT) -> DataFrame:
     """The rows of `docs` without near copies: of each group, the row with the smallest doc_id stays.
 
     Ties (repeated doc_ids, or null ones) go to the smallest text hash.
@@ -210,12 +356,15 @@ def keep_one(docs: DataFrame, similarity: float = SIMILARITY, shingle: int = SHI
     text_batches(docs.sparkSession)
     doc_id, key = F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("tkey")
     base = docs.select(doc_id, key, F.col("text").cast("string").alias("text"))
-    marked = materialise(base.mapInPandas(_mark(shingle), "doc_id long, tkey string, sid long, n int, s0 long, s1 long, bands array<bigint>"), "marked")
+    marked = materialise(base.mapInPandas(_mark(shingle), "doc_id long, tkey string, sid long, n int, fp binary"), "marked")
     row = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("tkey")))
-    sets = materialise(marked.groupBy("sid").agg(row.alias("row"), *[F.first(c).alias(c) for c in ("n", "s0", "s1", "bands")]), "distinct")
+    sets = materialise(marked.groupBy("sid").agg(row.alias("row"), F.first("n").alias("n"), F.first("fp").alias("fp")), "distinct")
     discard(marked)
-    rows = sets.select("sid", F.col("row.doc_id").alias("_i"), F.col("row.tkey").alias("_k"))
-    texts = base.join(rows, (base["tkey"] == rows["_k"]) & base["doc_id"].eqNullSafe(rows["_i"])).select("sid", "text")
-    root = components(links(sets.drop("row"), texts, similarity, shingle))
-    named = sets.join(root, sets["sid"] == root["node"], "left").select("row", F.coalesce("root", "sid").alias("root"))
+
+    def texts(used: DataFrame) -> DataFrame:
+        rows = sets.join(used.hint("merge"), "sid").select("sid", F.col("row.doc_id").alias("_i"), F.col("row.tkey").alias("_k"))
+        return base.join(rows.hint("merge"), (base["tkey"] == rows["_k"]) & base["doc_id"].eqNullSafe(rows["_i"])).select("sid", "text")
+
+    root = components(links(sets.drop("row"), texts, similarity, shingle, list_limit))
+    named = sets.join(root.hint("merge"), sets["sid"] == root["node"], "left").select("row", F.coalesce("root", "sid").alias("root"))
     return keep_rows(docs, named)

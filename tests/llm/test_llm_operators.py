@@ -17,7 +17,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodestone.llm import benchmark_decontamination as deco
-from lodestone.llm import boosting, components, hnsw, html_extraction, language_id, mixing, pii, simhash_dedup, substring_dedup, token_store, url_filter
+from lodestone.llm import boosting, components, hnsw, html_extraction, language_id, mixing, near_copies, pii, simhash_dedup, substring_dedup, token_store, url_filter
 from lodestone.llm.queries import QUERIES, tokenizer_path
 
 # columns that a table may have besides, with names that operators use inside
@@ -205,6 +205,63 @@ def test_large_groups_of_edited_copies_equal_brute_force(spark):
     assert 10 < len(want) < len(rows) - 10 and sorted(x["doc_id"] for x in kept.collect()) == want
 
 
+def edited(r, vocab, sizes, copies):
+    """Texts and copies of each with a few words changed, cut or added."""
+    rows = []
+    for size in sizes:
+        base = [r.choice(vocab) for _ in range(size)]
+        for _ in range(copies):
+            t = list(base)
+            for _ in range(r.choice([0, 1, 2, 3, 5]) * size // 100):
+                t[r.randrange(len(t))] = r.choice(vocab)
+            t = t[: int(size * r.uniform(0.8, 1))] if r.random() < 0.3 else t
+            rows.append((len(rows), " ".join(t)))
+    return rows
+
+
+@pytest.mark.parametrize("limit", [2, 5, 1000])
+def test_positional_index_of_near_copies_equals_brute_force(limit):
+    """The pipeline's simhash_dedup: pairs come from the tally of shared positional SimHash bytes, each once, or share a dense list."""
+    r = random.Random(6)
+    texts = [t.encode() for _, t in edited(r, [f"v{i}" for i in range(2000)], [60, 100, 150, 200, 400, 8], 14)]
+    value, bound = near_copies.shingle_sets(texts)
+    fp, n = near_copies.fingerprints(value, bound), np.diff(bound)
+    # plain majorities of the same hashes
+    for i in range(0, len(texts), 9):
+        for w in range(near_copies.WORDS):
+            h = near_copies.mix(value[bound[i] : bound[i + 1]] ^ near_copies._SALT[w])
+            ones = [sum(int(x) >> b & 1 for x in h) for b in range(64)]
+            assert int(fp[i].view("<u8")[w]) == sum(1 << b for b in range(64) if ones[b] * 2 > len(h))
+    want = set()
+    for i in range(len(texts)):
+        for j in range(i):
+            bits = int(np.bitwise_count(fp[i] ^ fp[j]).sum())
+            most = near_copies.MOST_FEW if min(n[i], n[j]) < near_copies.FEW else near_copies.MOST
+            if (fp[i] == fp[j]).sum() >= 3 and bits <= most and min(n[i], n[j]) >= 0.8 * max(n[i], n[j]) - 1e-9:
+                want.add((j, i))
+    rows, place = (x.ravel() for x in np.meshgrid(np.arange(len(texts)), np.arange(near_copies.POSITIONS)))
+    x, y, sid, at, low = near_copies.meet(place, fp[rows, place], rows, n[rows], fp[rows], 0.8, limit)
+    pairs = [(min(p), max(p)) for p in zip(x.tolist(), y.tolist(), strict=True)]
+    together = collections.defaultdict(set)
+    for s, p, k in zip(sid.tolist(), at.tolist(), low.tolist(), strict=True):
+        together[p, k].add(s)
+    shared = {(i, j) for g in together.values() for i in g for j in g if i < j}
+    assert len(want) > 200 and len(pairs) == len(set(pairs)) and set(pairs) <= want <= set(pairs) | shared
+    assert (set(pairs) == want and not shared) if limit == 1000 else shared
+    # the tally finds whatever is similar enough to link here
+    sets = [set(value[a:b].tolist()) for a, b in zip(bound[:-1], bound[1:], strict=True)]
+    alike = {(j, i) for i in range(len(sets)) for j in range(i) if sets[i] != sets[j] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
+    assert len(alike) > 50 and alike <= want
+
+
+def test_dense_lists_of_near_copies_lose_no_link(spark):
+    """Lists over the limit go through hubs; a row that is there many times is one text."""
+    r = random.Random(12)
+    rows = edited(r, [f"v{i}" for i in range(900)], [90, 140], 40)
+    got = near_copies.keep_one(docs(spark, rows + [rows[5]] * 20, extra=True), list_limit=3)
+    assert sorted(x["doc_id"] for x in got.collect()) == jaccard_groups(rows, 5, 0.8)
+
+
 @pytest.mark.parametrize("limit", [4, 64])
 def test_dense_lists_lose_no_link(spark, limit):
     r = random.Random(3)
