@@ -21,25 +21,38 @@ bits (see there) and in size by no more than the similarity allows.
 
 *Dense lists.* What still holds over LIST_LIMIT sets that share three positions
 is a part of one large group, whose pairs grow with its square.  Such parts
-that overlap in a list are one dense list, whose pairs are never made; they
-meet through a hub, in two rounds, and nothing is cut.
-
-In the first every set meets one hub in each of its dense lists: the set
-that shares most lists with all others, which in a group of edited copies is
-the one closest to what they were made from.  That is linear.
-
-What is then still in different components within a list meets over what the
-hub does not hold.  With h their hub, two sets x and y of similarity t share
-o = t / (1 + t) * (|x| + |y|) shingles or more, of which the hub holds
-min(|x & h|, |y & h|) at most.  Either that alone reaches o (a comparison of
-sizes per hub), or x and y share a shingle that h lacks: then they meet under
-(hub, shingle) in the prefixes of x - h and y - h in hash order, the first
-|x - h| - max(1, t * |x| - |x & h|) + 1 shingles, and are a pair at the first
-one that both prefixes hold.  Copies of one text that were edited apart have
-no such shingle in common, so their pairs are never made.  Pairs within a
-component need no look, as they change no component.
-
-*Verifying.* Candidates are verified on their shingles' 64-bit hashes.
+that overlap in a list are one dense list, whose pairs are never made; its
+sets meet through a hub, and nothing is cut.  The hub is the member closest to
+the majority of their bits, in a group of edited copies what they were made
+from.  Lists without that one have hubs of their own, which lie in others of
+its lists, so a list goes to the hub of most sets that its own hub meets.  A
+set is then compared with one hub for all its lists, or a few.
+
+With h the hub, a set x is kept as its delta X, the shingles that only one of
+x and h holds.  Deltas tell sets apart as the sets themselves do: x and y differ
+in as many shingles as X and Y.  They are a pair if they differ in at most
+d = (1 - t) / (1 + t) * (|x| + |y|), which is if X and Y share (|X| + |Y| - d) / 2
+or more.  Where that is not above 0, both are pairs with h (if y is not,
+|Y| > (1 - t) / (1 + t) * (|y| + |h|), so |X| < (1 - t) / (1 + t) * (|x| - |h|) < |X|).
+All others share a shingle of their deltas: with |X| <= |Y| one of the first
+d / 2 + 1 of X and the first d + 1 of Y, in any fixed order.  What h lacks
+comes first, as few copies have it in common, and what over half of them differ
+from h in comes last.  Copies of one text that were edited apart share no such
+shingle and are never met.
+
+Those first shingles make lists again, and pairs within a component need no
+look, as they change no component.  So a list is compared pair by pair, each
+set of it with the few that are outside its largest component or, if fewer,
+with those that have the shingle in their shorter prefix.  Where both are over
+the limit, it is a part of the group that was edited alike: it gets its own hub
+(of the smallest delta) and is dealt with as above.  It holds fewer sets than
+the one before, and the limit grows by GROWTH at each step, as sets are in
+several such lists and these must not multiply; so the steps are no more than
+the logarithm of the largest group.  What is left to compare there, groups of
+which no two sets are of one component, is limit times the list.
+
+*Verifying.* Candidates are verified on their shingles' 64-bit hashes, in dense
+lists on those of their deltas.
 
 Cases: as in operator 5: texts without words (or null) are copies of each
 other, fewer words than a shingle are one shingle, only A-Z are lower-cased.
@@ -48,8 +61,6 @@ other, fewer words than a shingle are one shingle, only A-Z are lower-cased.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import reduce
-from operator import add
 
 import numpy as np
 import pandas as pd
@@ -73,10 +84,11 @@ MIN_SHARED = 3
 MOST, MOST_FEW, FEW = 92, 120, 24
 #: lists up to this long are compared pair by pair
 LIST_LIMIT = 32
+#: what the limit grows by from one step of dense lists to the next
+GROWTH = 4
 _SALT = np.random.default_rng(20240805).integers(1, 2**63, size=WORDS, dtype=np.uint64)
 #: the bits of a byte, each in a byte of its own
 _LANES = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view(np.uint64).ravel()
-_FP = [f"f{i}" for i in range(WORDS)]
 
 
 def shingle_sets(texts: list[bytes], shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -170,8 +182,26 @@ def _join(label: np.ndarray, rows: np.ndarray, length: np.ndarray) -> np.ndarray
         label = parent[label]
 
 
+def _hubs(label: np.ndarray, sid: np.ndarray, fp: np.ndarray) -> np.ndarray:
+    """Of each label's rows, the set closest to the majority of their bits; the smallest of equals."""
+    if not len(label):
+        return sid
+    order = np.argsort(label, kind="stable")
+    fp = fp[order]
+    length = _runs(label[order])
+    start, group = np.cumsum(length) - length, np.repeat(np.arange(len(length)), length)
+    apart = np.zeros(len(fp), np.int64)
+    for p in range(POSITIONS):
+        ones = np.add.reduceat(np.unpackbits(fp[:, p : p + 1], axis=1), start, axis=0, dtype=np.int64)
+        apart += np.bitwise_count(fp[:, p] ^ np.packbits(ones * 2 > length[:, None], axis=1)[group, 0])
+    best = np.lexsort((sid[order], apart, group))[start]
+    out = np.empty_like(sid)
+    out[order] = sid[order][best][group]
+    return out
+
+
 def meet(place: np.ndarray, byte: np.ndarray, sid: np.ndarray, n: np.ndarray, fp: np.ndarray, similarity: float, limit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Whole lists of postings -> pairs (x, y) and members of dense lists (sid, place, smallest sid of the dense list)."""
+    """Whole lists of postings -> pairs (x, y) and members of dense lists (sid, place, hub of the dense list)."""
     order = np.lexsort((sid, byte, place))
     place, byte, sid, n, fp = place[order].astype(np.int64), byte[order], sid[order], n[order].astype(np.int64), np.ascontiguousarray(fp[order])
     word = fp.view(np.uint64)
@@ -224,7 +254,7 @@ def meet(place: np.ndarray, byte: np.ndarray, sid: np.ndarray, n: np.ndarray, fp
     # what one dense list holds meets through its hub
     ok = label[x] != label[y]
     dense = np.flatnonzero(np.bincount(label, minlength=len(label))[label] > 1)
-    return sid[x[ok]], sid[y[ok]], sid[dense], place[dense], sid[label[dense]]
+    return sid[x[ok]], sid[y[ok]], sid[dense], place[dense], _hubs(label[dense], sid[dense], fp[dense])
 
 
 def _meet(similarity: float, limit: int):
@@ -237,19 +267,12 @@ def _meet(similarity: float, limit: int):
         fp = np.frombuffer(b"".join(pdf["fp"]), np.uint8).reshape(-1, POSITIONS)
         place = pdf["place"].to_numpy()
         byte = fp[np.arange(len(fp)), place]
-        x, y, sid, at, low = meet(place, byte, pdf["sid"].to_numpy(), pdf["n"].to_numpy(), fp, similarity, limit)
-        yield pd.DataFrame({"a": np.concatenate((x, sid)), "b": np.concatenate((y, low)), "place": np.concatenate((np.full(len(x), -1), at)).astype(np.int32)})
+        x, y, sid, at, hub = meet(place, byte, pdf["sid"].to_numpy(), pdf["n"].to_numpy(), fp, similarity, limit)
+        yield pd.DataFrame({"a": np.concatenate((x, sid)), "b": np.concatenate((y, hub)), "place": np.concatenate((np.full(len(x), -1), at)).astype(np.int32)})
 
     return run
 
 
-def _may(similarity: float):
-    """Whether a pair (na, a0...; nb, b0...) is a candidate by its bits and sizes."""
-    apart = reduce(add, [F.bit_count(F.col(f"a{i}").bitwiseXOR(F.col(f"b{i}"))) for i in range(WORDS)])
-    most = F.when(F.least("na", "nb") < FEW, MOST_FEW).otherwise(MOST)
-    return (apart <= most) & (F.least("na", "nb") >= similarity * F.greatest("na", "nb") - 1e-9)
-
-
 def _met(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs with the shingles of a as x and of b as y."""
     # b may be in very many pairs: it is met first, while rows are narrow
@@ -266,45 +289,77 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
     return sure
 
 
-def _apart(left: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Candidates (a, b) among sets of different components that share a hub.
+def _differ(groups: DataFrame, *key: str) -> DataFrame:
+    """The keys whose sets are of several components."""
+    return groups.groupBy(*key).agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1").select(*key)
 
-    left: the open postings (sid, n, fingerprint, root, l.sid the hub); sets: (sid, hs).
-    """
-    kept = ["n", *_FP, "root"]
-    pairs = left.where("sid <> l.sid").select(F.col("sid").alias("a"), F.col("l.sid").alias("b"), *kept).distinct()
-    # a hub whose other sets are of one component has nothing to tell apart
-    several = pairs.groupBy("b").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1").select("b")
-    pairs = materialise(pairs.join(several.hint("merge"), "b"), "hubs")
-    own = F.array_sort(F.array_except("x", "y"))
-    held = F.col("n") - F.size("own")
-    prefix = F.size("own") - F.greatest(F.lit(1), F.ceil(similarity * F.col("n") - F.col("held") - 1e-9)) + 1
-    parts = _met(pairs, sets).select("a", "b", *kept, own.alias("own")).withColumn("held", held)
-    parts = parts.withColumn("own", F.slice("own", F.lit(1), F.greatest(F.lit(0), prefix).cast("int")))
-    parts = materialise(parts.select(F.col("b").alias("hub"), F.col("a").alias("sid"), *kept, "held", "own"), "parts")
-    discard(pairs)
 
-    def side(df: DataFrame, k: str, *key: str) -> DataFrame:
-        names = {"sid": k, "n": f"n{k}", "root": f"r{k}", "held": f"h{k}", "own": f"own{k}"} | {f: f"{k}{i}" for i, f in enumerate(_FP)}
-        return df.select(*key, *[F.col(c).alias(v) for c, v in names.items() if c in df.columns])
-
-    different = (F.col("ra") < F.col("rb")) & _may(similarity)
-    # alike by what the hub holds: the largest partner that `held` allows
-    whole = parts.drop("own").withColumn("most", F.floor(F.col("held") * (1 + similarity) / similarity - F.col("n") + 1e-6))
-    reach = whole.groupBy("hub").agg(F.min("n").alias("least"), F.max("most").alias("top"))
-    whole = whole.join(reach, "hub").where("most >= least AND n <= top").drop("least", "top")
-    open_hubs = whole.groupBy("hub").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1").select("hub")
-    whole = whole.join(open_hubs, "hub")
-    x, y = side(whole, "a", "hub"), side(whole, "b", "hub")
-    enough = F.least("ha", "hb") >= similarity / (1 + similarity) * (F.col("na") + F.col("nb")) - 1e-6
-    within = x.join(y, "hub").where(different & enough).select("a", "b")
-    # alike by what it lacks, taken at the first such shingle
-    posted = parts.withColumn("s", F.explode("own"))
-    lists = posted.groupBy("hub", "s").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1").select("hub", "s")
-    posted = materialise(posted.join(lists, ["hub", "s"]), "own")
-    first = F.get(F.array_intersect("owna", "ownb"), F.lit(0)) == F.col("s")
-    beyond = side(posted, "a", "hub", "s").join(side(posted, "b", "hub", "s"), ["hub", "s"]).where(different & first).select("a", "b")
-    return within.unionByName(beyond)
+def _crowd(dense: DataFrame) -> DataFrame:
+    """Members of dense lists (sid, hub) -> groups (g, a, b): a set and the hub it is compared with."""
+    fame = dense.groupBy("hub").agg(F.count("*").alias("c"))
+    best = dense.join(fame.hint("merge"), "hub").groupBy("sid").agg(F.max(F.struct("c", "hub")).alias("m"))
+    moved = dense.join(best.select(F.col("sid").alias("hub"), F.col("m.hub").alias("b")).hint("merge"), "hub")
+    return moved.where("sid <> b").select(F.col("b").alias("g"), F.col("sid").alias("a"), "b").distinct()
+
+
+def _deltas(groups: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Groups (g, a, b) -> (g, hub, sid, n, delta, m its size, sure: whether the set and the hub are a pair)."""
+    both = F.size(F.array_intersect("x", "y"))
+    sure = both >= similarity * (F.size("x") + F.size("y") - both) - 1e-9
+    delta = F.concat(F.sort_array(F.array_except("x", "y")), F.sort_array(F.array_except("y", "x")))
+    rows = _met(groups, sets).select("g", F.col("b").alias("hub"), F.col("a").alias("sid"), F.size("x").alias("n"), delta.alias("delta"), sure.alias("sure"))
+    return materialise(rows.withColumn("m", F.size("delta")), "deltas")
+
+
+def _ordered(own: DataFrame) -> DataFrame:
+    """Deltas with what over half of their group has in them at the end: there the hub is the odd one.
+
+    Any order will do, so a quarter of the sets tell what most have.
+    """
+    some = own.where(F.pmod(F.xxhash64("sid"), F.lit(4)) == 0)
+    seen = some.select("g", F.explode("delta").alias("s")).groupBy("g", "s").agg(F.count("*").alias("k")).where("k > 1")
+    size = some.groupBy("g").agg(F.count("*").alias("all"))
+    common = seen.join(size.hint("merge"), "g").where("2 * k > all").groupBy("g").agg(F.sort_array(F.collect_list("s")).alias("common"))
+    delta = F.concat(F.array_except("delta", "common"), F.array_intersect("common", "delta"))
+    rows = own.join(common.hint("merge"), "g", "left").withColumn("delta", F.when(F.col("common").isNull(), F.col("delta")).otherwise(delta))
+    return rows.drop("common")
+
+
+def _apart(deltas: DataFrame, root: DataFrame, similarity: float, limit: int) -> tuple[DataFrame, DataFrame]:
+    """Sets of groups and their components (node, root) -> links (a, b) between components, groups (g, a, b) of what is still dense."""
+    own = deltas.drop("sure").join(root.withColumnRenamed("node", "sid").hint("merge"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
+    own = materialise(_ordered(own.join(_differ(own, "g").hint("merge"), "g")), "open")
+    # the most that a set differs in from any it is a pair with
+    most = (1 - similarity) / similarity * F.col("n") + 1e-6
+    prefix = F.slice("delta", F.lit(1), (F.floor(most) + 1).cast("int"))
+    posted = own.select("g", "sid", "m", "root", F.floor(most / 2).alias("short"), F.posexplode(prefix).alias("at", "s"))
+    posted = materialise(posted.select("g", "s", "sid", "m", "root", (F.col("at") <= F.col("short")).alias("first")), "posted")
+    part = posted.groupBy("g", "s", "root").agg(F.count("*").alias("k"), F.count_if("first").alias("c"), F.min(F.struct("m", "sid")).alias("l"))
+    size = part.groupBy("g", "s").agg(F.sum("k").alias("all"), F.max(F.struct("k", "root")).alias("top"), F.sum("c").alias("c"), F.min("l").alias("l"))
+    size = size.where("all > top.k AND c > 0").select("g", "s", (F.col("all") - F.col("top.k")).alias("rest"), "c", F.col("top.root").alias("top"), F.col("l.sid").alias("hub"))
+    lead = F.when(F.col("rest") <= F.col("c"), F.col("root") != F.col("top")).otherwise(F.col("first"))
+    lists = posted.join(size.hint("merge"), ["g", "s"]).select("g", "s", "sid", "first", lead.alias("lead"), F.least("rest", "c").alias("c"), "hub")
+    lists = materialise(lists, "lists")
+    discard(posted)
+    few = lists.where(F.col("c") <= limit).select("g", "s", "sid", "first", "lead").join(own.select("g", "sid", "n", "m", "root", "delta").hint("merge"), ["g", "sid"])
+    few = materialise(few, "few")
+
+    def side(df: DataFrame, k: str) -> DataFrame:
+        return df.select("g", "s", *[F.col(c).alias(f"{c}_{k}") for c in ("sid", "n", "m", "root", "first", "delta")])
+
+    total = F.col("n_x") + F.col("n_y")
+    both = (total - F.col("m_x") - F.col("m_y")) / 2 + F.size(F.array_intersect("delta_x", "delta_y"))
+    short = F.when(F.struct("m_x", "sid_x") < F.struct("m_y", "sid_y"), F.col("first_x")).otherwise(F.col("first_y"))
+    fit = short & (F.col("root_x") != F.col("root_y")) & (F.least("n_x", "n_y") >= similarity * F.greatest("n_x", "n_y") - 1e-9)
+    # pairs are verified within their list; only links come out of it
+    met = side(few.where("lead"), "x").join(side(few, "y").hint("merge"), ["g", "s"]).where(fit & (both >= similarity * (total - both) - 1e-9))
+    sure = materialise(met.select(F.col("sid_x").alias("a"), F.col("sid_y").alias("b")).distinct(), "links")
+    # a group of its own for each hub in a group, so it holds fewer sets
+    dense = lists.where((F.col("c") > limit) & (F.col("sid") != F.col("hub"))).select(F.xxhash64("g", "hub").alias("g"), F.col("sid").alias("a"), F.col("hub").alias("b"))
+    dense = materialise(dense.distinct(), "dense")
+    for frame in (own, lists, few):
+        discard(frame)
+    return sure, dense
 
 
 def links(sets: DataFrame, texts: Callable[[DataFrame], DataFrame], similarity: float = SIMILARITY, shingle: int = SHINGLE, list_limit: int = LIST_LIMIT) -> DataFrame:
@@ -317,35 +372,24 @@ def links(sets: DataFrame, texts: Callable[[DataFrame], DataFrame], similarity:
     lists = posted.repartition(parallelism(spark), "place", F.substring("fp", F.col("place") + 1, F.lit(1)))
     met = materialise(lists.mapInPandas(_meet(similarity, list_limit), "a long, b long, place int"), "met")
     release(spark)
-    pairs, dense = met.where("place < 0").select("a", "b"), met.where("place >= 0").select(F.col("a").alias("sid"), "place", F.col("b").alias("band"))
+    pairs, dense = met.where("place < 0").select("a", "b"), met.where("place >= 0").select(F.col("a").alias("sid"), F.col("b").alias("hub")).distinct()
     used = met.select(F.col("a").alias("sid")).union(pairs.select(F.col("b").alias("sid"))).distinct()
     # a row that is there many times is one text
     alone = texts(used).groupBy("sid").agg(F.first("text").alias("text"))
     shingles = materialise(alone.mapInPandas(_sets(shingle), "sid long, hs array<bigint>"), "sets")
     release(spark)
-    part = [F.conv(F.hex(F.substring("fp", 8 * i + 1, 8)), 16, -10).cast("long").alias(f) for i, f in enumerate(_FP)]
-    size = dense.groupBy("place", "band").agg(F.count("*").alias("c"))
-    shared = dense.join(size.hint("merge"), ["place", "band"]).join(sets.select("sid", "n", *part).hint("merge"), "sid")
-    # the tally of sets met in all dense lists makes the hub
-    tally = shared.groupBy("sid").agg(F.sum("c").alias("t"))
-    shared = materialise(shared.drop("c").join(tally.hint("merge"), "sid"), "shared")
-    low = shared.groupBy("place", "band").agg(F.max(F.struct("t", F.negative("sid").alias("last"), "sid", "n", *_FP)).alias("l"))
-    crowd = materialise(shared.drop("t").join(low.hint("merge"), ["place", "band"]), "postings")
-    discard(shared)
-    mine = [F.col("sid").alias("a"), F.col("n").alias("na"), *[F.col(f).alias(f"a{i}") for i, f in enumerate(_FP)]]
-    hub = [F.col("l.sid").alias("b"), F.col("l.n").alias("nb"), *[F.col(f"l.{f}").alias(f"b{i}") for i, f in enumerate(_FP)]]
-    star = crowd.select(*mine, *hub).where("a <> b").where(_may(similarity)).select("a", "b")
-    first = _verified(pairs.union(star), shingles, similarity)
-    if crowd.isEmpty():
-        return first
-    root = components(first)
-    own = crowd.join(root.withColumnRenamed("node", "sid").hint("merge"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-    split = own.groupBy("place", "band").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1").select("place", "band")
-    left = materialise(own.join(split.hint("merge"), ["place", "band"]), "open")
-    second = _verified(_apart(left, shingles, similarity), shingles, similarity)
-    for frame in (met, crowd, left, shingles):
-        discard(frame)
-    return first.unionByName(second)
+    found = _verified(pairs, shingles, similarity)
+    groups = materialise(_crowd(dense), "groups")
+    discard(met)
+    while not groups.isEmpty():
+        deltas = _deltas(groups, shingles, similarity)
+        discard(groups)
+        found = found.unionByName(deltas.where("sure").select(F.col("hub").alias("a"), F.col("sid").alias("b")))
+        list_limit *= GROWTH
+        more, groups = _apart(deltas, components(found), similarity, list_limit)
+        found = found.unionByName(more)
+    discard(shingles)
+    return found
 
 
 def keep_one(docs: DataFrame, similarity: float = SIMILARITY, shingle: int = SHINGLE, list_limit: int = LIST_LIMIT) -> DataFrame:

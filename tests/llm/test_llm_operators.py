@@ -262,6 +262,66 @@ def test_dense_lists_of_near_copies_lose_no_link(spark):
     assert sorted(x["doc_id"] for x in got.collect()) == jaccard_groups(rows, 5, 0.8)
 
 
+def join_rows(spark, since):
+    """Rows made by each join of the executions after `since`, summed by the join's text without numbers."""
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30000)
+    store = spark._jsparkSession.sharedState().statusStore()
+    runs, made = store.executionsList(), collections.Counter()
+    for i in range(runs.size()):
+        run = runs.apply(i).executionId()
+        if run <= since:
+            continue
+        values, nodes = store.executionMetrics(run), store.planGraph(run).allNodes()
+        for k in range(nodes.size()):
+            node = nodes.apply(k)
+            for m in range(node.metrics().size() if "Join" in node.name() else 0):
+                metric = node.metrics().apply(m)
+                if metric.name() == "number of output rows" and values.contains(metric.accumulatorId()):
+                    made[re.sub(r"#\d+L?|\d+", "", node.desc())] += int(values.apply(metric.accumulatorId()).replace(",", ""))
+    return made
+
+
+def test_joins_of_a_large_group_grow_with_it(spark):
+    """The pipeline's simhash_dedup: no join makes a row for each pair, or for each list, of a group of edited copies."""
+    made = []
+    for copies in (100, 300):
+        r = random.Random(21)
+        base, rows = [f"v{r.randrange(3000)}" for _ in range(150)], []
+        for i in range(copies):
+            t = list(base)
+            for _ in range(4):
+                at = r.randrange(len(t))
+                t[at : at + 1] = r.choice([[], [f"v{r.randrange(3000)}"], ["new", t[at]]])
+            rows.append((i, " ".join(t)))
+        runs = spark._jsparkSession.sharedState().statusStore().executionsList()
+        since = max((runs.apply(i).executionId() for i in range(runs.size())), default=-1)
+        kept = near_copies.keep_one(docs(spark, rows), list_limit=12)
+        assert sorted(x["doc_id"] for x in kept.collect()) == jaccard_groups(rows, 5, 0.8)
+        made.append(join_rows(spark, since))
+    # 150 pairs a set; prefixes of deltas are some 40 shingles a set and hub
+    assert max(made[0].values()) >= 100 and max(made[1].values()) <= 80 * 300, made
+
+
+def test_steps_of_dense_lists_lose_no_link(spark, monkeypatch):
+    """Groups within groups that were edited alike take several steps, each with hubs of its own."""
+    r = random.Random(23)
+    base, rows = [f"v{i}" for i in range(120)], []
+    kinds = [base, [w for i, w in enumerate(base) if i % 9], [w if i % 8 else f"w{i}" for i, w in enumerate(base)], base[:80] + [f"x{i}" for i in range(40)]]
+    for kind in kinds:
+        for _ in range(30):
+            t = list(kind)
+            for at in r.sample(range(0, 75, 5), r.choice([1, 2, 3, 4, 5])):
+                t[at] = f"e{at}"
+            t = t[r.choice([0, 0, 10, 25]) :]
+            rows.append((len(rows), " ".join(t)))
+    steps, deltas = [], near_copies._deltas
+    monkeypatch.setattr(near_copies, "GROWTH", 2)
+    monkeypatch.setattr(near_copies, "_deltas", lambda *a: steps.append(1) or deltas(*a))
+    got = near_copies.keep_one(docs(spark, rows), list_limit=1)
+    want = jaccard_groups(rows, 5, 0.8)
+    assert len(steps) > 1 and 8 < len(want) < 100 and sorted(x["doc_id"] for x in got.collect()) == want
+
+
 @pytest.mark.parametrize("limit", [4, 64])
 def test_dense_lists_lose_no_link(spark, limit):
     r = random.Random(3)
