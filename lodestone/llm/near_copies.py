@@ -381,6 +381,7 @@ def links(sets: DataFrame, texts: Callable[[DataFrame], DataFrame], similarity:
     found = _verified(pairs, shingles, similarity)
     groups = materialise(_crowd(dense), "groups")
     discard(met)
+    release(spark)
     while not groups.isEmpty():
         deltas = _deltas(groups, shingles, similarity)
         discard(groups)
