@@ -107,3 +107,23 @@ def test_audit_sample_cap_and_rate(spark):
     assert 60 < n < 140
     few = {r["k"] for r in redact.audit_sample(df, "k", 0.25, 1, 5).collect()}
     assert few == {r["k"] for r in redact.audit_sample(df.repartition(7), "k", 0.25, 1, 5).collect()} and len(few) == 5
+
+
+ODD = [
+    "a4111111111111111", "_4111 1111 1111 1111", "4111 1111 1111 1111x", "é4111111111111111é", "٣4111 1111 1111 1111", "4111-1111-1111-1111 0", "002651439458202064 7", "+1 (578) 555-6437 49181871234",
+    "9+44 20 1234 1234", "+44\u00a020 1234 1234", "+44\x0b20 1234 1234", "+44\t20 1234 12345678", "+٤٤ 20 1234", "éa@ex.org", "a@ex.orgé", "u@ex.o\u017f", "\u212a@ex.org", "_a@b.io_", "b@x.io b@x.io", "1.10.0.0.1", "10.0.0.1.2", "999.10.0.0.300", None,
+]
+
+
+@pytest.mark.parametrize("name", ["pii_email", "pii_ipv4", "pii_card_luhn", "pii_phone", "redact_docs", "audit_summary"])
+def test_queries_equal_their_sql_on_odd_neighbours(spark, tmp_path, name):
+    import duckdb
+    from lodestone.plans import catalogue
+
+    rows = [(i, t) for i, t in enumerate([*ODD, *(f"{a} {b}" for a in ODD if a for b in ODD if b)])]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    got = catalogue.QUERIES[name](spark, str(tmp_path))
+    cols = ", ".join(got.columns)
+    assert sorted(tuple(r) for r in got.collect()) == sorted(con.execute(f"SELECT {cols} FROM ({catalogue.ORACLES[name]})").fetchall())
