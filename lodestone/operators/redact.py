@@ -19,6 +19,8 @@ from lodestone.plans.schema import EVENT, EVENT_FIELDS, once
 
 SPAN = "struct<start:int,less:int,ord:int,end:int,rule:string,category:string,text:string>"
 SPANS = f"array<{SPAN}>"
+#: a character of the private area; texts that hold it are split by the pattern itself
+MARK = "\uf8ff"
 MASK = r"\[[A-Z][A-Z_]*(?:_\d+)?\]"
 
 
@@ -26,6 +28,12 @@ def none() -> Column:
     return F.array().cast(SPANS)
 
 
+def _pieces(text: Column, pattern: str) -> Column:
+    """The text between the matches.  split() compiles its pattern for every row; a mark in the matches' place needs none."""
+    marked = F.split(F.regexp_replace(text, F.lit(pattern), F.lit(MARK)), MARK, -1)
+    return F.when(F.contains(text, F.lit(MARK)), F.split(text, pattern, -1)).otherwise(marked)
+
+
 def rule_spans(text: Column, rule: Rule, order: int) -> Column:
     """Spans of one rule.  `less` is minus the end, so that sorting puts longer spans first."""
     found = F.regexp_extract_all(text, F.lit(rule.java), F.lit(0))
@@ -33,7 +41,7 @@ def rule_spans(text: Column, rule: Rule, order: int) -> Column:
     def spans(m: Column) -> Column:
         # where nothing matched, the text is not looked at again
         parts = F.struct(
-            F.split(text, rule.java, -1).alias("s"),
+            _pieces(text, rule.java).alias("s"),
             m.alias("m"),
             (F.regexp_extract_all(text, F.lit(rule.java), F.lit(rule.group)) if rule.group else F.array().cast("array<string>")).alias("g"),
         )

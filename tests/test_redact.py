@@ -127,3 +127,17 @@ def test_queries_equal_their_sql_on_odd_neighbours(spark, tmp_path, name):
     got = catalogue.QUERIES[name](spark, str(tmp_path))
     cols = ", ".join(got.columns)
     assert sorted(tuple(r) for r in got.collect()) == sorted(con.execute(f"SELECT {cols} FROM ({catalogue.ORACLES[name]})").fetchall())
+
+
+def test_spans_do_not_turn_on_the_mark_between_matches(spark):
+    texts = [a + b + "a@x.io" + b + "10.0.0.1" + a for a in ("", redact.MARK, "x ") for b in ("", redact.MARK, " ", "\n")]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for row in df.select("t", redact.detect_all(F.col("t")).alias("s")).collect():
+        assert [(s["start"], s["less"], s["ord"], s["end"], s["rule"]) for s in row["s"]] == by_hand(row["t"]), row["t"]
+
+
+@pytest.mark.parametrize("name", ["pii_rules_made", "field_rules", "orchestrated_ids"])
+def test_rules_on_one_split_use_all_cores(spark, tiny, name):
+    from lodestone.plans import catalogue
+
+    assert catalogue.QUERIES[name](spark, tiny).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
