@@ -259,6 +259,8 @@ def generate_with(
     from lodestone.functions.plugins import backend
     from lodestone.operators.evaluate import _fits
 
+    seeds = session.spread(seeds)
+    parts = max(seeds.rdd.getNumPartitions(), seeds.sparkSession.sparkContext.defaultParallelism)
     cols = seeds.columns
     sid = F.col("seed_id") if "seed_id" in cols else F.lit(None).cast("string")
     at = lambda s: start + F.make_dt_interval(secs=s)
@@ -294,7 +296,8 @@ def generate_with(
         done = event(kind="assistant", role="assistant", event_id=f"a{step}", timestamp=at(F.lit(2 * step + 1)), content=text, finish_reason="stop", lineage_id=sid)
         ended = said.where("_call IS NULL").withColumns({"events": F.array_append("events", done), "_state": F.lit("final"), "_n": F.lit(step + 1)}).select(*keep)
         lost = said.where("_call IS NOT NULL AND _bad").withColumn("_state", F.lit("dropped")).select(*keep)
-        rows = cut(rows.where("_state <> 'open'").select(*keep).unionByName(calls_).unionByName(ended).unionByName(lost))
+        # the union has four times the partitions, step by step
+        rows = cut(rows.where("_state <> 'open'").select(*keep).unionByName(calls_).unionByName(ended).unionByName(lost).coalesce(parts))
         if rows.where("_state = 'open'").isEmpty():
             break
     reason = F.when(F.col("_state") == "final", "final").otherwise("max_steps")
