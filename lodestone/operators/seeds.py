@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -57,25 +58,61 @@ def cosine(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
 
 
+#: rows whose products with all centroids are made at once
+AT_ONCE = 256
+
+
 def greedy_labels(vectors: np.ndarray, threshold: float) -> np.ndarray:
-    """Single pass: each vector joins the nearest running-mean centroid within the threshold, else opens a cluster."""
-    centroids = np.zeros((64, vectors.shape[1] if vectors.ndim > 1 else 0))
-    counts: list[int] = []
+    """Single pass: each vector joins the nearest running-mean centroid within the threshold, else opens a cluster.
+
+    Each vector depends on those before it, so this is one task.  Products with
+    the centroids of a block's start are one matrix product for the block; only
+    centroids that moved or were opened since then are multiplied again.
+    """
+    dim = vectors.shape[1] if vectors.ndim > 1 else 0
+    centroids = np.zeros((64, dim))
+    counts = np.zeros(64, np.int64)
+    opened = 0
     out = np.zeros(len(vectors), np.int64)
-    for i, v in enumerate(vectors):
-        sims = centroids[: len(counts)] @ v
-        j = int(sims.argmax()) if len(sims) else -1
-        if j >= 0 and sims[j] >= threshold:
-            c = (centroids[j] * counts[j] + v) / (counts[j] + 1)
-            centroids[j] = c / (np.linalg.norm(c) or 1.0)
-            counts[j] += 1
-            out[i] = j
-        else:
-            if len(counts) == len(centroids):  # room doubles, so that growing stays linear
-                centroids = np.concatenate([centroids, np.zeros_like(centroids)])
-            centroids[len(counts)] = v
-            counts.append(1)
-            out[i] = len(counts) - 1
+    for lo in range(0, len(vectors), AT_ONCE):
+        block = vectors[lo : lo + AT_ONCE]
+        begun = opened
+        # a centroid that moves is left to the fresh ones, its column is put out
+        sims = block @ centroids[:begun].T
+        fresh: list[int] = []
+        place: dict[int, int] = {}
+        own = np.zeros((len(block), dim))
+        for i, v in enumerate(block):
+            j, best = -1, -np.inf
+            if begun:
+                j = int(sims[i].argmax())
+                best = sims[i, j]
+            if fresh:
+                again = own[: len(fresh)] @ v
+                top = again.max()
+                if top >= best:  # ties go to the first centroid
+                    f = min(fresh[x] for x in np.flatnonzero(again == top))
+                    j = f if top > best else min(j, f)
+                    best = top
+            if j >= 0 and best >= threshold:
+                c = (centroids[j] * counts[j] + v) / (counts[j] + 1)
+                centroids[j] = c / (np.linalg.norm(c) or 1.0)
+                counts[j] += 1
+            else:
+                if opened == len(counts):  # room doubles, so that growing stays linear
+                    centroids = np.concatenate([centroids, np.zeros_like(centroids)])
+                    counts = np.concatenate([counts, np.zeros_like(counts)])
+                j = opened
+                centroids[j] = v
+                counts[j] = 1
+                opened += 1
+            if j not in place:
+                place[j] = len(fresh)
+                fresh.append(j)
+                if j < begun:
+                    sims[:, j] = -np.inf
+            own[place[j]] = centroids[j]
+            out[lo + i] = j
     return out
 
 
@@ -102,6 +139,8 @@ def kmeans_cluster(rows: DataFrame, k: int | None = None, seed: int = 0) -> Data
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
+    # the vectors cost more than the clusters: they are made once
+    rows = rows.persist(StorageLevel.DISK_ONLY)
     k = k or max(1, int(max(1, rows.count()) ** 0.5))
     ready = rows.withColumn("_features", array_to_vector("vector"))
     model = KMeans(k=max(2, k), seed=seed, featuresCol="_features", predictionCol="label").fit(ready)
@@ -125,6 +164,8 @@ def representatives(rows: DataFrame, text: str = "query", label: str = "label",
 
 def build_seeds(clustered: DataFrame) -> DataFrame:
     """seed_id, query, cluster_id, cluster_size, original_lineage_ids, domain, source_session_ids; largest cluster first."""
+    # read three times: without this each read would cluster again
+    clustered = clustered.persist(StorageLevel.DISK_ONLY)
     reps = representatives(clustered)
     ids = clustered.groupBy("label").agg(F.array_sort(F.collect_set("lineage_id")).alias("original_lineage_ids"), F.array_sort(F.collect_set("session_id")).alias("source_session_ids"))
     # one row per cluster

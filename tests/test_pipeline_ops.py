@@ -151,6 +151,48 @@ def test_greedy_query_is_one_pass_over_all_rows(spark, tiny):
     assert got == sorted(sizes, reverse=True)
 
 
+def test_greedy_in_blocks_equals_one_by_one():
+    import numpy as np
+
+    r = np.random.default_rng(4)
+    base = r.random((400, 32)) * (r.random((400, 32)) < 0.4)
+    v = base[r.integers(0, 400, 1500)] + r.random((1500, 32)) * r.choice([0, 0.05, 0.4], size=(1500, 1))
+    v = np.concatenate([v, v[:100], np.zeros((3, 32))])
+    v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
+    for limit in (0.6, 0.9):
+        means, sizes, want = [], [], []
+        for x in v:
+            near = np.array(means) @ x if means else np.zeros(0)
+            j = int(near.argmax()) if len(near) else -1
+            if j >= 0 and near[j] >= limit:
+                m = (means[j] * sizes[j] + x) / (sizes[j] + 1)
+                means[j], sizes[j] = m / np.linalg.norm(m), sizes[j] + 1
+            else:
+                j = len(means)
+                means.append(x)
+                sizes.append(1)
+            want.append(j)
+        assert seeds.greedy_labels(v, limit).tolist() == want and len(means) > seeds.AT_ONCE / 4
+
+
+@pytest.mark.parametrize("method", ["greedy", "kmeans"])
+def test_seeds_read_their_clusters_from_a_copy(spark, method):
+    t = frame(spark, *[[user(0, f"what is the price of {x}")] for x in ("rice", "tea", "soil", "rain")]).withColumn("domain", F.lit("d"))
+    plan = seeds.extract(t, method, k=2)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("InMemoryRelation") >= 3 and "FlatMapGroupsInPandas" not in plan.split("InMemoryRelation")[0]
+
+
+def test_generation_deals_one_split_and_keeps_its_partitions(spark):
+    rows = spark.range(40, numPartitions=1).select(F.col("id").cast("string").alias("seed_id"), F.lit("q").alias("query"))
+
+    def make():
+        return lambda prompts: ['{"tool_call": {"name": "t", "arguments": {}}}' if p.count('"tool"') < 2 else '{"final": "f"}' for p in prompts]
+
+    made, lost = generate.generate_with(rows, {"t": {}}, F.lit("2024-01-01").cast("timestamp"), make)
+    assert made.count() == 40 and lost.count() == 0 and {len(r["events"]) for r in made.collect()} == {6}
+    assert spark.sparkContext.defaultParallelism == made.rdd.getNumPartitions()
+
+
 def test_kmeans_query_follows_the_number_of_rows(spark, tiny, monkeypatch):
     from lodestone.plans import catalogue
 
