@@ -131,7 +131,9 @@ def greedy_cluster(rows: DataFrame, block: str | None, order: str, threshold: fl
             return pdf.assign(label=[f"{n:012d}" for n in labels])
         return pdf.assign(label=[f"{b}/{n}" for b, n in zip(pdf[block], labels, strict=True)])
 
-    return rows.groupBy(*([block] if block else [])).applyInPandas(run, schema)
+    out = rows.groupBy(*([block] if block else [])).applyInPandas(run, schema)
+    # only the clustering itself is one task; what follows is not
+    return out if block else out.repartition(rows.sparkSession.sparkContext.defaultParallelism)
 
 
 def kmeans_cluster(rows: DataFrame, k: int | None = None, seed: int = 0) -> DataFrame:

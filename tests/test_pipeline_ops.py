@@ -182,6 +182,12 @@ def test_seeds_read_their_clusters_from_a_copy(spark, method):
     assert plan.count("InMemoryRelation") >= 3 and "FlatMapGroupsInPandas" not in plan.split("InMemoryRelation")[0]
 
 
+def test_only_the_clustering_is_one_task(spark):
+    t = frame(spark, *[[user(0, f"what is the price of {x}")] for x in ("rice", "tea", "soil", "rain")])
+    rows = seeds.collect_questions(t).withColumn("vector", seeds.hash_embed(F.col("query")))
+    assert seeds.greedy_cluster(rows, None, "session_id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
 def test_generation_deals_one_split_and_keeps_its_partitions(spark):
     rows = spark.range(40, numPartitions=1).select(F.col("id").cast("string").alias("seed_id"), F.lit("q").alias("query"))
 
